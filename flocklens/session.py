@@ -19,6 +19,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, scratch: str |
         SparkSession.builder.master(f"local[{cores}]")
         .appName("flocklens")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
