@@ -22,7 +22,11 @@ def attendance_base(ed_rows: DataFrame, members: DataFrame, events: DataFrame, d
     a contact holding a third of the rows shrinks to one row per event before
     any join. The date dimension is bounded (<= 18,251 rows) and broadcast;
     events and members are joined on their keys (AQE broadcasts the event
-    side when its measured size is small)."""
+    side when its measured size is small).
+
+    ``events`` may be the event dimension or the campaign attributes
+    themselves: every joined event has a detail row, so both give the same
+    rows, and the campaign table avoids another pass over the detail."""
     att = (
         ed_rows.filter(F.col("attendance_indicator") == F.lit(True))
         .select("event_id", "contact_id", "attendance_type")

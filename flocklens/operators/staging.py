@@ -18,15 +18,9 @@ EVENT_DETAIL_COLUMNS = (
 )
 
 
-def event_detail_rows(campaign: DataFrame, member: DataFrame) -> DataFrame:
-    """Campaign x member join with snake-case names, *without* the final DISTINCT.
-
-    Every in-library consumer aggregates duplicate-insensitively (min, max,
-    count distinct) or ends in its own DISTINCT, so they read this form and
-    skip a 29-column shuffle of the largest table. The campaign side is one
-    row per event; AQE broadcasts it when its measured size allows.
-    """
-    c = campaign.select(
+def campaign_attributes(campaign: DataFrame) -> DataFrame:
+    """Campaign columns under their event names (one row per campaign)."""
+    return campaign.select(
         F.col("Id").alias("event_id"),
         F.col("Name").alias("event_name"),
         F.col("Description").alias("description"),
@@ -38,6 +32,17 @@ def event_detail_rows(campaign: DataFrame, member: DataFrame) -> DataFrame:
         F.col("ActualCost").alias("cost"),
         F.col("ExpectedRevenue").alias("expected_revenue"),
     )
+
+
+def event_detail_rows(campaign: DataFrame, member: DataFrame) -> DataFrame:
+    """Campaign x member join with snake-case names, *without* the final DISTINCT.
+
+    Every in-library consumer aggregates duplicate-insensitively (min, max,
+    count distinct) or ends in its own DISTINCT, so they read this form and
+    skip a 29-column shuffle of the largest table. The campaign side is one
+    row per event; AQE broadcasts it when its measured size allows.
+    """
+    c = campaign_attributes(campaign)
     m = member.select(
         F.col("CampaignId").alias("_campaign_id"),
         F.col("ContactId").alias("contact_id"),

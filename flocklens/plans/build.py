@@ -25,14 +25,16 @@ from flocklens.operators import (
     staging,
     ticketing,
 )
+from flocklens.plans.materialize import Materializer
 from flocklens.sources.raw import Sources
 
 
 class Build:
-    def __init__(self, spark: SparkSession, sources: Sources, settings: Settings):
+    def __init__(self, spark: SparkSession, sources: Sources, settings: Settings, materialize: bool = True):
         self.spark = spark
         self.src = sources
         self.settings = settings
+        self.keep = Materializer(spark, enabled=materialize)
 
     # -- staging --------------------------------------------------------
     @cached_property
@@ -60,6 +62,10 @@ class Build:
     def dim_events(self) -> DataFrame:
         return dims.dim_events(self.ed_rows)
 
+    @cached_property
+    def campaign_events(self) -> DataFrame:
+        return staging.campaign_attributes(self.src.campaign)
+
     @cached_property
     def dim_dates(self) -> DataFrame:
         return dims.dim_dates(self.spark, self.settings)
@@ -67,7 +73,7 @@ class Build:
     # -- per-contact profile and risk ------------------------------------
     @cached_property
     def profile(self) -> DataFrame:
-        return profile.contact_profile(self.ed_rows, self.settings)
+        return self.keep(profile.contact_profile(self.ed_rows, self.settings), "profile")
 
     @cached_property
     def period_days(self) -> DataFrame:
@@ -100,7 +106,7 @@ class Build:
 
     @cached_property
     def first_ticket_event(self) -> DataFrame:
-        return journeys.first_ticket_event(self.stg_attendees, self.stg_events)
+        return self.keep(journeys.first_ticket_event(self.stg_attendees, self.stg_events), "first_ticket_event")
 
     # -- identity ---------------------------------------------------------
     @cached_property
@@ -117,7 +123,7 @@ class Build:
 
     @cached_property
     def candidates(self) -> DataFrame:
-        return identity.ticket_candidates(self.valid_attendees, self.crm_emails)
+        return self.keep(identity.ticket_candidates(self.valid_attendees, self.crm_emails), "candidates")
 
     @cached_property
     def tier2(self) -> DataFrame:
@@ -137,7 +143,7 @@ class Build:
 
     @cached_property
     def resolution(self) -> DataFrame:
-        return identity.name_resolution(self.tier2, self.tier3)
+        return self.keep(identity.name_resolution(self.tier2, self.tier3), "resolution")
 
     @cached_property
     def high_matches(self) -> DataFrame:
@@ -169,11 +175,11 @@ class Build:
     # -- facts ----------------------------------------------------------------
     @cached_property
     def attendance_base(self) -> DataFrame:
-        return fact.attendance_base(self.ed_rows, self.member_core, self.dim_events, self.dim_dates)
+        return fact.attendance_base(self.ed_rows, self.member_core, self.campaign_events, self.dim_dates)
 
     @cached_property
     def fact_attendance(self) -> DataFrame:
-        return fact.fact_attendance(self.ed_rows, self.member_core, self.dim_events, self.dim_dates)
+        return fact.fact_attendance(self.ed_rows, self.member_core, self.campaign_events, self.dim_dates)
 
     @cached_property
     def ticket_attendance(self) -> DataFrame:

@@ -8,6 +8,7 @@ names as in ``flocklens.plans.oracle``.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +22,21 @@ from flocklens.plans.build import Build
 from flocklens.sources.fixture import fixture_sources
 
 
-def fixture_build(spark: SparkSession, sf_dir: str) -> Build:
-    return Build(spark, fixture_sources(spark, sf_dir), FIXTURE_SETTINGS)
+_BUILDS: dict[tuple, Build] = {}
+
+
+def fixture_build(spark: SparkSession, sf_dir: str, shared: bool = True, materialize: bool = True) -> Build:
+    """The model graph over the driver tables at ``sf_dir``.
+
+    With ``shared`` one Build per (application, directory) is reused, so the
+    registered queries share their written intermediates."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), materialize)
+    if shared and key in _BUILDS:
+        return _BUILDS[key]
+    b = Build(spark, fixture_sources(spark, sf_dir), FIXTURE_SETTINGS, materialize=materialize)
+    if shared:
+        _BUILDS[key] = b
+    return b
 
 
 def _statistical(b: Build) -> DataFrame:

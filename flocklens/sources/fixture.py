@@ -9,6 +9,9 @@ driver tables. ``flocklens.plans.oracle`` holds the same mapping as DuckDB CTEs.
 
 from __future__ import annotations
 
+import hashlib
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -20,7 +23,9 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-from flocklens.sources.raw import Sources
+from flocklens.plans.materialize import checkpoint_root, committed
+from flocklens.sources.raw import Sources, read_sources
+from flocklens.sources.schemas import CONTRACTS
 
 # Fixed values of the fixture mapping.
 NAME_FIRST = "([A-Za-zÀ-ÿ]+)"
@@ -226,8 +231,8 @@ def ticket_order(orders: DataFrame, customer: DataFrame) -> DataFrame:
     )
 
 
-def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    """The five raw registries derived from the driver tables at ``sf_dir``."""
+def derive_sources(spark: SparkSession, sf_dir: str) -> Sources:
+    """The five raw registries derived (lazily) from the driver tables."""
     events = read_driver(spark, sf_dir, "events")
     documents = read_driver(spark, sf_dir, "documents")
     return Sources(
@@ -238,3 +243,29 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
         ticket_order=ticket_order(read_driver(spark, sf_dir, "orders"),
                                   read_driver(spark, sf_dir, "customer")),
     )
+
+
+def _fingerprint(sf_dir: str) -> str:
+    """Key of the input files (path, size, mtime) for reusing a derivation."""
+    h = hashlib.sha256(os.path.abspath(sf_dir).encode())
+    for name in sorted(DRIVER_SCHEMAS):
+        p = f"{sf_dir.rstrip('/')}/{name}.parquet"
+        try:
+            st = os.stat(p)
+            h.update(f"{name}:{st.st_size}:{st.st_mtime_ns}".encode())
+        except OSError:
+            h.update(f"{name}:remote".encode())
+    return h.hexdigest()[:20]
+
+
+def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
+    """The five raw registries, written once as Parquet tables (per input
+    fingerprint) in the shared checkpoint folder and read back with the
+    registry contracts, exactly as production reads its raw tables."""
+    base = f"{checkpoint_root(spark)}/flocklens-fixture-{_fingerprint(sf_dir)}"
+    derived = None
+    for name in CONTRACTS:
+        if not committed(spark, f"{base}/{name}"):
+            derived = derived or derive_sources(spark, sf_dir)
+            getattr(derived, name).write.mode("overwrite").parquet(f"{base}/{name}")
+    return read_sources(spark, base)
