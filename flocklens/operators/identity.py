@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from flocklens.config import Settings
 from flocklens.functions.rules import similarity_confidence
+from flocklens.operators.profile import distinct_tuples
 from flocklens.functions.text import bigram_set, full_name_key, non_blank, norm, surrogate_id, utrim
 
 RESOLUTION_COLUMNS = ("eb_email", "sf_contact_id", "n_sf_same_name", "name_similarity", "match_confidence")
@@ -55,9 +56,9 @@ def ticket_candidates(valid: DataFrame, emails: DataFrame) -> DataFrame:
     """Valid ticket contacts whose email is not a CRM email, one row per email.
     The name pair is the smallest (first, last) among the email's rows, so
     both names come from the same registration."""
-    v = valid.join(emails, "email_key", "left_anti")
+    v = distinct_tuples(valid.join(emails, "email_key", "left_anti"), "email_key", "first_name", "last_name", "phone_raw")
     g = v.groupBy("email_key").agg(
-        F.min(F.struct(F.col("first_name").alias("f"), F.col("last_name").alias("l"))).alias("np"),
+        F.min(F.struct(F.col("first_name").alias("f"), F.col("last_name").alias("l"), F.col("_n").alias("n"))).alias("np"),
         F.min("phone_raw").alias("phone"),
     )
     return g.select("email_key", F.col("np")["f"].alias("first_name"), F.col("np")["l"].alias("last_name"), "phone")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flocklens.config import FIRST_CRM_EVENT_NAME
 from flocklens.functions.text import norm
+from flocklens.operators.profile import distinct_tuples
 
 
 def first_crm_event(profile: DataFrame) -> DataFrame:
@@ -21,14 +22,15 @@ def first_crm_event(profile: DataFrame) -> DataFrame:
 def first_ticket_event(att_stg: DataFrame, ev_stg: DataFrame) -> DataFrame:
     """Per normalised ticket email: first event day and that event's name
     (undated events sort first, as in an ascending SQL sort; ties -> the
-    smallest name). A min-of-struct aggregate with map-side partials, so a
-    shared or placeholder email cannot pile up in one task."""
+    smallest name). Distinct (email, day, name) first -- a hash aggregate
+    with map-side partials -- so a shared or placeholder email cannot pile up
+    in one task before the min-of-struct pick."""
     a = att_stg.select(norm("email").alias("email_key"), "eventbrite_event_id")
     e = ev_stg.select("eventbrite_event_id", "event_date", "event_name")
-    j = a.join(e, "eventbrite_event_id", "inner")
+    j = distinct_tuples(a.join(e, "eventbrite_event_id", "inner"), "email_key", "event_date", "event_name")
     g = j.groupBy("email_key").agg(
         F.min("event_date").alias("first_event_date"),
-        F.min(F.struct(F.col("event_date").alias("d"), F.col("event_name").alias("n"))).alias("p"),
+        F.min(F.struct(F.col("event_date").alias("d"), F.col("event_name").alias("n"), F.col("_n").alias("c"))).alias("p"),
     )
     return g.select("email_key", "first_event_date", F.col("p")["n"].alias("first_event_name"))
 

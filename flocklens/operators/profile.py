@@ -2,18 +2,23 @@
 
 The modelled warehouse scans the attendance detail eight times to build the
 member dimension (period attendance, latest worship, first event, contact
-names, member attributes). Here all of them come out of one two-level
-aggregation:
-
-* level 1 groups by ``(contact_id, event_date)``: a contact that holds a third
-  of all rows is still spread over as many shuffle keys as it has event days,
-  and map-side partial aggregation shrinks it before the shuffle;
-* level 2 groups by ``contact_id`` over at most one row per (contact, day).
-
-"Count distinct days where <condition>" becomes "sum over days of
-max(condition)", so no Expand (rows x number of distinct aggregates) is
-needed. Every aggregate is duplicate-insensitive, so the input does not need
-the detail's 29-column DISTINCT.
+names, member attributes). Here they come from three column-pruned passes
+that are stacked into one row per contact (and the result is written once
+by the model graph, so every consumer reads the same profile):
+
+* activity: level 1 groups by ``(contact_id, event_date)`` -- a contact that
+  holds a third of all rows is still spread over as many shuffle keys as it
+  has event days, and map-side partial aggregation shrinks it before the
+  shuffle; level 2 groups by ``contact_id`` over at most one row per day.
+  "Count distinct days where <condition>" becomes "sum over days of
+  max(condition)", so no Expand (rows x number of distinct aggregates).
+  Integer/date buffers only: hash aggregates throughout.
+* attributes and latest participant type: string picks, which Spark can
+  only aggregate with a sort; a hash DISTINCT on the string columns first
+  shrinks each contact to its few distinct tuples.
+
+Every aggregate is duplicate-insensitive, so the input does not need the
+detail's 29-column DISTINCT.
 """
 
 from __future__ import annotations
@@ -31,6 +36,17 @@ PASSTHROUGH_ATTRIBUTES = (
 )
 
 
+def distinct_tuples(df: DataFrame, *cols) -> DataFrame:
+    """Distinct ``cols`` with their row count ``_n``.
+
+    A hash aggregate on the (string) columns with map-side partials. A bare
+    ``distinct()`` under a min/max aggregate is removed by Catalyst
+    (RemoveRedundantAggregates), which would leave the sort-based string
+    aggregate to run over every raw row; the upper aggregate therefore
+    references ``_n``, placed where it can never decide a pick."""
+    return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def _flag(cond: Column) -> Column:
     return F.max(F.when(cond, F.lit(1)).otherwise(F.lit(0)))
 
@@ -39,31 +55,24 @@ def _count_days(cond: Column) -> Column:
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("long")
 
 
-def contact_days(ed_rows: DataFrame, settings: Settings) -> DataFrame:
-    """Level 1: one row per (contact_id, event_date) with day flags and
-    partial picks of the contact attributes."""
-    first, last, email = F.col("first_name"), F.col("last_name"), F.col("email")
+def contact_day_flags(ed_rows: DataFrame, settings: Settings) -> DataFrame:
+    """Level 1: one row per (contact_id, event_date) with integer day flags.
+    Only fixed-width buffers, so it plans as a hash aggregate with map-side
+    partials."""
     worship = F.col("type") == F.lit(WORSHIP_TYPE)
     role = F.col("participant_type").isin(*settings.member_roles)
-    named = first.isNotNull() & last.isNotNull()
     return ed_rows.groupBy("contact_id", "event_date").agg(
         _flag(worship).alias("w"),
         _flag(worship & role).alias("wr"),
         _flag(worship & (F.col("attendance_type") == F.lit(IN_PERSON))).alias("wip"),
         _flag(worship & (F.col("event_time") == F.lit(SECOND_SERVICE_TIME))).alias("wss"),
-        F.max("participant_type").alias("pt"),
-        F.min(F.when(non_blank(first), first)).alias("first_pick"),
-        F.min(F.when(non_blank(last), last)).alias("last_pick"),
-        F.min(F.when(named, F.struct(first.alias("f"), last.alias("l")))).alias("name_pair"),
-        F.min(F.when(named, norm(email))).alias("named_email"),
-        F.min(norm(email)).alias("email_1"),
-        *[F.min(c).alias(c) for c in PASSTHROUGH_ATTRIBUTES],
     )
 
 
-def contact_profile(ed_rows: DataFrame, settings: Settings) -> DataFrame:
-    """Level 2: one row per contact_id (NULL contact ids form one group)."""
-    days = contact_days(ed_rows, settings)
+def contact_activity(ed_rows: DataFrame, settings: Settings) -> DataFrame:
+    """Level 2 of the day flags: window counts, worship shares, first and
+    latest days per contact (hash aggregate over at most one row per day)."""
+    days = contact_day_flags(ed_rows, settings)
     d = F.col("event_date")
     age = days_before(settings.as_of, d)
     recent = age <= F.lit(settings.recent_days)
@@ -80,12 +89,46 @@ def contact_profile(ed_rows: DataFrame, settings: Settings) -> DataFrame:
         _count_days((F.col("wip") == 1) & dated).alias("in_person_days"),
         _count_days((F.col("wss") == 1) & dated).alias("second_service_days"),
         F.min(d).alias("first_crm_event_date"),
-        # latest day first (undated days last), then the largest role that day
-        F.max(F.struct(d.alias("d"), F.col("pt").alias("pt")))["pt"].alias("participant_type"),
-        F.min("first_pick").alias("first_pick"),
-        F.min("last_pick").alias("last_pick"),
-        F.min("name_pair").alias("name_pair"),
-        F.min("named_email").alias("named_email"),
-        F.min("email_1").alias("email_1"),
+    )
+
+
+def contact_attributes(ed_rows: DataFrame) -> DataFrame:
+    """Deterministic picks of the contact's descriptive columns.
+
+    The distinct attribute tuples are taken first: a hash aggregate on string
+    keys (no buffers) that collapses the many identical rows of a contact on
+    the map side, so the string min()s -- which need a sort-based aggregate --
+    only see a handful of rows per contact."""
+    first, last, email = F.col("first_name"), F.col("last_name"), F.col("email")
+    named = first.isNotNull() & last.isNotNull()
+    tuples = distinct_tuples(ed_rows, "contact_id", "first_name", "last_name", "email", *PASSTHROUGH_ATTRIBUTES)
+    return tuples.groupBy("contact_id").agg(
+        F.sum("_n").alias("detail_rows"),
+        F.min(F.when(non_blank(first), first)).alias("first_pick"),
+        F.min(F.when(non_blank(last), last)).alias("last_pick"),
+        F.min(F.when(named, F.struct(first.alias("f"), last.alias("l")))).alias("name_pair"),
+        F.min(F.when(named, norm(email))).alias("named_email"),
+        F.min(norm(email)).alias("email_1"),
         *[F.min(c).alias(c) for c in PASSTHROUGH_ATTRIBUTES],
     )
+
+
+def latest_participant_type(ed_rows: DataFrame) -> DataFrame:
+    """Participant type on the contact's latest event day (undated days
+    last; the largest type that day), over distinct (contact, day, type)."""
+    t = distinct_tuples(ed_rows, "contact_id", "event_date", "participant_type")
+    latest = F.struct(F.col("event_date").alias("d"), F.col("participant_type").alias("pt"), F.col("_n").alias("n"))
+    return t.groupBy("contact_id").agg(F.max(latest)["pt"].alias("participant_type"))
+
+
+def contact_profile(ed_rows: DataFrame, settings: Settings) -> DataFrame:
+    """One row per contact_id (NULL contact ids form one group, as in SQL).
+
+    The three parts are stacked and grouped again rather than joined, so the
+    NULL contact group survives and no join is needed; each column has one
+    non-NULL source per contact."""
+    parts = [contact_activity(ed_rows, settings), contact_attributes(ed_rows), latest_participant_type(ed_rows)]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p, allowMissingColumns=True)
+    return u.groupBy("contact_id").agg(*[F.max(c).alias(c) for c in u.columns if c != "contact_id"])

@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from flocklens.config import IN_PERSON, ONLINE, TICKET_ID_PREFIX
 from flocklens.functions.text import norm
+from flocklens.operators.profile import distinct_tuples
 
 
 def email_to_contact(ed_rows: DataFrame) -> DataFrame:
     """Per normalised CRM email, the contact with the latest event day
     (undated rows last; ties -> the largest contact id)."""
-    g = ed_rows.filter(F.col("email").isNotNull()).groupBy(norm("email").alias("email")).agg(
-        F.max(F.struct(F.col("event_date").alias("d"), F.col("contact_id").alias("c"))).alias("m")
+    e = ed_rows.filter(F.col("email").isNotNull()).select(norm("email").alias("email"), "event_date", "contact_id")
+    t = distinct_tuples(e, "email", "event_date", "contact_id")
+    g = t.groupBy("email").agg(
+        F.max(F.struct(F.col("event_date").alias("d"), F.col("contact_id").alias("c"), F.col("_n").alias("n"))).alias("m")
     )
     return g.select("email", F.col("m")["c"].alias("contact_id"))
 
