@@ -1,0 +1,7 @@
+"""Streaming.
+
+The modelled warehouse has no streaming model: no watermark, window, state or
+late-data construct (every model is a full batch rebuild of a table or view).
+Nothing is implemented here on purpose; the batch models in
+``flocklens.operators`` are the complete surface.
+"""
