@@ -104,26 +104,58 @@ def _bigram_records(df: DataFrame, id_col: str, out_id: str) -> DataFrame:
     return df.select(F.col(id_col).alias(out_id), bg.alias("bg")).withColumn("n", F.size("bg"))
 
 
-def _prefix_tokens(records: DataFrame, rid: str, freq: DataFrame, p: int, q: int) -> DataFrame:
-    """The rarest ``n - ceil(t*n) + 1`` bigrams of each record (t = p/q), in a
-    global (frequency, bigram) order shared by both sides."""
+def _ordered_records(records: DataFrame, rid: str, freq: DataFrame, p: int, q: int) -> DataFrame:
+    """Each record's bigrams in the global (frequency, bigram) order, and the
+    prefix: its rarest ``n - ceil(t*n) + 1`` (t = p/q). The per-record list is
+    bounded by the name's length, not by the data volume."""
     toks = records.select(rid, "n", F.explode("bg").alias("tok")).join(freq, "tok", "inner")
-    w = Window.partitionBy(rid).orderBy(F.col("df").asc(), F.col("tok").asc())
-    keep = F.col("n") - F.floor((F.col("n") * p + (q - 1)) / q) + 1
-    return toks.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= keep).select(rid, "n", "tok")
+    g = toks.groupBy(rid, "n").agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("o"))
+    ordered = F.transform("o", lambda x: x["tok"])
+    plen = F.col("n") - F.floor((F.col("n") * p + (q - 1)) / q) + 1
+    return g.select(rid, "n", ordered.alias("ord")).withColumn("pfx", F.slice("ord", F.lit(1), plen.cast("int")))
+
+
+def _salted(left: DataFrame, right: DataFrame, left_id: str, settings: Settings):
+    """Split hot join keys: a bigram whose left (ticket) prefix rows exceed
+    ``rows_per_split`` gets ``ceil(rows / rows_per_split)`` salts (capped);
+    left rows pick one salt by a hash of their id, right rows are replicated
+    to every salt of their bigram. Both sides are then hash-partitioned on
+    (bigram, salt) with an explicit partition count: the join output, not its
+    input, carries the work, so byte-based partition coalescing must not fold
+    it into a few tasks."""
+    per_split = int(settings.extra.get("rows_per_split", 20000))
+    max_salt = int(settings.extra.get("max_salt", 256))
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    load = left.groupBy("tok").agg(F.count(F.lit(1)).alias("_rows"))
+    n_salt = F.least(F.lit(max_salt), F.greatest(F.lit(1), F.ceil(F.col("_rows") / F.lit(per_split)))).cast("int")
+    salts = load.select("tok", n_salt.alias("_salts"))
+    lft = left.join(salts, "tok", "inner").withColumn("salt", F.pmod(F.xxhash64(left_id), F.col("_salts")).cast("int"))
+    rgt = right.join(salts, "tok", "inner").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
+    return (
+        lft.drop("_salts").repartition(parts, "tok", "salt"),
+        rgt.drop("_salts").repartition(parts, "tok", "salt"),
+    )
 
 
 def name_similarity_pairs(unresolved: DataFrame, contacts: DataFrame, settings: Settings) -> DataFrame:
     """All (candidate email, CRM contact) pairs whose bigram similarity
     ``|A & B| / max(|A|, |B|, 1)`` reaches the low threshold.
 
-    Exact set-similarity join instead of a cross join: a pair at or above
-    threshold t has overlap >= ceil(t * max(|A|, |B|)), so (size filter) the
-    two sizes are within a factor t of each other, and (prefix filter, Bayardo
-    et al. 2007) the records share a bigram among their rarest
-    ``n - ceil(t*n) + 1``. Only pairs sharing a prefix bigram are verified
-    with the full sets; pairs below t cannot be reached, which is all tier 3
-    needs (its result keeps only >= t)."""
+    Exact set-similarity join instead of a cross join. A pair at or above
+    threshold t has overlap >= ceil(t * max(|A|, |B|)), so:
+
+    * size filter: the two sizes are within a factor t of each other;
+    * prefix filter (Bayardo et al. 2007): in a global rarest-first bigram
+      order the records share one of their first ``n - ceil(t*n) + 1``;
+    * positional filter (Xiao et al. 2008): at their *first* shared prefix
+      bigram, at 1-based positions i and j, the rest can still supply the
+      overlap: 1 + min(|A| - i, |B| - j) >= ceil(t * max(|A|, |B|)).
+
+    The prefix join keeps only the row of each pair's first shared prefix
+    bigram (the head of ``array_intersect`` of the two ordered prefixes), so
+    every candidate pair occurs once -- no DISTINCT -- and is verified in the
+    same row from the two ordered bigram arrays it carries. Pairs below t are
+    never produced, which is all tier 3 needs (it keeps only >= t)."""
     t = Fraction(str(settings.similarity_low)).limit_denominator(10**6)
     if not (0 < t <= 1):
         raise ValueError("similarity threshold must be in (0, 1]")
@@ -136,21 +168,31 @@ def name_similarity_pairs(unresolved: DataFrame, contacts: DataFrame, settings:
         .groupBy("tok")
         .agg(F.count(F.lit(1)).alias("df"))
     )
-    pe = _prefix_tokens(e, "eb_email", freq, p, q).withColumnRenamed("n", "ne")
-    ps = _prefix_tokens(s, "sf_contact_id", freq, p, q).withColumnRenamed("n", "ns")
-    size_ok = (F.col("ns") * q >= F.col("ne") * p) & (F.col("ne") * q >= F.col("ns") * p)
-    cand = pe.join(ps, "tok", "inner").filter(size_ok).select("eb_email", "sf_contact_id").distinct()
-    ev = e.select("eb_email", F.col("bg").alias("bg_e"), F.col("n").alias("eb_bigram_count"))
-    sv = s.select("sf_contact_id", F.col("bg").alias("bg_s"), F.col("n").alias("sf_bigram_count"))
-    pairs = cand.join(ev, "eb_email").join(sv, "sf_contact_id")
-    shared = F.size(F.array_intersect("bg_e", "bg_s")).cast("long")
-    g = F.greatest(F.col("eb_bigram_count"), F.col("sf_bigram_count"), F.lit(1))
-    out = pairs.select(
+    oe = _ordered_records(e, "eb_email", freq, p, q)
+    os_ = _ordered_records(s, "sf_contact_id", freq, p, q)
+    pe = oe.select(
+        "eb_email", F.col("n").alias("ne"), F.col("ord").alias("ord_e"), F.col("pfx").alias("pfx_e"),
+        F.posexplode("pfx").alias("i0", "tok"),
+    )
+    ps = os_.select(
+        "sf_contact_id", F.col("n").alias("ns"), F.col("ord").alias("ord_s"), F.col("pfx").alias("pfx_s"),
+        F.posexplode("pfx").alias("j0", "tok"),
+    )
+    pe, ps = _salted(pe, ps, "eb_email", settings)
+    ne, ns = F.col("ne"), F.col("ns")
+    size_ok = (ns * q >= ne * p) & (ne * q >= ns * p)
+    need = F.floor((F.greatest(ne, ns) * p + (q - 1)) / q)
+    position_ok = F.least(ne - F.col("i0"), ns - F.col("j0")) >= need  # 0-based positions
+    first_shared = F.element_at(F.array_intersect("pfx_e", "pfx_s"), 1) == F.col("tok")
+    cand = pe.join(ps, ["tok", "salt"], "inner").filter(size_ok & position_ok & first_shared)
+    shared = F.size(F.array_intersect("ord_e", "ord_s")).cast("long")
+    g = F.greatest(ne, ns, F.lit(1))
+    out = cand.select(
         "eb_email",
         "sf_contact_id",
         shared.alias("shared_bigrams"),
-        F.col("eb_bigram_count").cast("long").alias("eb_bigram_count"),
-        F.col("sf_bigram_count").cast("long").alias("sf_bigram_count"),
+        ne.cast("long").alias("eb_bigram_count"),
+        ns.cast("long").alias("sf_bigram_count"),
         (shared / g).alias("similarity"),
     )
     return out.filter(F.col("similarity") >= F.lit(float(settings.similarity_low)))
