@@ -44,7 +44,7 @@ def committed(spark: SparkSession, path: str) -> bool:
 def write_table(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as Parquet at ``path`` and return the scan of it."""
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 class Materializer:

@@ -136,3 +136,18 @@ def test_exact_name_match_counts(spark):
     assert got == {"a@x": ("c1", 1, "high"), "b@x": (None, 2, "ambiguous")}
     un = [r.email_key for r in identity.unresolved_candidates(cands, contacts).collect()]
     assert un == ["c@x"]
+
+
+def test_publish_writes_tables_and_views(spark, tmp_path):
+    from flocklens.plans.catalog import fixture_build
+    from flocklens.plans.sinks import publish
+
+    sf = "/root/testdata/sf0.001"
+    b = fixture_build(spark, sf, shared=False)
+    out = publish(b, str(tmp_path), models={"fact_attendance", "dim_dates", "ticket_attendance"})
+    fact = spark.read.parquet(out["fact_attendance"])
+    assert fact.count() == b.fact_attendance.count()
+    assert set(fact.select("time_bucket").distinct().toPandas()["time_bucket"]) <= {
+        "a. Months 0 - 3", "b. Months 4 - 6", "c. Months 7 - 12", "d. Months 13 - 24", "e. Months 25+"}
+    assert spark.read.parquet(out["dim_dates"]).count() == b.dim_dates.count()
+    assert spark.table("ticket_attendance").count() == b.ticket_attendance.count()

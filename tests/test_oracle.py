@@ -70,3 +70,23 @@ def test_grains_and_determinism(spark, entry):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert before == again
+
+
+@pytest.mark.parametrize("period", [1, 30])
+def test_dim_dates_matches_duckdb_calendar(spark, period):
+    """dim_dates reads no table, so it is checked here rather than registered."""
+    import datetime as dt
+
+    from flocklens.config import Settings
+    from flocklens.operators.dims import dim_dates
+    from flocklens.plans.oracle import dates_cte
+
+    s = Settings(as_of=dt.date(2024, 1, 31), bucket_period_days=period)
+    df = dim_dates(spark, s)
+    con = duckdb.connect()
+    res = con.execute(f"WITH {dates_cte('d', period, \"DATE '2024-01-31'\")} SELECT * FROM d")
+    dcols = [c[0] for c in res.description]
+    drows = res.fetchall()
+    srows = [tuple(r) for r in df.collect()]
+    assert len(srows) == len(drows) == 1492
+    assert digest(df.columns, srows)[0] == digest(dcols, drows)[0]
