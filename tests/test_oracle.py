@@ -84,7 +84,8 @@ def test_dim_dates_matches_duckdb_calendar(spark, period):
     s = Settings(as_of=dt.date(2024, 1, 31), bucket_period_days=period)
     df = dim_dates(spark, s)
     con = duckdb.connect()
-    res = con.execute(f"WITH {dates_cte('d', period, \"DATE '2024-01-31'\")} SELECT * FROM d")
+    cte = dates_cte("d", period, "DATE '2024-01-31'")
+    res = con.execute(f"WITH {cte} SELECT * FROM d")
     dcols = [c[0] for c in res.description]
     drows = res.fetchall()
     srows = [tuple(r) for r in df.collect()]
