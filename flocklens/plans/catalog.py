@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from flocklens.config import FIXTURE_CALENDAR_SETTINGS, FIXTURE_SETTINGS
 from flocklens.functions.rules import attendance_type, risk_eligible, rule_flag, statistical_flag
+from flocklens.functions.dates import days_before, time_bucket
 from flocklens.functions.text import digits_only, display_name, norm, surrogate_id
 from flocklens.operators import dims, fact, risk, ticketing
 from flocklens.plans.build import Build
@@ -77,6 +78,12 @@ QUERIES: dict[str, Callable[[Build], DataFrame]] = {
     # dimensions
     "dim_events": lambda b: b.dim_events,
     "event_calendar": lambda b: dims.event_calendar(b.ed_rows, b.spark, FIXTURE_CALENDAR_SETTINGS),
+    "time_bucket": lambda b: b.ed_rows.select("event_date").distinct().select(
+        "event_date",
+        time_bucket(days_before(b.settings.as_of, F.col("event_date")), b.settings.bucket_period_days).alias(
+            "time_bucket"
+        ),
+    ),
     # risk
     "period_event_days": lambda b: b.period_days,
     "member_period_attendance": lambda b: risk.member_period_attendance(b.profile),
@@ -117,7 +124,12 @@ QUERIES: dict[str, Callable[[Build], DataFrame]] = {
     "dim_members": lambda b: b.dim_members,
     "first_touch": lambda b: b.crm_members.select("contact_id", "first_event_date", "first_event_name"),
     # facts
+    "attendance_base": lambda b: b.attendance_base,
     "service_counts": lambda b: fact.service_counts(b.attendance_base),
+    "events_attended": lambda b: fact.service_counts(b.attendance_base).select(
+        "contact_id", "time_bucket", "events_attended"
+    ),
+    "events_per_bucket": lambda b: fact.events_per_bucket(b.attendance_base),
     "fact_attendance": lambda b: b.fact_attendance,
     "email_to_contact": lambda b: ticketing.email_to_contact(b.ed_rows),
     "dedup_attendees": lambda b: ticketing.dedup_attendees(b.stg_attendees),

@@ -508,6 +508,7 @@ FINAL = {
         {display('FirstName')} AS first_name, {display('LastName')} AS last_name FROM campaign_member""",
     "dim_events": "SELECT * FROM dim_events",
     "event_calendar": "SELECT * FROM dim_dates_cal WHERE date IN (SELECT event_date FROM event_detail)",
+    "time_bucket": f"SELECT DISTINCT event_date, {bucket('event_date', BUCKET_P, AS_OF)} AS time_bucket FROM event_detail",
     "period_event_days": "SELECT * FROM worship_events",
     "member_period_attendance": "SELECT * FROM member_attendance",
     "attendance_rates": "SELECT * FROM risk_profiling",
@@ -537,7 +538,13 @@ FINAL = {
     "ticket_only_contacts": "SELECT * FROM eb_only_contacts",
     "dim_members": "SELECT * FROM dim_members",
     "first_touch": "SELECT contact_id, first_event_date, first_event_name FROM sf_members",
+    "attendance_base": """SELECT DISTINCT event_id, event_date, time_bucket, event_time, type, event_format,
+        attendance_type, contact_id, first_name, last_name, participant_type FROM attended""",
     "service_counts": "SELECT * FROM primary_services",
+    "events_attended": """SELECT DISTINCT contact_id, time_bucket,
+        count(DISTINCT event_date) OVER (PARTITION BY contact_id, time_bucket) AS events_attended FROM attended""",
+    "events_per_bucket": """SELECT DISTINCT time_bucket,
+        count(DISTINCT event_date) OVER (PARTITION BY time_bucket) AS events_sum FROM attended""",
     "fact_attendance": "SELECT * FROM fact_attendance",
     "email_to_contact": "SELECT * FROM sf_email_to_contact",
     "dedup_attendees": "SELECT * FROM deduped_attendees",
