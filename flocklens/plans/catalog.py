@@ -31,7 +31,11 @@ def fixture_build(spark: SparkSession, sf_dir: str, shared: bool = True, materia
 
     With ``shared`` one Build per (application, directory) is reused, so the
     registered queries share their written intermediates."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), materialize)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # pragma: no cover - Spark Connect
+        app = id(spark)
+    key = (app, os.path.abspath(sf_dir), materialize)
     if shared and key in _BUILDS:
         return _BUILDS[key]
     b = Build(spark, fixture_sources(spark, sf_dir), FIXTURE_SETTINGS, materialize=materialize)

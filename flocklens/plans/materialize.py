@@ -17,6 +17,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def can_write_tables(spark: SparkSession) -> bool:
+    """Written intermediates need the classic JVM session (file-system checks
+    through Hadoop); elsewhere (e.g. a Spark Connect client) plans stay lazy."""
+    try:
+        return spark.sparkContext is not None
+    except Exception:  # pragma: no cover - Spark Connect sessions have no SparkContext
+        return False
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -52,7 +61,7 @@ class Materializer:
 
     def __init__(self, spark: SparkSession, enabled: bool = True):
         self.spark = spark
-        self.enabled = enabled
+        self.enabled = enabled and can_write_tables(spark)
         self._run = None
 
     @property

@@ -23,7 +23,7 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-from flocklens.plans.materialize import checkpoint_root, committed
+from flocklens.plans.materialize import can_write_tables, checkpoint_root, committed
 from flocklens.sources.raw import Sources, read_sources
 from flocklens.sources.schemas import CONTRACTS
 
@@ -262,6 +262,8 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
     """The five raw registries, written once as Parquet tables (per input
     fingerprint) in the shared checkpoint folder and read back with the
     registry contracts, exactly as production reads its raw tables."""
+    if not can_write_tables(spark):
+        return derive_sources(spark, sf_dir)
     base = f"{checkpoint_root(spark)}/flocklens-fixture-{_fingerprint(sf_dir)}"
     derived = None
     for name in CONTRACTS:
