@@ -9,7 +9,6 @@ from flocklens.config import NOT_APPLICABLE, Settings
 from flocklens.functions.rules import hybrid_flag, risk_eligible, rule_flag, statistical_flag
 from flocklens.functions.text import display_name, surrogate_id
 from flocklens.operators.journeys import first_touch
-from flocklens.operators.profile import PASSTHROUGH_ATTRIBUTES
 
 MEMBER_COLUMNS = (
     "contact_id", "first_name", "last_name", "salutation", "phone", "mobile_phone",
@@ -115,31 +114,17 @@ def crm_members(
     )
     j = p.join(_high_match_pick(high, fe_eb), "contact_id", "left").join(_flag_pick(flagged), "contact_id", "left")
     fdate, fname = first_touch(F.col("eb_first_date"), F.col("eb_first_name"), F.col("first_crm_event_date"))
-    return j.select(
-        "contact_id",
-        display_name("first_pick").alias("first_name"),
-        display_name("last_pick").alias("last_name"),
-        "salutation",
-        "phone",
-        "mobile_phone",
-        "email_1",
-        "email_2",
-        *[c for c in PASSTHROUGH_ATTRIBUTES if c not in ("salutation", "phone", "mobile_phone", "opted_out_of_email")],
-        "participant_type",
-        "opted_out_of_email",
-        "latest_worship_date",
-        F.col("_baseline_rate").alias("baseline_rate"),
-        F.col("_recent_rate").alias("recent_rate"),
-        "rule_based_flag",
-        "statistical_flag",
-        "hybrid_flag",
-        F.col("_ip").alias("in_person_prop"),
-        F.col("_ss").alias("second_service_prop"),
-        fdate.alias("first_event_date"),
-        fname.alias("first_event_name"),
-        "possible_duplicate_contact_id",
-        "name_similarity",
-    ).select(*MEMBER_COLUMNS)
+    computed = {
+        "first_name": display_name("first_pick"),
+        "last_name": display_name("last_pick"),
+        "baseline_rate": F.col("_baseline_rate"),
+        "recent_rate": F.col("_recent_rate"),
+        "in_person_prop": F.col("_ip"),
+        "second_service_prop": F.col("_ss"),
+        "first_event_date": fdate,
+        "first_event_name": fname,
+    }
+    return j.select(*[computed[c].alias(c) if c in computed else F.col(c) for c in MEMBER_COLUMNS])
 
 
 def ticket_only_contacts(
