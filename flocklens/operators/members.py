@@ -9,6 +9,7 @@ from flocklens.config import NOT_APPLICABLE, Settings
 from flocklens.functions.rules import hybrid_flag, risk_eligible, rule_flag, statistical_flag
 from flocklens.functions.text import display_name, surrogate_id
 from flocklens.operators.journeys import first_touch
+from flocklens.operators.risk import scalar_row, z_score
 
 MEMBER_COLUMNS = (
     "contact_id", "first_name", "last_name", "salutation", "phone", "mobile_phone",
@@ -87,18 +88,19 @@ def crm_members(
     email, first touch and possible duplicate; one row per contact.
 
     Rates and flags are computed in line from the profile against the two
-    one-row relations (window day counts, rate statistics), so the member
-    rows are never joined to themselves; every other input is pre-reduced to
-    one row per contact, so the left joins are 1:1 and nothing fans out."""
+    one-row relations (window day counts, rate statistics, as scalar
+    subqueries), so the member rows are never joined to themselves; every
+    other input is pre-reduced to one row per contact, so the left joins are
+    1:1 and nothing fans out."""
     p = profile.filter(F.col("first_pick").isNotNull() & F.col("last_pick").isNotNull())
-    p = p.crossJoin(F.broadcast(period_days)).crossJoin(F.broadcast(stats))
+    pdays = scalar_row(period_days)
     rated = F.col("has_member_worship") == 1
     ra, ba = F.col("recent_attendance"), F.col("baseline_attendance")
-    recent_rate = F.when(rated, F.try_divide(ra, F.col("recent_worship")))
-    baseline_rate = F.when(rated, F.try_divide(ba, F.col("baseline_worship")))
+    recent_rate = F.when(rated, F.try_divide(ra, pdays["recent_worship"]))
+    baseline_rate = F.when(rated, F.try_divide(ba, pdays["baseline_worship"]))
     drop_ratio = F.try_divide(ba - ra, ba)
     eligible = rated & F.coalesce(risk_eligible(baseline_rate, recent_rate), F.lit(False))
-    z = (recent_rate - F.col("mean_recent")) / F.nullif(F.col("sd_recent"), F.lit(0.0))
+    z = z_score(recent_rate, stats)
     rule = rule_flag(baseline_rate, drop_ratio)
     stat = statistical_flag(z)
     worshipped = F.col("has_worship") == 1

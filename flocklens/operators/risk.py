@@ -16,6 +16,12 @@ from flocklens.functions.dates import days_before
 from flocklens.functions.rules import hybrid_flag, risk_eligible, rule_flag, statistical_flag
 
 
+def scalar_row(one_row: DataFrame):
+    """A one-row relation (a global aggregate) as a struct-valued scalar
+    subquery: evaluated once, reused wherever referenced, no join."""
+    return one_row.select(F.struct(*one_row.columns).alias("v")).scalar()
+
+
 def period_event_days(ed_rows: DataFrame, settings: Settings) -> DataFrame:
     """One row: distinct worship days in the recent and the baseline window.
 
@@ -46,13 +52,14 @@ def member_period_attendance(profile: DataFrame) -> DataFrame:
 def attendance_rates(profile: DataFrame, period_days: DataFrame) -> DataFrame:
     """Recent / baseline attendance rates and the drop ratio (of counts).
 
-    ``period_days`` is a global aggregate, exactly one row, hence broadcast."""
-    m = member_period_attendance(profile).crossJoin(F.broadcast(period_days))
+    ``period_days`` is a global aggregate (exactly one row), read as a
+    scalar subquery."""
+    pdays = scalar_row(period_days)
     ra, ba = F.col("recent_attendance"), F.col("baseline_attendance")
-    return m.select(
+    return member_period_attendance(profile).select(
         "contact_id",
-        F.try_divide(ra, F.col("recent_worship")).alias("recent_rate"),
-        F.try_divide(ba, F.col("baseline_worship")).alias("baseline_rate"),
+        F.try_divide(ra, pdays["recent_worship"]).alias("recent_rate"),
+        F.try_divide(ba, pdays["baseline_worship"]).alias("baseline_rate"),
         F.try_divide(ba - ra, ba).alias("drop_ratio"),
     )
 
@@ -66,12 +73,18 @@ def rate_stats(rates: DataFrame) -> DataFrame:
     )
 
 
+def z_score(rate, stats: DataFrame):
+    """(rate - mean) / sd against the one-row rate statistics; NULL when sd is 0."""
+    st = scalar_row(stats)
+    rate = F.col(rate) if isinstance(rate, str) else rate
+    return (rate - st["mean_recent"]) / F.nullif(st["sd_recent"], F.lit(0.0))
+
+
 def risk_flags(rates: DataFrame, stats: DataFrame) -> DataFrame:
     """Rule-based and statistical flags of the eligible contacts."""
-    z = (F.col("recent_rate") - F.col("mean_recent")) / F.nullif(F.col("sd_recent"), F.lit(0.0))
+    z = z_score("recent_rate", stats)
     return (
         rates.filter(risk_eligible("baseline_rate", "recent_rate"))
-        .crossJoin(F.broadcast(stats))
         .select(
             "contact_id",
             "baseline_rate",

@@ -45,10 +45,8 @@ def fixture_build(spark: SparkSession, sf_dir: str, shared: bool = True, materia
 
 
 def _statistical(b: Build) -> DataFrame:
-    z = (F.col("recent_rate") - F.col("mean_recent")) / F.nullif(F.col("sd_recent"), F.lit(0.0))
-    return b.rates.crossJoin(F.broadcast(b.stats)).select(
-        "contact_id", "recent_rate", statistical_flag(z).alias("statistical_flag")
-    )
+    z = risk.z_score("recent_rate", b.stats)
+    return b.rates.select("contact_id", "recent_rate", statistical_flag(z).alias("statistical_flag"))
 
 
 QUERIES: dict[str, Callable[[Build], DataFrame]] = {
