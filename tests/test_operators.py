@@ -105,11 +105,12 @@ def test_similarity_join_equals_brute_force(spark):
     sf["c_blank"] = ("", "")
     unresolved = spark.createDataFrame([(k, f, l) for k, (f, l) in eb.items()], "email_key string, first_name string, last_name string")
     contacts = spark.createDataFrame([(k, f, l, None) for k, (f, l) in sf.items()], "contact_id string, first_name string, last_name string, email string")
-    for low in (0.4, 0.25, 0.6):
-        st = Settings(as_of=AS_OF, similarity_low=low)
+    for low, split in ((0.4, 20000), (0.25, 20000), (0.6, 20000), (0.4, 3), (0.25, 1)):
+        # small rows_per_split forces hot-bigram salting (many salts per bigram)
+        st = Settings(as_of=AS_OF, similarity_low=low, extra={"rows_per_split": split})
         got = {(r.eb_email, r.sf_contact_id): r.similarity for r in identity.name_similarity_pairs(unresolved, contacts, st).collect()}
         want = _brute_similarity(eb, sf, low)
-        assert got.keys() == want.keys(), low
+        assert got.keys() == want.keys(), (low, split)
         assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
 
 
