@@ -121,13 +121,16 @@ def latest_participant_type(ed_rows: DataFrame) -> DataFrame:
     return t.groupBy("contact_id").agg(F.max(latest)["pt"].alias("participant_type"))
 
 
-def contact_profile(ed_rows: DataFrame, settings: Settings) -> DataFrame:
+def contact_profile(ed_rows: DataFrame, settings: Settings, with_activity: bool = True) -> DataFrame:
     """One row per contact_id (NULL contact ids form one group, as in SQL).
 
-    The three parts are stacked and grouped again rather than joined, so the
-    NULL contact group survives and no join is needed; each column has one
-    non-NULL source per contact."""
-    parts = [contact_activity(ed_rows, settings), contact_attributes(ed_rows), latest_participant_type(ed_rows)]
+    The parts are stacked and grouped again rather than joined, so the NULL
+    contact group survives and no join is needed; each column has one
+    non-NULL source per contact. Without ``with_activity`` only the
+    descriptive columns are built (two passes instead of three)."""
+    parts = [contact_attributes(ed_rows), latest_participant_type(ed_rows)]
+    if with_activity:
+        parts.insert(0, contact_activity(ed_rows, settings))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p, allowMissingColumns=True)

@@ -156,7 +156,11 @@ class Build:
     # -- members ------------------------------------------------------------
     @cached_property
     def member_core(self) -> DataFrame:
-        return members.member_core(self.profile)
+        # reuse the written profile when this build already has one (a full
+        # run); a fact-only build needs just names and roles: two lazy passes
+        if "profile" in self.__dict__ or not self.keep.enabled:
+            return members.member_core(self.profile)
+        return members.member_core(profile.contact_profile(self.ed_rows, self.settings, with_activity=False))
 
     @cached_property
     def crm_members(self) -> DataFrame:
