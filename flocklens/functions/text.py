@@ -13,6 +13,10 @@ UNICODE_WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# Characters whose Unicode title case is not their upper case (SpecialCasing):
+# the only one in Latin-1 is the sharp s (title "Ss", upper "SS").
+TITLECASE_SPECIAL = {"ß": "Ss"}
+
 # Word delimiters of the modelled INITCAP besides whitespace (fixed value).
 INITCAP_DELIMITERS = "[](){}/|\\<>!?@\"^#$&~_,.:;*%+-"
 
@@ -49,15 +53,23 @@ def _initcap_piece_pattern() -> str:
 _PIECE = _initcap_piece_pattern()
 
 
+def _title_char(ch: Column) -> Column:
+    expr = None
+    for k, v in TITLECASE_SPECIAL.items():
+        expr = F.when(ch == F.lit(k), F.lit(v)) if expr is None else expr.when(ch == F.lit(k), F.lit(v))
+    return expr.otherwise(F.upper(ch))
+
+
 def proper_case(c) -> Column:
-    """Upper-case the first character after every delimiter, rest unchanged.
+    """Title-case the first character after every delimiter, rest unchanged.
 
-    The string is cut into "word + one delimiter" pieces, each piece gets an
-    upper-case first character, and the pieces are glued back together.
+    The string is cut into "word + one delimiter" pieces, each piece gets a
+    title-case first character (``upper`` except where Unicode title case
+    differs), and the pieces are glued back together.
     """
     pieces = F.regexp_extract_all(_c(c), F.lit(_PIECE), 0)
     capped = F.transform(
-        pieces, lambda w: F.concat(F.upper(w.substr(1, 1)), w.substr(F.lit(2), F.length(w)))
+        pieces, lambda w: F.concat(_title_char(w.substr(1, 1)), w.substr(F.lit(2), F.length(w)))
     )
     return F.when(_c(c).isNull(), F.lit(None).cast("string")).otherwise(
         F.array_join(capped, "")

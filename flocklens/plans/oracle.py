@@ -27,7 +27,7 @@ _PIECE = "[^\\s" + _D + "]*[\\s" + _D + "]?"
 def initcap(expr: str) -> str:
     return (
         f"array_to_string(list_transform(regexp_extract_all({expr}, '{_PIECE}', 0), "
-        f"lambda w: upper(w[1]) || w[2:]), '')"
+        f"lambda w: CASE WHEN w[1] = 'ß' THEN 'Ss' ELSE upper(w[1]) END || w[2:]), '')"
     )
 
 

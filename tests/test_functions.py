@@ -32,6 +32,7 @@ def test_proper_case_delimiters(spark):
         "x": "X",
         "": "",
         "ann  lee": "Ann  Lee",
+        "ßüch-ßa": "Ssüch-Ssa",
     }
     for raw, want in cases.items():
         assert one(spark, text.proper_case(F.col("x")), raw) == want

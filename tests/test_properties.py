@@ -8,13 +8,13 @@ from hypothesis import strategies as st
 from flocklens.functions import text
 
 DELIMS = set(" \t" + text.INITCAP_DELIMITERS)
-ALPHABET = string.ascii_letters[:8] + "éÉ'" + " \t-_.&(" + " "
+ALPHABET = string.ascii_letters[:8] + "éÉß'" + " \t-_.&(" + " "
 
 
 def py_initcap(s: str) -> str:
     out, start = [], True
     for ch in s:
-        out.append(ch.upper() if start else ch)
+        out.append((ch.title() if ch == "ß" else ch.upper()) if start else ch)
         start = ch in DELIMS or ch.isspace()
     return "".join(out)
 
