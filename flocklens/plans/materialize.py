@@ -5,8 +5,9 @@ ticket candidates, the name resolution) is written once as Parquet and read
 back: one scan of the big detail instead of one per consumer, a short
 lineage (a lost executor re-reads files instead of recomputing the upstream
 plan), and file statistics for AQE's join choices. The folder is the one the
-cluster names in ``spark.checkpoint.dir``; only when that is unset (local
-tests) a private folder is created and registered.
+cluster names in ``spark.checkpoint.dir``; only when that is unset on a
+local master (tests) a private folder is created and registered -- on a
+cluster an unset setting is an error, never a machine-local folder.
 """
 
 from __future__ import annotations
@@ -34,6 +35,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local"):
+        # a machine-local folder is invisible to the other executors
+        raise RuntimeError("set spark.checkpoint.dir to shared storage (HDFS/S3) for written intermediates")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="flocklens-checkpoints-"))
     return sc.getCheckpointDir().rstrip("/")
 
