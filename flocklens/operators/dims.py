@@ -16,9 +16,12 @@ DIM_EVENT_COLUMNS = (
 )
 
 
-def dim_events(ed_rows: DataFrame) -> DataFrame:
-    """Distinct event attributes (one row per event when campaigns are unique)."""
-    return ed_rows.select(*DIM_EVENT_COLUMNS).distinct()
+def dim_events(events: DataFrame) -> DataFrame:
+    """Distinct event attributes (one row per event when campaigns are unique).
+
+    ``events`` is the event side of the detail: ``staging.active_campaigns``
+    (or the detail itself)."""
+    return events.select(*DIM_EVENT_COLUMNS).distinct()
 
 
 def spine_length(as_of: _dt.date) -> int:
@@ -54,9 +57,10 @@ def dim_dates(spark: SparkSession, settings: Settings) -> DataFrame:
     return with_calendar(date_spine(spark, settings.as_of), "date", settings)
 
 
-def event_calendar(ed_rows: DataFrame, spark: SparkSession, settings: Settings) -> DataFrame:
+def event_calendar(events: DataFrame, spark: SparkSession, settings: Settings) -> DataFrame:
     """``dim_dates`` rows of the days on which CRM events happened: the date
-    dimension as the attendance data sees it (inner join on the day)."""
-    days = ed_rows.select(F.col("event_date").alias("date")).distinct()
+    dimension as the attendance data sees it (inner join on the day).
+    ``events``: the event side of the detail (see ``dim_events``)."""
+    days = events.select(F.col("event_date").alias("date")).distinct()
     # the spine side is bounded (<= 18,251 rows), so it is the broadcast side
     return days.join(F.broadcast(dim_dates(spark, settings)), "date", "inner")

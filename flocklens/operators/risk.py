@@ -22,14 +22,15 @@ def scalar_row(one_row: DataFrame):
     return one_row.select(F.struct(*one_row.columns).alias("v")).scalar()
 
 
-def period_event_days(ed_rows: DataFrame, settings: Settings) -> DataFrame:
+def period_event_days(events: DataFrame, settings: Settings) -> DataFrame:
     """One row: distinct worship days in the recent and the baseline window.
 
-    Only days inside the baseline horizon can count, so the age bound is
-    folded into a date range that reaches the Parquet scan."""
+    ``events`` is the event side of the detail (``staging.active_campaigns``
+    or the detail itself). Only days inside the baseline horizon can count,
+    so the age bound is folded into a date range that reaches the scan."""
     horizon = F.date_sub(F.lit(settings.as_of), settings.baseline_days)
     days = (
-        ed_rows.filter((F.col("type") == F.lit(WORSHIP_TYPE)) & (F.col("event_date") >= horizon))
+        events.filter((F.col("type") == F.lit(WORSHIP_TYPE)) & (F.col("event_date") >= horizon))
         .select("event_date")
         .distinct()
     )

@@ -34,6 +34,15 @@ def campaign_attributes(campaign: DataFrame) -> DataFrame:
     )
 
 
+def active_campaigns(campaign: DataFrame, member: DataFrame) -> DataFrame:
+    """Campaign rows that have at least one member row: exactly the event
+    side of the detail join, without the member columns. A left semi join
+    against the distinct member campaign ids reads one column of the member
+    table instead of joining every member row and deduplicating after."""
+    ids = member.select(F.col("CampaignId").alias("event_id")).filter(F.col("event_id").isNotNull()).distinct()
+    return campaign_attributes(campaign).join(ids, "event_id", "left_semi")
+
+
 def event_detail_rows(campaign: DataFrame, member: DataFrame) -> DataFrame:
     """Campaign x member join with snake-case names, *without* the final DISTINCT.
 

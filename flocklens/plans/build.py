@@ -41,6 +41,10 @@ class Build:
     def ed_rows(self) -> DataFrame:
         return staging.event_detail_rows(self.src.campaign, self.src.campaign_member)
 
+    @cached_property
+    def active_campaigns(self) -> DataFrame:
+        return staging.active_campaigns(self.src.campaign, self.src.campaign_member)
+
     @cached_property
     def event_detail(self) -> DataFrame:
         return self.ed_rows.distinct()
@@ -60,7 +64,7 @@ class Build:
     # -- dimensions -----------------------------------------------------
     @cached_property
     def dim_events(self) -> DataFrame:
-        return dims.dim_events(self.ed_rows)
+        return dims.dim_events(self.active_campaigns)
 
     @cached_property
     def campaign_events(self) -> DataFrame:
@@ -77,7 +81,7 @@ class Build:
 
     @cached_property
     def period_days(self) -> DataFrame:
-        return risk.period_event_days(self.ed_rows, self.settings)
+        return risk.period_event_days(self.active_campaigns, self.settings)
 
     @cached_property
     def rates(self) -> DataFrame:

@@ -79,7 +79,7 @@ QUERIES: dict[str, Callable[[Build], DataFrame]] = {
     ).distinct(),
     # dimensions
     "dim_events": lambda b: b.dim_events,
-    "event_calendar": lambda b: dims.event_calendar(b.ed_rows, b.spark, FIXTURE_CALENDAR_SETTINGS),
+    "event_calendar": lambda b: dims.event_calendar(b.active_campaigns, b.spark, FIXTURE_CALENDAR_SETTINGS),
     "time_bucket": lambda b: b.ed_rows.select("event_date").distinct().select(
         "event_date",
         time_bucket(days_before(b.settings.as_of, F.col("event_date")), b.settings.bucket_period_days).alias(
