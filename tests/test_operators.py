@@ -152,3 +152,25 @@ def test_publish_writes_tables_and_views(spark, tmp_path):
         "a. Months 0 - 3", "b. Months 4 - 6", "c. Months 7 - 12", "d. Months 13 - 24", "e. Months 25+"}
     assert spark.read.parquet(out["dim_dates"]).count() == b.dim_dates.count()
     assert spark.table("ticket_attendance").count() == b.ticket_attendance.count()
+
+
+def test_data_quality_checks_find_failures(spark):
+    from flocklens.operators import quality
+
+    ev = spark.createDataFrame([("1", "A", AS_OF), ("1", None, AS_OF), (None, "C", None)],
+                               "eventbrite_event_id string, event_name string, event_date date")
+    att = spark.createDataFrame([("10", "a@x"), ("10", None), ("11", None)], "eventbrite_attendee_id string, email string")
+    orders = spark.createDataFrame([("5", "o@x"), ("6", "p@x")], "eventbrite_order_id string, email string")
+    uniq = {(r.relation, r.value, r.n_rows) for r in quality.dq_unique_violations(ev, att, orders).collect()}
+    assert uniq == {("stg_ticket_events", "1", 2), ("stg_ticket_attendees", "10", 2)}
+    nn = sorted((r.relation, r.column_name, r.row_key) for r in quality.dq_not_null_violations(ev, att, orders).collect())
+    assert nn == [("stg_ticket_attendees", "email", "10"), ("stg_ticket_attendees", "email", "11"),
+                  ("stg_ticket_events", "event_date", None), ("stg_ticket_events", "event_name", "1"),
+                  ("stg_ticket_events", "eventbrite_event_id", None)]
+    summary = {(r.relation, r.column_name, r.test): r.failures for r in quality.dq_summary(ev, att, orders).collect()}
+    assert len(summary) == 10
+    assert summary[("stg_ticket_events", "eventbrite_event_id", "unique")] == 1
+    assert summary[("stg_ticket_events", "eventbrite_event_id", "not_null")] == 1
+    assert summary[("stg_ticket_events", "event_name", "not_null")] == 1
+    assert summary[("stg_ticket_attendees", "email", "not_null")] == 2
+    assert summary[("stg_ticket_orders", "eventbrite_order_id", "unique")] == 0
