@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flocklens.config import NOT_APPLICABLE, Settings
+from flocklens.config import NOT_APPLICABLE
 from flocklens.functions.rules import hybrid_flag, risk_eligible, rule_flag, statistical_flag
 from flocklens.functions.text import display_name, surrogate_id
 from flocklens.operators.journeys import first_touch
