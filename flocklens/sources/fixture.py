@@ -251,8 +251,11 @@ def derive_sources(spark: SparkSession, sf_dir: str) -> Sources:
 
 
 def _fingerprint(sf_dir: str) -> str:
-    """Key of the input files (path, size, mtime) for reusing a derivation."""
+    """Key for reusing a derivation: the input files (path, size, mtime) and
+    the mapping itself (this module's source), so a changed rule re-derives."""
     h = hashlib.sha256(os.path.abspath(sf_dir).encode())
+    with open(__file__, "rb") as fh:
+        h.update(fh.read())
     for name in sorted(DRIVER_SCHEMAS):
         p = f"{sf_dir.rstrip('/')}/{name}.parquet"
         try:
