@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flocklens.llm import minhash_forest
+from flocklens.llm import minhash_forest, repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +15,13 @@ def op7_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_forest.near_duplicates(_table(spark, sf_dir, "documents"), words=4)
 
 
+def op8_doubling_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents"), window=35).drop("kept_text")
+
+
 QUERIES = {
     "op7_minhash_forest": op7_minhash_forest,
+    "op8_doubling_repeats": op8_doubling_repeats,
 }
 
 ORACLE_SQL: dict[str, str] = {}
