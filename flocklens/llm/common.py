@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-import zlib
 
 import numpy as np
 import pandas as pd
@@ -58,11 +57,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def crc_mod(values, m: int) -> np.ndarray:
-    """crc32 of each id's decimal text, modulo ``m``; -1 for a null id."""
-    return np.array([-1 if v is None else zlib.crc32(str(v).encode()) % m for v in values], dtype=np.int64)
-
-
 def one_array(col) -> pa.Array:
     """A column of a batch as one string array without nulls."""
     if isinstance(col, pa.ChunkedArray):
@@ -152,13 +146,20 @@ def segment_sum(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20):
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20, max_rows: int = 1 << 30):
     """The batch in runs of rows of about ``max_bytes`` of text (one row at least).
 
     Bounds the working arrays of a task whatever the batch holds; all rows come."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     group = np.cumsum(np.asarray(sizes, dtype=np.int64)) // max_bytes
-    cuts = np.flatnonzero(np.diff(group)) + 1
-    for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
-        if b > a:
-            yield batch.slice(a, b - a)
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        for c in range(a, b, max_rows):
+            yield batch.slice(c, min(max_rows, b - c))
+
+
+def crc_of(column: str):
+    """crc32 of an id's decimal text, as a column."""
+    from pyspark.sql import functions as F
+
+    return F.crc32(F.col(column).cast("string"))
