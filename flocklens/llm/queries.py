@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flocklens.llm import minhash_forest, repeats
+from flocklens.llm import language_id, minhash_forest, quality_fm, repeats, weak_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,9 +19,38 @@ def op8_doubling_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(_table(spark, sf_dir, "documents"), window=35).drop("kept_text")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.train(docs.where(~language_id.held_out()))
+    return language_id.predict(docs, model)
+
+
+def op9_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    labels = quality_fm.learnable(_table(spark, sf_dir, "labels"))
+    return quality_fm.score(docs, quality_fm.train(docs, labels))
+
+
+def op10_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_rules.score(_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "posterior",
+        "kept",
+    )
+
+
 QUERIES = {
+    "op3_language_id": op3_language_id,
     "op7_minhash_forest": op7_minhash_forest,
     "op8_doubling_repeats": op8_doubling_repeats,
+    "op9_quality_fm": op9_quality_fm,
+    "op10_weak_rules": op10_weak_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {}
