@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flocklens.llm import language_id, minhash_forest, quality_fm, repeats, weak_rules
+from flocklens.llm import language_id, minhash_forest, packing, quality_fm, repeats, weak_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,16 @@ def op8_doubling_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(_table(spark, sf_dir, "documents"), window=35).drop("kept_text")
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), max_tokens=2048)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = language_id.train(docs.where(~language_id.held_out()))
@@ -46,6 +56,7 @@ def op10_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op3_language_id": op3_language_id,
     "op7_minhash_forest": op7_minhash_forest,
     "op8_doubling_repeats": op8_doubling_repeats,
