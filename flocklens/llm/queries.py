@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flocklens.llm import language_id, minhash_forest, packing, quality_fm, repeats, weak_rules
+from flocklens.llm import language_id, minhash_forest, packing, quality_fm, repeats, warc, weak_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model)
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index, folder = warc.archive(_table(spark, sf_dir, "pages"))
+    return warc.read(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     labels = quality_fm.learnable(_table(spark, sf_dir, "labels"))
@@ -58,10 +63,25 @@ def op10_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_language_id": op3_language_id,
+    "op5_warc": op5_warc,
     "op7_minhash_forest": op7_minhash_forest,
     "op8_doubling_repeats": op8_doubling_repeats,
     "op9_quality_fm": op9_quality_fm,
     "op10_weak_rules": op10_weak_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_warc": """
+        WITH facts AS (
+            SELECT page_id, sha1(encode(coalesce(html, ''))) AS digest,
+                   octet_length(encode(coalesce(html, ''))) AS size
+            FROM pages),
+        many AS (
+            SELECT digest, size, max(page_id) AS response FROM facts
+            WHERE size >= 1000 GROUP BY digest, size HAVING count(*) > 1)
+        SELECT f.page_id, CAST(f.size AS BIGINT) AS payload_bytes, f.digest AS payload_digest,
+               CASE WHEN m.response IS NULL OR m.response = f.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN m.response <> f.page_id THEN m.response END AS refers_to
+        FROM facts f LEFT JOIN many m ON f.digest = m.digest AND f.size = m.size""",
+}
