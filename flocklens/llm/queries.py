@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flocklens.llm import language_id, minhash_forest, packing, quality_fm, repeats, warc, weak_rules
+from flocklens.llm import embedding_lsh, language_id, minhash_forest, packing, quality_fm, repeats, warc, weak_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model)
 
 
+def op4_embedding_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_lsh.near_vectors(_table(spark, sf_dir, "embeddings"), min_cosine=0.9)
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index, folder = warc.archive(_table(spark, sf_dir, "pages"))
     return warc.read(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -63,6 +67,7 @@ def op10_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_language_id": op3_language_id,
+    "op4_embedding_lsh": op4_embedding_lsh,
     "op5_warc": op5_warc,
     "op7_minhash_forest": op7_minhash_forest,
     "op8_doubling_repeats": op8_doubling_repeats,
