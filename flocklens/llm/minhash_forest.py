@@ -39,6 +39,7 @@ MIN_DEPTH = 3  # common prefix from which two sets are candidates
 REGION = 12  # a region of at most so many sets is compared in full
 VERIFY_SHINGLES = 400_000  # shingles of members that one verification group holds
 ROWS_PER_TASK = 200_000
+SPREADS = (4, 32)  # pairs of two groups that are verified before all of them
 
 
 def shingle_sets(text: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -294,15 +295,24 @@ def near_duplicates(
     groups = components(pairs, run)
     links = _verify(groups.where("id <> component").select(F.col("component").alias("hub"), F.col("id").alias("member")), sets, run)
     found = run.keep(components(links, run), "groups")
-    at = lambda end: found.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}"))
-    rest = (
-        pairs.join(at("a"), "a", "left")
-        .join(at("b"), "b", "left")
-        .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
-        .select(F.col("a").alias("hub"), F.col("b").alias("member"))
-    )
-    links = links.unionByName(_verify(run.keep(rest, "rest"), sets, run))
-    found = components(links, run)
+    # the rest: first a few pairs for each two groups, as most of them join by
+    # those, and at last every candidate pair that still lies across groups
+    for spread in (*SPREADS, None):
+        at = lambda end: found.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}"))
+        rest = (
+            pairs.join(at("a"), "a", "left")
+            .join(at("b"), "b", "left")
+            .select("a", "b", F.coalesce("of_a", "a").alias("g"), F.coalesce("of_b", "b").alias("h"))
+            .where("g <> h")
+        )
+        if spread is not None:
+            key = [F.least("g", "h").alias("g"), F.greatest("g", "h").alias("h"), F.pmod(F.xxhash64("a", "b"), F.lit(spread))]
+            rest = rest.groupBy(*key).agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b")
+        rest = run.keep(rest.select(F.col("a").alias("hub"), F.col("b").alias("member")), "rest")
+        if rest.isEmpty():
+            break
+        links = run.keep(links.unionByName(_verify(rest, sets, run)), "links")
+        found = run.keep(components(links, run), "groups")
     of = classes.join(found.withColumnRenamed("id", "cid"), "cid", "left").select(
         "cid", "rep", F.coalesce("component", "cid").alias("component")
     )
