@@ -36,7 +36,12 @@ from flocklens.llm.text_stats import text_bytes
 SPACE = "▁"
 _B = np.uint64(0x9E3779B97F4A7C15)
 BLOCK = 1 << 16  # units that advance together
-KNOWN_PAIRS = 4_000_000
+SLOT_BITS = 21
+KNOWN_UNITS = 500_000  # units whose ids a task remembers between batches
+
+
+def _slot(keys: np.ndarray) -> np.ndarray:
+    return (mix64(keys.astype(np.uint64)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
 class Pieces:
@@ -79,36 +84,46 @@ class Pieces:
         self.merge_keys = np.array(sorted(merges), dtype=np.int64)
         self.merge_ids = np.array([merges[k] for k in sorted(merges)], dtype=np.int64)
         self.char_ids = [[of.get(c, -1) for c in t] for t in self.text]
-        self.known_keys = np.zeros(0, dtype=np.int64)  # judged pairs, sorted
-        self.known_ok = np.zeros(0, dtype=bool)
-
-    def probe(self, h: np.ndarray) -> np.ndarray:
-        """The piece with each substring hash, or -1."""
+        # judged pairs: a slot holds the last pair that fell on it
+        self.judged = np.full(1 << SLOT_BITS, -1, dtype=np.int64)
+        self.judged_ok = np.zeros(1 << SLOT_BITS, dtype=bool)
+        # which slots hold any key: spares most searches
+        self.maybe_piece = np.zeros(1 << SLOT_BITS, dtype=bool)
+        self.maybe_piece[_slot(self.keys)] = True
+        self.maybe_merge = np.zeros(1 << SLOT_BITS, dtype=bool)
+        self.maybe_merge[_slot(self.merge_keys)] = True
+
+    def probe(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which of the substring hashes are pieces, those pieces)."""
+        some = np.flatnonzero(self.maybe_piece[_slot(h)])
+        h = h[some]
         at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-        return np.where(self.keys[at] == h, self.ids[at], -1)
+        hit = self.keys[at] == h
+        return some[hit], self.ids[at[hit]]
 
     def merged(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The piece that two neighbours merge into, or -1."""
-        key = a * self.size + b
-        at = np.minimum(np.searchsorted(self.merge_keys, key), len(self.merge_keys) - 1)
-        return np.where((a >= 0) & (b >= 0) & (self.merge_keys[at] == key), self.merge_ids[at], -1)
+        key = (a * self.size + b).ravel()
+        out = np.full(len(key), -1, dtype=np.int64)
+        some = np.flatnonzero(self.maybe_merge[_slot(key)] & ((a >= 0) & (b >= 0)).ravel())
+        at = np.minimum(np.searchsorted(self.merge_keys, key[some]), len(self.merge_keys) - 1)
+        hit = self.merge_keys[at] == key[some]
+        out[some[hit]] = self.merge_ids[at[hit]]
+        return out.reshape(a.shape)
 
     def stable(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether merging the characters of pieces a + b by rank ends in exactly (a, b)."""
         key = a * self.size + b
-        distinct, back = np.unique(key, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.known_keys, distinct), max(0, len(self.known_keys) - 1))
-        new = distinct if not len(self.known_keys) else distinct[self.known_keys[at] != distinct]
+        slot = _slot(key)
+        ok = self.judged_ok[slot]
+        new = np.flatnonzero(self.judged[slot] != key)
         if len(new):
-            ok = self._judge(new // self.size, new % self.size)
-            if len(self.known_keys) > KNOWN_PAIRS:
-                kept = np.isin(self.known_keys, distinct, assume_unique=True)
-                self.known_keys, self.known_ok = self.known_keys[kept], self.known_ok[kept]
-            keys = np.concatenate([self.known_keys, new])
-            order = np.argsort(keys, kind="stable")
-            self.known_keys, self.known_ok = keys[order], np.concatenate([self.known_ok, ok])[order]
-            at = np.searchsorted(self.known_keys, distinct)
-        return self.known_ok[at][back]
+            distinct, back = np.unique(key[new], return_inverse=True)
+            found = self._judge(distinct // self.size, distinct % self.size)
+            ok[new] = found[back]
+            at = _slot(distinct)
+            self.judged[at], self.judged_ok[at] = distinct, found
+        return ok
 
     def _judge(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         chars = [self.char_ids[p] + self.char_ids[q] for p, q in zip(a.tolist(), b.tolist())]
@@ -176,13 +191,15 @@ def segment(chars: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     total[:, 0] = 0.0
     floor = pieces.score.min() - 10.0
     for end in range(1, n + 1):
-        for size in pieces.lengths[pieces.lengths <= end]:
+        for size in pieces.lengths[pieces.lengths <= end][::-1]:
             start = end - size
-            hit = pieces.probe(h[:, end] - h[:, start] * power[size])
-            at = np.flatnonzero((hit >= 0) & (total[:, start] > -np.inf))
+            at, p = pieces.probe(h[:, end] - h[:, start] * power[size])
+            go_on = total[at, start] > -np.inf
+            if not pieces.unigram:  # one path at most: settled rows need no other hit
+                go_on &= total[at, end] == -np.inf
+            at, p = at[go_on], p[go_on]
             if not len(at):
                 continue
-            p = hit[at]
             if pieces.unigram:
                 score = total[at, start] + pieces.score[p]
             else:
@@ -196,7 +213,9 @@ def segment(chars: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
         # a character that no piece holds stands alone
         lone = np.flatnonzero(total[:, end] == -np.inf)
         if len(lone):
-            alone = lone[(pieces.probe(h[lone, end] - h[lone, end - 1] * power[1]) < 0) & (total[lone, end - 1] > -np.inf)]
+            held, _ = pieces.probe(h[lone, end] - h[lone, end - 1] * power[1])
+            alone = np.delete(lone, held)
+            alone = alone[total[alone, end - 1] > -np.inf]
             total[alone, end] = total[alone, end - 1] + (floor if pieces.unigram else 0.0)
             back[alone, end] = end - 1
     return back, last
@@ -270,15 +289,16 @@ def encode(text: pa.Array, pieces: Pieces, known: dict[str, np.ndarray] | None =
     at, distinct = encode_words(units)
     words = [u.replace(" ", SPACE) for u in distinct.to_pylist()]
     known = {} if known is None else known
-    if len(known) > 200_000:
-        known.clear()
     missing = [w for w in words if w not in known]
+    if len(known) + len(missing) > KNOWN_UNITS:
+        known.clear()
+        missing = words
     flat, cut = encode_units(missing, pieces)
-    for k, w in enumerate(missing):
-        known[w] = flat[cut[k] : cut[k + 1]].astype(np.int32)
+    raw, cut = flat.astype(np.int32).tobytes(), (4 * cut).tolist()
+    known.update(zip(missing, (raw[a:b] for a, b in zip(cut, cut[1:]))))
     ids = [known[w] for w in words]
-    flat = np.concatenate([*ids, np.zeros(0, np.int32)])
-    size = np.array([len(i) for i in ids], dtype=np.int64)
+    size = np.array([len(i) for i in ids], dtype=np.int64) // 4
+    flat = np.frombuffer(b"".join(ids), np.int32)
     begin = np.cumsum(size) - size
     many = size[at]
     source = np.repeat(begin[at] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
