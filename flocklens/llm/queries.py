@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flocklens.llm import embedding_lsh, language_id, minhash_forest, packing, quality_fm, repeats, warc, weak_rules
+from flocklens.llm import embedding_lsh, language_id, minhash_forest, packing, quality_fm, recurrent_lm, repeats, sentencepiece_viterbi, warc, weak_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_viterbi.tokenise(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+
+
 def op7_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_forest.near_duplicates(_table(spark, sf_dir, "documents"), words=4)
 
@@ -29,6 +33,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), max_tokens=2048)
 
 
+def op2_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score(_table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = language_id.train(docs.where(~language_id.held_out()))
@@ -66,9 +74,11 @@ def op10_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_recurrent_lm": op2_recurrent_lm,
     "op3_language_id": op3_language_id,
     "op4_embedding_lsh": op4_embedding_lsh,
     "op5_warc": op5_warc,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_minhash_forest": op7_minhash_forest,
     "op8_doubling_repeats": op8_doubling_repeats,
     "op9_quality_fm": op9_quality_fm,
