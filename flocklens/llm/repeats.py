@@ -3,8 +3,7 @@
 A window is ``window`` consecutive words of one document; a word goes when a
 window that covers it has a word sequence that also starts anywhere else.
 
-Method: levels of doubling length, the last one the window itself (35: 9, 18,
-35). At each level every window that is still a candidate is represented by
+Method: levels of doubling length, the last one the window itself (35: 18, 35; 100: 13, 25, 50, 100). At each level every window that is still a candidate is represented by
 one of its sub-windows of the level's length, the leftmost one with the least
 hash. Equal windows have equal representatives at equal places, so a window
 whose representative starts at one place alone in the whole corpus cannot be
@@ -49,11 +48,15 @@ from flocklens.llm.common import (
 )
 
 WINDOW = 35
-SHORTEST = 12  # the first level has at most so many words
+SHORTEST = 20  # the first level has at most so many words
+SLICE_BYTES = 4 << 20
 HASHES_PER_RANGE = 2_000_000
 
-_LEVEL = "block string, hashes binary, doc_id long, sha string, n_words long, text string, runs binary"
+_RUN = np.dtype([("hash", "<u8"), ("first", "<u4"), ("count", "<u4")])
+_SPAN = np.dtype([("first", "<u4"), ("count", "<u4")])
+_LEVEL = "block string, hashes binary, doc_id long, sha string, n_words long, text string, runs binary, spans binary"
 _STATE = "doc_id long, sha string, text string, spans binary"
+_CUT = "of long, of_sha string, n_removed long, kept_sha256 string, kept_text string, text_key long"
 
 
 def levels(window: int) -> list[int]:
@@ -110,57 +113,52 @@ def _joined(words: pa.Array, offsets: np.ndarray) -> list[bytes]:
     return [x.encode() for x in pc.binary_join(lists, " ").to_pylist()]
 
 
+def _alive(offsets: np.ndarray, window: int, spans: list | None) -> np.ndarray:
+    """Candidate starts, as positions in the concatenation of the texts."""
+    if spans is None:
+        left = np.repeat(offsets[1:], np.diff(offsets)) - np.arange(offsets[-1])
+        return np.flatnonzero(left >= window)
+    spans = [np.frombuffer(b, _SPAN) for b in spans]
+    base = np.repeat(offsets[:-1], [len(s) for s in spans])
+    s = np.concatenate(spans)
+    count = s["count"].astype(np.int64)
+    return np.repeat(s["first"] + base - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+
+
 def _level(length: int, window: int, first: bool):
-    schema = pa.schema(
-        [
-            ("block", pa.string()),
-            ("hashes", pa.binary()),
-            ("doc_id", pa.int64()),
-            ("sha", pa.string()),
-            ("n_words", pa.int64()),
-            ("text", pa.string()),
-            ("runs", pa.binary()),
-        ]
-    )
+    """Each block's distinct hashes, and its documents: at the first level with
+    the runs of their representatives, later with text and candidate starts."""
+    types = {"string": pa.string(), "binary": pa.binary(), "long": pa.int64()}
+    schema = pa.schema([(f.split()[0], types[f.split()[1]]) for f in _LEVEL.split(", ")])
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 words, offsets = split_words(part.column("text"))
-                n = np.diff(offsets)
-                if first:
-                    left = np.repeat(offsets[1:], n) - np.arange(len(words))
-                    alive = np.flatnonzero(left >= window)
-                    sha = [hashlib.sha256(x).hexdigest() for x in _joined(words, offsets)]
-                    text = [None] * len(n)
-                else:
-                    spans = [np.frombuffer(b, dtype=np.int64).reshape(-1, 2) for b in part.column("spans").to_pylist()]
-                    base = np.repeat(offsets[:-1], [len(s) for s in spans])
-                    s = np.concatenate(spans)
-                    alive = np.repeat(s[:, 0] + base, s[:, 1])
-                    inside = np.arange(len(alive)) - np.repeat(np.cumsum(s[:, 1]) - s[:, 1], s[:, 1])
-                    alive = alive + inside
-                    sha, text = part.column("sha"), part.column("text")
+                n = len(offsets) - 1
+                alive = _alive(offsets, window, None if first else part.column("spans").to_pylist())
                 block = uuid.uuid4().hex
                 h, start, count, doc, place = _runs(words, offsets, alive, length, window)
-                cut = np.searchsorted(doc, np.arange(len(n) + 1))
-                rows = np.stack([h.view(np.int64), start, count], axis=1).astype(np.int64)
-                runs = [rows[a:b].tobytes() if b > a else None for a, b in zip(cut[:-1], cut[1:])]
-                docs = len(n)
-                yield pa.record_batch(
-                    [
-                        pa.array([block] * docs),
-                        pa.nulls(docs, pa.binary()),
-                        part.column("doc_id").cast(pa.int64()),
-                        pa.array(sha, pa.string()),
-                        pa.array(n),
-                        pa.array(text, pa.string()),
-                        pa.array(runs, pa.binary()),
-                    ],
-                    schema=schema,
-                )
+                runs, nothing = [None] * n, [None] * n
+                if first:
+                    sha = [hashlib.sha256(x).hexdigest() for x in _joined(words, offsets)]
+                    rows = np.empty(len(h), _RUN)
+                    rows["hash"], rows["first"], rows["count"] = h, start, count
+                    cut = np.searchsorted(doc, np.arange(n + 1))
+                    runs = [rows[a:b].tobytes() if b > a else None for a, b in zip(cut[:-1], cut[1:])]
+                columns = [
+                    [block] * n,
+                    nothing,
+                    part.column("doc_id").cast(pa.int64()),
+                    sha if first else part.column("sha"),
+                    np.diff(offsets),
+                    nothing if first else part.column("text"),
+                    runs,
+                    nothing if first else part.column("spans"),
+                ]
+                yield pa.record_batch([pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema)
                 if len(h):
-                    one = [[block], [_block_hashes(h, place).tobytes()], [None], [None], [None], [None], [None]]
+                    one = [[block], [_block_hashes(h, place).tobytes()], *([None] for _ in range(6))]
                     yield pa.record_batch([pa.array(x, f.type) for x, f in zip(one, schema)], schema=schema)
 
     return run
@@ -194,29 +192,52 @@ def _repeated(blocks: DataFrame, ranges: int) -> DataFrame:
     return dealt.groupBy("range").applyInPandas(meet, "block string, hashes binary")
 
 
-def _survivors(key, docs: pd.DataFrame, hits: pd.DataFrame) -> pd.DataFrame:
+def _survivors(length: int, window: int, first: bool):
     """The documents of one block with the candidate starts that go on."""
-    rows = []
-    if len(hits):
-        more = np.sort(np.concatenate([np.frombuffer(b, dtype=np.uint64) for b in hits["hashes"]]))
-        for doc_id, sha, text, blob in zip(docs["doc_id"], docs["sha"], docs["text"], docs["runs"]):
-            r = np.frombuffer(blob, dtype=np.int64).reshape(-1, 3)
-            even = np.ascontiguousarray(r[:, 0]).view(np.uint64) & ~np.uint64(1)
+
+    def run(key, docs, hits):
+        rows = []
+        if len(hits) and len(docs):
+            more = np.sort(np.concatenate([np.frombuffer(b, dtype=np.uint64) for b in hits["hashes"]]))
+            if first:
+                parts = [np.frombuffer(b, _RUN) for b in docs["runs"]]
+                found, doc = np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+            else:
+                words, offsets = split_words(pa.array(docs["text"], pa.string()))
+                alive = _alive(offsets, window, docs["spans"].tolist())
+                h, start, count, doc, _ = _runs(words, offsets, alive, length, window)
+                found = np.empty(len(h), _RUN)
+                found["hash"], found["first"], found["count"] = h, start, count
+            even = found["hash"] & ~np.uint64(1)
             at = np.minimum(np.searchsorted(more, even), len(more) - 1)
-            r = r[more[at] == even]
-            if len(r):
-                rows.append((doc_id, sha, text, r[:, 1:].tobytes()))
-    return pd.DataFrame(rows, columns=["doc_id", "sha", "text", "spans"])
+            hit = more[at] == even
+            found, doc = found[hit], doc[hit]
+            # runs that follow each other become one span
+            new = np.ones(len(found), dtype=bool)
+            new[1:] = (doc[1:] != doc[:-1]) | (found["first"][1:] != found["first"][:-1] + found["count"][:-1])
+            head = np.flatnonzero(new)
+            spans = np.empty(len(head), _SPAN)
+            spans["first"] = found["first"][head]
+            spans["count"] = np.add.reduceat(found["count"], head) if len(head) else 0
+            doc = doc[head]
+            cut = np.searchsorted(doc, np.arange(len(docs) + 1))
+            for k, (doc_id, sha, text) in enumerate(zip(docs["doc_id"], docs["sha"], docs["text"])):
+                if cut[k + 1] > cut[k]:
+                    rows.append((doc_id, sha, text, spans[cut[k] : cut[k + 1]].tobytes()))
+        return pd.DataFrame(rows, columns=["doc_id", "sha", "text", "spans"])
+
+    return run
 
 
-def _go_on(level: DataFrame, run: Run) -> DataFrame:
+def _go_on(level: DataFrame, run: Run, length: int, window: int, first: bool) -> DataFrame:
     blocks = level.where("hashes is not null").select("block", "hashes")
     total = blocks.agg(F.sum(F.length("hashes") / 8)).first()[0] or 0
     ranges = max(shuffle_partitions(run.spark), -(-int(total) // HASHES_PER_RANGE))
     hits = run.keep(_repeated(blocks, ranges), "repeated")
-    docs = level.where("runs is not null").select("block", F.col("doc_id").cast("string"), "sha", "text", "runs")
+    docs = level.where("runs is not null" if first else "spans is not null")
+    docs = docs.select("block", F.col("doc_id").cast("string"), "sha", "text", "runs", "spans")
     out = docs.groupBy("block").cogroup(hits.groupBy("block")).applyInPandas(
-        _survivors, "doc_id string, sha string, text string, spans binary"
+        _survivors(length, window, first), "doc_id string, sha string, text string, spans binary"
     )
     return out.withColumn("doc_id", F.col("doc_id").cast("long"))
 
@@ -229,18 +250,16 @@ def _strip(window: int):
             ("n_removed", pa.int64()),
             ("kept_sha256", pa.string()),
             ("kept_text", pa.string()),
+            ("text_key", pa.int64()),
         ]
     )
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 words, offsets = split_words(part.column("text"))
-                starts = []
-                for base, blob in zip(offsets, part.column("spans").to_pylist()):
-                    for a, c in np.frombuffer(blob, dtype=np.int64).reshape(-1, 2):
-                        starts.append(np.arange(base + a, base + a + c))
-                gone = covered(np.concatenate(starts), window, len(words))
+                alive = _alive(offsets, window, part.column("spans").to_pylist())
+                gone = covered(alive, window, len(words))
                 before = np.concatenate(([0], np.cumsum(~gone)))
                 kept = _joined(words.filter(pa.array(~gone)), before[offsets])
                 yield pa.record_batch(
@@ -250,6 +269,7 @@ def _strip(window: int):
                         pa.array(np.diff(offsets) - np.diff(before[offsets])),
                         pa.array([hashlib.sha256(k).hexdigest() for k in kept]),
                         pa.array([k.decode() for k in kept]),
+                        part.column("text_key"),
                     ],
                     schema=schema,
                 )
@@ -257,37 +277,53 @@ def _strip(window: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row per row of ``docs(doc_id, text)``: doc_id, n_words, n_removed,
-    kept_sha256 (of the kept words joined by one space) and kept_text (those
-    words; null where nothing was removed)."""
+def _find(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, sha, n_words of every row; what is cut from the distinct texts
+    that lose words)."""
     run = Run(docs.sparkSession, "repeats")
     docs = docs.select("doc_id", "text")
     steps = levels(window)
     base = run.keep(docs.mapInArrow(_level(steps[0], window, True), _LEVEL), "level")
-    state = _go_on(base, run).select(F.col("doc_id").alias("of"), F.col("sha").alias("of_sha"), "spans")
+    state = _go_on(base, run, steps[0], window, True).select(F.col("doc_id").alias("of"), F.col("sha").alias("of_sha"), "spans")
     state = run.keep(state.dropDuplicates(["of", "of_sha"]), "candidates")
     whole = docs.join(state, F.col("doc_id").eqNullSafe(F.col("of")))
     whole = whole.mapInArrow(_match, _STATE)
     for length in steps[1:]:
-        whole = run.keep(whole.repartition(shuffle_partitions(run.spark)), "whole")
         level = run.keep(whole.mapInArrow(_level(length, window, False), _LEVEL), "level")
-        whole = _go_on(level, run)
-    cut = whole.mapInArrow(
-        _strip(window), "of long, of_sha string, n_removed long, kept_sha256 string, kept_text string"
-    )
-    cut = run.keep(cut.dropDuplicates(["of", "of_sha"]), "cut")
-    rows = base.where("sha is not null").select("doc_id", "sha", "n_words")
+        whole = _go_on(level, run, length, window, False)
+    cut = whole.withColumn("text_key", F.xxhash64("text")).mapInArrow(_strip(window), _CUT)
+    cut = run.keep(cut.dropDuplicates(["of", "of_sha", "text_key"]), "cut")
+    return base.where("sha is not null").select("doc_id", "sha", "n_words"), cut
+
+
+def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """One row per row of ``docs(doc_id, text)``: doc_id, n_words, n_removed and
+    kept_sha256 (of the kept words joined by one space)."""
+    rows, cut = _find(docs, window)
+    cut = cut.dropDuplicates(["of", "of_sha"])
     out = rows.join(cut, rows["doc_id"].eqNullSafe(cut["of"]) & (rows["sha"] == cut["of_sha"]), "left")
     return out.select(
         "doc_id",
         "n_words",
         F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("kept_sha256", "sha").alias("kept_sha256"),
-        "kept_text",
     )
 
 
+def strip_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` with all its columns and rows; texts that hold repeated windows
+    become their kept words joined by one space, and n_chars (if there is such
+    a column) their new length."""
+    _, cut = _find(docs, window)
+    cut = cut.select("of", "text_key", "kept_text")
+    rows = docs.select(F.struct("*").alias("whole"))
+    same = F.col("whole.doc_id").eqNullSafe(F.col("of")) & (F.xxhash64("whole.text") == F.col("text_key"))
+    new = {"text": F.coalesce("kept_text", "whole.text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.coalesce(F.length("kept_text").cast("long"), "whole.n_chars")
+    return rows.join(cut, same, "left").select(*(new.get(c, F.col(f"whole.`{c}`")).alias(c) for c in docs.columns))
+
+
 def _match(batches):
     """Pairs of a document and candidate spans that belong to the same text."""
     schema = pa.schema([("doc_id", pa.int64()), ("sha", pa.string()), ("text", pa.string()), ("spans", pa.binary())])
