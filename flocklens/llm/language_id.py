@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flocklens.llm.common import crc_of, mix64, one_array, slices
 
@@ -189,8 +190,9 @@ def train(docs: DataFrame, max_train: int = MAX_TRAIN) -> Hierarchy | None:
     return Hierarchy(x, np.array([r.lang for r in found], dtype=object))
 
 
-def predict(docs: DataFrame, model: Hierarchy | None) -> DataFrame:
-    """One row per row of ``docs(doc_id, text)``: doc_id, held_out, lang_pred, score."""
+def predict(docs: DataFrame, model: Hierarchy | None, whole_rows: bool = False) -> DataFrame:
+    """One row per row of ``docs(doc_id, text)``: doc_id, held_out, lang_pred,
+    score (and the row itself as the struct ``whole``)."""
 
     def run(batches):
         letters = _letter_table()
@@ -208,9 +210,13 @@ def predict(docs: DataFrame, model: Hierarchy | None) -> DataFrame:
                         p.column("held_out"),
                         pa.array(lang, pa.string()),
                         pa.array(score),
+                        *([p.column("whole")] if whole_rows else []),
                     ],
-                    names=["doc_id", "held_out", "lang_pred", "score"],
+                    names=["doc_id", "held_out", "lang_pred", "score", "whole"][: 5 if whole_rows else 4],
                 )
 
-    rows = docs.select("doc_id", "text", held_out().alias("held_out"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    rows = docs.select("doc_id", "text", held_out().alias("held_out"), F.struct("*").alias("whole"))
+    schema = "doc_id long, held_out boolean, lang_pred string, score double"
+    if not whole_rows:
+        return rows.drop("whole").mapInArrow(run, schema)
+    return rows.mapInArrow(run, T.StructType([*T.StructType.fromDDL(schema).fields, rows.schema["whole"]]))

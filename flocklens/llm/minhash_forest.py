@@ -326,3 +326,15 @@ def near_duplicates(
         F.coalesce("component_id", "doc_id").alias("component_id"),
         F.col("doc_id").eqNullSafe(F.coalesce("component_id", "doc_id")).alias("kept"),
     )
+
+
+def keep_one(docs: DataFrame, words: int = 5) -> DataFrame:
+    """The rows of ``docs`` (all columns) that are the smallest doc_id of their
+    near-duplicate group; of equal rows with one id and text one stays."""
+    found = near_duplicates(docs, words)
+    ids = found.where("kept").groupBy("doc_id").agg(F.count("*").alias("n"))
+    ids = Run(docs.sparkSession, "keep").keep(ids.select(F.col("doc_id").alias("of"), "n"), "ids")
+    rows = docs.select(F.struct("*").alias("whole")).join(ids, F.col("whole.doc_id").eqNullSafe(F.col("of")))
+    single = rows.where("n = 1 or of is null").select("whole.*")
+    more = rows.where("n > 1 and of is not null").select("whole.*").dropDuplicates(["doc_id", "text"])
+    return single.unionByName(more)

@@ -189,7 +189,7 @@ def pack(
     key = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups))
     weight = np.array(weights, dtype=np.float64)
 
-    def place(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def place(key, frame):
         frame = frame.sort_values(["doc_id", "piece", "ids_crc32"], kind="stable")
         lengths = frame["length"].to_numpy(np.int64)
         bins = best_fit(lengths, capacity, weight, rule)

@@ -21,6 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flocklens.llm.common import crc_of, slices
 from flocklens.llm.text_stats import text_stats
@@ -143,9 +144,10 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Fac
     return FactorisationMachine(x.shape[1]).fit(x, y)
 
 
-def score(docs: DataFrame, model: FactorisationMachine | None, threshold: float = THRESHOLD) -> DataFrame:
+def score(docs: DataFrame, model: FactorisationMachine | None, threshold: float = THRESHOLD, whole_rows: bool = False) -> DataFrame:
     """One row per row of ``docs(doc_id, text, n_chars)``: doc_id, held_out,
-    score and predicted (1 from ``threshold`` on)."""
+    score and predicted (1 from ``threshold`` on; and the row itself as the
+    struct ``whole``)."""
 
     def run(batches):
         for batch in batches:
@@ -160,12 +162,16 @@ def score(docs: DataFrame, model: FactorisationMachine | None, threshold: float
                         p.column("held_out"),
                         pa.array(s),
                         pa.array((s >= threshold).astype(np.int32)),
+                        *([p.column("whole")] if whole_rows else []),
                     ],
-                    names=["doc_id", "held_out", "score", "predicted"],
+                    names=["doc_id", "held_out", "score", "predicted", "whole"][: 5 if whole_rows else 4],
                 )
 
-    rows = docs.select("doc_id", "text", "n_chars", held_out().alias("held_out"))
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    rows = docs.select("doc_id", "text", "n_chars", held_out().alias("held_out"), F.struct("*").alias("whole"))
+    schema = "doc_id long, held_out boolean, score double, predicted int"
+    if not whole_rows:
+        return rows.drop("whole").mapInArrow(run, schema)
+    return rows.mapInArrow(run, T.StructType([*T.StructType.fromDDL(schema).fields, rows.schema["whole"]]))
 
 
 def held_out():

@@ -12,7 +12,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece_viterbi.tokenise(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+    return sentencepiece_viterbi.tokenise(_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
 def op7_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,17 +20,17 @@ def op7_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_doubling_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.remove_repeats(_table(spark, sf_dir, "documents"), window=35).drop("kept_text")
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents"), window=35)
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return str(public_tokenizers.path(name))
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), max_tokens=2048)
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), max_tokens=2048)
 
 
 def op2_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

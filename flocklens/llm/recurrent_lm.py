@@ -495,7 +495,7 @@ def _score_block(model: Model):
     v = model.v
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
-    def run(key, blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    def run(key, blocks, answers):
         out = []
         for row in blocks.itertuples():
             offsets = np.frombuffer(row.offsets, np.int64)
