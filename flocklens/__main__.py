@@ -35,7 +35,10 @@ def main(argv=None) -> dict:
     settings = Settings(as_of=as_of, risk_period_days=a.risk_period_days, bucket_period_days=a.bucket_period_days)
     spark = SparkSession.builder.appName("flocklens").getOrCreate()
     build = Build(spark, read_sources(spark, a.sources), settings)
-    return publish(build, a.out, models=set(a.models) if a.models else None)
+    try:
+        return publish(build, a.out, models=set(a.models) if a.models else None)
+    finally:
+        build.close()
 
 
 if __name__ == "__main__":

@@ -7,7 +7,7 @@ explicit ``as_of`` date so that a rebuild is deterministic.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the modelled warehouse for identical results.
@@ -68,7 +68,8 @@ class Settings:
     placeholder_emails: tuple = PLACEHOLDER_EMAILS
     similarity_medium: float = SIMILARITY_MEDIUM
     similarity_low: float = SIMILARITY_LOW
-    extra: dict = field(default_factory=dict, compare=False)
+    # similarity join: rows of one side of a join key that meet in one task
+    rows_per_cell: int = 2000
 
     @staticmethod
     def today_est() -> _dt.date:

@@ -65,18 +65,16 @@ def events_per_bucket(base: DataFrame) -> DataFrame:
     return days.groupBy("time_bucket").agg(F.count(F.lit(1)).alias("events_sum"))
 
 
-def fact_attendance(ed_rows: DataFrame, members: DataFrame, events: DataFrame, dates: DataFrame) -> DataFrame:
+def fact_attendance(base: DataFrame) -> DataFrame:
     """One row per attended (event attributes, attendance type, member) with the
     member's per-bucket service counts and the bucket's distinct event days.
 
-    The reference's two DISTINCT window counts become grouped counts joined
-    back: the per-bucket one has at most five rows (broadcast), and a window
-    over it would have put the whole fact into five tasks. Rows are distinct
-    by construction (distinct keys, 1:1 lookups), so no final DISTINCT pass."""
-    base = attendance_base(ed_rows, members, events, dates)
-    counts = service_counts(base)
-    per_bucket = events_per_bucket(base)
-    out = base.join(counts, ["time_bucket", "contact_id"], "inner").join(
-        F.broadcast(per_bucket), "time_bucket", "inner"
+    ``base`` is the written attendance base: the counts aggregate it and join
+    back. The two DISTINCT window counts become grouped counts; the per-bucket
+    one has at most five rows (broadcast), where a window over it would have
+    put the whole fact into five tasks. Rows are distinct by construction
+    (distinct keys, 1:1 lookups), so no final DISTINCT pass."""
+    out = base.join(service_counts(base), ["time_bucket", "contact_id"], "inner").join(
+        F.broadcast(events_per_bucket(base)), "time_bucket", "inner"
     )
     return out.select(*FACT_COLUMNS)

@@ -23,9 +23,9 @@ from flocklens.operators.profile import distinct_tuples
 RESOLUTION_COLUMNS = ("eb_email", "sf_contact_id", "n_sf_same_name", "name_similarity", "match_confidence")
 
 
-def crm_emails(ed_rows: DataFrame) -> DataFrame:
-    """Distinct normalised CRM emails (map-side deduplicated before the shuffle)."""
-    return ed_rows.filter(F.col("email").isNotNull()).select(norm("email").alias("email_key")).distinct()
+def crm_emails(tuples: DataFrame) -> DataFrame:
+    """Distinct normalised CRM emails, from the contacts' attribute tuples."""
+    return tuples.filter(F.col("email").isNotNull()).select(norm("email").alias("email_key")).distinct()
 
 
 def crm_contacts(profile: DataFrame) -> DataFrame:
@@ -81,7 +81,8 @@ def exact_name_match(candidates: DataFrame, contacts: DataFrame) -> DataFrame:
 
     The count of CRM contacts sharing the name is computed per name key and
     joined many-to-one, so a frequent name never fans out into all
-    (email x contact) pairs; an ambiguous match carries no single contact."""
+    (email x contact) pairs; the contacts behind an ambiguous match are found
+    by its name key (``ambiguous_name_emails``, ``ambiguous_name_contacts``)."""
     c = _name_keys(candidates).join(crm_name_counts(contacts), ["nf", "nl"], "inner")
     n = F.col("n_sf_same_name")
     return c.select(
@@ -93,109 +94,124 @@ def exact_name_match(candidates: DataFrame, contacts: DataFrame) -> DataFrame:
     )
 
 
+def _ambiguous_names(candidates: DataFrame, contacts: DataFrame) -> DataFrame:
+    several = crm_name_counts(contacts).filter(F.col("n_sf_same_name") > 1).select("nf", "nl")
+    return several.join(_name_keys(candidates).select("nf", "nl").distinct(), ["nf", "nl"], "left_semi")
+
+
+def ambiguous_name_emails(candidates: DataFrame, contacts: DataFrame) -> DataFrame:
+    """(email, name key) of the candidates whose name several CRM contacts bear."""
+    names = _ambiguous_names(candidates, contacts)
+    return _name_keys(candidates).join(names, ["nf", "nl"], "left_semi").select(
+        F.col("email_key").alias("eb_email"), F.concat("nf", F.lit(" "), "nl").alias("name_key")
+    )
+
+
+def ambiguous_name_contacts(candidates: DataFrame, contacts: DataFrame) -> DataFrame:
+    """(name key, contact) of the CRM contacts behind the ambiguous matches:
+    with ``ambiguous_name_emails`` the whole set, not multiplied out."""
+    names = _ambiguous_names(candidates, contacts)
+    return _name_keys(contacts).join(names, ["nf", "nl"], "left_semi").select(
+        F.concat("nf", F.lit(" "), "nl").alias("name_key"), F.col("contact_id").alias("sf_contact_id")
+    )
+
+
 def unresolved_candidates(candidates: DataFrame, contacts: DataFrame) -> DataFrame:
     """Candidates with no exact-name CRM contact (input of tier 3)."""
     keys = _name_keys(contacts).select("nf", "nl").distinct()
     return _name_keys(candidates).join(keys, ["nf", "nl"], "left_anti").drop("nf", "nl")
 
 
-def _bigram_records(df: DataFrame, id_col: str, out_id: str) -> DataFrame:
-    bg = bigram_set(full_name_key("first_name", "last_name"))
-    return df.select(F.col(id_col).alias(out_id), bg.alias("bg")).withColumn("n", F.size("bg"))
-
-
-def _ordered_records(records: DataFrame, rid: str, freq: DataFrame, p: int, q: int) -> DataFrame:
-    """Each record's bigrams in the global (frequency, bigram) order, and the
-    prefix: its rarest ``n - ceil(t*n) + 1`` (t = p/q). The per-record list is
-    bounded by the name's length, not by the data volume."""
-    toks = records.select(rid, "n", F.explode("bg").alias("tok")).join(freq, "tok", "inner")
-    g = toks.groupBy(rid, "n").agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("o"))
-    ordered = F.transform("o", lambda x: x["tok"])
-    plen = F.col("n") - F.floor((F.col("n") * p + (q - 1)) / q) + 1
-    return g.select(rid, "n", ordered.alias("ord")).withColumn("pfx", F.slice("ord", F.lit(1), plen.cast("int")))
-
-
-def _salted(left: DataFrame, right: DataFrame, left_id: str, settings: Settings):
-    """Split hot join keys: a bigram whose left (ticket) prefix rows exceed
-    ``rows_per_split`` gets ``ceil(rows / rows_per_split)`` salts (capped);
-    left rows pick one salt by a hash of their id, right rows are replicated
-    to every salt of their bigram. Both sides are then hash-partitioned on
-    (bigram, salt) with an explicit partition count: the join output, not its
-    input, carries the work, so byte-based partition coalescing must not fold
-    it into a few tasks."""
-    per_split = int(settings.extra.get("rows_per_split", 20000))
-    max_salt = int(settings.extra.get("max_salt", 256))
-    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    load = left.groupBy("tok").agg(F.count(F.lit(1)).alias("_rows"))
-    n_salt = F.least(F.lit(max_salt), F.greatest(F.lit(1), F.ceil(F.col("_rows") / F.lit(per_split)))).cast("int")
-    salts = load.select("tok", n_salt.alias("_salts"))
-    lft = left.join(salts, "tok", "inner").withColumn("salt", F.pmod(F.xxhash64(left_id), F.col("_salts")).cast("int"))
-    rgt = right.join(salts, "tok", "inner").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
-    return (
-        lft.drop("_salts").repartition(parts, "tok", "salt"),
-        rgt.drop("_salts").repartition(parts, "tok", "salt"),
+def _ordered(names: DataFrame, freq: DataFrame, p: int, q: int) -> DataFrame:
+    """Each name's bigrams rarest first in one global order (bounded by the
+    name's length), and the length of its prefix for keys of one bigram."""
+    toks = names.select("name", "contact_id", "n", F.explode("bg").alias("tok")).join(freq, "tok", "inner")
+    g = toks.groupBy("name", "contact_id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("o"))
+    need = F.floor((F.col("n") * p + (q - 1)) / q)
+    return g.select("name", "contact_id", "n", F.transform("o", lambda x: x["tok"]).alias("ord"), (F.col("n") - need + 1).alias("plen"))
+
+
+def _keys(ordered: DataFrame, p: int, q: int) -> DataFrame:
+    """Join keys of each name: all pairs of bigrams out of its prefix (one
+    longer than for single bigrams), and single ones for names that can match
+    a name of which one shared bigram is enough."""
+    single = F.slice("ord", F.lit(1), F.col("plen").cast("int"))
+    double = F.slice("ord", F.lit(1), F.least(F.col("plen") + 1, F.col("n")).cast("int"))
+    pairs = F.flatten(
+        F.transform(
+            double,
+            lambda x, i: F.transform(F.slice(double, i + 2, F.size(double)), lambda y: F.concat(x, F.lit("|"), y)),
+        )
     )
+    short = q // p  # a name of so few bigrams needs only one shared
+    ones = F.when(F.col("n") <= (short * q) // p, F.transform(single, lambda x: F.concat(x, F.lit("")))).otherwise(F.array().cast("array<string>"))
+    twos = F.when(F.col("n") > short, pairs).otherwise(F.array().cast("array<string>"))
+    return ordered.select("name", "contact_id", "n", "ord", F.explode(F.concat(ones, twos)).alias("key"))
 
 
-def name_similarity_pairs(unresolved: DataFrame, contacts: DataFrame, settings: Settings) -> DataFrame:
-    """All (candidate email, CRM contact) pairs whose bigram similarity
-    ``|A & B| / max(|A|, |B|, 1)`` reaches the low threshold.
-
-    Exact set-similarity join instead of a cross join. A pair at or above
-    threshold t has overlap >= ceil(t * max(|A|, |B|)), so:
-
-    * size filter: the two sizes are within a factor t of each other;
-    * prefix filter (Bayardo et al. 2007): in a global rarest-first bigram
-      order the records share one of their first ``n - ceil(t*n) + 1``;
-    * positional filter (Xiao et al. 2008): at their *first* shared prefix
-      bigram, at 1-based positions i and j, the rest can still supply the
-      overlap: 1 + min(|A| - i, |B| - j) >= ceil(t * max(|A|, |B|)).
-
-    The prefix join keeps only the row of each pair's first shared prefix
-    bigram (the head of ``array_intersect`` of the two ordered prefixes), so
-    every candidate pair occurs once -- no DISTINCT -- and is verified in the
-    same row from the two ordered bigram arrays it carries. Pairs below t are
-    never produced, which is all tier 3 needs (it keeps only >= t)."""
+def _dealt(left: DataFrame, right: DataFrame, settings: Settings) -> DataFrame:
+    """Join on ``key`` with hot keys split on both sides into square cells of at
+    most about ``rows_per_cell`` rows a side, whatever the key's size."""
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = lambda df, name: df.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(settings.rows_per_cell)).cast("int").alias(name))
+    load = cells(left, "rows_l").join(cells(right, "rows_r"), "key")
+    own = lambda of: F.pmod(F.xxhash64("name"), F.col(of)).cast("int")
+    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    lft = left.join(load, "key").withColumn("cl", own("rows_l")).withColumn("cr", every("rows_r"))
+    rgt = right.join(load, "key").withColumn("cr", own("rows_r")).withColumn("cl", every("rows_l"))
+    side = lambda df, s: df.select("key", "cl", "cr", *[F.col(c).alias(f"{c}_{s}") for c in ("name", "contact_id", "n", "ord")])
+    return side(lft, "e").repartition(parts, "key", "cl", "cr").join(side(rgt, "s").repartition(parts, "key", "cl", "cr"), ["key", "cl", "cr"])
+
+
+def best_name_matches(unresolved: DataFrame, contacts: DataFrame, settings: Settings) -> DataFrame:
+    """For each distinct ticket name the CRM name with the highest bigram
+    similarity ``|A & B| / max(|A|, |B|, 1)`` of at least the low threshold; ties
+    go to the smallest contact id. One row per ticket name, never the pairs.
+
+    Both sides are first reduced to distinct normalised names (a CRM name keeps
+    its smallest contact id). Names at or above threshold t share at least
+    k = ceil(t * n) bigrams, so in one global rarest-first order they share two
+    bigrams within the first n - k + 2 of each (Bayardo et al. 2007, taken for
+    two tokens); names so short that one shared bigram can be enough meet on
+    single bigrams as well. A size filter and the exact overlap follow in the
+    joined row, and the best match is a partial aggregate on the map side."""
     t = Fraction(str(settings.similarity_low)).limit_denominator(10**6)
     if not (0 < t <= 1):
         raise ValueError("similarity threshold must be in (0, 1]")
     p, q = t.numerator, t.denominator
-    e = _bigram_records(unresolved, "email_key", "eb_email").filter(F.col("n") > 0)
-    s = _bigram_records(contacts, "contact_id", "sf_contact_id").filter(F.col("n") > 0)
+    name = full_name_key("first_name", "last_name")
+
+    def names(df: DataFrame, contact) -> DataFrame:
+        one = df.select(name.alias("name"), contact.alias("c")).groupBy("name").agg(F.min("c").alias("contact_id"))
+        return one.withColumn("bg", bigram_set("name")).withColumn("n", F.size("bg")).filter(F.col("n") > 0)
+
+    e = names(unresolved, F.lit(None).cast("string"))
+    s = names(contacts, F.col("contact_id"))
     freq = (
         e.select(F.explode("bg").alias("tok"))
         .unionByName(s.select(F.explode("bg").alias("tok")))
         .groupBy("tok")
         .agg(F.count(F.lit(1)).alias("df"))
     )
-    oe = _ordered_records(e, "eb_email", freq, p, q)
-    os_ = _ordered_records(s, "sf_contact_id", freq, p, q)
-    pe = oe.select(
-        "eb_email", F.col("n").alias("ne"), F.col("ord").alias("ord_e"), F.col("pfx").alias("pfx_e"),
-        F.posexplode("pfx").alias("i0", "tok"),
-    )
-    ps = os_.select(
-        "sf_contact_id", F.col("n").alias("ns"), F.col("ord").alias("ord_s"), F.col("pfx").alias("pfx_s"),
-        F.posexplode("pfx").alias("j0", "tok"),
-    )
-    pe, ps = _salted(pe, ps, "eb_email", settings)
-    ne, ns = F.col("ne"), F.col("ns")
-    size_ok = (ns * q >= ne * p) & (ne * q >= ns * p)
-    need = F.floor((F.greatest(ne, ns) * p + (q - 1)) / q)
-    position_ok = F.least(ne - F.col("i0"), ns - F.col("j0")) >= need  # 0-based positions
-    first_shared = F.element_at(F.array_intersect("pfx_e", "pfx_s"), 1) == F.col("tok")
-    cand = pe.join(ps, ["tok", "salt"], "inner").filter(size_ok & position_ok & first_shared)
+    j = _dealt(_keys(_ordered(e, freq, p, q), p, q), _keys(_ordered(s, freq, p, q), p, q), settings)
+    ne, ns = F.col("n_e"), F.col("n_s")
+    j = j.filter((ns * q >= ne * p) & (ne * q >= ns * p))
     shared = F.size(F.array_intersect("ord_e", "ord_s")).cast("long")
-    g = F.greatest(ne, ns, F.lit(1))
-    out = cand.select(
-        "eb_email",
-        "sf_contact_id",
-        shared.alias("shared_bigrams"),
-        ne.cast("long").alias("eb_bigram_count"),
-        ns.cast("long").alias("sf_bigram_count"),
-        (shared / g).alias("similarity"),
+    g = F.greatest(ne, ns, F.lit(1)).cast("long")
+    j = j.select("name_e", "name_s", "contact_id_s", shared.alias("shared"), g.alias("g"), ne.cast("long").alias("ne"), ns.cast("long").alias("ns"))
+    j = j.withColumn("sim", F.col("shared") / F.col("g")).filter(F.col("sim") >= F.lit(float(settings.similarity_low)))
+    best = j.groupBy("name_e").agg(
+        F.min(F.struct((-F.col("sim")).alias("k"), F.col("contact_id_s").alias("c"), "shared", "ne", "ns", "g", "sim", F.col("name_s").alias("m"))).alias("b")
+    )
+    return best.select(
+        F.col("name_e").alias("eb_name"),
+        F.col("b.m").alias("sf_name"),
+        F.col("b.c").alias("sf_contact_id"),
+        F.col("b.shared").alias("shared_bigrams"),
+        F.col("b.ne").alias("eb_bigram_count"),
+        F.col("b.ns").alias("sf_bigram_count"),
+        F.col("b.sim").alias("similarity"),
     )
-    return out.filter(F.col("similarity") >= F.lit(float(settings.similarity_low)))
 
 
 def round_half_up_ratio(num, den, places: int = 2):
@@ -204,31 +220,20 @@ def round_half_up_ratio(num, den, places: int = 2):
     return F.floor((F.lit(2 * scale) * num + den) / (F.lit(2) * den)) / F.lit(float(scale))
 
 
-def best_similar_name(pairs: DataFrame, settings: Settings) -> DataFrame:
-    """Tier 3: per candidate email the most similar CRM contact (ties -> the
-    smallest contact id), with the rounded similarity and its confidence.
-    A min-of-struct aggregate, partially aggregated on the map side."""
-    g = F.greatest(F.col("eb_bigram_count"), F.col("sf_bigram_count"), F.lit(1))
-    best = pairs.groupBy("eb_email").agg(
-        F.min(
-            F.struct(
-                (-F.col("similarity")).alias("k"),
-                F.col("sf_contact_id").alias("c"),
-                F.col("shared_bigrams").alias("s"),
-                g.alias("g"),
-                F.col("similarity").alias("sim"),
-            )
-        ).alias("b")
-    )
-    return best.select(
-        "eb_email",
-        F.col("b")["c"].alias("sf_contact_id"),
+def best_similar_name(unresolved: DataFrame, matches: DataFrame, settings: Settings) -> DataFrame:
+    """Tier 3: per candidate email the best CRM match of its name, with the
+    rounded similarity and its confidence."""
+    m = matches.withColumn("g", F.greatest("eb_bigram_count", "sf_bigram_count", F.lit(1)))
+    j = unresolved.withColumn("eb_name", full_name_key("first_name", "last_name")).join(m, "eb_name", "inner")
+    return j.select(
+        F.col("email_key").alias("eb_email"),
+        "sf_contact_id",
         F.lit(1).cast("long").alias("n_sf_same_name"),
-        round_half_up_ratio(F.col("b")["s"], F.col("b")["g"]).alias("name_similarity"),
-        similarity_confidence(F.col("b")["sim"], settings.similarity_medium, settings.similarity_low).alias(
+        round_half_up_ratio(F.col("shared_bigrams"), F.col("g")).alias("name_similarity"),
+        similarity_confidence(F.col("similarity"), settings.similarity_medium, settings.similarity_low).alias(
             "match_confidence"
         ),
-    ).filter(F.col("match_confidence").isNotNull())
+    )
 
 
 def name_resolution(tier2: DataFrame, tier3: DataFrame) -> DataFrame:

@@ -1,24 +1,18 @@
-"""One fused, skew-tolerant pass of per-contact aggregates over the CRM detail.
-
-The modelled warehouse scans the attendance detail eight times to build the
-member dimension (period attendance, latest worship, first event, contact
-names, member attributes). Here they come from three column-pruned passes
-that are stacked into one row per contact (and the result is written once
-by the model graph, so every consumer reads the same profile):
-
-* activity: level 1 groups by ``(contact_id, event_date)`` -- a contact that
-  holds a third of all rows is still spread over as many shuffle keys as it
-  has event days, and map-side partial aggregation shrinks it before the
-  shuffle; level 2 groups by ``contact_id`` over at most one row per day.
-  "Count distinct days where <condition>" becomes "sum over days of
-  max(condition)", so no Expand (rows x number of distinct aggregates).
-  Integer/date buffers only: hash aggregates throughout.
-* attributes and latest participant type: string picks, which Spark can
-  only aggregate with a sort; a hash DISTINCT on the string columns first
-  shrinks each contact to its few distinct tuples.
-
-Every aggregate is duplicate-insensitive, so the input does not need the
-detail's 29-column DISTINCT.
+"""Per-contact aggregates over the CRM detail, from two scans of it.
+
+* contact days: one row per (contact, event day, participant type) with
+  integer day flags. A contact that holds a third of all rows is spread over
+  as many shuffle keys as it has event days and types, and map-side partial
+  aggregation shrinks it before the shuffle. Activity (window counts, worship
+  shares, first and latest days) and the latest participant type derive from
+  these rows: "count distinct days where <condition>" becomes "sum over days of
+  max(condition)", so no Expand.
+* contact tuples: the distinct descriptive tuples of each contact; the string
+  picks (which Spark aggregates with a sort) and the CRM emails derive from them.
+
+The model graph writes both, so every consumer reads small tables. Every
+aggregate is duplicate-insensitive, so the input does not need the detail's
+29-column DISTINCT.
 """
 
 from __future__ import annotations
@@ -55,13 +49,12 @@ def _count_days(cond: Column) -> Column:
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("long")
 
 
-def contact_day_flags(ed_rows: DataFrame, settings: Settings) -> DataFrame:
-    """Level 1: one row per (contact_id, event_date) with integer day flags.
-    Only fixed-width buffers, so it plans as a hash aggregate with map-side
-    partials."""
+def contact_days(ed_rows: DataFrame, settings: Settings) -> DataFrame:
+    """One row per (contact_id, event_date, participant_type) with integer day
+    flags: fixed-width buffers, so a hash aggregate with map-side partials."""
     worship = F.col("type") == F.lit(WORSHIP_TYPE)
     role = F.col("participant_type").isin(*settings.member_roles)
-    return ed_rows.groupBy("contact_id", "event_date").agg(
+    return ed_rows.groupBy("contact_id", "event_date", "participant_type").agg(
         _flag(worship).alias("w"),
         _flag(worship & role).alias("wr"),
         _flag(worship & (F.col("attendance_type") == F.lit(IN_PERSON))).alias("wip"),
@@ -69,10 +62,10 @@ def contact_day_flags(ed_rows: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def contact_activity(ed_rows: DataFrame, settings: Settings) -> DataFrame:
-    """Level 2 of the day flags: window counts, worship shares, first and
-    latest days per contact (hash aggregate over at most one row per day)."""
-    days = contact_day_flags(ed_rows, settings)
+def contact_activity(contact_days: DataFrame, settings: Settings) -> DataFrame:
+    """Window counts, worship shares, first and latest days per contact (hash
+    aggregates over at most one row per day)."""
+    days = contact_days.groupBy("contact_id", "event_date").agg(*[F.max(c).alias(c) for c in ("w", "wr", "wip", "wss")])
     d = F.col("event_date")
     age = days_before(settings.as_of, d)
     recent = age <= F.lit(settings.recent_days)
@@ -92,16 +85,17 @@ def contact_activity(ed_rows: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def contact_attributes(ed_rows: DataFrame) -> DataFrame:
-    """Deterministic picks of the contact's descriptive columns.
+def contact_tuples(ed_rows: DataFrame) -> DataFrame:
+    """Distinct descriptive tuples of each contact with their row count: a hash
+    aggregate on string keys that collapses a contact's many identical rows on
+    the map side."""
+    return distinct_tuples(ed_rows, "contact_id", "first_name", "last_name", "email", *PASSTHROUGH_ATTRIBUTES)
 
-    The distinct attribute tuples are taken first: a hash aggregate on string
-    keys (no buffers) that collapses the many identical rows of a contact on
-    the map side, so the string min()s -- which need a sort-based aggregate --
-    only see a handful of rows per contact."""
+
+def contact_attributes(tuples: DataFrame) -> DataFrame:
+    """Deterministic picks of the contact's descriptive columns."""
     first, last, email = F.col("first_name"), F.col("last_name"), F.col("email")
     named = first.isNotNull() & last.isNotNull()
-    tuples = distinct_tuples(ed_rows, "contact_id", "first_name", "last_name", "email", *PASSTHROUGH_ATTRIBUTES)
     return tuples.groupBy("contact_id").agg(
         F.sum("_n").alias("detail_rows"),
         F.min(F.when(non_blank(first), first)).alias("first_pick"),
@@ -113,25 +107,20 @@ def contact_attributes(ed_rows: DataFrame) -> DataFrame:
     )
 
 
-def latest_participant_type(ed_rows: DataFrame) -> DataFrame:
-    """Participant type on the contact's latest event day (undated days
-    last; the largest type that day), over distinct (contact, day, type)."""
-    t = distinct_tuples(ed_rows, "contact_id", "event_date", "participant_type")
-    latest = F.struct(F.col("event_date").alias("d"), F.col("participant_type").alias("pt"), F.col("_n").alias("n"))
-    return t.groupBy("contact_id").agg(F.max(latest)["pt"].alias("participant_type"))
+def latest_participant_type(contact_days: DataFrame) -> DataFrame:
+    """Participant type on the contact's latest event day (undated days last;
+    the largest type that day)."""
+    latest = F.struct(F.col("event_date").alias("d"), F.col("participant_type").alias("pt"), F.col("w").alias("w"))
+    return contact_days.groupBy("contact_id").agg(F.max(latest)["pt"].alias("participant_type"))
 
 
-def contact_profile(ed_rows: DataFrame, settings: Settings, with_activity: bool = True) -> DataFrame:
+def contact_profile(days: DataFrame, tuples: DataFrame, settings: Settings) -> DataFrame:
     """One row per contact_id (NULL contact ids form one group, as in SQL).
 
     The parts are stacked and grouped again rather than joined, so the NULL
     contact group survives and no join is needed; each column has one
-    non-NULL source per contact. Without ``with_activity`` only the
-    descriptive columns are built (two passes instead of three)."""
-    parts = [contact_attributes(ed_rows), latest_participant_type(ed_rows)]
-    if with_activity:
-        parts.insert(0, contact_activity(ed_rows, settings))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p, allowMissingColumns=True)
+    non-NULL source per contact."""
+    u = contact_activity(days, settings)
+    for part in (contact_attributes(tuples), latest_participant_type(days)):
+        u = u.unionByName(part, allowMissingColumns=True)
     return u.groupBy("contact_id").agg(*[F.max(c).alias(c) for c in u.columns if c != "contact_id"])

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flocklens.config import TICKET_ID_PREFIX
+
 # (relation, key column, not-null columns) of the declared tests
 TESTS = (
     ("stg_ticket_events", "eventbrite_event_id", ("eventbrite_event_id", "event_name", "event_date")),
@@ -27,15 +29,23 @@ def unique_violations(df: DataFrame, relation: str, column: str) -> DataFrame:
     )
 
 
-def not_null_violations(df: DataFrame, relation: str, column: str, key: str) -> DataFrame:
-    """Rows where ``column`` is NULL, identified by the relation's key."""
-    return df.filter(F.col(column).isNull()).select(
+def not_null_violations(df: DataFrame, relation: str, columns, key: str) -> DataFrame:
+    """A row per NULL in one of ``columns``, identified by the relation's key;
+    one pass over the relation."""
+    failing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in columns]))
+    return df.select(
         F.lit(relation).alias("relation"),
-        F.lit(column).alias("column_name"),
+        F.explode(failing).alias("column_name"),
         F.col(key).cast("string").alias("row_key"),
     )
 
 
+def surrogate_clashes(contact_ids: DataFrame) -> DataFrame:
+    """CRM contact ids that look like the surrogate id of a ticketing contact.
+    The attendance fact relies on there being none."""
+    return contact_ids.select("contact_id").filter(F.col("contact_id").startswith(TICKET_ID_PREFIX)).distinct()
+
+
 def _relations(ev: DataFrame, att: DataFrame, orders: DataFrame):
     return dict(zip((t[0] for t in TESTS), (ev, att, orders)))
 
@@ -53,9 +63,8 @@ def dq_not_null_violations(ev: DataFrame, att: DataFrame, orders: DataFrame) ->
     rel = _relations(ev, att, orders)
     out = None
     for name, key, cols in TESTS:
-        for c in cols:
-            v = not_null_violations(rel[name], name, c, key)
-            out = v if out is None else out.unionByName(v)
+        v = not_null_violations(rel[name], name, cols, key)
+        out = v if out is None else out.unionByName(v)
     return out
 
 

@@ -3,7 +3,10 @@
 ``Build`` wires the operators together once per (sources, settings). Each
 property returns the same DataFrame object on every access, so a relation
 used by several downstream models is one subtree of the final plan (Spark
-reuses identical exchanges). Nothing runs until an action is called.
+reuses identical exchanges). The relations named in ``WRITTEN`` are written to
+the run folder when they are first needed (or all at once by ``prepare``), and
+the owner of the build removes them with ``close``; with ``materialize=False``
+nothing is written and nothing runs until an action is called.
 """
 
 from __future__ import annotations
@@ -11,8 +14,9 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flocklens.config import Settings
+from flocklens.config import WORSHIP_TYPE, Settings
 from flocklens.operators import (
     dims,
     fact,
@@ -29,6 +33,12 @@ from flocklens.plans.materialize import Materializer
 from flocklens.sources.raw import Sources
 
 
+WRITTEN = (
+    "contact_days", "contact_tuples", "period_days", "stats", "profile", "first_ticket_event", "candidates", "resolution",
+    "attendance_base",
+)
+
+
 class Build:
     def __init__(self, spark: SparkSession, sources: Sources, settings: Settings, materialize: bool = True):
         self.spark = spark
@@ -36,6 +46,16 @@ class Build:
         self.settings = settings
         self.keep = Materializer(spark, enabled=materialize)
 
+    def prepare(self) -> Build:
+        """Write all shared intermediates now."""
+        for name in WRITTEN:
+            getattr(self, name)
+        return self
+
+    def close(self) -> None:
+        """Remove the written intermediates; the build's relations end with them."""
+        self.keep.cleanup()
+
     # -- staging --------------------------------------------------------
     @cached_property
     def ed_rows(self) -> DataFrame:
@@ -47,7 +67,7 @@ class Build:
 
     @cached_property
     def event_detail(self) -> DataFrame:
-        return self.ed_rows.distinct()
+        return staging.event_detail(self.src.campaign, self.src.campaign_member)
 
     @cached_property
     def stg_events(self) -> DataFrame:
@@ -75,21 +95,39 @@ class Build:
         return dims.dim_dates(self.spark, self.settings)
 
     # -- per-contact profile and risk ------------------------------------
+    @cached_property
+    def contact_days(self) -> DataFrame:
+        return self.keep(profile.contact_days(self.ed_rows, self.settings), "contact_days")
+
+    @cached_property
+    def contact_tuples(self) -> DataFrame:
+        return self.keep(profile.contact_tuples(self.ed_rows), "contact_tuples")
+
+    @cached_property
+    def activity(self) -> DataFrame:
+        return profile.contact_activity(self.contact_days, self.settings)
+
+    @cached_property
+    def latest_type(self) -> DataFrame:
+        return profile.latest_participant_type(self.contact_days)
+
     @cached_property
     def profile(self) -> DataFrame:
-        return self.keep(profile.contact_profile(self.ed_rows, self.settings), "profile")
+        return self.keep(profile.contact_profile(self.contact_days, self.contact_tuples, self.settings), "profile")
 
     @cached_property
     def period_days(self) -> DataFrame:
-        return risk.period_event_days(self.active_campaigns, self.settings)
+        # every worship day has a contact day; one row, read by several models
+        days = self.contact_days.filter("w = 1").select("event_date", F.lit(WORSHIP_TYPE).alias("type"))
+        return self.keep(risk.period_event_days(days, self.settings), "period_days")
 
     @cached_property
     def rates(self) -> DataFrame:
-        return risk.attendance_rates(self.profile, self.period_days)
+        return risk.attendance_rates(self.activity, self.period_days)
 
     @cached_property
     def stats(self) -> DataFrame:
-        return risk.rate_stats(self.rates)
+        return self.keep(risk.rate_stats(self.rates), "stats")
 
     @cached_property
     def risk_flags(self) -> DataFrame:
@@ -101,12 +139,12 @@ class Build:
 
     @cached_property
     def latest_worship(self) -> DataFrame:
-        return risk.latest_worship(self.profile)
+        return risk.latest_worship(self.activity)
 
     # -- journeys ---------------------------------------------------------
     @cached_property
     def first_crm_event(self) -> DataFrame:
-        return journeys.first_crm_event(self.profile)
+        return journeys.first_crm_event(self.activity)
 
     @cached_property
     def first_ticket_event(self) -> DataFrame:
@@ -115,7 +153,7 @@ class Build:
     # -- identity ---------------------------------------------------------
     @cached_property
     def crm_emails(self) -> DataFrame:
-        return identity.crm_emails(self.ed_rows)
+        return identity.crm_emails(self.contact_tuples)
 
     @cached_property
     def crm_contacts(self) -> DataFrame:
@@ -138,12 +176,12 @@ class Build:
         return identity.unresolved_candidates(self.candidates, self.crm_contacts)
 
     @cached_property
-    def similarity_pairs(self) -> DataFrame:
-        return identity.name_similarity_pairs(self.unresolved, self.crm_contacts, self.settings)
+    def name_matches(self) -> DataFrame:
+        return identity.best_name_matches(self.unresolved, self.crm_contacts, self.settings)
 
     @cached_property
     def tier3(self) -> DataFrame:
-        return identity.best_similar_name(self.similarity_pairs, self.settings)
+        return identity.best_similar_name(self.unresolved, self.name_matches, self.settings)
 
     @cached_property
     def resolution(self) -> DataFrame:
@@ -160,11 +198,7 @@ class Build:
     # -- members ------------------------------------------------------------
     @cached_property
     def member_core(self) -> DataFrame:
-        # reuse the written profile when this build already has one (a full
-        # run); a fact-only build needs just names and roles: two lazy passes
-        if "profile" in self.__dict__ or not self.keep.enabled:
-            return members.member_core(self.profile)
-        return members.member_core(profile.contact_profile(self.ed_rows, self.settings, with_activity=False))
+        return members.member_core(self.profile)
 
     @cached_property
     def crm_members(self) -> DataFrame:
@@ -183,11 +217,12 @@ class Build:
     # -- facts ----------------------------------------------------------------
     @cached_property
     def attendance_base(self) -> DataFrame:
-        return fact.attendance_base(self.ed_rows, self.member_core, self.campaign_events, self.dim_dates)
+        base = fact.attendance_base(self.ed_rows, self.member_core, self.campaign_events, self.dim_dates)
+        return self.keep(base, "attendance_base")
 
     @cached_property
     def fact_attendance(self) -> DataFrame:
-        return fact.fact_attendance(self.ed_rows, self.member_core, self.campaign_events, self.dim_dates)
+        return fact.fact_attendance(self.attendance_base)
 
     @cached_property
     def ticket_attendance(self) -> DataFrame:

@@ -8,7 +8,6 @@ names as in ``flocklens.plans.oracle``.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +17,9 @@ from flocklens.config import FIXTURE_CALENDAR_SETTINGS, FIXTURE_SETTINGS
 from flocklens.functions.rules import attendance_type, risk_eligible, rule_flag, statistical_flag
 from flocklens.functions.dates import days_before, time_bucket
 from flocklens.functions.text import digits_only, display_name, norm, surrogate_id
-from flocklens.operators import dims, fact, risk, ticketing
+from flocklens.operators import dims, fact, identity, risk, ticketing
 from flocklens.plans.build import Build
+from flocklens.session import ensure_checkpoint_dir
 from flocklens.sources.fixture import fixture_sources
 
 
@@ -31,11 +31,10 @@ def fixture_build(spark: SparkSession, sf_dir: str, shared: bool = True, materia
 
     With ``shared`` one Build per (application, directory) is reused, so the
     registered queries share their written intermediates."""
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # pragma: no cover - Spark Connect
-        app = id(spark)
-    key = (app, os.path.abspath(sf_dir), materialize)
+    if spark.sparkContext.master.startswith("local["):
+        # tests and local runs that name no folder get a private one
+        ensure_checkpoint_dir(spark)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), materialize)
     if shared and key in _BUILDS:
         return _BUILDS[key]
     b = Build(spark, fixture_sources(spark, sf_dir), FIXTURE_SETTINGS, materialize=materialize)
@@ -88,7 +87,7 @@ QUERIES: dict[str, Callable[[Build], DataFrame]] = {
     ),
     # risk
     "period_event_days": lambda b: b.period_days,
-    "member_period_attendance": lambda b: risk.member_period_attendance(b.profile),
+    "member_period_attendance": lambda b: risk.member_period_attendance(b.activity),
     "attendance_rates": lambda b: b.rates,
     "rate_stats": lambda b: b.stats.select(
         F.round("mean_recent", 6).alias("mean_recent"), F.round("sd_recent", 6).alias("sd_recent")
@@ -112,7 +111,9 @@ QUERIES: dict[str, Callable[[Build], DataFrame]] = {
     "ticket_contacts_not_in_crm": lambda b: b.candidates.select("email_key", "first_name", "last_name"),
     "exact_name_match": lambda b: b.tier2,
     "unresolved_ticket_contacts": lambda b: b.unresolved.select("email_key", "first_name", "last_name"),
-    "name_similarity_pairs": lambda b: b.similarity_pairs,
+    "ambiguous_name_emails": lambda b: identity.ambiguous_name_emails(b.candidates, b.crm_contacts),
+    "ambiguous_name_contacts": lambda b: identity.ambiguous_name_contacts(b.candidates, b.crm_contacts),
+    "name_similarity_pairs": lambda b: b.name_matches,
     "best_similar_name": lambda b: b.tier3,
     "name_resolution": lambda b: b.resolution,
     "high_confidence_matches": lambda b: b.high_matches,
@@ -121,6 +122,7 @@ QUERIES: dict[str, Callable[[Build], DataFrame]] = {
         "email_key", surrogate_id("email_key").alias("contact_id")
     ),
     # members
+    "latest_participant_type": lambda b: b.latest_type,
     "crm_members": lambda b: b.crm_members,
     "ticket_only_contacts": lambda b: b.ticket_only,
     "dim_members": lambda b: b.dim_members,

@@ -1,57 +1,47 @@
 """Written intermediate tables in the cluster's shared checkpoint folder.
 
-A relation that several downstream models read (the per-contact profile, the
-ticket candidates, the name resolution) is written once as Parquet and read
+A relation that several downstream models read (the contact days and tuples,
+the ticket candidates, the attendance base) is written once as Parquet and read
 back: one scan of the big detail instead of one per consumer, a short
-lineage (a lost executor re-reads files instead of recomputing the upstream
-plan), and file statistics for AQE's join choices. The folder is the one the
-cluster names in ``spark.checkpoint.dir``; only when that is unset on a
-local master (tests) a private folder is created and registered -- on a
-cluster an unset setting is an error, never a machine-local folder.
+lineage (a lost executor rereads files instead of recomputing the upstream
+plan), and file statistics for AQE's join choices. The folder is the one that
+``spark.checkpoint.dir`` names, or the session's checkpoint directory; without
+either a build that writes intermediates fails.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def can_write_tables(spark: SparkSession) -> bool:
-    """Written intermediates need the classic JVM session (file-system checks
-    through Hadoop); elsewhere (e.g. a Spark Connect client) plans stay lazy."""
-    try:
-        return spark.sparkContext is not None
-    except Exception:  # pragma: no cover - Spark Connect sessions have no SparkContext
-        return False
+def checkpoint_root(spark: SparkSession) -> str:
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        raise RuntimeError("set spark.checkpoint.dir to storage that all executors share")
+    return root.rstrip("/")
 
 
-def checkpoint_root(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    if not sc.master.startswith("local"):
-        # a machine-local folder is invisible to the other executors
-        raise RuntimeError("set spark.checkpoint.dir to shared storage (HDFS/S3) for written intermediates")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="flocklens-checkpoints-"))
-    return sc.getCheckpointDir().rstrip("/")
-
-
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def committed(spark: SparkSession, path: str) -> bool:
-    """True when a Parquet write to ``path`` committed (``_SUCCESS`` present)."""
-    p, fs = _fs_path(spark, path.rstrip("/") + "/_SUCCESS")
-    return bool(fs.exists(p))
+def files_under(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, length, modification time) of the files of a table; works for any
+    store that Spark reads."""
+    p, fs = _file_system(spark, path)
+    found, files = [], fs.listFiles(p, True)
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return found
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p, fs = _file_system(spark, path)
+    fs.delete(p, True)
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
@@ -61,11 +51,12 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
 
 
 class Materializer:
-    """Writes a build's shared intermediates under one run folder."""
+    """Writes a build's shared intermediates under one run folder, which
+    ``cleanup`` removes; with ``enabled=False`` relations stay lazy plans."""
 
     def __init__(self, spark: SparkSession, enabled: bool = True):
         self.spark = spark
-        self.enabled = enabled and can_write_tables(spark)
+        self.enabled = enabled
         self._run = None
 
     @property
@@ -78,3 +69,8 @@ class Materializer:
         if not self.enabled:
             return df
         return write_table(df, f"{self.run_dir}/{name}")
+
+    def cleanup(self) -> None:
+        if self._run is not None:
+            delete(self.spark, self._run)
+            self._run = None

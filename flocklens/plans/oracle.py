@@ -1,564 +1,453 @@
-"""Independent DuckDB formulation of every registered query.
-
-Written the way the modelled warehouse writes it, not the way the Spark plans
-compute it: ``count(distinct case ...)`` aggregates, DISTINCT window counts,
-LEFT JOIN ... IS NULL anti joins, a naive cross join with per-pair bigram
-lists for name similarity, row_number() top-1 picks. Where the warehouse's
-``any_value`` leaves a choice, the oracle makes the same documented
-deterministic pick as the library. The driver tables are mapped to the raw
-registries by the same rules as ``flocklens.sources.fixture``.
+"""DuckDB SQL for every registered query, written from the operators' definitions.
+
+The library aggregates flat rows in stages; here each person is one row that
+holds the list of all its visits (or registrations), and every figure is a list
+expression over it. Name similarity is scored for every pair of distinct names.
+Constants, calendar, title case and white-space rules are stated here on their
+own. The driver tables are mapped to the raw registries by the rules of
+FIXTURES.md, as in ``flocklens.sources.fixture``.
 """
 
 from __future__ import annotations
 
-from flocklens.config import FIXTURE_CALENDAR_SETTINGS, FIXTURE_SETTINGS
-from flocklens.functions.text import INITCAP_DELIMITERS
+# -- fixed values ----------------------------------------------------------------
+TODAY = "DATE '2024-01-31'"
+RATE_STEP, BUCKET_STEP, CALENDAR_STEP = 3, 1, 30
+BUCKETS = "['a. Months 0 - 3', 'b. Months 4 - 6', 'c. Months 7 - 12', 'd. Months 13 - 24', 'e. Months 25+']"
+ROLES = "['Homer', 'Elder', 'Ecclesia', 'Deacon']"
+PLACEHOLDERS = "['info requested', '', 'n/a', 'none']"
+FIRST = "['Anna', 'Ben', 'Mary-Jane', 'José', 'zoë', ' Ivan', 'Ruth', 'O''NEIL', 'Li', 'peter', 'Sofia' || chr(160), 'Omar']"
+STEMS = "['Ander', 'Berg', 'Carl', 'Dahl', 'Eriks', 'Fischer', 'Gold', 'Hart']"
+ENDINGS = "['son', 'man', 'ton', 'ley', 'well', 'ford', 'er', 's', 'ßen', '-Ruiz']"
+_SPACE = r"[\x09-\x0d\x20\x{85}\pZ]+"
+_BREAKS = r"""' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(160) || chr(8195) || chr(12288) || '[](){}/|\<>!?@"^#$&~_,.:;*%+-'"""
+
+
+def strip(x: str) -> str:
+    return f"regexp_replace({x}, '^{_SPACE}|{_SPACE}$', '', 'g')"
 
-AS_OF = f"DATE '{FIXTURE_SETTINGS.as_of.isoformat()}'"
-RISK_P = FIXTURE_SETTINGS.risk_period_days
-BUCKET_P = FIXTURE_SETTINGS.bucket_period_days
-CAL_P = FIXTURE_CALENDAR_SETTINGS.bucket_period_days
-CAL_AS_OF = f"DATE '{FIXTURE_CALENDAR_SETTINGS.as_of.isoformat()}'"
 
-_D = "".join("\\" + ch if ch in "[]\\^-" else ch for ch in INITCAP_DELIMITERS)
-_PIECE = "[^\\s" + _D + "]*[\\s" + _D + "]?"
+def key(x: str) -> str:
+    return f"lower({strip(x)})"
 
 
-def initcap(expr: str) -> str:
+def titled(x: str) -> str:
+    """Each character that begins the text or follows a break, in title case."""
+    s = key(x)
     return (
-        f"array_to_string(list_transform(regexp_extract_all({expr}, '{_PIECE}', 0), "
-        f"lambda w: CASE WHEN w[1] = 'ß' THEN 'Ss' ELSE upper(w[1]) END || w[2:]), '')"
+        f"CASE WHEN {x} IS NOT NULL THEN array_to_string(list_transform(range(1, length({s}) + 1), lambda i: "
+        f"CASE WHEN i > 1 AND NOT contains({_BREAKS}, substr({s}, i - 1, 1)) THEN substr({s}, i, 1) "
+        f"WHEN substr({s}, i, 1) = 'ß' THEN 'Ss' ELSE upper(substr({s}, i, 1)) END), '') END"
     )
 
 
-def display(expr: str) -> str:
-    return initcap(f"lower(trim({expr}))")
+def days_ago(x: str) -> str:
+    return f"({TODAY} - {x})"
 
 
-def bigrams(expr: str) -> str:
+def bucket_of(day: str, step: int) -> str:
+    """The label after as many edges (3, 6, 12, 24 steps) as the age passes."""
     return (
-        f"list_distinct(list_filter(list_transform(range(1, greatest(length({expr}), 1)), "
-        f"lambda i: substr({expr}, i, 2)), lambda g: length(g) = 2))"
+        f"{BUCKETS}[1 + len([edge FOR edge IN [3, 6, 12, 24] IF {days_ago(day)} > edge * {step}])]"
     )
 
 
-def age(col: str, as_of: str = AS_OF) -> str:
-    return f"date_diff('day', {col}, {as_of})"
+def calendar(step: int) -> str:
+    return f"""SELECT day AS date, dayofweek(day) + 1 AS day_of_week,
+        (dayofyear(day) + 6 - dayofweek(day)) // 7 AS week, month(day) AS month, quarter(day) AS quarter,
+        year(day) AS year, {bucket_of('day', step)} AS time_bucket
+      FROM (SELECT CAST(unnest(generate_series(DATE '2020-01-01', least({TODAY}, DATE '2069-12-19'), INTERVAL 1 DAY)) AS DATE) AS day)"""
 
 
-def bucket(col: str, period: int, as_of: str) -> str:
-    a = age(col, as_of)
+def dates_cte(name: str, step: int, today: str = TODAY) -> str:
+    """The date dimension as a CTE (for tests)."""
+    return f"{name} AS ({calendar(step).replace(TODAY, today)})"
+
+
+def status_kind(x: str) -> str:
     return (
-        f"CASE WHEN {a} / {period} <= 3 THEN 'a. Months 0 - 3' "
-        f"WHEN {a} / {period} <= 6 THEN 'b. Months 4 - 6' "
-        f"WHEN {a} / {period} <= 12 THEN 'c. Months 7 - 12' "
-        f"WHEN {a} / {period} <= 24 THEN 'd. Months 13 - 24' "
-        f"ELSE 'e. Months 25+' END"
+        f"coalesce(map {{'Attended': 'In-Person', 'Attendeed': 'In-Person', 'Attended Online': 'Online', "
+        f"'Attended (Online)': 'Online', 'Attended  (Online)': 'Online'}}[{x}], {x})"
     )
 
 
-def dates_cte(name: str, period: int, as_of: str) -> str:
-    return f"""{name} AS (
-  SELECT d AS date, dayofweek(d) + 1 AS day_of_week, CAST(strftime(d, '%U') AS BIGINT) AS week,
-         month(d) AS month, quarter(d) AS quarter, year(d) AS year,
-         {bucket('d', period, as_of)} AS time_bucket
-  FROM (SELECT CAST(DATE '2020-01-01' + CAST(x AS INTEGER) AS DATE) AS d FROM range(0, 18251) t(x))
-  WHERE d <= {as_of})"""
-
-
-RECENT = f"{age('event_date')} / {float(RISK_P)} <= 3"
-BASELINE = f"{age('event_date')} / {float(RISK_P)} <= 6 AND {age('event_date')} / {float(RISK_P)} > 3"
-VALID_EMAIL = """email IS NOT NULL AND trim(email) NOT IN ('info requested', '', 'n/a', 'none')
-    AND email LIKE '%@%'
-    AND first_name IS NOT NULL AND trim(first_name) != ''
-    AND last_name IS NOT NULL AND trim(last_name) != ''"""
-
-# -- adapter: driver tables -> raw registries ---------------------------------
-ADAPTER = [
-    """doc_names AS (
-  SELECT doc_id, regexp_extract(text, '([A-Za-zÀ-ÿ]+)', 1) AS first_nm,
-         regexp_extract(text, '[A-Za-zÀ-ÿ]+[^A-Za-zÀ-ÿ]+([A-Za-zÀ-ÿ]+)', 1) AS last_nm
-  FROM documents)""",
-    """ev_slot AS (
-  SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS d_, hour(ts) < 12 AS am_,
-         CASE WHEN hour(ts) < 12 THEN 'am' ELSE 'pm' END AS half_,
-         event_type || '-' || CAST(CAST(ts AS DATE) AS VARCHAR) || '-'
-           || CASE WHEN hour(ts) < 12 THEN 'am' ELSE 'pm' END AS slot_
-  FROM events)""",
-    """campaign AS (
-  SELECT DISTINCT slot_ AS Id,
-    event_type || ' service ' || CAST(d_ AS VARCHAR) || ' ' || half_ AS Name,
-    CASE WHEN dayofmonth(d_) % 7 = 0 THEN NULL ELSE 'Slot ' || slot_ END AS Description,
-    CASE WHEN event_type IN ('view', 'click', 'purchase') THEN 'Worship Service'
-         WHEN event_type = 'signup' THEN 'Prayer' ELSE 'Event' END AS Type,
-    CASE WHEN event_type = 'click' THEN 'Online' ELSE 'In-Person' END AS Format__c,
-    d_ AS EndDate,
-    CASE WHEN am_ THEN '09:30 AM' ELSE '11:30 AM' END AS Service_Time__c,
-    CAST(dayofmonth(d_) * 10 AS DOUBLE) AS BudgetedCost,
-    CASE WHEN dayofmonth(d_) % 5 = 0 THEN NULL ELSE CAST(dayofmonth(d_) * 7.5 AS DOUBLE) END AS ActualCost,
-    CASE WHEN am_ THEN CAST(100 AS DOUBLE) ELSE CAST(250 AS DOUBLE) END AS ExpectedRevenue
-  FROM ev_slot)""",
-    """campaign_member AS (
-  SELECT s.slot_ AS CampaignId, 'C' || CAST(s.user_id AS VARCHAR) AS ContactId,
-    n.first_nm AS FirstName, n.last_nm AS LastName,
-    CASE s.user_id % 3 WHEN 0 THEN 'Mr.' WHEN 1 THEN 'Ms.' END AS Salutation,
-    CASE WHEN s.user_id % 9 = 0 THEN NULL ELSE '555-' || lpad(CAST(s.user_id % 10000 AS VARCHAR), 4, '0') END AS Phone,
-    CASE WHEN s.user_id % 2 = 0 THEN NULL ELSE '555-7' || lpad(CAST(s.user_id % 1000 AS VARCHAR), 3, '0') END AS MobilePhone,
-    CASE WHEN s.user_id % 7 = 0 THEN NULL
-         WHEN s.user_id % 11 = 10 THEN 'User' || CAST(s.user_id - 1 AS VARCHAR) || '@Example.org'
-         ELSE ' User' || CAST(s.user_id AS VARCHAR) || '@Example.org ' END AS Email,
-    CAST(NULL AS VARCHAR) AS Fax, 'US' AS Country,
-    CASE s.user_id % 4 WHEN 0 THEN 'NY' WHEN 1 THEN 'NJ' WHEN 2 THEN 'CT' WHEN 3 THEN 'PA' END AS State,
-    'Springfield ' || CAST(s.user_id % 10 AS VARCHAR) AS City,
-    CAST(s.user_id AS VARCHAR) || ' Main St' AS Street,
-    lpad(CAST(s.user_id % 100000 AS VARCHAR), 5, '0') AS PostalCode,
-    CASE WHEN s.user_id % 3 = 0 THEN NULL ELSE 'Household ' || CAST(s.user_id // 3 AS VARCHAR) END AS CompanyOrAccount,
-    CASE s.user_id % 6 WHEN 0 THEN 'Homer' WHEN 1 THEN 'Elder' WHEN 2 THEN 'Ecclesia'
-         WHEN 3 THEN 'Deacon' WHEN 4 THEN 'Guest' WHEN 5 THEN 'Visitor' END AS Participant_Type__c,
-    s.user_id % 4 = 0 AS HasOptedOutOfEmail,
-    CASE s.event_id % 6 WHEN 0 THEN 'Attended' WHEN 1 THEN 'Attendeed' WHEN 2 THEN 'Attended Online'
-         WHEN 3 THEN 'Attended (Online)' WHEN 4 THEN 'Attended  (Online)' WHEN 5 THEN 'No Show' END AS Status,
-    s.event_id % 5 <> 0 AS Attendance_Indicator__c
-  FROM ev_slot s LEFT JOIN doc_names n ON n.doc_id = s.user_id * 2
-  WHERE NOT (s.user_id % 5 = 0 AND s.d_ >= DATE '2024-01-22' AND s.event_id % 4 <> 0)
-    AND NOT (s.user_id % 5 = 1 AND s.d_ < DATE '2024-01-22' AND s.event_id % 3 <> 0)
-    AND NOT (s.user_id % 5 = 2 AND s.event_id % 8 <> 0))""",
-    """ticket_event AS (
-  SELECT item_id AS id,
-    CASE item_id % 5 WHEN 0 THEN 'Sunday Worship Night' WHEN 1 THEN 'PRAYER Meeting'
-         WHEN 2 THEN 'Bible Hour' WHEN 3 THEN 'Study Group' WHEN 4 THEN 'Picnic' END AS name_text,
-    'Benchmark item ' || CAST(item_id AS VARCHAR) AS description_text,
-    CASE WHEN item_id % 4 = 0 THEN TRUE WHEN item_id % 4 = 2 THEN NULL ELSE FALSE END AS online_event,
-    TIMESTAMP '2023-12-25 09:00:00' + to_hours(CAST(item_id * 22 AS BIGINT)) AS start_local,
-    TIMESTAMP '2023-12-25 09:00:00' + to_hours(CAST(item_id * 22 + 2 AS BIGINT)) AS end_local,
-    item_id % 3 AS venue_id, item_id + 100 AS capacity,
-    CASE WHEN item_id % 40 = 13 THEN 'draft' WHEN item_id % 40 = 27 THEN NULL ELSE 'live' END AS status,
-    item_id % 2 = 0 AS is_free, item_id % 40 = 7 AS _fivetran_deleted,
-    TIMESTAMP '2024-02-01 00:00:00' AS _fivetran_synced
-  FROM benchmark)""",
-    """ticket_attendee AS (
-  SELECT doc_id * 10 + k AS id,
-    (doc_id // 2 + CASE WHEN k = 2 THEN 0 ELSE k END) % 40 AS event_id,
-    doc_id AS order_id, first_nm AS profile_first_name, last_nm AS profile_last_name,
-    CASE WHEN doc_id % 60 = 15 THEN 'Info Requested' WHEN doc_id % 90 = 21 THEN NULL
-         WHEN doc_id % 6 = 1 THEN ' USER' || CAST(doc_id // 6 AS VARCHAR) || '@example.org'
-         ELSE 'Guest' || CAST(doc_id AS VARCHAR) || '@example.net' END AS profile_email,
-    '(' || lpad(CAST(doc_id % 1000 AS VARCHAR), 3, '0') || ') 555-'
-        || lpad(CAST(doc_id % 10000 AS VARCHAR), 4, '0') AS profile_cell_phone,
-    (doc_id * 10 + k) % 3 = 0 AS checked_in,
-    CASE WHEN (doc_id * 10 + k) % 3 = 0 THEN 'Checked In' ELSE 'Attending' END AS status,
-    TIMESTAMP '2023-12-01 00:00:00' + to_minutes(CAST(doc_id AS BIGINT)) AS created,
-    (doc_id * 10 + k) % 17 = 0 AS cancelled, (doc_id * 10 + k) % 19 = 0 AS refunded,
-    (doc_id * 10 + k) % 29 = 0 AS _fivetran_deleted,
-    TIMESTAMP '2024-02-01 00:00:00' AS _fivetran_synced
-  FROM (SELECT *, unnest([0, 1, 2]) AS k FROM doc_names))""",
-    """ticket_order AS (
-  SELECT o.o_orderkey AS id, o.o_orderkey % 40 AS event_id,
-    split_part(c.c_name, '#', 1) AS owner_first_name, split_part(c.c_name, '#', 2) AS owner_last_name,
-    ' ' || c.c_name || '@Example.com' AS owner_email, o.o_orderstatus AS status,
-    o.o_totalprice AS gross_major_value, 'USD' AS gross_currency, o.o_orderdate AS created,
-    o.o_orderkey % 23 = 0 AS _fivetran_deleted, TIMESTAMP '2024-02-01 00:00:00' AS _fivetran_synced
-  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey)""",
-]
+def grams(x: str) -> str:
+    """Distinct pairs of neighbouring characters."""
+    return f"list_distinct([substr({x}, i, 2) FOR i IN range(1, length({x}))])"
+
+
+# -- the registries, from the driver tables ----------------------------------------
+REGISTRIES = {
+    "drawn_name": f"""
+      SELECT doc_id, {FIRST}[1 + d[1] % 12] AS given,
+             {STEMS}[1 + d[2] % 8] || {ENDINGS}[1 + d[3] % 10]
+               || CASE WHEN d[4] % 3 = 0 THEN '-' || {STEMS}[1 + d[5] % 8] || CAST(d[6] % 9 AS VARCHAR) ELSE '' END AS family
+      FROM (SELECT doc_id, [CAST('0x' || substr(md5(coalesce(text, '')), 1 + 4 * k, 4) AS INTEGER) FOR k IN range(0, 6)] AS d
+            FROM documents)""",
+    "placed": """
+      SELECT event_id, user_id, day, half, kind, kind || '-' || CAST(day AS VARCHAR) || '-' || half AS slot
+      FROM (SELECT event_id, user_id, CAST(ts AS DATE) AS day, CASE WHEN hour(ts) < 12 THEN 'am' ELSE 'pm' END AS half,
+                   CASE WHEN user_id % 5 = 0 AND ts >= TIMESTAMP '2024-01-22' AND event_id % 4 > 0 THEN 'outing'
+                        WHEN user_id % 5 = 1 AND ts < TIMESTAMP '2024-01-22' AND event_id % 3 > 0 THEN 'outing'
+                        WHEN user_id % 5 = 2 AND event_id % 8 > 0 THEN 'outing' ELSE event_type END AS kind
+            FROM events)""",
+    "campaign": """
+      SELECT slot AS Id, kind || ' service ' || CAST(day AS VARCHAR) || ' ' || half AS Name,
+             CASE WHEN day(day) % 7 > 0 THEN 'Slot ' || slot END AS Description,
+             CASE kind WHEN 'signup' THEN 'Prayer' WHEN 'view' THEN 'Worship Service' WHEN 'click' THEN 'Worship Service'
+                       WHEN 'purchase' THEN 'Worship Service' ELSE 'Event' END AS Type,
+             if(kind = 'click', 'Online', 'In-Person') AS Format__c, day AS EndDate,
+             if(half = 'am', '09:30 AM', '11:30 AM') AS Service_Time__c,
+             CAST(10 * day(day) AS DOUBLE) AS BudgetedCost,
+             CASE WHEN day(day) % 5 > 0 THEN CAST(7.5 * day(day) AS DOUBLE) END AS ActualCost,
+             CAST(if(half = 'am', 100, 250) AS DOUBLE) AS ExpectedRevenue
+      FROM placed GROUP BY ALL""",
+    "campaign_member": """
+      SELECT slot AS CampaignId, 'C' || user_id AS ContactId,
+             if(user_id % 4 = 1, substr(trim(given), 1, 3) || '.', given) AS FirstName,
+             CASE user_id % 4 WHEN 2 THEN family || 'e' WHEN 3 THEN reverse(family) ELSE family END AS LastName,
+             ['Mr.', 'Ms.', NULL][1 + user_id % 3] AS Salutation,
+             if(user_id % 9 > 0, '555-' || lpad(CAST(user_id % 10000 AS VARCHAR), 4, '0'), NULL) AS Phone,
+             if(user_id % 2 > 0, '555-7' || lpad(CAST(user_id % 1000 AS VARCHAR), 3, '0'), NULL) AS MobilePhone,
+             CASE WHEN user_id % 7 = 0 THEN NULL WHEN user_id % 11 = 10 THEN 'User' || (user_id - 1) || '@Example.org'
+                  ELSE chr(8195) || 'User' || user_id || '@Example.org' || chr(160) END AS Email,
+             CAST(NULL AS VARCHAR) AS Fax, 'US' AS Country, ['NY', 'NJ', 'CT', 'PA'][1 + user_id % 4] AS State,
+             'Springfield ' || (user_id % 10) AS City, user_id || ' Main St' AS Street,
+             lpad(CAST(user_id % 100000 AS VARCHAR), 5, '0') AS PostalCode,
+             if(user_id % 3 > 0, 'Household ' || (user_id // 3), NULL) AS CompanyOrAccount,
+             ['Homer', 'Elder', 'Ecclesia', 'Deacon', 'Guest', 'Visitor'][1 + user_id % 6] AS Participant_Type__c,
+             user_id % 4 = 0 AS HasOptedOutOfEmail,
+             ['Attended', 'Attendeed', 'Attended Online', 'Attended (Online)', 'Attended  (Online)', 'No Show'][1 + event_id % 6] AS Status,
+             event_id % 5 > 0 AS Attendance_Indicator__c
+      FROM placed LEFT JOIN drawn_name ON doc_id = user_id - if(user_id % 8 = 4, 4, 0)""",
+    "ticket_event": """
+      SELECT if(m = 31, NULL, if(m = 17, item_id - 1, item_id)) AS id,
+             if(m = 22, NULL, ['Sunday Worship Night', 'PRAYER Meeting', 'Bible Hour', 'Study Group', 'Picnic'][1 + item_id % 5]) AS name_text,
+             'Benchmark item ' || item_id AS description_text, [true, false, NULL, false][1 + item_id % 4] AS online_event,
+             if(m = 9, NULL, TIMESTAMP '2023-12-25 09:00:00' + to_hours(22 * item_id)) AS start_local,
+             TIMESTAMP '2023-12-25 11:00:00' + to_hours(22 * item_id) AS end_local,
+             item_id % 3 AS venue_id, item_id + 100 AS capacity,
+             CASE m WHEN 13 THEN 'draft' WHEN 27 THEN NULL ELSE 'live' END AS status, item_id % 2 = 0 AS is_free,
+             m = 7 AS _fivetran_deleted, TIMESTAMP '2024-02-01 00:00:00' AS _fivetran_synced
+      FROM (SELECT item_id, item_id % 40 AS m FROM benchmark)""",
+    "ticket_attendee": """
+      SELECT CASE WHEN doc_id % 101 = 7 AND k = 0 THEN NULL WHEN doc_id % 97 = 5 AND k = 1 THEN no - 1 ELSE no END AS id,
+             (doc_id // 2 + k % 2) % (SELECT greatest(count(*), 1) FROM benchmark) AS event_id, doc_id AS order_id,
+             given AS profile_first_name, family AS profile_last_name,
+             CASE WHEN doc_id % 60 = 15 THEN 'Info Requested' WHEN doc_id % 90 = 21 THEN NULL
+                  WHEN doc_id % 6 = 1 THEN chr(12288) || 'USER' || (doc_id // 6) || '@example.org'
+                  ELSE 'Guest' || doc_id || '@example.net' END AS profile_email,
+             '(' || lpad(CAST(doc_id % 1000 AS VARCHAR), 3, '0') || ') 555-' || lpad(CAST(doc_id % 10000 AS VARCHAR), 4, '0') AS profile_cell_phone,
+             no % 3 = 0 AS checked_in, if(no % 3 = 0, 'Checked In', 'Attending') AS status,
+             TIMESTAMP '2023-12-01 00:00:00' + to_minutes(doc_id) AS created, no % 17 = 0 AS cancelled,
+             no % 19 = 0 AS refunded, no % 29 = 0 AS _fivetran_deleted, TIMESTAMP '2024-02-01 00:00:00' AS _fivetran_synced
+      FROM (SELECT n.*, k, 10 * doc_id + k AS no FROM drawn_name n, (VALUES (0), (1), (2)) t(k))""",
+    "ticket_order": """
+      SELECT CASE WHEN o_orderkey % 331 = 3 THEN NULL WHEN o_orderkey % 211 = 4 THEN o_orderkey - 1 ELSE o_orderkey END AS id,
+             o_orderkey % (SELECT greatest(count(*), 1) FROM benchmark) AS event_id,
+             split_part(c_name, '#', 1) AS owner_first_name, split_part(c_name, '#', 2) AS owner_last_name,
+             if(o_orderkey % 173 = 2, NULL, ' ' || c_name || '@Example.com') AS owner_email, o_orderstatus AS status,
+             o_totalprice AS gross_major_value, 'USD' AS gross_currency, o_orderdate AS created,
+             o_orderkey % 23 = 0 AS _fivetran_deleted, TIMESTAMP '2024-02-01 00:00:00' AS _fivetran_synced
+      FROM orders LEFT JOIN customer ON c_custkey = o_custkey""",
+}
+
+# -- the models ----------------------------------------------------------------------
+VISIT = (
+    "event_id, event_name, description, type, event_format, event_date, event_time, budget, cost, expected_revenue, "
+    "contact_id, first_name, last_name, salutation, phone, mobile_phone, email, fax, country, state_, city, street, "
+    "postal_code, company, participant_type, opted_out_of_email, status, attendance_indicator, attendance_type"
+)
+_W = "v.type = 'Worship Service'"
+_RECENT = f"{days_ago('v.event_date')} <= {3 * RATE_STEP}"
+_BASE = f"{days_ago('v.event_date')} BETWEEN {3 * RATE_STEP + 1} AND {6 * RATE_STEP}"
+
 
-# -- models ---------------------------------------------------------------------
-MODELS = [
-    """event_detail AS (
-  SELECT DISTINCT c.Id AS event_id, c.Name AS event_name, c.Description AS description, c.Type AS type,
-    c.Format__c AS event_format, c.EndDate AS event_date, c.Service_Time__c AS event_time,
-    c.BudgetedCost AS budget, c.ActualCost AS cost, c.ExpectedRevenue AS expected_revenue,
-    cm.ContactId AS contact_id, cm.FirstName AS first_name, cm.LastName AS last_name,
-    cm.Salutation AS salutation, cm.Phone AS phone, cm.MobilePhone AS mobile_phone, cm.Email AS email,
-    cm.Fax AS fax, cm.Country AS country, cm.State AS state_, cm.City AS city, cm.Street AS street,
-    cm.PostalCode AS postal_code, cm.CompanyOrAccount AS company, cm.Participant_Type__c AS participant_type,
-    cm.HasOptedOutOfEmail AS opted_out_of_email, cm.Status AS status,
-    cm.Attendance_Indicator__c AS attendance_indicator,
-    CASE WHEN cm.Status IN ('Attended', 'Attendeed') THEN 'In-Person'
-         WHEN cm.Status IN ('Attended Online', 'Attended (Online)', 'Attended  (Online)') THEN 'Online'
-         ELSE cm.Status END AS attendance_type
-  FROM campaign c JOIN campaign_member cm ON c.Id = cm.CampaignId)""",
-    """stg_events AS (
-  SELECT CAST(id AS VARCHAR) AS eventbrite_event_id, name_text AS event_name, description_text AS description,
-    'Eventbrite' AS event_source,
-    CASE WHEN lower(name_text) LIKE '%worship%' THEN 'Worship Service'
-         WHEN lower(name_text) LIKE '%prayer%' THEN 'Prayer'
-         WHEN lower(name_text) LIKE '%bible%' OR lower(name_text) LIKE '%study%' THEN 'Bible Study'
-         ELSE 'Event' END AS type,
-    CASE WHEN online_event = TRUE THEN 'Online' ELSE 'In-Person' END AS event_format,
-    CAST(start_local AS DATE) AS event_date, strftime(start_local, '%I:%M %p') AS event_time,
-    start_local AS event_start_at, end_local AS event_end_at, venue_id, capacity, status, is_free,
-    _fivetran_synced AS synced_at
-  FROM ticket_event WHERE _fivetran_deleted = FALSE AND status != 'draft')""",
-    """stg_attendees AS (
-  SELECT CAST(id AS VARCHAR) AS eventbrite_attendee_id, CAST(event_id AS VARCHAR) AS eventbrite_event_id,
-    CAST(order_id AS VARCHAR) AS eventbrite_order_id, profile_first_name AS first_name,
-    profile_last_name AS last_name, lower(trim(profile_email)) AS email,
-    regexp_replace(profile_cell_phone, '[^0-9]', '', 'g') AS phone_normalized,
-    profile_cell_phone AS phone_raw, checked_in, status, created AS registered_at, _fivetran_synced AS synced_at
-  FROM ticket_attendee WHERE _fivetran_deleted = FALSE AND cancelled = FALSE AND refunded = FALSE)""",
-    """stg_orders AS (
-  SELECT CAST(id AS VARCHAR) AS eventbrite_order_id, CAST(event_id AS VARCHAR) AS eventbrite_event_id,
-    owner_first_name AS first_name, owner_last_name AS last_name, lower(trim(owner_email)) AS email,
-    status, gross_major_value AS order_total, gross_currency AS currency, created AS ordered_at,
-    _fivetran_synced AS synced_at
-  FROM ticket_order WHERE _fivetran_deleted = FALSE)""",
-    """dim_events AS (
-  SELECT DISTINCT event_id, event_name, description, type, event_format, event_date, event_time,
-    budget, cost, expected_revenue FROM event_detail)""",
-    dates_cte("dim_dates_cal", CAL_P, CAL_AS_OF),
-    dates_cte("dim_dates", BUCKET_P, AS_OF),
-    f"""worship_events AS (
-  SELECT count(DISTINCT CASE WHEN {RECENT} THEN event_date END) AS recent_worship,
-         count(DISTINCT CASE WHEN {BASELINE} THEN event_date END) AS baseline_worship
-  FROM event_detail WHERE type = 'Worship Service')""",
-    f"""member_attendance AS (
-  SELECT contact_id,
-         count(DISTINCT CASE WHEN {RECENT} THEN event_date END) AS recent_attendance,
-         count(DISTINCT CASE WHEN {BASELINE} THEN event_date END) AS baseline_attendance
-  FROM event_detail
-  WHERE type = 'Worship Service' AND participant_type IN ('Homer', 'Elder', 'Ecclesia', 'Deacon')
-  GROUP BY contact_id)""",
-    """risk_profiling AS (
-  SELECT contact_id,
-    CASE WHEN recent_worship = 0 THEN NULL ELSE recent_attendance / recent_worship END AS recent_rate,
-    CASE WHEN baseline_worship = 0 THEN NULL ELSE baseline_attendance / baseline_worship END AS baseline_rate,
-    CASE WHEN baseline_attendance = 0 THEN NULL
-         ELSE (baseline_attendance - recent_attendance) / baseline_attendance END AS drop_ratio
-  FROM member_attendance CROSS JOIN worship_events)""",
-    """stats_summary AS (
-  SELECT avg(recent_rate) AS mean_recent, stddev_samp(recent_rate) AS sd_recent FROM risk_profiling)""",
-    """rule_cases AS (
-  SELECT *, CASE WHEN baseline_rate >= 0.7 AND drop_ratio >= 0.5 THEN 'High'
-                 WHEN baseline_rate BETWEEN 0.4 AND 0.7 AND drop_ratio >= 0.6 THEN 'Medium'
-                 WHEN baseline_rate < 0.4 AND drop_ratio < 0.2 THEN 'Low'
-                 ELSE 'Not Applicable' END AS rule_based_flag
-  FROM risk_profiling)""",
-    """stat_cases AS (
-  SELECT r.*, CASE WHEN (r.recent_rate - s.mean_recent) / nullif(s.sd_recent, 0) <= -1.0 THEN 'High'
-                   WHEN (r.recent_rate - s.mean_recent) / nullif(s.sd_recent, 0) > -1.0
-                    AND (r.recent_rate - s.mean_recent) / nullif(s.sd_recent, 0) <= -0.5 THEN 'Medium'
-                   WHEN (r.recent_rate - s.mean_recent) / nullif(s.sd_recent, 0) > -0.5 THEN 'Low'
-                   ELSE 'Not Applicable' END AS statistical_flag
-  FROM rule_cases r CROSS JOIN stats_summary s)""",
-    """risk AS (
-  SELECT contact_id, baseline_rate, recent_rate, rule_based_flag, statistical_flag
-  FROM stat_cases
-  WHERE baseline_rate > 0 AND NOT (baseline_rate < 0.20 AND recent_rate < 0.20))""",
-    """hybrid_risk AS (
-  SELECT *, CASE WHEN rule_based_flag = 'High' AND statistical_flag = 'High' THEN 'High'
-                 WHEN rule_based_flag = 'High' AND statistical_flag = 'Medium' THEN 'Medium'
-                 WHEN rule_based_flag = 'Medium' AND statistical_flag = 'High' THEN 'Medium'
-                 WHEN rule_based_flag = 'High' AND statistical_flag = 'Low' THEN 'Medium'
-                 WHEN rule_based_flag = 'Low' AND statistical_flag = 'High' THEN 'Medium'
-                 WHEN rule_based_flag = 'Medium' AND statistical_flag = 'Medium' THEN 'Medium'
-                 WHEN rule_based_flag = 'Low' AND statistical_flag = 'Medium' THEN 'Medium'
-                 WHEN rule_based_flag = 'Medium' AND statistical_flag = 'Low' THEN 'Medium'
-                 WHEN rule_based_flag = 'Low' AND statistical_flag = 'Low' THEN 'Low'
-                 ELSE 'Not Applicable' END AS hybrid_flag
-  FROM risk)""",
-    """latest_worship AS (
-  SELECT contact_id, max(event_date) AS latest_worship_date,
-    count(DISTINCT CASE WHEN type = 'Worship Service' AND attendance_type = 'In-Person' THEN event_date END)
-      / nullif(count(DISTINCT CASE WHEN type = 'Worship Service' THEN event_date END), 0) AS in_person_prop,
-    count(DISTINCT CASE WHEN type = 'Worship Service' AND event_time = '11:30 AM' THEN event_date END)
-      / nullif(count(DISTINCT CASE WHEN type = 'Worship Service' THEN event_date END), 0) AS second_service_prop
-  FROM event_detail WHERE type = 'Worship Service' GROUP BY contact_id)""",
-    """first_event_sf AS (
-  SELECT contact_id, min(event_date) AS first_event_date, 'Worship' AS first_event_name
-  FROM event_detail GROUP BY contact_id)""",
-    """first_event_eb AS (
-  SELECT lower(trim(a.email)) AS email_key, min(e.event_date) AS first_event_date,
-    first(e.event_name ORDER BY e.event_date ASC NULLS FIRST, e.event_name ASC NULLS FIRST) AS first_event_name
-  FROM stg_attendees a JOIN stg_events e ON a.eventbrite_event_id = e.eventbrite_event_id
-  GROUP BY lower(trim(a.email)))""",
-    """sf_contacts AS (
-  SELECT contact_id,
-    first(first_name ORDER BY first_name, last_name) AS first_name,
-    first(last_name ORDER BY first_name, last_name) AS last_name,
-    min(lower(trim(email))) AS email
-  FROM event_detail WHERE first_name IS NOT NULL AND last_name IS NOT NULL
-  GROUP BY contact_id)""",
-    """sf_emails AS (
-  SELECT DISTINCT lower(trim(email)) AS email FROM event_detail WHERE email IS NOT NULL)""",
-    f"""eb_candidates AS (
-  SELECT lower(trim(a.email)) AS email_key,
-    first(a.first_name ORDER BY a.first_name, a.last_name) AS first_name,
-    first(a.last_name ORDER BY a.first_name, a.last_name) AS last_name
-  FROM stg_attendees a LEFT JOIN sf_emails sf_e ON lower(trim(a.email)) = sf_e.email
-  WHERE sf_e.email IS NULL AND {VALID_EMAIL.replace('email', 'a.email').replace('first_name', 'a.first_name').replace('last_name', 'a.last_name')}
-  GROUP BY lower(trim(a.email)))""",
-    """name_matched AS (
-  SELECT eb.email_key AS eb_email, sf.contact_id AS sf_contact_id,
-    count(DISTINCT sf.contact_id) OVER (
-      PARTITION BY lower(trim(eb.first_name)), lower(trim(eb.last_name))) AS n_sf_same_name
-  FROM eb_candidates eb JOIN sf_contacts sf
-    ON lower(trim(eb.first_name)) = lower(trim(sf.first_name))
-   AND lower(trim(eb.last_name)) = lower(trim(sf.last_name)))""",
-    """tier2 AS (
-  SELECT eb_email,
-    CASE WHEN max(n_sf_same_name) = 1 THEN min(sf_contact_id) END AS sf_contact_id,
-    max(n_sf_same_name) AS n_sf_same_name,
-    CAST(NULL AS DOUBLE) AS name_similarity,
-    CASE WHEN max(n_sf_same_name) > 1 THEN 'ambiguous' ELSE 'high' END AS match_confidence
-  FROM name_matched GROUP BY eb_email)""",
-    """eb_unresolved AS (
-  SELECT * FROM eb_candidates WHERE email_key NOT IN (SELECT eb_email FROM name_matched))""",
-    """name_similarity_raw AS (
-  SELECT eb.email_key AS eb_email, sf.contact_id AS sf_contact_id,
-    lower(trim(eb.first_name)) || ' ' || lower(trim(eb.last_name)) AS eb_full_name,
-    lower(trim(sf.first_name)) || ' ' || lower(trim(sf.last_name)) AS sf_full_name
-  FROM eb_unresolved eb CROSS JOIN sf_contacts sf)""",
-    f"""name_bigram_lists AS (
-  SELECT eb_email, sf_contact_id, {bigrams('eb_full_name')} AS eb_bg, {bigrams('sf_full_name')} AS sf_bg
-  FROM name_similarity_raw)""",
-    """name_bigrams AS (
-  SELECT eb_email, sf_contact_id,
-    CAST(length(list_intersect(eb_bg, sf_bg)) AS BIGINT) AS shared_bigrams,
-    CAST(length(eb_bg) AS BIGINT) AS eb_bigram_count,
-    CAST(length(sf_bg) AS BIGINT) AS sf_bigram_count,
-    greatest(length(eb_bg), length(sf_bg), 1) AS g
-  FROM name_bigram_lists)""",
-    """tier3 AS (
-  SELECT eb_email, sf_contact_id, CAST(1 AS BIGINT) AS n_sf_same_name,
-    CAST((200 * shared_bigrams + g) // (2 * g) AS DOUBLE) / 100.0 AS name_similarity,
-    CASE WHEN shared_bigrams / g >= 0.6 THEN 'medium' WHEN shared_bigrams / g >= 0.4 THEN 'low' END
-      AS match_confidence
-  FROM name_bigrams
-  QUALIFY row_number() OVER (PARTITION BY eb_email ORDER BY shared_bigrams / g DESC, sf_contact_id ASC) = 1)""",
-    """name_resolution AS (
-  SELECT eb_email, sf_contact_id, n_sf_same_name, name_similarity, match_confidence FROM tier2
-  UNION ALL
-  SELECT eb_email, sf_contact_id, n_sf_same_name, name_similarity, match_confidence FROM tier3
-  WHERE match_confidence IS NOT NULL)""",
-    """high_conf AS (
-  SELECT sf_contact_id, eb_email FROM name_resolution WHERE match_confidence = 'high')""",
-    """flagged AS (
-  SELECT sf_contact_id, 'eb_' || md5(eb_email) AS eb_contact_id, min(name_similarity) AS name_similarity
-  FROM name_resolution
-  WHERE match_confidence IN ('medium', 'low') AND n_sf_same_name = 1
-  GROUP BY 1, 2)""",
-    """hc_pick AS (
-  SELECT * FROM (
-    SELECT hc.sf_contact_id, hc.eb_email, fe.first_event_date, fe.first_event_name,
-      row_number() OVER (PARTITION BY hc.sf_contact_id
-                         ORDER BY fe.first_event_date ASC NULLS LAST, hc.eb_email ASC) AS rn
-    FROM high_conf hc LEFT JOIN first_event_eb fe ON hc.eb_email = fe.email_key) WHERE rn = 1)""",
-    """fm_pick AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY sf_contact_id
-                                 ORDER BY name_similarity DESC, eb_contact_id ASC) AS rn
-    FROM flagged) WHERE rn = 1)""",
-    f"""sf_members AS (
-  SELECT ed.contact_id,
-    {display("min(CASE WHEN trim(ed.first_name) != '' THEN ed.first_name END)")} AS first_name,
-    {display("min(CASE WHEN trim(ed.last_name) != '' THEN ed.last_name END)")} AS last_name,
-    min(ed.salutation) AS salutation, min(ed.phone) AS phone, min(ed.mobile_phone) AS mobile_phone,
-    min(lower(trim(ed.email))) AS email_1, min(hc.eb_email) AS email_2, min(ed.fax) AS fax,
-    min(ed.country) AS country, min(ed.state_) AS state_, min(ed.city) AS city, min(ed.street) AS street,
-    min(ed.postal_code) AS postal_code, min(ed.company) AS company,
-    first(ed.participant_type ORDER BY ed.event_date DESC NULLS LAST, ed.participant_type DESC NULLS LAST)
-      AS participant_type,
-    min(ed.opted_out_of_email) AS opted_out_of_email,
-    min(lw.latest_worship_date) AS latest_worship_date,
-    min(hr.baseline_rate) AS baseline_rate, min(hr.recent_rate) AS recent_rate,
-    min(CASE WHEN hr.contact_id IS NOT NULL THEN hr.rule_based_flag ELSE 'Not Applicable' END) AS rule_based_flag,
-    min(CASE WHEN hr.contact_id IS NOT NULL THEN hr.statistical_flag ELSE 'Not Applicable' END) AS statistical_flag,
-    min(CASE WHEN hr.contact_id IS NOT NULL THEN hr.hybrid_flag ELSE 'Not Applicable' END) AS hybrid_flag,
-    min(lw.in_person_prop) AS in_person_prop, min(lw.second_service_prop) AS second_service_prop,
-    CASE WHEN min(hc.first_event_date) IS NOT NULL AND min(hc.first_event_date) < min(fe_sf.first_event_date)
-         THEN min(hc.first_event_date) ELSE min(fe_sf.first_event_date) END AS first_event_date,
-    CASE WHEN min(hc.first_event_date) IS NOT NULL AND min(hc.first_event_date) < min(fe_sf.first_event_date)
-         THEN min(hc.first_event_name)
-         WHEN min(fe_sf.first_event_date) IS NOT NULL THEN 'Worship' END AS first_event_name,
-    min(fm.eb_contact_id) AS possible_duplicate_contact_id,
-    min(fm.name_similarity) AS name_similarity
-  FROM event_detail ed
-  LEFT JOIN latest_worship lw ON ed.contact_id = lw.contact_id
-  LEFT JOIN hybrid_risk hr ON ed.contact_id = hr.contact_id
-  LEFT JOIN first_event_sf fe_sf ON ed.contact_id = fe_sf.contact_id
-  LEFT JOIN hc_pick hc ON ed.contact_id = hc.sf_contact_id
-  LEFT JOIN fm_pick fm ON ed.contact_id = fm.sf_contact_id
-  GROUP BY ed.contact_id
-  HAVING min(CASE WHEN trim(ed.first_name) != '' THEN ed.first_name END) IS NOT NULL
-     AND min(CASE WHEN trim(ed.last_name) != '' THEN ed.last_name END) IS NOT NULL)""",
-    f"""eb_normalized AS (
-  SELECT lower(trim(email)) AS email_key, first_name, last_name, phone_raw
-  FROM stg_attendees WHERE {VALID_EMAIL})""",
-    f"""eb_only_contacts AS (
-  SELECT 'eb_' || md5(n.email_key) AS contact_id,
-    {display("first(n.first_name ORDER BY n.first_name, n.last_name)")} AS first_name,
-    {display("first(n.last_name ORDER BY n.first_name, n.last_name)")} AS last_name,
-    CAST(NULL AS VARCHAR) AS salutation, min(n.phone_raw) AS phone, CAST(NULL AS VARCHAR) AS mobile_phone,
-    n.email_key AS email_1, CAST(NULL AS VARCHAR) AS email_2, CAST(NULL AS VARCHAR) AS fax,
-    CAST(NULL AS VARCHAR) AS country, CAST(NULL AS VARCHAR) AS state_, CAST(NULL AS VARCHAR) AS city,
-    CAST(NULL AS VARCHAR) AS street, CAST(NULL AS VARCHAR) AS postal_code, CAST(NULL AS VARCHAR) AS company,
-    CAST(NULL AS VARCHAR) AS participant_type, CAST(NULL AS BOOLEAN) AS opted_out_of_email,
-    CAST(NULL AS DATE) AS latest_worship_date, CAST(NULL AS DOUBLE) AS baseline_rate,
-    CAST(NULL AS DOUBLE) AS recent_rate, 'Not Applicable' AS rule_based_flag,
-    'Not Applicable' AS statistical_flag, 'Not Applicable' AS hybrid_flag,
-    CAST(NULL AS DOUBLE) AS in_person_prop, CAST(NULL AS DOUBLE) AS second_service_prop,
-    min(fe_eb.first_event_date) AS first_event_date, min(fe_eb.first_event_name) AS first_event_name,
-    min(CASE WHEN nr.match_confidence IN ('medium', 'low') AND nr.n_sf_same_name = 1
-             THEN nr.sf_contact_id END) AS possible_duplicate_contact_id,
-    min(nr.name_similarity) AS name_similarity
-  FROM eb_normalized n
-  LEFT JOIN sf_emails sf_e ON n.email_key = sf_e.email
-  LEFT JOIN high_conf hc ON n.email_key = hc.eb_email
-  LEFT JOIN name_resolution nr ON n.email_key = nr.eb_email
-  LEFT JOIN first_event_eb fe_eb ON n.email_key = fe_eb.email_key
-  WHERE sf_e.email IS NULL AND hc.eb_email IS NULL
-  GROUP BY n.email_key)""",
-    """dim_members AS (
-  SELECT * FROM sf_members UNION ALL SELECT * FROM eb_only_contacts)""",
-    """attended AS (
-  SELECT e.event_id, e.event_date, d.time_bucket, e.event_time, e.type, e.event_format, ed.attendance_type,
-    m.contact_id, m.first_name, m.last_name, m.participant_type
-  FROM event_detail ed
-  JOIN dim_members m ON ed.contact_id = m.contact_id
-  JOIN dim_events e ON ed.event_id = e.event_id
-  JOIN dim_dates d ON e.event_date = d.date
-  WHERE ed.attendance_indicator = TRUE)""",
-    """primary_services AS (
-  SELECT time_bucket, contact_id,
-    count(DISTINCT CASE WHEN type = 'Worship Service' AND attendance_type = 'In-Person' THEN event_date END)
-      AS in_person_count,
-    count(DISTINCT CASE WHEN type = 'Worship Service' AND event_time = '11:30 AM' THEN event_date END)
-      AS second_service_count,
-    count(DISTINCT event_date) AS events_attended
-  FROM attended GROUP BY 1, 2)""",
-    """fact_attendance AS (
-  SELECT DISTINCT a.event_id, a.event_date, a.time_bucket, a.event_time, a.type, a.event_format,
-    a.attendance_type, a.contact_id, a.first_name, a.last_name, a.participant_type,
-    p.in_person_count, p.second_service_count,
-    count(DISTINCT a.event_date) OVER (PARTITION BY a.contact_id, a.time_bucket) AS events_attended,
-    count(DISTINCT a.event_date) OVER (PARTITION BY a.time_bucket) AS events_sum
-  FROM attended a
-  LEFT JOIN primary_services p ON p.time_bucket = a.time_bucket AND p.contact_id = a.contact_id)""",
-    """sf_email_to_contact AS (
-  SELECT email, contact_id FROM (
-    SELECT lower(trim(email)) AS email, contact_id,
-      row_number() OVER (PARTITION BY lower(trim(email))
-                         ORDER BY event_date DESC NULLS LAST, contact_id DESC NULLS LAST) AS rn
-    FROM event_detail WHERE email IS NOT NULL) WHERE rn = 1)""",
-    """deduped_attendees AS (
-  SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY eventbrite_event_id, lower(trim(email))
-                                 ORDER BY checked_in DESC NULLS LAST, eventbrite_attendee_id ASC NULLS FIRST) AS rn
-    FROM stg_attendees) WHERE rn = 1)""",
-    """ticket_attendance AS (
-  SELECT e.eventbrite_event_id AS event_id, e.event_name, e.type, e.event_format, e.event_date, e.event_time,
-    coalesce(sf.contact_id, 'eb_' || a.eventbrite_attendee_id) AS contact_id,
-    a.first_name, a.last_name, lower(trim(a.email)) AS email, a.phone_raw AS phone,
-    a.checked_in AS attendance_indicator,
-    CASE WHEN e.event_format = 'Online' THEN 'Online' ELSE 'In-Person' END AS attendance_type
-  FROM deduped_attendees a
-  JOIN stg_events e ON a.eventbrite_event_id = e.eventbrite_event_id
-  LEFT JOIN sf_email_to_contact sf ON lower(trim(a.email)) = sf.email)""",
+def days_where(cond: str, visits: str = "visits") -> str:
+    return f"len(list_distinct([v.event_date FOR v IN {visits} IF {cond}]))"
+
+
+def least_of(column: str, cond: str = "true") -> str:
+    return f"list_min([v.{column} FOR v IN visits IF {cond}])"
+
+
+MODELS = {
+    "visit": f"""
+      SELECT {VISIT} FROM (
+        SELECT CampaignId AS event_id, Name AS event_name, Description AS description, Type AS type,
+               Format__c AS event_format, EndDate AS event_date, Service_Time__c AS event_time, BudgetedCost AS budget,
+               ActualCost AS cost, ExpectedRevenue AS expected_revenue, ContactId AS contact_id, FirstName AS first_name,
+               LastName AS last_name, Salutation AS salutation, Phone AS phone, MobilePhone AS mobile_phone,
+               Email AS email, Fax AS fax, Country AS country, State AS state_, City AS city, Street AS street,
+               PostalCode AS postal_code, CompanyOrAccount AS company, Participant_Type__c AS participant_type,
+               HasOptedOutOfEmail AS opted_out_of_email, Status AS status,
+               Attendance_Indicator__c AS attendance_indicator, {status_kind('Status')} AS attendance_type
+        FROM campaign_member m, campaign c WHERE m.CampaignId = c.Id) GROUP BY ALL""",
+    "event_day": "SELECT event_date, bool_or(type = 'Worship Service') AS worship FROM visit GROUP BY event_date",
+    "person": """
+      SELECT contact_id, list({'event_date': event_date, 'type': type, 'event_time': event_time, 'kind': attendance_type,
+               'role': participant_type, 'first': first_name, 'last': last_name, 'mail': email, 'salutation': salutation,
+               'phone': phone, 'mobile_phone': mobile_phone, 'fax': fax, 'country': country, 'state_': state_, 'city': city,
+               'street': street, 'postal_code': postal_code, 'company': company, 'opted': opted_out_of_email}) AS visits
+      FROM visit GROUP BY contact_id""",
+    "window_days": f"""
+      SELECT count(*) FILTER (worship AND {days_ago('event_date')} <= {3 * RATE_STEP}) AS recent_worship,
+             count(*) FILTER (worship AND {days_ago('event_date')} BETWEEN {3 * RATE_STEP + 1} AND {6 * RATE_STEP}) AS baseline_worship
+      FROM event_day""",
+    "in_windows": f"""
+      SELECT contact_id, {days_where(f"{_W} AND list_contains({ROLES}, v.role) AND {_RECENT}")} AS recent_attendance,
+             {days_where(f"{_W} AND list_contains({ROLES}, v.role) AND {_BASE}")} AS baseline_attendance
+      FROM person WHERE len([v FOR v IN visits IF {_W} AND list_contains({ROLES}, v.role)]) > 0""",
+    "rated": """
+      SELECT contact_id, recent_attendance / nullif((SELECT recent_worship FROM window_days), 0) AS recent_rate,
+             baseline_attendance / nullif((SELECT baseline_worship FROM window_days), 0) AS baseline_rate,
+             1 - recent_attendance / nullif(baseline_attendance, 0) AS drop_share,
+             (baseline_attendance - recent_attendance) / nullif(baseline_attendance, 0) AS drop_ratio
+      FROM in_windows""",
+    "spread": "SELECT avg(recent_rate) AS mean_recent, stddev_samp(recent_rate) AS sd_recent FROM rated",
+    "graded": """
+      SELECT *, CASE WHEN z <= -1 THEN 'High' WHEN z <= -0.5 THEN 'Medium' WHEN z IS NOT NULL THEN 'Low' ELSE 'Not Applicable' END AS statistical_flag,
+             CASE WHEN baseline_rate < 0.4 THEN if(drop_ratio < 0.2, 'Low', 'Not Applicable')
+                  WHEN baseline_rate >= 0.7 AND drop_ratio >= 0.5 THEN 'High'
+                  WHEN baseline_rate <= 0.7 AND drop_ratio >= 0.6 THEN 'Medium' ELSE 'Not Applicable' END AS rule_based_flag
+      FROM (SELECT r.*, (recent_rate - (SELECT mean_recent FROM spread)) / nullif((SELECT sd_recent FROM spread), 0) AS z FROM rated r)""",
+    "at_risk": """
+      SELECT contact_id, baseline_rate, recent_rate, rule_based_flag, statistical_flag,
+             CASE WHEN 'Not Applicable' IN (rule_based_flag, statistical_flag) THEN 'Not Applicable'
+                  WHEN rule_based_flag = statistical_flag THEN rule_based_flag ELSE 'Medium' END AS hybrid_flag
+      FROM graded WHERE baseline_rate > 0 AND (baseline_rate >= 0.20 OR recent_rate >= 0.20)""",
+    "worshipper": f"""
+      SELECT contact_id, list_max([v.event_date FOR v IN visits IF {_W}]) AS latest_worship_date,
+             {days_where(_W + " AND v.kind = 'In-Person'")} / nullif({days_where(_W)}, 0) AS in_person_prop,
+             {days_where(_W + " AND v.event_time = '11:30 AM'")} / nullif({days_where(_W)}, 0) AS second_service_prop
+      FROM person WHERE len([v FOR v IN visits IF {_W}]) > 0""",
+    "crm_start": f"SELECT contact_id, {least_of('event_date')} AS first_event_date, 'Worship' AS first_event_name FROM person",
+    "last_role": """
+      SELECT contact_id, arg_max(participant_type, {'day': coalesce(event_date, DATE '0001-01-01'), 'role': coalesce(participant_type, '')}) AS participant_type
+      FROM visit GROUP BY contact_id""",
+    "live_event": """
+      SELECT CAST(id AS VARCHAR) AS eventbrite_event_id, name_text AS event_name, description_text AS description,
+             'Eventbrite' AS event_source,
+             CASE WHEN name_text ILIKE '%worship%' THEN 'Worship Service' WHEN name_text ILIKE '%prayer%' THEN 'Prayer'
+                  WHEN regexp_matches(lower(name_text), 'bible|study') THEN 'Bible Study' ELSE 'Event' END AS type,
+             if(online_event IS true, 'Online', 'In-Person') AS event_format, CAST(start_local AS DATE) AS event_date,
+             strftime(start_local, '%I:%M %p') AS event_time, start_local AS event_start_at, end_local AS event_end_at,
+             venue_id, capacity, status, is_free, _fivetran_synced AS synced_at
+      FROM ticket_event WHERE _fivetran_deleted IS false AND status <> 'draft'""",
+    "registration": f"""
+      SELECT CAST(id AS VARCHAR) AS eventbrite_attendee_id, CAST(event_id AS VARCHAR) AS eventbrite_event_id,
+             CAST(order_id AS VARCHAR) AS eventbrite_order_id, profile_first_name AS first_name, profile_last_name AS last_name,
+             {key('profile_email')} AS email, array_to_string(regexp_extract_all(profile_cell_phone, '[0-9]'), '') AS phone_normalized,
+             profile_cell_phone AS phone_raw, checked_in, status, created AS registered_at, _fivetran_synced AS synced_at
+      FROM ticket_attendee WHERE NOT (cancelled OR refunded OR _fivetran_deleted)""",
+    "purchase": f"""
+      SELECT CAST(id AS VARCHAR) AS eventbrite_order_id, CAST(event_id AS VARCHAR) AS eventbrite_event_id,
+             owner_first_name AS first_name, owner_last_name AS last_name, {key('owner_email')} AS email, status,
+             gross_major_value AS order_total, gross_currency AS currency, created AS ordered_at, _fivetran_synced AS synced_at
+      FROM ticket_order WHERE NOT _fivetran_deleted""",
+    "ticket_start": """
+      SELECT email AS email_key, min(event_date) AS first_event_date,
+             list_sort(list({'dated': event_date IS NOT NULL, 'day': event_date, 'named': event_name IS NOT NULL, 'name': event_name}))[1].name AS first_event_name
+      FROM registration JOIN live_event USING (eventbrite_event_id) GROUP BY email""",
+    "crm_person": f"""
+      SELECT contact_id, pick['f'] AS first_name, pick['l'] AS last_name, email
+      FROM (SELECT contact_id, list_min([{{'f': v.first, 'l': v.last}} FOR v IN visits IF v.first IS NOT NULL AND v.last IS NOT NULL]) AS pick,
+                   list_min([{key('v.mail')} FOR v IN visits IF v.first IS NOT NULL AND v.last IS NOT NULL]) AS email FROM person)
+      WHERE pick IS NOT NULL""",
+    "crm_mail": f"SELECT {key('email')} AS email FROM visit WHERE email IS NOT NULL GROUP BY 1",
+    "reachable": f"""
+      SELECT {key('email')} AS email_key, first_name, last_name, phone_raw FROM registration
+      WHERE contains(email, '@') AND NOT list_contains({PLACEHOLDERS}, {strip('email')})
+        AND {strip('first_name')} <> '' AND {strip('last_name')} <> ''""",
+    "guest": """
+      SELECT email_key, n['f'] AS first_name, n['l'] AS last_name, phone
+      FROM (SELECT email_key, min({'f': first_name, 'l': last_name}) AS n, min(phone_raw) AS phone FROM reachable r
+            WHERE NOT EXISTS (FROM crm_mail c WHERE c.email = r.email_key) GROUP BY email_key)""",
+    "crm_bearers": f"""
+      SELECT {key('first_name')} AS f, {key('last_name')} AS l, list(contact_id) AS ids FROM crm_person GROUP BY 1, 2""",
+    "same_name": f"""
+      SELECT email_key AS eb_email, f || ' ' || l AS name_key, ids FROM guest, crm_bearers
+      WHERE f = {key('first_name')} AND l = {key('last_name')}""",
+    "exact": """
+      SELECT eb_email, if(len(ids) = 1, ids[1], NULL) AS sf_contact_id, len(ids) AS n_sf_same_name,
+             CAST(NULL AS DOUBLE) AS name_similarity, if(len(ids) = 1, 'high', 'ambiguous') AS match_confidence FROM same_name""",
+    "unmatched": "SELECT email_key, first_name, last_name, phone FROM guest WHERE email_key NOT IN (SELECT eb_email FROM same_name)",
+    "spelled": f"""
+      SELECT name, {grams('name')} AS g FROM (SELECT DISTINCT {key('first_name')} || ' ' || {key('last_name')} AS name FROM unmatched)""",
+    "crm_spelled": f"""
+      SELECT name, c, {grams('name')} AS g
+      FROM (SELECT f || ' ' || l AS name, list_min(flatten(list(ids))) AS c FROM crm_bearers GROUP BY 1)""",
+    "nearest": """
+      SELECT a AS eb_name, best['b'] AS sf_name, best['c'] AS sf_contact_id, best['common'] AS shared_bigrams,
+             best['na'] AS eb_bigram_count, best['nb'] AS sf_bigram_count, -best['minus'] AS similarity
+      FROM (SELECT a, min({'minus': -(common / greatest(na, nb, 1)), 'c': c, 'b': b, 'common': common, 'na': na, 'nb': nb}) AS best
+            FROM (SELECT s.name AS a, t.name AS b, t.c AS c, len(list_intersect(s.g, t.g)) AS common, len(s.g) AS na, len(t.g) AS nb
+                  FROM spelled s, crm_spelled t)
+            GROUP BY a)
+      WHERE best['minus'] <= -0.4""",
+    "lookalike": f"""
+      SELECT email_key AS eb_email, sf_contact_id, CAST(1 AS BIGINT) AS n_sf_same_name,
+             floor(100 * shared_bigrams / greatest(eb_bigram_count, sf_bigram_count, 1) + 0.5) / 100 AS name_similarity,
+             if(similarity >= 0.6, 'medium', 'low') AS match_confidence
+      FROM unmatched JOIN nearest ON eb_name = {key('first_name')} || ' ' || {key('last_name')}""",
+    "resolved": "FROM exact UNION ALL BY NAME FROM lookalike",
+    "merged": "SELECT sf_contact_id, eb_email FROM resolved WHERE match_confidence = 'high'",
+    "suspected": """
+      SELECT sf_contact_id, 'eb_' || md5(eb_email) AS eb_contact_id, name_similarity FROM resolved
+      WHERE match_confidence = 'medium' OR match_confidence = 'low'""",
+    "merged_one": """
+      SELECT sf_contact_id, m['mail'] AS mail, m['day'] AS day, m['name'] AS name
+      FROM (SELECT sf_contact_id, min({'undated': first_event_date IS NULL, 'day': first_event_date, 'mail': eb_email, 'name': first_event_name}) AS m
+            FROM merged LEFT JOIN ticket_start ON email_key = eb_email GROUP BY sf_contact_id)""",
+    "suspected_one": """
+      SELECT sf_contact_id, s['id'] AS id, -s['minus'] AS similarity
+      FROM (SELECT sf_contact_id, min({'minus': -name_similarity, 'id': eb_contact_id}) AS s FROM suspected GROUP BY sf_contact_id)""",
+    "member_name": f"""
+      SELECT contact_id, visits, {least_of('first', f"{strip('v.first')} <> ''")} AS f, {least_of('last', f"{strip('v.last')} <> ''")} AS l
+      FROM person""",
+    "crm_member": f"""
+      SELECT p.contact_id, {titled('f')} AS first_name, {titled('l')} AS last_name, {least_of('salutation')} AS salutation,
+             {least_of('phone')} AS phone, {least_of('mobile_phone')} AS mobile_phone,
+             list_min([{key('v.mail')} FOR v IN visits]) AS email_1, mail AS email_2, {least_of('fax')} AS fax,
+             {least_of('country')} AS country, {least_of('state_')} AS state_, {least_of('city')} AS city,
+             {least_of('street')} AS street, {least_of('postal_code')} AS postal_code, {least_of('company')} AS company,
+             participant_type, {least_of('opted')} AS opted_out_of_email, latest_worship_date, baseline_rate, recent_rate,
+             coalesce(rule_based_flag, 'Not Applicable') AS rule_based_flag,
+             coalesce(statistical_flag, 'Not Applicable') AS statistical_flag,
+             coalesce(hybrid_flag, 'Not Applicable') AS hybrid_flag, in_person_prop, second_service_prop,
+             if(m.day < s.first_event_date, m.day, s.first_event_date) AS first_event_date,
+             CASE WHEN m.day < s.first_event_date THEN m.name WHEN s.first_event_date IS NOT NULL THEN 'Worship' END AS first_event_name,
+             x.id AS possible_duplicate_contact_id, x.similarity AS name_similarity
+      FROM member_name p LEFT JOIN last_role USING (contact_id) LEFT JOIN worshipper USING (contact_id)
+           LEFT JOIN at_risk USING (contact_id) LEFT JOIN crm_start s USING (contact_id)
+           LEFT JOIN merged_one m ON m.sf_contact_id = p.contact_id LEFT JOIN suspected_one x ON x.sf_contact_id = p.contact_id
+      WHERE f IS NOT NULL AND l IS NOT NULL""",
+    "ticket_member": f"""
+      SELECT 'eb_' || md5(g.email_key) AS contact_id, {titled('g.first_name')} AS first_name, {titled('g.last_name')} AS last_name,
+             g.phone AS phone, g.email_key AS email_1, 'Not Applicable' AS rule_based_flag, 'Not Applicable' AS statistical_flag,
+             'Not Applicable' AS hybrid_flag, t.first_event_date, t.first_event_name,
+             if(r.match_confidence IN ('medium', 'low'), r.sf_contact_id, NULL) AS possible_duplicate_contact_id, r.name_similarity
+      FROM guest g LEFT JOIN resolved r ON r.eb_email = g.email_key LEFT JOIN ticket_start t ON t.email_key = g.email_key
+      WHERE r.match_confidence IS DISTINCT FROM 'high'""",
+    # the member shape for both: absent columns become typed NULLs
+    "member": "FROM (FROM crm_member WHERE false) UNION ALL BY NAME FROM crm_member UNION ALL BY NAME FROM ticket_member",
+    "ticket_shaped": "FROM (FROM crm_member WHERE false) UNION ALL BY NAME FROM ticket_member",
+    "presence": f"""
+      SELECT event_id, event_date, {bucket_of('event_date', BUCKET_STEP)} AS time_bucket, event_time, type, event_format,
+             attendance_type, contact_id, m.first_name, m.last_name, m.participant_type
+      FROM (SELECT * FROM visit WHERE attendance_indicator AND event_date BETWEEN DATE '2020-01-01' AND {TODAY}) v
+           JOIN crm_member m USING (contact_id) GROUP BY ALL""",
+    "served": """
+      SELECT time_bucket, contact_id, len(list_distinct([x.d FOR x IN days IF x.w AND x.k = 'In-Person'])) AS in_person_count,
+             len(list_distinct([x.d FOR x IN days IF x.w AND x.t = '11:30 AM'])) AS second_service_count,
+             len(list_distinct([x.d FOR x IN days])) AS events_attended
+      FROM (SELECT time_bucket, contact_id, list({'d': event_date, 'w': type = 'Worship Service', 'k': attendance_type, 't': event_time}) AS days
+            FROM presence GROUP BY time_bucket, contact_id)""",
+    "busy": "SELECT time_bucket, len(list_distinct(list(event_date))) AS events_sum FROM presence GROUP BY time_bucket",
+    "mail_owner": f"""
+      SELECT email, arg_max(contact_id, {{'day': coalesce(event_date, DATE '0001-01-01'), 'who': contact_id}}) AS contact_id
+      FROM (SELECT {key('email')} AS email, event_date, contact_id FROM visit WHERE email IS NOT NULL) GROUP BY email""",
+    "counted_once": """
+      SELECT r.* FROM registration r,
+        (SELECT list_sort(list({'away': NOT checked_in, 'named': eventbrite_attendee_id IS NOT NULL, 'id': eventbrite_attendee_id,
+                                'event': eventbrite_event_id, 'mail': email}))[1] AS k
+         FROM registration GROUP BY eventbrite_event_id, email)
+      WHERE r.eventbrite_attendee_id IS NOT DISTINCT FROM k['id'] AND r.eventbrite_event_id = k['event']
+        AND r.email IS NOT DISTINCT FROM k['mail'] AND r.checked_in <> k['away']""",
+    "ticket_presence": """
+      SELECT e.eventbrite_event_id AS event_id, e.event_name, e.type, e.event_format, e.event_date, e.event_time,
+             coalesce(o.contact_id, 'eb_' || r.eventbrite_attendee_id) AS contact_id, r.first_name, r.last_name, r.email,
+             r.phone_raw AS phone, r.checked_in AS attendance_indicator, e.event_format AS attendance_type
+      FROM counted_once r JOIN live_event e USING (eventbrite_event_id) LEFT JOIN mail_owner o ON o.email = r.email""",
+}
+
+# -- declared tests: (relation, model, key, other required columns) -----------------------
+REQUIRED = [
+    ("stg_ticket_events", "live_event", "eventbrite_event_id", ["event_name", "event_date"]),
+    ("stg_ticket_attendees", "registration", "eventbrite_attendee_id", ["email"]),
+    ("stg_ticket_orders", "purchase", "eventbrite_order_id", ["email"]),
 ]
 
-DQ_UNIQUE = [("stg_ticket_events", "stg_events", "eventbrite_event_id"),
-             ("stg_ticket_attendees", "stg_attendees", "eventbrite_attendee_id"),
-             ("stg_ticket_orders", "stg_orders", "eventbrite_order_id")]
-DQ_NOT_NULL = [("stg_ticket_events", "stg_events", "eventbrite_event_id", "eventbrite_event_id"),
-               ("stg_ticket_events", "stg_events", "event_name", "eventbrite_event_id"),
-               ("stg_ticket_events", "stg_events", "event_date", "eventbrite_event_id"),
-               ("stg_ticket_attendees", "stg_attendees", "eventbrite_attendee_id", "eventbrite_attendee_id"),
-               ("stg_ticket_attendees", "stg_attendees", "email", "eventbrite_attendee_id"),
-               ("stg_ticket_orders", "stg_orders", "eventbrite_order_id", "eventbrite_order_id"),
-               ("stg_ticket_orders", "stg_orders", "email", "eventbrite_order_id")]
-
-_UNIQUE_SQL = "\nUNION ALL\n".join(
-    f"SELECT '{r}' AS relation, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n_rows "
-    f"FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1"
-    for r, t, c in DQ_UNIQUE
+
+def _union(parts) -> str:
+    return " UNION ALL ".join(parts)
+
+
+TWICE = _union(
+    f"SELECT '{r}' AS relation, '{k}' AS column_name, {k} AS value, count(*) AS n_rows FROM {m} GROUP BY {k} HAVING count({k}) > 1"
+    for r, m, k, _ in REQUIRED
 )
-_NOT_NULL_SQL = "\nUNION ALL\n".join(
-    f"SELECT '{r}' AS relation, '{c}' AS column_name, CAST({k} AS VARCHAR) AS row_key FROM {t} WHERE {c} IS NULL"
-    for r, t, c, k in DQ_NOT_NULL
+ABSENT = _union(
+    f"SELECT '{r}' AS relation, '{c}' AS column_name, {k} AS row_key FROM {m} WHERE {c} IS NULL"
+    for r, m, k, others in REQUIRED
+    for c in [k, *others]
 )
-_SUMMARY_SQL = "\nUNION ALL\n".join(
-    [
-        f"SELECT '{r}' AS relation, '{c}' AS column_name, 'unique' AS test, "
-        f"(SELECT count(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)) AS failures"
-        for r, t, c in DQ_UNIQUE
-    ]
-    + [
-        f"SELECT '{r}' AS relation, '{c}' AS column_name, 'not_null' AS test, "
-        f"(SELECT count(*) FROM {t} WHERE {c} IS NULL) AS failures"
-        for r, t, c, _ in DQ_NOT_NULL
-    ]
+COUNTED = _union(
+    f"SELECT '{r}' AS relation, '{c}' AS column_name, '{t}' AS test, (SELECT count(*) FROM ({found}) f "
+    f"WHERE f.relation = '{r}' AND f.column_name = '{c}') AS failures"
+    for r, _, k, others in REQUIRED
+    for c, t, found in [(k, "unique", TWICE), *[(c, "not_null", ABSENT) for c in [k, *others]]]
 )
 
-FINAL = {
-    "scan_campaign": "SELECT * FROM campaign",
-    "scan_campaign_member": "SELECT * FROM campaign_member",
-    "event_detail": "SELECT * FROM event_detail",
-    "attendance_type": """SELECT Status AS status,
-        CASE WHEN Status IN ('Attended', 'Attendeed') THEN 'In-Person'
-             WHEN Status IN ('Attended Online', 'Attended (Online)', 'Attended  (Online)') THEN 'Online'
-             ELSE Status END AS attendance_type, count(*) AS n_rows
-      FROM campaign_member GROUP BY 1, 2""",
-    "stg_ticket_events": "SELECT * FROM stg_events",
-    "event_classification": "SELECT eventbrite_event_id, event_name, type, event_format FROM stg_events",
-    "stg_ticket_attendees": "SELECT * FROM stg_attendees",
-    "stg_ticket_orders": "SELECT * FROM stg_orders",
-    "normalize_email": "SELECT id AS attendee_id, profile_email AS raw_email, lower(trim(profile_email)) AS email FROM ticket_attendee",
-    "normalize_phone": "SELECT id AS attendee_id, profile_cell_phone AS phone_raw, regexp_replace(profile_cell_phone, '[^0-9]', '', 'g') AS phone_normalized FROM ticket_attendee",
-    "proper_case_names": f"""SELECT DISTINCT FirstName AS raw_first_name, LastName AS raw_last_name,
-        {display('FirstName')} AS first_name, {display('LastName')} AS last_name FROM campaign_member""",
-    "dim_events": "SELECT * FROM dim_events",
-    "event_calendar": "SELECT * FROM dim_dates_cal WHERE date IN (SELECT event_date FROM event_detail)",
-    "time_bucket": f"SELECT DISTINCT event_date, {bucket('event_date', BUCKET_P, AS_OF)} AS time_bucket FROM event_detail",
-    "period_event_days": "SELECT * FROM worship_events",
-    "member_period_attendance": "SELECT * FROM member_attendance",
-    "attendance_rates": "SELECT * FROM risk_profiling",
-    "rate_stats": "SELECT round(mean_recent, 6) AS mean_recent, round(sd_recent, 6) AS sd_recent FROM stats_summary",
-    "risk_eligible": """SELECT contact_id, baseline_rate, recent_rate FROM risk_profiling
-      WHERE baseline_rate > 0 AND NOT (baseline_rate < 0.20 AND recent_rate < 0.20)""",
-    "risk_rule_flag": "SELECT contact_id, baseline_rate, drop_ratio, rule_based_flag FROM rule_cases",
-    "risk_statistical_flag": "SELECT contact_id, recent_rate, statistical_flag FROM stat_cases",
-    "risk_flags": "SELECT * FROM risk",
-    "hybrid_risk": "SELECT * FROM hybrid_risk",
-    "latest_worship": "SELECT * FROM latest_worship",
-    "first_crm_event": "SELECT * FROM first_event_sf",
-    "first_ticket_event": "SELECT * FROM first_event_eb",
-    "crm_contacts": "SELECT * FROM sf_contacts",
-    "valid_attendee_contacts": "SELECT * FROM eb_normalized",
-    "ticket_contacts_not_in_crm": "SELECT * FROM eb_candidates",
-    "exact_name_match": "SELECT * FROM tier2",
-    "unresolved_ticket_contacts": "SELECT * FROM eb_unresolved",
-    "name_similarity_pairs": """SELECT eb_email, sf_contact_id, shared_bigrams, eb_bigram_count, sf_bigram_count,
-        shared_bigrams / g AS similarity FROM name_bigrams WHERE shared_bigrams / g >= 0.4""",
-    "best_similar_name": "SELECT * FROM tier3 WHERE match_confidence IS NOT NULL",
-    "name_resolution": "SELECT * FROM name_resolution",
-    "high_confidence_matches": "SELECT * FROM high_conf",
-    "flagged_matches": "SELECT * FROM flagged",
-    "surrogate_contact_id": "SELECT email_key, 'eb_' || md5(email_key) AS contact_id FROM eb_candidates",
-    "crm_members": "SELECT * FROM sf_members",
-    "ticket_only_contacts": "SELECT * FROM eb_only_contacts",
-    "dim_members": "SELECT * FROM dim_members",
-    "first_touch": "SELECT contact_id, first_event_date, first_event_name FROM sf_members",
-    "attendance_base": """SELECT DISTINCT event_id, event_date, time_bucket, event_time, type, event_format,
-        attendance_type, contact_id, first_name, last_name, participant_type FROM attended""",
-    "service_counts": "SELECT * FROM primary_services",
-    "events_attended": """SELECT DISTINCT contact_id, time_bucket,
-        count(DISTINCT event_date) OVER (PARTITION BY contact_id, time_bucket) AS events_attended FROM attended""",
-    "events_per_bucket": """SELECT DISTINCT time_bucket,
-        count(DISTINCT event_date) OVER (PARTITION BY time_bucket) AS events_sum FROM attended""",
-    "fact_attendance": "SELECT * FROM fact_attendance",
-    "email_to_contact": "SELECT * FROM sf_email_to_contact",
-    "dedup_attendees": "SELECT * FROM deduped_attendees",
-    "ticket_attendance": "SELECT * FROM ticket_attendance",
-    "dq_unique_violations": _UNIQUE_SQL,
-    "dq_not_null_violations": _NOT_NULL_SQL,
-    "dq_summary": _SUMMARY_SQL,
+ANSWERS = {
+    "scan_campaign": "FROM campaign",
+    "scan_campaign_member": "FROM campaign_member",
+    "event_detail": "FROM visit",
+    "attendance_type": f"SELECT Status AS status, {status_kind('Status')} AS attendance_type, count(*) AS n_rows FROM campaign_member GROUP BY ALL",
+    "stg_ticket_events": "FROM live_event",
+    "event_classification": "SELECT eventbrite_event_id, event_name, type, event_format FROM live_event",
+    "stg_ticket_attendees": "FROM registration",
+    "stg_ticket_orders": "FROM purchase",
+    "normalize_email": f"SELECT id AS attendee_id, profile_email AS raw_email, {key('profile_email')} AS email FROM ticket_attendee",
+    "normalize_phone": "SELECT id AS attendee_id, profile_cell_phone AS phone_raw, array_to_string(regexp_extract_all(profile_cell_phone, '[0-9]'), '') AS phone_normalized FROM ticket_attendee",
+    "proper_case_names": f"SELECT FirstName AS raw_first_name, LastName AS raw_last_name, {titled('FirstName')} AS first_name, {titled('LastName')} AS last_name FROM campaign_member GROUP BY ALL",
+    "dim_events": "SELECT event_id, event_name, description, type, event_format, event_date, event_time, budget, cost, expected_revenue FROM visit GROUP BY ALL",
+    "event_calendar": f"SELECT c.* FROM ({calendar(CALENDAR_STEP)}) c JOIN event_day ON event_date = c.date",
+    "time_bucket": f"SELECT event_date, {bucket_of('event_date', BUCKET_STEP)} AS time_bucket FROM event_day",
+    "period_event_days": "FROM window_days",
+    "member_period_attendance": "FROM in_windows",
+    "attendance_rates": "SELECT contact_id, recent_rate, baseline_rate, drop_ratio FROM rated",
+    "rate_stats": "SELECT round(mean_recent, 6) AS mean_recent, round(sd_recent, 6) AS sd_recent FROM spread",
+    "risk_eligible": "SELECT contact_id, baseline_rate, recent_rate FROM at_risk",
+    "risk_rule_flag": "SELECT contact_id, baseline_rate, drop_ratio, rule_based_flag FROM graded",
+    "risk_statistical_flag": "SELECT contact_id, recent_rate, statistical_flag FROM graded",
+    "risk_flags": "SELECT contact_id, baseline_rate, recent_rate, rule_based_flag, statistical_flag FROM at_risk",
+    "hybrid_risk": "FROM at_risk",
+    "latest_worship": "FROM worshipper",
+    "first_crm_event": "FROM crm_start",
+    "first_ticket_event": "FROM ticket_start",
+    "latest_participant_type": "FROM last_role",
+    "crm_contacts": "FROM crm_person",
+    "valid_attendee_contacts": "FROM reachable",
+    "ticket_contacts_not_in_crm": "SELECT email_key, first_name, last_name FROM guest",
+    "exact_name_match": "FROM exact",
+    "ambiguous_name_emails": "SELECT eb_email, name_key FROM same_name WHERE len(ids) > 1",
+    "ambiguous_name_contacts": "SELECT name_key, unnest(ids) AS sf_contact_id FROM (SELECT DISTINCT name_key, ids FROM same_name WHERE len(ids) > 1)",
+    "unresolved_ticket_contacts": "SELECT email_key, first_name, last_name FROM unmatched",
+    "name_similarity_pairs": "FROM nearest",
+    "best_similar_name": "FROM lookalike",
+    "name_resolution": "FROM resolved",
+    "high_confidence_matches": "FROM merged",
+    "flagged_matches": "FROM suspected",
+    "surrogate_contact_id": "SELECT email_key, 'eb_' || md5(email_key) AS contact_id FROM guest",
+    "crm_members": "FROM crm_member",
+    "ticket_only_contacts": "FROM ticket_shaped",
+    "dim_members": "FROM member",
+    "first_touch": "SELECT contact_id, first_event_date, first_event_name FROM crm_member",
+    "attendance_base": "FROM presence",
+    "service_counts": "FROM served",
+    "events_attended": "SELECT contact_id, time_bucket, events_attended FROM served",
+    "events_per_bucket": "FROM busy",
+    "fact_attendance": "SELECT p.*, in_person_count, second_service_count, events_attended, events_sum FROM presence p JOIN served USING (time_bucket, contact_id) JOIN busy USING (time_bucket)",
+    "email_to_contact": "FROM mail_owner",
+    "dedup_attendees": "FROM counted_once",
+    "ticket_attendance": "FROM ticket_presence",
+    "dq_unique_violations": TWICE,
+    "dq_not_null_violations": ABSENT,
+    "dq_summary": COUNTED,
 }
 
 
-def _with(final: str) -> str:
-    ctes = ",\n".join(ADAPTER + MODELS)
-    return f"WITH {ctes}\nSELECT * FROM ({final}) AS q"
-
-
 def oracle_queries() -> dict[str, str]:
-    return {name: _with(sql) for name, sql in FINAL.items()}
+    steps = ",\n".join(f"{name} AS ({sql})" for name, sql in {**REGISTRIES, **MODELS}.items())
+    return {name: f"WITH {steps}\nSELECT * FROM ({sql}) AS answer" for name, sql in ANSWERS.items()}

@@ -1,8 +1,8 @@
-"""Sinks: the published models as tables and views.
+"""Sinks: the published models as lasting tables, plus views over them.
 
-``table`` models are fully rebuilt on every run (``overwrite``), ``view``
-models are registered lazily. ``publish`` writes every published model of a
-Build, the batch equivalent of one warehouse run.
+Every model is fully rebuilt on every run (``overwrite``) as a table, so it
+outlives the session that made it; ``view`` models also get a session view that
+reads their table. ``publish`` is the batch equivalent of one warehouse run.
 """
 
 from __future__ import annotations
@@ -33,25 +33,18 @@ def write_table(df: DataFrame, path: str, partition_by=(), fmt: str = "parquet")
     w.save(path)
 
 
-def register_view(df: DataFrame, name: str) -> DataFrame:
-    """A view: nothing is computed until the view is read."""
-    df.createOrReplaceTempView(name)
-    return df
-
-
 def publish(build: Build, root: str, models=None) -> dict:
-    """Write the table models under ``root/<name>`` and register the view
-    models; returns ``{name: path or view name}``."""
+    """Write the models under ``root/<name>``; returns ``{name: path}``. An
+    unknown model name is an error."""
+    unknown = sorted(set(models or ()) - set(PUBLISHED))
+    if unknown:
+        raise ValueError(f"unknown models: {', '.join(unknown)}")
     out = {}
     for name, (attr, kind, parts) in PUBLISHED.items():
         if models is not None and name not in models:
             continue
-        df = getattr(build, attr)
-        if kind == "table":
-            path = f"{root.rstrip('/')}/{name}"
-            write_table(df, path, parts)
-            out[name] = path
-        else:
-            register_view(df, name)
-            out[name] = name
+        out[name] = f"{root.rstrip('/')}/{name}"
+        write_table(getattr(build, attr), out[name], parts)
+        if kind == "view":
+            build.spark.read.parquet(out[name]).createOrReplaceTempView(name)
     return out

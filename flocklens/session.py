@@ -12,9 +12,8 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: str = "8", shuffle_partitions: int = 8, scratch: str | None = None) -> SparkSession:
+def local_session(*, scratch: str, cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and the bench (UI off, AQE on, UTC)."""
-    scratch = scratch or tempfile.mkdtemp(prefix="flocklens-")
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("flocklens")
@@ -34,11 +33,11 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, scratch: str |
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
+def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Use the cluster's ``spark.checkpoint.dir`` (shared storage); only when
-    it is unset (local tests) fall back to ``fallback``."""
+    it is unset (local tests) fall back to ``fallback`` or a new local folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
-    spark.sparkContext.setCheckpointDir(fallback)
+    spark.sparkContext.setCheckpointDir(fallback or tempfile.mkdtemp(prefix="flocklens-"))
     return spark.sparkContext.getCheckpointDir()

@@ -4,13 +4,15 @@ The test harness ships TPC-H-like tables plus ``events`` / ``documents`` /
 ``benchmark``, none in CRM or ticketing shape. This module derives the raw
 registries from them with plain DataFrame expressions (one deterministic rule
 per column, documented in FIXTURES.md), so every query's work grows with the
-driver tables. ``flocklens.plans.oracle`` holds the same mapping as DuckDB CTEs.
+driver tables: every ``events`` row becomes a member row, every ``documents``
+row three registrations, every ``benchmark`` item a ticketing event.
+``flocklens.plans.oracle`` holds the same mapping as DuckDB SQL.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,15 +25,16 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-from flocklens.plans.materialize import can_write_tables, checkpoint_root, committed
+from flocklens.plans.materialize import checkpoint_root, files_under
 from flocklens.sources.raw import Sources, read_sources
 from flocklens.sources.schemas import CONTRACTS
 
 # Fixed values of the fixture mapping.
-NAME_FIRST = "([A-Za-zÀ-ÿ]+)"
-NAME_SECOND = "[A-Za-zÀ-ÿ]+[^A-Za-zÀ-ÿ]+([A-Za-zÀ-ÿ]+)"
+FIRST_NAMES = ("Anna", "Ben", "Mary-Jane", "José", "zoë", " Ivan", "Ruth", "O'NEIL", "Li", "peter", "Sofia\u00a0", "Omar")
+LAST_STEMS = ("Ander", "Berg", "Carl", "Dahl", "Eriks", "Fischer", "Gold", "Hart")
+LAST_ENDINGS = ("son", "man", "ton", "ley", "well", "ford", "er", "s", "ßen", "-Ruiz")
 SPLIT_DATE = "2024-01-22"
-TICKET_EVENT_MODULUS = 40
+PATTERN = 40  # period of the ticketing events' status pattern
 EVENT_EPOCH = "2023-12-25 09:00:00"
 REGISTRATION_EPOCH = "2023-12-01 00:00:00"
 SYNC_TIME = "2024-02-01 00:00:00"
@@ -78,37 +81,57 @@ def _str(c: Column) -> Column:
 
 
 def doc_names(documents: DataFrame) -> DataFrame:
-    """First and second word of every document: the people's names."""
+    """A name for every document, drawn by the digest of its whole text."""
+    h = F.md5(F.coalesce(F.col("text"), F.lit("")))
+    part = lambda k: F.conv(F.substring(h, 1 + 4 * k, 4), 16, 10).cast("int")
+    stem = _pick(part(1) % len(LAST_STEMS), LAST_STEMS)
+    last = F.concat(stem, _pick(part(2) % len(LAST_ENDINGS), LAST_ENDINGS))
+    double = F.concat(last, F.lit("-"), _pick(part(4) % len(LAST_STEMS), LAST_STEMS), (part(5) % 9).cast("string"))
     return documents.select(
         "doc_id",
-        F.regexp_extract("text", NAME_FIRST, 1).alias("first"),
-        F.regexp_extract("text", NAME_SECOND, 1).alias("last"),
+        _pick(part(0) % len(FIRST_NAMES), FIRST_NAMES).alias("first"),
+        F.when(part(3) % 3 == 0, double).otherwise(last).alias("last"),
     )
 
 
 def _slot(events: DataFrame) -> DataFrame:
-    d = F.to_date("ts")
+    """Each event's campaign: its type, day and half day. Some rows of three
+    user groups go to an outing of the same half day instead, which gives
+    these groups a falling, a rising and a sparse worship attendance."""
+    u, eid, d = F.col("user_id"), F.col("event_id"), F.to_date("ts")
+    late = d >= F.lit(SPLIT_DATE).cast("date")
+    elsewhere = (
+        ((u % 5 == 0) & late & (eid % 4 != 0))
+        | ((u % 5 == 1) & ~late & (eid % 3 != 0))
+        | ((u % 5 == 2) & (eid % 8 != 0))
+    )
     am = F.hour("ts") < 12
     half = F.when(am, F.lit("am")).otherwise(F.lit("pm"))
-    return events.withColumn("_d", d).withColumn("_am", am).withColumn(
-        "_slot", F.concat(F.col("event_type"), F.lit("-"), _str(F.col("_d")), F.lit("-"), half)
-    ).withColumn("_half", half)
+    kind = F.when(elsewhere, F.lit("outing")).otherwise(F.col("event_type"))
+    return events.select(
+        "*",
+        d.alias("_d"),
+        am.alias("_am"),
+        half.alias("_half"),
+        kind.alias("_kind"),
+        F.concat(kind, F.lit("-"), _str(d), F.lit("-"), half).alias("_slot"),
+    )
 
 
 def campaign(events: DataFrame) -> DataFrame:
     """One campaign per (event_type, day, morning/afternoon) slot."""
     e = _slot(events)
     dom = F.dayofmonth("_d")
-    worshipish = F.col("event_type").isin("view", "click", "purchase")
+    worshipish = F.col("_kind").isin("view", "click", "purchase")
     return e.select(
         F.col("_slot").alias("Id"),
-        F.concat(F.col("event_type"), F.lit(" service "), _str(F.col("_d")), F.lit(" "), F.col("_half")).alias("Name"),
+        F.concat(F.col("_kind"), F.lit(" service "), _str(F.col("_d")), F.lit(" "), F.col("_half")).alias("Name"),
         F.when(dom % 7 == 0, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("Slot "), F.col("_slot"))).alias("Description"),
         F.when(worshipish, F.lit("Worship Service"))
-        .when(F.col("event_type") == "signup", F.lit("Prayer"))
+        .when(F.col("_kind") == "signup", F.lit("Prayer"))
         .otherwise(F.lit("Event")).alias("Type"),
-        F.when(F.col("event_type") == "click", F.lit("Online")).otherwise(F.lit("In-Person")).alias("Format__c"),
+        F.when(F.col("_kind") == "click", F.lit("Online")).otherwise(F.lit("In-Person")).alias("Format__c"),
         F.col("_d").alias("EndDate"),
         F.when(F.col("_am"), F.lit("09:30 AM")).otherwise(F.lit("11:30 AM")).alias("Service_Time__c"),
         (dom * F.lit(10.0)).alias("BudgetedCost"),
@@ -118,32 +141,29 @@ def campaign(events: DataFrame) -> DataFrame:
 
 
 def campaign_member(events: DataFrame, documents: DataFrame) -> DataFrame:
-    """One member row per kept ``events`` row; contact = user, name = doc 2*user.
-
-    The three keep-rules give three user groups a falling, a rising and a
-    sparse attendance pattern, so every risk-flag branch is reached. They
-    shape the data; they are not a row cap (every other row is kept, and the
-    work grows with ``events``)."""
+    """One member row per ``events`` row; contact = user, name = that of the
+    document with the user's number, in four variants; some share a name."""
     u, eid = F.col("user_id"), F.col("event_id")
-    late = F.to_date("ts") >= F.lit(SPLIT_DATE).cast("date")
-    keep = (
-        ~((u % 5 == 0) & late & (eid % 4 != 0))
-        & ~((u % 5 == 1) & ~late & (eid % 3 != 0))
-        & ~((u % 5 == 2) & (eid % 8 != 0))
-    )
-    e = _slot(events.filter(keep))
+    e = _slot(events)
     names = doc_names(documents)
-    e = e.join(names, e.user_id * 2 == names.doc_id, "left")
+    namesake = e.user_id - F.when(e.user_id % 8 == 4, 4).otherwise(0)
+    e = e.join(names, namesake == names.doc_id, "left")
+    first = F.when(u % 4 == 1, F.concat(F.substring(F.trim("first"), 1, 3), F.lit("."))).otherwise(F.col("first"))
+    last = (
+        F.when(u % 4 == 2, F.concat(F.col("last"), F.lit("e")))
+        .when(u % 4 == 3, F.reverse(F.col("last")))
+        .otherwise(F.col("last"))
+    )
     email = (
         F.when(u % 7 == 0, F.lit(None).cast("string"))
         .when(u % 11 == 10, F.concat(F.lit("User"), _str(u - 1), F.lit("@Example.org")))
-        .otherwise(F.concat(F.lit(" User"), _str(u), F.lit("@Example.org ")))
+        .otherwise(F.concat(F.lit("\u2003User"), _str(u), F.lit("@Example.org\u00a0")))
     )
     return e.select(
         F.col("_slot").alias("CampaignId"),
         F.concat(F.lit("C"), _str(u)).alias("ContactId"),
-        F.col("first").alias("FirstName"),
-        F.col("last").alias("LastName"),
+        first.alias("FirstName"),
+        last.alias("LastName"),
         _pick(u % 3, ("Mr.", "Ms.", None)).alias("Salutation"),
         F.when(u % 9 == 0, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("555-"), F.lpad(_str(u % 10000), 4, "0"))).alias("Phone"),
@@ -165,18 +185,23 @@ def campaign_member(events: DataFrame, documents: DataFrame) -> DataFrame:
     )
 
 
+def _null_if(cond: Column, value: Column) -> Column:
+    return F.when(~cond, value)
+
+
 def ticket_event(benchmark: DataFrame) -> DataFrame:
-    """One ticketing event per benchmark item."""
+    """One ticketing event per benchmark item; a few ids repeat the one before
+    and a few required values are missing (rows the declared tests must find)."""
     i = F.col("item_id")
     start = _ntz(EVENT_EPOCH) + F.make_dt_interval(hours=(i * 22).cast("int"))
-    m = i % TICKET_EVENT_MODULUS
+    m = i % PATTERN
     return benchmark.select(
-        i.alias("id"),
-        _pick(i % 5, TICKET_EVENT_NAMES).alias("name_text"),
+        _null_if(m == 31, F.when(m == 17, i - 1).otherwise(i)).alias("id"),
+        _null_if(m == 22, _pick(i % 5, TICKET_EVENT_NAMES)).alias("name_text"),
         F.concat(F.lit("Benchmark item "), _str(i)).alias("description_text"),
         F.when(i % 4 == 0, F.lit(True)).when(i % 4 == 2, F.lit(None).cast("boolean"))
         .otherwise(F.lit(False)).alias("online_event"),
-        start.alias("start_local"),
+        _null_if(m == 9, start).alias("start_local"),
         (start + F.make_dt_interval(hours=F.lit(2))).alias("end_local"),
         (i % 3).alias("venue_id"),
         (i + 100).alias("capacity"),
@@ -188,20 +213,27 @@ def ticket_event(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def ticket_attendee(documents: DataFrame) -> DataFrame:
-    """Three registrations per document (two of them for the same event)."""
+def item_count(benchmark: DataFrame) -> Column:
+    """The number of ticketing events, as a scalar subquery."""
+    return benchmark.agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("n")).scalar()
+
+
+def ticket_attendee(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Three registrations per document (two of them for the same event),
+    spread over all ticketing events."""
     d = doc_names(documents).withColumn("k", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
     doc, k = F.col("doc_id"), F.col("k")
     aid = doc * 10 + k
     email = (
         F.when(doc % 60 == 15, F.lit("Info Requested"))
         .when(doc % 90 == 21, F.lit(None).cast("string"))
-        .when(doc % 6 == 1, F.concat(F.lit(" USER"), _str(F.floor(doc / 6)), F.lit("@example.org")))
+        .when(doc % 6 == 1, F.concat(F.lit("\u3000USER"), _str(F.floor(doc / 6)), F.lit("@example.org")))
         .otherwise(F.concat(F.lit("Guest"), _str(doc), F.lit("@example.net")))
     )
     return d.select(
-        aid.alias("id"),
-        ((F.floor(doc / 2) + F.when(k == 2, F.lit(0)).otherwise(k)) % TICKET_EVENT_MODULUS).alias("event_id"),
+        # some ids are missing, some repeat that of another registration
+        _null_if((doc % 101 == 7) & (k == 0), F.when((doc % 97 == 5) & (k == 1), aid - 1).otherwise(aid)).alias("id"),
+        ((F.floor(doc / 2) + F.when(k == 2, F.lit(0)).otherwise(k)) % item_count(benchmark)).alias("event_id"),
         doc.alias("order_id"),
         F.col("first").alias("profile_first_name"),
         F.col("last").alias("profile_last_name"),
@@ -218,15 +250,15 @@ def ticket_attendee(documents: DataFrame) -> DataFrame:
     )
 
 
-def ticket_order(orders: DataFrame, customer: DataFrame) -> DataFrame:
+def ticket_order(orders: DataFrame, customer: DataFrame, benchmark: DataFrame) -> DataFrame:
     o = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
     k = F.col("o_orderkey")
     return o.select(
-        k.alias("id"),
-        (k % TICKET_EVENT_MODULUS).alias("event_id"),
+        _null_if(k % 331 == 3, F.when(k % 211 == 4, k - 1).otherwise(k)).alias("id"),
+        (k % item_count(benchmark)).alias("event_id"),
         F.split_part(F.col("c_name"), F.lit("#"), F.lit(1)).alias("owner_first_name"),
         F.split_part(F.col("c_name"), F.lit("#"), F.lit(2)).alias("owner_last_name"),
-        F.concat(F.lit(" "), F.col("c_name"), F.lit("@Example.com")).alias("owner_email"),
+        _null_if(k % 173 == 2, F.concat(F.lit(" "), F.col("c_name"), F.lit("@Example.com"))).alias("owner_email"),
         F.col("o_orderstatus").alias("status"),
         F.col("o_totalprice").alias("gross_major_value"),
         F.lit("USD").alias("gross_currency"),
@@ -240,42 +272,41 @@ def derive_sources(spark: SparkSession, sf_dir: str) -> Sources:
     """The five raw registries derived (lazily) from the driver tables."""
     events = read_driver(spark, sf_dir, "events")
     documents = read_driver(spark, sf_dir, "documents")
+    benchmark = read_driver(spark, sf_dir, "benchmark")
     return Sources(
         campaign=campaign(events),
         campaign_member=campaign_member(events, documents),
-        ticket_event=ticket_event(read_driver(spark, sf_dir, "benchmark")),
-        ticket_attendee=ticket_attendee(documents),
-        ticket_order=ticket_order(read_driver(spark, sf_dir, "orders"),
-                                  read_driver(spark, sf_dir, "customer")),
+        ticket_event=ticket_event(benchmark),
+        ticket_attendee=ticket_attendee(documents, benchmark),
+        ticket_order=ticket_order(
+            read_driver(spark, sf_dir, "orders"), read_driver(spark, sf_dir, "customer"), benchmark
+        ),
     )
 
 
-def _fingerprint(sf_dir: str) -> str:
-    """Key for reusing a derivation: the input files (path, size, mtime) and
-    the mapping itself (this module's source), so a changed rule re-derives."""
-    h = hashlib.sha256(os.path.abspath(sf_dir).encode())
-    with open(__file__, "rb") as fh:
-        h.update(fh.read())
+def fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Key of a derivation: the input files (path, size, time) as the cluster's
+    file system lists them."""
+    h = hashlib.sha256()
     for name in sorted(DRIVER_SCHEMAS):
-        p = f"{sf_dir.rstrip('/')}/{name}.parquet"
-        try:
-            st = os.stat(p)
-            h.update(f"{name}:{st.st_size}:{st.st_mtime_ns}".encode())
-        except OSError:
-            h.update(f"{name}:remote".encode())
+        for path, size, time in sorted(files_under(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")):
+            h.update(f"{path}:{size}:{time}\n".encode())
     return h.hexdigest()[:20]
 
 
+_DERIVED: dict[tuple, str] = {}
+
+
 def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    """The five raw registries, written once as Parquet tables (per input
-    fingerprint) in the shared checkpoint folder and read back with the
-    registry contracts, exactly as production reads its raw tables."""
-    if not can_write_tables(spark):
-        return derive_sources(spark, sf_dir)
-    base = f"{checkpoint_root(spark)}/flocklens-fixture-{_fingerprint(sf_dir)}"
-    derived = None
-    for name in CONTRACTS:
-        if not committed(spark, f"{base}/{name}"):
-            derived = derived or derive_sources(spark, sf_dir)
-            getattr(derived, name).write.mode("overwrite").parquet(f"{base}/{name}")
-    return read_sources(spark, base)
+    """The five raw registries, written once per application and input as
+    Parquet tables in a folder of their own below the shared checkpoint folder,
+    and read back with the registry contracts, as production reads its raw
+    tables."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), fingerprint(spark, sf_dir))
+    if key not in _DERIVED:
+        base = f"{checkpoint_root(spark)}/flocklens-fixture-{uuid.uuid4().hex}"
+        derived = derive_sources(spark, sf_dir)
+        for name in CONTRACTS:
+            getattr(derived, name).write.parquet(f"{base}/{name}")
+        _DERIVED[key] = base
+    return read_sources(spark, _DERIVED[key])

@@ -25,7 +25,12 @@ class Sources:
 
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     """Parquet scan with the declared contract as read schema, so only the
-    contracted columns are read and filters push down to the files."""
+    contracted columns are read and filters push down to the files. A file
+    that lacks a contracted column is an error, not a column of NULLs."""
+    there = {f.name for f in spark.read.parquet(path).schema.fields}
+    missing = [f.name for f in CONTRACTS[name].fields if f.name not in there]
+    if missing:
+        raise ValueError(f"{name} at {path} lacks the columns {', '.join(missing)}")
     return spark.read.schema(CONTRACTS[name]).parquet(path)
 
 

@@ -3,8 +3,7 @@
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
-
+import pytest
 from flocklens.config import Settings
 from flocklens.operators import identity, profile, risk, ticketing
 from flocklens.operators.staging import EVENT_DETAIL_COLUMNS
@@ -30,19 +29,23 @@ def w(contact, day, **kw):
     return base
 
 
+def contact_profile(ed, settings):
+    return profile.contact_profile(profile.contact_days(ed, settings), profile.contact_tuples(ed), settings)
+
+
 def test_future_events_count_as_recent(spark):
     rows = [w("c1", AS_OF + dt.timedelta(days=10)), w("c1", AS_OF - dt.timedelta(days=100))]
     ed = detail(spark, rows)
     pd_ = risk.period_event_days(ed, S).first()
     assert (pd_.recent_worship, pd_.baseline_worship) == (1, 1)
-    p = profile.contact_profile(ed, S).first()
+    p = contact_profile(ed, S).first()
     assert (p.recent_attendance, p.baseline_attendance) == (1, 1)
 
 
 def test_profile_duplicates_and_null_contact(spark):
     d = AS_OF - dt.timedelta(days=3)
     rows = [w("c1", d), w("c1", d), w(None, d), w(None, None), w("c2", None, type="Prayer")]
-    prof = {r.contact_id: r for r in profile.contact_profile(detail(spark, rows), S).collect()}
+    prof = {r.contact_id: r for r in contact_profile(detail(spark, rows), S).collect()}
     assert set(prof) == {"c1", None, "c2"}
     assert prof["c1"].recent_attendance == 1 and prof["c1"].worship_days == 1
     assert prof[None].worship_days == 1 and prof[None].has_worship == 1
@@ -53,7 +56,7 @@ def test_latest_participant_type_and_blank_names(spark):
     d1, d2 = AS_OF - dt.timedelta(days=5), AS_OF - dt.timedelta(days=1)
     rows = [w("c1", d1, participant_type="Guest", first_name="  "), w("c1", d2, participant_type="Deacon"),
             w("c1", d2, participant_type=None, first_name="Bea"), w("c1", None, participant_type="Zed")]
-    p = profile.contact_profile(detail(spark, rows), S).first()
+    p = contact_profile(detail(spark, rows), S).first()
     assert p.participant_type == "Deacon"
     assert p.first_pick == "Ann"  # smallest non-blank
 
@@ -77,23 +80,28 @@ def test_email_to_contact_latest(spark):
     assert got == {"a@x.org": "c2", "b@x.org": "c3"}
 
 
-def _brute_similarity(eb, sf, low):
+def _brute_best(eb, sf, low):
+    """{ticket name: (similarity, smallest contact id)} over all pairs of names."""
+
     def grams(s):
         return {s[i:i + 2] for i in range(len(s) - 1)}
 
     out = {}
-    for e, (ef, el) in eb.items():
-        a = grams(f"{ef.strip().lower()} {el.strip().lower()}")
+    for ef, el in eb.values():
+        name = f"{ef.strip().lower()} {el.strip().lower()}"
+        a = grams(name)
+        scored = []
         for c, (cf, cl) in sf.items():
             b = grams(f"{cf.strip().lower()} {cl.strip().lower()}")
-            g = max(len(a), len(b), 1)
-            s = len(a & b) / g
+            s = len(a & b) / max(len(a), len(b), 1)
             if s >= low:
-                out[(e, c)] = s
+                scored.append((-s, c))
+        if scored:
+            out[name] = (-min(scored)[0], min(scored)[1])
     return out
 
 
-def test_similarity_join_equals_brute_force(spark):
+def test_best_name_matches_equal_brute_force(spark):
     rnd = random.Random(7)
     alphabet = "aeiounrst"
 
@@ -101,29 +109,26 @@ def test_similarity_join_equals_brute_force(spark):
         return "".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 7)))
 
     eb = {f"e{i}@x.org": (name(), name()) for i in range(120)}
+    eb["tiny@x.org"] = ("", "")
     sf = {f"c{i}": (name(), name()) for i in range(90)}
     sf["c_blank"] = ("", "")
+    sf["c_two"] = ("", "a")
     unresolved = spark.createDataFrame([(k, f, l) for k, (f, l) in eb.items()], "email_key string, first_name string, last_name string")
     contacts = spark.createDataFrame([(k, f, l, None) for k, (f, l) in sf.items()], "contact_id string, first_name string, last_name string, email string")
-    for low, split in ((0.4, 20000), (0.25, 20000), (0.6, 20000), (0.4, 3), (0.25, 1)):
-        # small rows_per_split forces hot-bigram salting (many salts per bigram)
-        st = Settings(as_of=AS_OF, similarity_low=low, extra={"rows_per_split": split})
-        got = {(r.eb_email, r.sf_contact_id): r.similarity for r in identity.name_similarity_pairs(unresolved, contacts, st).collect()}
-        want = _brute_similarity(eb, sf, low)
-        assert got.keys() == want.keys(), (low, split)
-        assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
-
-
-def test_best_similar_name_ties_and_rounding(spark):
-    rows = [("e1", "c2", 29, 200, 100), ("e1", "c1", 29, 200, 50), ("e2", "c9", 1, 4, 4)]
-    pairs = spark.createDataFrame(rows, "eb_email string, sf_contact_id string, shared_bigrams long, eb_bigram_count long, sf_bigram_count long")
-    pairs = pairs.withColumn("similarity", F.col("shared_bigrams") / F.greatest("eb_bigram_count", "sf_bigram_count", F.lit(1)))
-    got = {r.eb_email: r for r in identity.best_similar_name(pairs, S).collect()}
-    assert set(got) == set()  # 0.145 and 0.25 are below the low threshold
-    rows = [("e1", "c2", 3, 5, 4), ("e1", "c1", 3, 5, 5), ("e2", "c9", 13, 20, 20)]
-    pairs = spark.createDataFrame(rows, "eb_email string, sf_contact_id string, shared_bigrams long, eb_bigram_count long, sf_bigram_count long")
-    pairs = pairs.withColumn("similarity", F.col("shared_bigrams") / F.greatest("eb_bigram_count", "sf_bigram_count", F.lit(1)))
-    got = {r.eb_email: (r.sf_contact_id, r.name_similarity, r.match_confidence) for r in identity.best_similar_name(pairs, S).collect()}
+    for low, cell in ((0.4, 2000), (0.25, 2000), (0.6, 2000), (0.4, 3), (0.25, 1)):
+        # small cells split every key on both sides
+        st = Settings(as_of=AS_OF, similarity_low=low, rows_per_cell=cell)
+        got = {r.eb_name: (r.similarity, r.sf_contact_id) for r in identity.best_name_matches(unresolved, contacts, st).collect()}
+        want = _brute_best(eb, sf, low)
+        assert got.keys() == want.keys(), (low, cell)
+        assert all(abs(got[k][0] - want[k][0]) < 1e-12 and got[k][1] == want[k][1] for k in want), (low, cell)
+
+
+def test_best_similar_name_rounding(spark):
+    rows = [("ann lee", "c1", 3, 5, 5, 0.6), ("bo kim", "c9", 13, 20, 20, 0.65)]
+    m = spark.createDataFrame(rows, "eb_name string, sf_contact_id string, shared_bigrams long, eb_bigram_count long, sf_bigram_count long, similarity double")
+    un = spark.createDataFrame([("e1", "Ann ", "LEE"), ("e2", "Bo", "Kim"), ("e3", "No", "One")], "email_key string, first_name string, last_name string")
+    got = {r.eb_email: (r.sf_contact_id, r.name_similarity, r.match_confidence) for r in identity.best_similar_name(un, m, S).collect()}
     assert got == {"e1": ("c1", 0.6, "medium"), "e2": ("c9", 0.65, "medium")}
 
 
@@ -135,6 +140,8 @@ def test_exact_name_match_counts(spark):
     got = {r.eb_email: (r.sf_contact_id, r.n_sf_same_name, r.match_confidence)
            for r in identity.exact_name_match(cands, contacts).collect()}
     assert got == {"a@x": ("c1", 1, "high"), "b@x": (None, 2, "ambiguous")}
+    assert [tuple(r) for r in identity.ambiguous_name_emails(cands, contacts).collect()] == [("b@x", "bo kim")]
+    assert sorted(tuple(r) for r in identity.ambiguous_name_contacts(cands, contacts).collect()) == [("bo kim", "c2"), ("bo kim", "c3")]
     un = [r.email_key for r in identity.unresolved_candidates(cands, contacts).collect()]
     assert un == ["c@x"]
 
@@ -151,7 +158,39 @@ def test_publish_writes_tables_and_views(spark, tmp_path):
     assert set(fact.select("time_bucket").distinct().toPandas()["time_bucket"]) <= {
         "a. Months 0 - 3", "b. Months 4 - 6", "c. Months 7 - 12", "d. Months 13 - 24", "e. Months 25+"}
     assert spark.read.parquet(out["dim_dates"]).count() == b.dim_dates.count()
-    assert spark.table("ticket_attendance").count() == b.ticket_attendance.count()
+    rows = b.ticket_attendance.count()
+    assert spark.table("ticket_attendance").count() == rows
+    # the published model outlives the session that made it
+    assert spark.newSession().read.parquet(out["ticket_attendance"]).count() == rows
+    with pytest.raises(ValueError, match="no_such_model"):
+        publish(b, str(tmp_path), models={"no_such_model"})
+    b.close()
+
+
+def test_missing_contract_column_is_an_error(spark, tmp_path):
+    from flocklens.sources.raw import read_table
+
+    spark.range(3).select("id").write.parquet(str(tmp_path / "ticket_order"))
+    with pytest.raises(ValueError, match="owner_email"):
+        read_table(spark, str(tmp_path / "ticket_order"), "ticket_order")
+
+
+def test_event_detail_is_distinct(spark):
+    from flocklens.operators import staging
+    from flocklens.plans.catalog import fixture_build
+
+    b = fixture_build(spark, "/root/testdata/sf0.001")
+    twice = staging.event_detail(b.src.campaign.unionByName(b.src.campaign), b.src.campaign_member.unionByName(b.src.campaign_member))
+    assert twice.count() == twice.distinct().count() == b.ed_rows.distinct().count()
+
+
+def test_no_crm_id_looks_like_a_surrogate(spark):
+    from flocklens.operators.quality import surrogate_clashes
+    from flocklens.plans.catalog import fixture_build
+
+    ids = spark.createDataFrame([("eb_1",), ("C1",)], "contact_id string")
+    assert [r.contact_id for r in surrogate_clashes(ids).collect()] == ["eb_1"]
+    assert surrogate_clashes(fixture_build(spark, "/root/testdata/sf0.001").crm_members).count() == 0
 
 
 def test_data_quality_checks_find_failures(spark):

@@ -17,10 +17,10 @@ def _plan(df) -> str:
 
 
 def test_no_forbidden_operators(spark):
-    import __spark_entry__ as E
+    from flocklens.plans.catalog import query_callables
 
     bad = {}
-    for name, fn in E.queries().items():
+    for name, fn in query_callables().items():
         plan = _plan(fn(spark, SF))
         hits = [op for op in FORBIDDEN if op in plan]
         if hits:
@@ -35,5 +35,46 @@ def test_partial_top1_and_hash_first_level(spark):
     b = fixture_build(spark, SF, shared=False, materialize=False)
     dedup = _plan(ticketing.dedup_attendees(b.stg_attendees))
     assert "WindowGroupLimit" in dedup and "Partial" in dedup
-    days = _plan(profile.contact_day_flags(b.ed_rows, b.settings))
+    days = _plan(profile.contact_days(b.ed_rows, b.settings))
     assert "HashAggregate" in days and "SortAggregate" not in days
+
+
+def test_scan_counts(spark):
+    """The member table is scanned twice for the whole member dimension and once
+    for the attendance base; what is written is not computed again."""
+    import re
+
+    from flocklens.plans.catalog import fixture_build
+    from flocklens.operators import fact, profile
+
+    b = fixture_build(spark, SF, shared=False)
+
+    def scans(df):
+        initial = df._jdf.queryExecution().optimizedPlan().toString()
+        return len(re.findall(r"Relation \[CampaignId", initial))
+
+    assert scans(profile.contact_days(b.ed_rows, b.settings)) == 1
+    assert scans(profile.contact_tuples(b.ed_rows)) == 1
+    assert scans(b.dim_members) == 0  # reads contact days and tuples
+    assert scans(fact.attendance_base(b.ed_rows, b.member_core, b.campaign_events, b.dim_dates)) == 1
+    assert scans(b.fact_attendance) == 0  # reads the written base
+    assert len(re.findall("attendance_base", " ".join(b.fact_attendance.inputFiles()))) > 0
+    b.close()
+
+
+def test_joins_without_broadcasts(spark):
+    """With broadcasts off (as at scale) joins are sort-merge joins on keys, and
+    no exchange gathers rows into a single partition."""
+    from flocklens.plans.catalog import QUERIES, fixture_build
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = fixture_build(spark, SF, shared=False)
+        for name in ("event_detail", "dim_members", "fact_attendance", "ticket_attendance", "name_similarity_pairs"):
+            plan = _plan(QUERIES[name](b))
+            assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan, name
+            assert not any(op in plan for op in FORBIDDEN), name
+        b.close()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
