@@ -14,7 +14,8 @@ vocabulary nor its counts ever gather in one place.
 
 Training: all training documents, once. They are split into ``rounds`` parts;
 in each round every task runs truncated backpropagation (numpy, Adam) over its
-share from the common model, and the models are averaged by tokens. The model
+share from the common model, documents in pieces of ``SEGMENT`` tokens, and the
+models are averaged by tokens. The model
 has a fixed size (``HEAD`` words, ``FORMS`` forms, ``STATE`` units).
 
 Cases: a null or empty text is the end token alone; a null doc_id is a training
@@ -57,11 +58,14 @@ FORMS = 48
 STATE = 16
 LANES = 512
 STEPS = 16  # tokens of a window of truncated backpropagation
+SCORE_STEPS = 64
+SEGMENT = 1024  # training pieces; scoring reads whole documents
+FLUSH_TOKENS = 2_000_000  # tokens that a task trains on together
 ROUNDS = 3
 RATES = (0.012, 0.006, 0.003)
 SMOOTH = 0.1
 END = "\n"  # no word holds it
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 12 << 20
 WORDS_PER_RANGE = 1_000_000
 
 _ENTRY = np.dtype([("hash", "<u8"), ("count", "<i8"), ("form", "u1")])
@@ -256,6 +260,8 @@ class Model:
         self.part("x")[:, :STATE] += 1.0  # remember by default
         self.part("u")[:] = rng.normal(0, 0.2, shapes["u"])
         self.part("c")[:] = rng.normal(0, 0.02, shapes["c"])
+        ids = np.arange(HEAD + FORMS)
+        self.class_table = np.where(ids < HEAD, np.minimum(ids // GROUP, self.groups - 1), self.groups + ids - HEAD).astype(np.int16)
         # the unigram model
         n = len(vocabulary.hashes)
         padded = np.zeros(self.groups * GROUP)
@@ -272,7 +278,7 @@ class Model:
         return (self.flat if of is None else of)[at : at + n].reshape(shape)
 
     def class_of(self, ids: np.ndarray) -> np.ndarray:
-        return np.where(ids < HEAD, ids // GROUP, self.groups + ids - HEAD)
+        return self.class_table[ids]
 
     def states(self, ids, fresh, h, keep_all: bool):
         """Run a window: states before each token, the last state, and what
@@ -303,8 +309,9 @@ class Model:
         """Natural log of P(class) * P(word | class) for head words, of P(class)
         for forms; with ``grad`` also the gradient of minus their sum by ``s``."""
         cls = self.class_of(ids)
-        logit = s @ self.part("c") + self.part("cb")
-        logit -= logit.max(axis=1, keepdims=True)
+        logit = s @ self.part("c")
+        logit += self.part("cb")
+        np.clip(logit, -80, 80, out=logit)
         e = np.exp(logit)
         total = e.sum(axis=1)
         row = np.arange(len(ids))
@@ -316,15 +323,16 @@ class Model:
             ds = e @ self.part("c").T
             self.part("c", grad)[:] += s.T @ e
             self.part("cb", grad)[:] += e.sum(axis=0)
-        order = np.argsort(cls.astype(np.int16), kind="stable")
+        order = np.argsort(cls, kind="stable")
         cut = np.searchsorted(cls[order], np.arange(self.groups + 1))
         for g in range(self.groups):
             rows = order[cut[g] : cut[g + 1]]
             if not len(rows):
                 continue
             sg, word = s[rows], ids[rows] - g * GROUP
-            logit = sg @ self.part("w")[g] + self.part("wb")[g]
-            logit -= logit.max(axis=1, keepdims=True)
+            logit = sg @ self.part("w")[g]
+            logit += self.part("wb")[g]
+            np.clip(logit, -80, 80, out=logit)
             e = np.exp(logit)
             total = e.sum(axis=1)
             k = np.arange(len(rows))
@@ -366,59 +374,61 @@ class Model:
             back[fresh[t]] = 0
         self.part("u", grad)[:] = s.T @ du.reshape(-1, 3 * STATE)
         flat_ids, flat_da = ids.reshape(-1), da.reshape(-1, 3 * STATE)
-        order = np.argsort(flat_ids.astype(np.int16), kind="stable")
+        order = np.argsort(flat_ids, kind="stable")
         rows, first = np.unique(flat_ids[order], return_index=True)
         self.part("x", grad)[rows] += np.add.reduceat(flat_da[order], first, axis=0)
         grad /= max(1, int(mask.sum()))
         return grad, last
 
 
-def lanes_of(offsets: np.ndarray, docs: np.ndarray, lanes: int) -> list[list[int]]:
-    """Deal documents to lanes of even length, longest first; longest lane first."""
-    size = np.diff(offsets)[docs]
-    heap = [(0, k) for k in range(min(lanes, len(docs)))]
+def lanes_of(size: np.ndarray, lanes: int) -> list[list[int]]:
+    """Deal sequences to lanes of even length, longest first; longest lane first."""
+    heap = [(0, k) for k in range(min(lanes, len(size)))]
     out: list[list[int]] = [[] for _ in heap]
     total = [0] * len(heap)
-    for i in np.argsort(-size, kind="stable"):
+    for i in np.argsort(-size, kind="stable").tolist():
         n, k = heapq.heappop(heap)
-        out[k].append(int(docs[i]))
+        out[k].append(i)
         total[k] = n + int(size[i])
         heapq.heappush(heap, (total[k], k))
     return [out[k] for k in sorted(range(len(out)), key=lambda k: -total[k])]
 
 
-def _lane_arrays(ids: np.ndarray, offsets: np.ndarray, lanes: list[list[int]]):
-    """Per lane: token positions in the block and which start a document."""
-    where, fresh = [], []
-    for lane in lanes:
-        where.append(np.concatenate([np.arange(offsets[d], offsets[d + 1]) for d in lane]))
-        f = np.zeros(len(where[-1]), dtype=bool)
-        f[np.concatenate(([0], np.cumsum([offsets[d + 1] - offsets[d] for d in lane])[:-1]))] = True
-        fresh.append(f)
-    return where, fresh
-
-
-def windows(ids, offsets, docs, lanes: int, steps: int):
-    """(positions [steps, live lanes], fresh, valid) of successive windows; lanes
-    keep their column, and finished lanes drop off at the right."""
-    if not len(docs):
+def windows(starts: np.ndarray, size: np.ndarray, lanes: int, steps: int):
+    """(positions [steps, live lanes], fresh, valid) of successive windows over
+    sequences of tokens; lanes keep their column, and finished lanes drop off
+    at the right."""
+    if not len(size):
         return
-    where, fresh = _lane_arrays(ids, offsets, lanes_of(offsets, docs, lanes))
-    size = np.array([len(w) for w in where])
-    for t in range(0, int(size[0]), steps):
-        live = int((size > t).sum())
-        pos = np.zeros((steps, live), dtype=np.int64)
-        new = np.zeros((steps, live), dtype=bool)
-        valid = np.arange(t, t + steps)[:, None] < size[:live][None, :]
-        for k in range(live):
-            part = where[k][t : t + steps]
-            pos[: len(part), k] = part
-            new[: len(part), k] = fresh[k][t : t + steps]
-        yield pos, new, valid
+    dealt = lanes_of(size, lanes)
+    order = np.array([i for lane in dealt for i in lane])
+    first = np.cumsum(size[order]) - size[order]
+    total = int(size.sum())
+    # tokens lane by lane: their positions, and which begin a sequence
+    where = (np.arange(total) + np.repeat(starts[order] - first, size[order])).astype(np.int32)
+    begins = np.zeros(total, dtype=bool)
+    begins[first] = True
+    length = np.array([int(size[lane].sum()) for lane in dealt])
+    base = np.cumsum(length) - length
+    for t in range(0, int(length[0]), steps):
+        live = int((length > t).sum())
+        step = t + np.arange(steps)[:, None]
+        valid = step < length[:live][None, :]
+        at = np.where(valid, base[:live][None, :] + step, 0)
+        yield where[at], begins[at] & valid, valid
 
 
 def _n_lanes(tokens: int) -> int:
-    return int(np.clip(tokens // 512, 16, LANES))
+    return int(np.clip(tokens // 256, 16, LANES))
+
+
+def segments(offsets: np.ndarray, docs: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, size) of the documents' pieces of at most ``longest`` tokens."""
+    size = np.diff(offsets)[docs]
+    pieces = -(-size // longest)
+    doc = np.repeat(np.arange(len(docs)), pieces)
+    begin = (np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * longest
+    return offsets[:-1][docs][doc] + begin, np.minimum(longest, size[doc] - begin)
 
 
 class Adam:
@@ -439,24 +449,37 @@ class Adam:
 def _train_round(model: Model, number: int, rounds: int, rate: float):
     def run(frames):
         adam, tokens = Adam(len(model.flat), rate), 0
+        held: list[tuple] = []
+
+        def flush():
+            base = np.cumsum([0, *(len(i) for i, _, _ in held)])
+            ids = np.concatenate([i for i, _, _ in held])
+            starts = np.concatenate([s + b for (_, s, _), b in zip(held, base)])
+            size = np.concatenate([z for _, _, z in held])
+            held.clear()
+            h = None
+            for pos, fresh, valid in windows(starts, size, _n_lanes(int(size.sum())), STEPS):
+                live = pos.shape[1]
+                h = np.zeros((live, STATE), np.float32) if h is None else h[:live]
+                grad, h = model.learn(ids[pos], fresh, valid, h)
+                adam.step(model.flat, grad)
+
         for frame in frames:
             for row in frame.itertuples():
                 offsets = np.frombuffer(row.offsets, np.int64)
                 ids = model.v.ids(np.frombuffer(row.hashes, np.uint64), np.frombuffer(row.forms, np.uint8))
-                ids = ids[np.frombuffer(row.codes, np.int32)]
                 # every training document in exactly one round, whatever its place
                 part = mix64(np.arange(len(offsets) - 1, dtype=np.uint64) + np.uint64(77)) % np.uint64(rounds)
                 docs = np.flatnonzero(~np.asarray(row.held_out, dtype=bool) & (part == number))
                 if not len(docs):
                     continue
-                n = int(np.diff(offsets)[docs].sum())
-                h = None
-                for pos, fresh, valid in windows(ids, offsets, docs, _n_lanes(n), STEPS):
-                    live = pos.shape[1]
-                    h = np.zeros((live, STATE), np.float32) if h is None else h[:live]
-                    grad, h = model.learn(ids[pos], fresh, valid, h)
-                    adam.step(model.flat, grad)
-                tokens += n
+                starts, size = segments(offsets, docs, SEGMENT)
+                held.append((ids.astype(np.int16)[np.frombuffer(row.codes, np.int32)], starts, size))
+                tokens += int(size.sum())
+                if sum(int(z.sum()) for _, _, z in held) >= FLUSH_TOKENS:
+                    flush()
+        if held:
+            flush()
         if tokens:
             yield pd.DataFrame({"salt": [uuid.uuid4().int % 32], "tokens": [tokens], "model": [model.flat.tobytes()]})
 
@@ -510,10 +533,11 @@ def _score_block(model: Model):
             tail = ids >= HEAD
             of = ids[tail] - HEAD
             share[tail] = np.log10((count[tail] + SMOOTH) / (v.form_tokens[of] + SMOOTH * (v.form_types[of] + 1)))
-            ids = ids[codes]
+            ids = ids.astype(np.int16)[codes]
             logs = np.zeros(len(codes))
             h = None
-            for pos, fresh, valid in windows(ids, offsets, np.arange(len(offsets) - 1), _n_lanes(len(codes)), STEPS):
+            size = np.diff(offsets)
+            for pos, fresh, valid in windows(offsets[:-1], size, _n_lanes(len(codes)), SCORE_STEPS):
                 live = pos.shape[1]
                 h = np.zeros((live, STATE), np.float32) if h is None else h[:live]
                 at = ids[pos]
