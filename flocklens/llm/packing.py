@@ -28,6 +28,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +37,7 @@ from flocklens.llm.common import Run, encode_words, segment_sum, slices, split_w
 MAX_TOKENS = 2048
 CLOSING_ID = 0
 GROUP = 8192
-KNOWN_WORDS = 200_000  # words whose ids a task remembers between batches
+KNOWN_WORDS = 600_000  # words whose ids a task remembers between batches
 
 _PIECE = pa.schema(
     [
@@ -50,27 +51,65 @@ _PIECE = pa.schema(
 )
 
 
+# words that the tokenizer splits before merging into one part (letters) or two
+# (letters, then ASCII punctuation), whatever follows; letters whose lower case is
+# one letter and which compose with nothing
+_LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+"
+_PLAIN = (f"^{_LETTERS}$", f"^{_LETTERS}[!-/:-@\\[-`{{-~]+$")
+
+
 class WordIds:
-    """Token ids of words by a ``tokenizers`` file, with a bounded memory."""
+    """Token ids of words by a ``tokenizers`` file, with a bounded memory.
+
+    Plain words of one shape are encoded many at a time, joined by spaces, and
+    told apart by the tokens that end a part; all others one by one."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end_mark: str = "</w>"):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(end_mark)]] = True
+        self.known: dict[str, bytes] = {}
+
+    def _encode(self, words: list[str], parts: int) -> list[bytes]:
+        """Ids of ``words`` that the tokenizer splits into ``parts`` each."""
+        out: list[bytes] = []
+        for a in range(0, len(words), 10_000):
+            some = words[a : a + 10_000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            cut = np.flatnonzero(self.ends[ids])[parts - 1 :: parts] + 1
+            if len(cut) != len(some) or cut[-1] != len(ids):
+                out += self._one_by_one(some)
+                continue
+            raw, cut = ids.tobytes(), (4 * cut).tolist()
+            out += [raw[x:y] for x, y in zip([0, *cut], cut)]
+        return out
+
+    def _one_by_one(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def __call__(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, offsets) of the distinct words."""
         words = distinct.to_pylist()
         missing = [w for w in words if w not in self.known]
         if len(self.known) + len(missing) > KNOWN_WORDS:
-            self.known = {w: self.known[w] for w in words if w in self.known}
-        for a in range(0, len(missing), 20_000):
-            part = missing[a : a + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, dtype=np.uint32)
+            self.known.clear()
+            missing = words
+        if missing:
+            array = pa.array(missing, pa.string())
+            shape = np.zeros(len(missing), dtype=np.int64)
+            if self.ends.any():
+                for parts, pattern in enumerate(_PLAIN, 1):
+                    shape[np.asarray(pc.match_substring_regex(array, pattern).to_numpy(zero_copy_only=False), dtype=bool)] = parts
+            for parts in range(len(_PLAIN) + 1):
+                some = [missing[i] for i in np.flatnonzero(shape == parts)]
+                if some:
+                    self.known.update(zip(some, self._encode(some, parts) if parts else self._one_by_one(some)))
         ids = [self.known[w] for w in words]
-        return np.concatenate([*ids, np.zeros(0, np.uint32)]), np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int64)
+        size = np.array([len(i) for i in ids], dtype=np.int64) // 4
+        return np.frombuffer(b"".join(ids), np.uint32), np.concatenate(([0], np.cumsum(size)))
 
 
 def token_ids(text: pa.Array, word_ids: WordIds, closing_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,7 +134,7 @@ def _pieces(path: str, max_tokens: int, closing_id: int, with_ids: bool):
     def run(batches):
         word_ids = WordIds(path)
         for batch in batches:
-            for part in slices(batch, "text", max_bytes=2 << 20):
+            for part in slices(batch, "text", max_bytes=4 << 20):
                 ids, offsets = token_ids(part.column("text"), word_ids, closing_id)
                 ids = ids.astype("<u4")
                 n = np.diff(offsets)
