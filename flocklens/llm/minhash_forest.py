@@ -36,7 +36,8 @@ from flocklens.llm.components import components
 TREES = 12
 DEPTH = 8
 MIN_DEPTH = 3  # common prefix from which two sets are candidates
-REGION = 12  # a region of at most so many sets is compared in full
+REGION = 32  # a region of at most so many sets is compared in full
+NEAR = 12  # sorted neighbours that are candidates in regions of any size
 VERIFY_SHINGLES = 400_000  # shingles of members that one verification group holds
 ROWS_PER_TASK = 200_000
 SPREADS = (4, 32)  # pairs of two groups that are verified before all of them
@@ -146,7 +147,7 @@ def _neighbours(depth: int, min_depth: int, region: int):
             own = np.zeros(len(i), dtype=np.int64)
             for d in range(min_depth, depth + 1):
                 own[low == d] = size[d][i][low == d]
-            take = i[ok & ((step <= 2) | (own <= region))]
+            take = i[ok & ((step <= NEAR) | (own <= region))]
             pairs.append((take, take + step))
         for d in range(min_depth, depth + 1):
             i = np.flatnonzero((size[d] > region) & (head[d] != np.arange(len(f))))
