@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from flocklens.llm.common import Run
@@ -64,10 +64,11 @@ def components(links: DataFrame, run: Run) -> DataFrame:
         # every link now points down; small star: the smaller neighbours of a go to the smallest
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         down = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = run.keep(down.unionByName(low.withColumnRenamed("m", "b")).distinct(), "star")
-        now = edges.agg(
-            F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).first()
+        seen = Observation()
+        star = down.unionByName(low.withColumnRenamed("m", "b")).distinct()
+        star = star.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h"))
+        edges = run.keep(star, "star")
+        now = seen.get
         if now == state:
             break
         state = now

@@ -2,15 +2,18 @@
 
 Method: every distinct shingle set gets ``trees`` independent orders; order t
 sorts the sets by ``depth`` min-hash values of its own. Neighbours in an order
-are candidates as far as their common prefix reaches: the region of a prefix
-is compared in full once it is small enough (the depth adapts per region), and
-larger regions link sorted neighbours and the region's first member at every
-depth. Candidates are verified on the full shingle sets: first each candidate
-group against its smallest member, then all candidate pairs that those links
-left in different groups. So no candidate is dropped unverified unless both
-ends are already connected, and no region is gathered into one task (orders
-are range-partitioned on prefix and set; neighbours across a partition's edge
-are paired too).
+are candidates as far as their common prefix reaches: the region of a prefix is
+compared in full once it is small enough (the depth adapts per region); in
+larger regions each member pairs with its next sorted neighbours and with a
+central member, one out of the region's largest run of equal keys.
+
+Candidates are verified on the full shingle sets: first each set with its
+smallest candidate, then the candidate pairs that those links left in different
+groups, and at last, in groups of candidates too large to have been compared in
+full, every set outside the group's largest component with all others. So two
+sets that share a region are either compared or already connected. No region is
+gathered into one task: orders are range-partitioned on prefix and set, and
+neighbours across a partition's edge are paired too.
 
 Sets are 64-bit hashes of w-word shingles. Equal sets collapse to one class
 before anything else, so thousands of copies cost one set.
@@ -36,11 +39,11 @@ from flocklens.llm.components import components
 TREES = 12
 DEPTH = 8
 MIN_DEPTH = 3  # common prefix from which two sets are candidates
-REGION = 32  # a region of at most so many sets is compared in full
-NEAR = 12  # sorted neighbours that are candidates in regions of any size
+REGION = 12  # a region of at most so many sets is compared in full
+NEAR = 2  # sorted neighbours that are candidates in regions of any size
 VERIFY_SHINGLES = 400_000  # shingles of members that one verification group holds
 ROWS_PER_TASK = 200_000
-SPREADS = (4, 32)  # pairs of two groups that are verified before all of them
+CELL_SHINGLES = 2_000_000  # shingles of members that one cell of a large candidate group holds
 
 
 def shingle_sets(text: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -149,9 +152,16 @@ def _neighbours(depth: int, min_depth: int, region: int):
                 own[low == d] = size[d][i][low == d]
             take = i[ok & ((step <= NEAR) | (own <= region))]
             pairs.append((take, take + step))
-        for d in range(min_depth, depth + 1):
-            i = np.flatnonzero((size[d] > region) & (head[d] != np.arange(len(f))))
-            pairs.append((head[d][i], i))
+        # large regions: every member with a central one, out of the region's
+        # largest run of equal keys
+        big = np.flatnonzero(size[min_depth] > region)
+        if len(big):
+            order = big[np.lexsort((head[depth][big], -size[depth][big], head[min_depth][big]))]
+            first = np.ones(len(order), dtype=bool)
+            first[1:] = head[min_depth][order][1:] != head[min_depth][order][:-1]
+            centre = np.zeros(len(f), dtype=np.int64)
+            centre[head[min_depth][order[first]]] = order[first]
+            pairs.append((centre[head[min_depth][big]], big))
         x = np.concatenate([p for p, _ in pairs] + [np.zeros(0, np.int64)]).astype(np.int64)
         y = np.concatenate([q for _, q in pairs] + [np.zeros(0, np.int64)]).astype(np.int64)
         x, y = _alike(cid, n, x, y)
@@ -267,6 +277,71 @@ def _verify(stars: DataFrame, sets: DataFrame, run: Run) -> DataFrame:
     return run.keep(rows.groupBy("hub", "part").applyInPandas(compare, "a long, b long"), "links")
 
 
+def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    return found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(links)
+
+
+def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs whose ends are not in one group yet."""
+    at = lambda end: found.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}"))
+    return (
+        pairs.join(at("a"), "a", "left")
+        .join(at("b"), "b", "left")
+        .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
+        .select("a", "b")
+    )
+
+
+def _outsiders(pairs: DataFrame, classes: DataFrame, found: DataFrame, sets: DataFrame, run: Run, region: int) -> DataFrame:
+    """Links that neighbours in large regions have missed.
+
+    Within a group of candidates that is too large to have been compared in
+    full, every set outside the group's largest verified component meets all
+    others: its members are dealt to cells of bounded size, the outsiders go to
+    each cell, and a cell counts common shingles over its inverted index. One
+    link for each two components leaves a cell."""
+    group = components(pairs, run).select(F.col("id").alias("cid"), F.col("component").alias("c"))
+    rows = group.join(found.select(F.col("id").alias("cid"), F.col("component").alias("g")), "cid", "left")
+    rows = rows.withColumn("g", F.coalesce("g", "cid")).join(classes.select("cid", "n"), "cid")
+    rows = run.keep(rows, "members")
+    by = rows.groupBy("c", "g").agg(F.count("*").alias("k"), F.sum("n").alias("load"))
+    by = by.groupBy("c").agg(
+        F.sum("k").alias("size"), F.sum("load").alias("load"), F.max(F.struct("k", "g"))["g"].alias("main"), F.count("*").alias("parts")
+    )
+    by = by.where((F.col("size") > region) & (F.col("parts") > 1))
+    by = by.select("c", "main", F.ceil(F.col("load") / CELL_SHINGLES).cast("int").alias("cells"))
+    rows = rows.join(by, "c").select("cid", "c", "g", "main", "cells")
+    home = rows.withColumn("cell", F.pmod(F.xxhash64("cid"), F.col("cells")).cast("int")).withColumn("home", F.lit(True))
+    away = rows.where("g <> main").withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).withColumn("home", F.lit(False))
+    dealt = home.unionByName(away).join(sets, "cid").select("c", "cell", "cid", "g", "home", "shingles")
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        here = frame["home"].to_numpy(dtype=bool)
+        cid, g = frame["cid"].to_numpy(np.int64), frame["g"].to_numpy(np.int64)
+        blobs = [np.frombuffer(b, dtype=np.uint64) for b in frame["shingles"]]
+        own = np.flatnonzero(here)
+        size = np.array([len(blobs[i]) for i in own], dtype=np.int64)
+        out = []
+        if len(own):
+            value = np.concatenate([blobs[i] for i in own])
+            owner = np.repeat(np.arange(len(own)), size)
+            order = np.argsort(value)
+            value, owner = value[order], owner[order]
+            for i in np.flatnonzero(~here):
+                low = np.searchsorted(value, blobs[i])
+                many = np.searchsorted(value, blobs[i], side="right") - low
+                at = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+                both = np.bincount(owner[at], minlength=len(own))
+                hit = np.flatnonzero((100 * both >= PERCENT * (len(blobs[i]) + size - both)) & (g[own] != g[i]))
+                if len(hit):
+                    _, one = np.unique(g[own][hit], return_index=True)
+                    out += [(cid[i], cid[own[k]]) for k in hit[one]]
+        pair = np.array(out, dtype=np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": pair[:, 0], "b": pair[:, 1]})
+
+    return dealt.groupBy("c", "cell").applyInPandas(compare, "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame,
     words: int = 5,
@@ -293,27 +368,14 @@ def near_duplicates(
     )
     pairs = _candidates(classes, run, trees, depth, min_depth, region)
     sets = _sets_of(docs, classes, pairs, run, words)
-    groups = components(pairs, run)
-    links = _verify(groups.where("id <> component").select(F.col("component").alias("hub"), F.col("id").alias("member")), sets, run)
-    found = run.keep(components(links, run), "groups")
-    # the rest: first a few pairs for each two groups, as most of them join by
-    # those, and at last every candidate pair that still lies across groups
-    for spread in (*SPREADS, None):
-        at = lambda end: found.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}"))
-        rest = (
-            pairs.join(at("a"), "a", "left")
-            .join(at("b"), "b", "left")
-            .select("a", "b", F.coalesce("of_a", "a").alias("g"), F.coalesce("of_b", "b").alias("h"))
-            .where("g <> h")
-        )
-        if spread is not None:
-            key = [F.least("g", "h").alias("g"), F.greatest("g", "h").alias("h"), F.pmod(F.xxhash64("a", "b"), F.lit(spread))]
-            rest = rest.groupBy(*key).agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b")
-        rest = run.keep(rest.select(F.col("a").alias("hub"), F.col("b").alias("member")), "rest")
-        if rest.isEmpty():
-            break
-        links = run.keep(links.unionByName(_verify(rest, sets, run)), "links")
-        found = run.keep(components(links, run), "groups")
+    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select(F.col("a").alias("hub"), F.col("b").alias("member"))
+    found = run.keep(components(_verify(first, sets, run), run), "groups")
+    rest = run.keep(_across(pairs, found).select(F.col("a").alias("hub"), F.col("b").alias("member")), "rest")
+    if not rest.isEmpty():
+        found = run.keep(components(_joined(found, _verify(rest, sets, run)), run), "groups")
+    more = run.keep(_outsiders(pairs, classes, found, sets, run, region), "outsiders")
+    if not more.isEmpty():
+        found = run.keep(components(_joined(found, more), run), "groups")
     of = classes.join(found.withColumnRenamed("id", "cid"), "cid", "left").select(
         "cid", "rep", F.coalesce("component", "cid").alias("component")
     )

@@ -53,7 +53,7 @@ def test_near_duplicates_many_copies(spark):
     rows = [(i, " ".join(base)) for i in range(150)]
     for i in range(150, 400):  # near copies of the base, one to nine words changed
         t = list(base)
-        for _ in range(rnd.randint(1, 9)):
+        for _ in range(rnd.randint(1, 9) if i % 2 else rnd.randint(2, 4)):
             t[rnd.randrange(len(t))] = word()
         rows.append((i, " ".join(t)))
     chain = [word() for _ in range(100)]
