@@ -146,7 +146,7 @@ def campaign_member(events: DataFrame, documents: DataFrame) -> DataFrame:
     u, eid = F.col("user_id"), F.col("event_id")
     e = _slot(events)
     names = doc_names(documents)
-    namesake = e.user_id - F.when(e.user_id % 8 == 4, 4).otherwise(0)
+    namesake = e.user_id - F.when(e.user_id % 16 == 12, 4).otherwise(0)
     e = e.join(names, namesake == names.doc_id, "left")
     first = F.when(u % 4 == 1, F.concat(F.substring(F.trim("first"), 1, 3), F.lit("."))).otherwise(F.col("first"))
     last = (
