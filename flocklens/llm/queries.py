@@ -1,4 +1,4 @@
-"""The registered queries opN_<name> over the driver tables, and their SQL."""
+"""The registered queries opN_<name> over the driver tables."""
 
 from __future__ import annotations
 
@@ -84,19 +84,3 @@ QUERIES = {
     "op9_quality_fm": op9_quality_fm,
     "op10_weak_rules": op10_weak_rules,
 }
-
-
-ORACLE_SQL: dict[str, str] = {
-    "op5_warc": """
-        WITH facts AS (
-            SELECT page_id, sha1(encode(coalesce(html, ''))) AS digest,
-                   octet_length(encode(coalesce(html, ''))) AS size
-            FROM pages),
-        many AS (
-            SELECT digest, size, max(page_id) AS response FROM facts
-            WHERE size >= 1000 GROUP BY digest, size HAVING count(*) > 1)
-        SELECT f.page_id, CAST(f.size AS BIGINT) AS payload_bytes, f.digest AS payload_digest,
-               CASE WHEN m.response IS NULL OR m.response = f.page_id THEN 'response' ELSE 'revisit' END AS record_type,
-               CASE WHEN m.response <> f.page_id THEN m.response END AS refers_to
-        FROM facts f LEFT JOIN many m ON f.digest = m.digest AND f.size = m.size""",
-}

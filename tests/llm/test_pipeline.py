@@ -56,7 +56,8 @@ def test_stages_on_odd_and_empty_documents(spark, odd, empty):
 
 
 def test_queries_match_their_sql(spark):
-    from flocklens.llm.queries import ORACLE_SQL, QUERIES
+    from flocklens.llm.oracle import ORACLE_SQL
+    from flocklens.llm.queries import QUERIES
     from tools.compare import TABLES, digest
 
     con = duckdb.connect()
