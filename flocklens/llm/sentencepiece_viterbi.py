@@ -11,8 +11,9 @@ The score depends on the model. Unigram: best sum of piece scores (Viterbi).
 BPE: the sum of scores does not give the model's segmentation, so a hit counts
 only if the pair (last piece of the prefix before it, the hit) is one that
 merging by rank leaves as it is; exactly one path holds this condition at every
-step, and it is the merge result. Pairs are judged by merging their characters
-in batches, once per distinct pair.
+step, and it is the merge result (a unit without such a path, as some long runs
+of spaces, is merged outright). Pairs are judged in batches, once per distinct
+pair, by undoing the merges next to the boundary.
 
 Characters that no piece holds become byte pieces (or the unknown piece).
 
@@ -84,14 +85,32 @@ class Pieces:
         self.merge_keys = np.array(sorted(merges), dtype=np.int64)
         self.merge_ids = np.array([merges[k] for k in sorted(merges)], dtype=np.int64)
         self.char_ids = [[of.get(c, -1) for c in t] for t in self.text]
-        # judged pairs: a slot holds the last pair that fell on it
-        self.judged = np.full(1 << SLOT_BITS, -1, dtype=np.int64)
-        self.judged_ok = np.zeros(1 << SLOT_BITS, dtype=bool)
         # which slots hold any key: spares most searches
         self.maybe_piece = np.zeros(1 << SLOT_BITS, dtype=bool)
         self.maybe_piece[_slot(self.keys)] = True
         self.maybe_merge = np.zeros(1 << SLOT_BITS, dtype=bool)
         self.maybe_merge[_slot(self.merge_keys)] = True
+        self.order = np.empty(n, dtype=np.int64)  # of merging: by score, then id
+        self.order[np.lexsort((np.arange(n), -self.score))] = np.arange(n)
+        self.split_left, self.split_right = self._splits()
+        # a piece that merging its characters does not give is never an output
+        made = np.array([len(t) == 1 for t in self.text]) | (self.split_left >= 0)
+        if not self.unigram:
+            usable = made[self.ids]
+            self.keys, self.ids = self.keys[usable], self.ids[usable]
+        self._forget()
+
+    def _forget(self) -> None:
+        """Judged pairs: a slot holds the last pair that fell on it."""
+        self.judged = np.full(1 << SLOT_BITS, -1, dtype=np.int64)
+        self.judged_ok = np.zeros(1 << SLOT_BITS, dtype=bool)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if not k.startswith("judged")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._forget()
 
     def probe(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(which of the substring hashes are pieces, those pieces)."""
@@ -126,18 +145,42 @@ class Pieces:
         return ok
 
     def _judge(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        chars = [self.char_ids[p] + self.char_ids[q] for p, q in zip(a.tolist(), b.tolist())]
-        size = np.array([len(c) for c in chars])
-        ok = np.zeros(len(a), dtype=bool)
-        for n in np.unique(size):
+        """Undo the merges of both pieces, latest first, next to the boundary:
+        the pair holds unless some pair across it would have merged earlier."""
+        out = np.ones(len(a), dtype=bool)
+        live = np.arange(len(a))
+        a, b = a.copy(), b.copy()
+        limit = np.full(len(a), 2 * self.size, dtype=np.int64)  # twice the order, plus one on the right
+        while len(live):
+            across = self.merged(a, b)
+            broken = (across >= 0) & (2 * self.order[across] < limit)
+            out[live[broken]] = False
+            left, right = self.order[a], self.order[b]
+            can_left, can_right = self.split_right[a] >= 0, self.split_left[b] >= 0
+            take = can_left & ((left > right) | ~can_right)
+            other = ~take & can_right
+            limit = np.where(take, 2 * left, np.where(other, 2 * right + 1, limit))
+            a, b = np.where(take, self.split_right[a], a), np.where(other, self.split_left[b], b)
+            go_on = ~broken & (take | other)
+            live, a, b, limit = live[go_on], a[go_on], b[go_on], limit[go_on]
+        return out
+
+    def _splits(self) -> tuple[np.ndarray, np.ndarray]:
+        """The two pieces that each piece's last merge joins, or -1."""
+        left, right = np.full(self.size, -1, np.int64), np.full(self.size, -1, np.int64)
+        size = np.array([len(c) for c in self.char_ids])
+        size[np.array([not c or min(c) < 0 for c in self.char_ids])] = 0
+        for n in range(2, int(size.max(initial=0)) + 1):
             rows = np.flatnonzero(size == n)
-            out, count = self.merge_all(np.array([chars[i] for i in rows], dtype=np.int64))
-            ok[rows] = (count == 2) & (out[:, 0] == a[rows]) & (out[:, 1] == b[rows])
-        return ok
+            if len(rows):
+                out, count = self.merge_all(np.array([self.char_ids[i] for i in rows], dtype=np.int64), keep=2)
+                whole = (count == 2) & (self.merged(out[:, 0], out[:, 1]) == rows)
+                left[rows[whole]], right[rows[whole]] = out[whole, 0], out[whole, 1]
+        return left, right
 
-    def merge_all(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def merge_all(self, ids: np.ndarray, keep: int = 1) -> tuple[np.ndarray, np.ndarray]:
         """Merge rows of piece ids, best score first and leftmost among equals,
-        until nothing merges: (left-aligned ids, how many)."""
+        until nothing merges or ``keep`` pieces are left: (left-aligned ids, how many)."""
         ids = np.concatenate([ids, np.full((len(ids), 1), -2, np.int64)], axis=1)
         count = np.full(len(ids), ids.shape[1] - 1)
         live = np.arange(len(ids))
@@ -147,7 +190,7 @@ class Pieces:
             rank = np.where(to >= 0, self.score[to], -np.inf)
             best = rank.argmax(axis=1)
             row = np.arange(len(live))
-            any_left = to[row, best] >= 0
+            any_left = (to[row, best] >= 0) & (count[live] > keep)
             live, best, row = live[any_left], best[any_left], row[any_left]
             if not len(live):
                 break
@@ -178,9 +221,9 @@ def hash_of(chars: np.ndarray) -> np.uint64:
     return _prefix(chars)[-1]
 
 
-def segment(chars: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+def segment(chars: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Segment equally long rows of code points: (start of the last piece at
-    each prefix, that piece or -1 for an uncovered character)."""
+    each prefix, that piece or -1 for an uncovered character, whether the row has a path)."""
     rows, n = chars.shape
     h = _prefix(chars)
     power = np.ones(pieces.longest + 1, dtype=np.uint64)
@@ -218,7 +261,19 @@ def segment(chars: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
             alone = alone[total[alone, end - 1] > -np.inf]
             total[alone, end] = total[alone, end - 1] + (floor if pieces.unigram else 0.0)
             back[alone, end] = end - 1
-    return back, last
+    return back, last, total[:, n] > -np.inf
+
+
+def _merged_path(chars: np.ndarray, pieces: Pieces, back: np.ndarray, last: np.ndarray) -> None:
+    """Write the path that merging by rank gives into a row of the programme."""
+    ids = np.full(len(chars), -1, dtype=np.int64)
+    at, found = pieces.probe(mix64(chars + np.uint64(1)))
+    ids[at] = found
+    out, count = pieces.merge_all(ids[None, :])
+    end = 0
+    for p in out[0, : count[0]].tolist():
+        start, end = end, end + (len(pieces.text[p]) if p >= 0 else 1)
+        back[end], last[end] = start, p
 
 
 def encode_units(units: list[str], pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
@@ -231,7 +286,9 @@ def encode_units(units: list[str], pieces: Pieces) -> tuple[np.ndarray, np.ndarr
         for a in range(0, len(of), block):
             rows = of[a : a + block]
             chars = codes("".join(units[i] for i in rows)).reshape(len(rows), n)
-            back, last = segment(chars, pieces)
+            back, last, has_path = segment(chars, pieces)
+            for k in np.flatnonzero(~has_path):  # long runs of equal pieces that merge in turns
+                _merged_path(chars[k], pieces, back[k], last[k])
             # follow the backpointers of all rows together
             at = np.full(len(rows), n)
             steps = []
@@ -274,6 +331,11 @@ def units_of(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
     led = pc.if_else(pa.array(empty), pa.scalar("", led.type), led)
     raw, offsets = text_bytes(led)
     space = raw == 32
+    # the mark that stands for a space may also be in the text itself
+    mark = np.flatnonzero(raw[:-2] == 0xE2) if len(raw) > 2 else np.zeros(0, np.int64)
+    mark = mark[(raw[mark + 1] == 0x96) & (raw[mark + 2] == 0x81)]
+    for k in range(3):
+        space[mark + k] = True
     begins = space.copy()
     begins[1:] &= ~space[:-1]
     begins[offsets[:-1][~empty]] = True
@@ -324,10 +386,12 @@ def tokenise(docs: DataFrame, model_path: str, with_ids: bool = False) -> DataFr
     the little-endian uint32 ids), round_trip (decoding gives the text back)
     and, on request, ids."""
 
+    shared = docs.sparkSession.sparkContext.broadcast(Pieces(model_path))  # the size of the model file, some MB
+
     def run(batches):
-        pieces, known = Pieces(model_path), {}
+        pieces, known = shared.value, {}
         for batch in batches:
-            for part in slices(batch, "text", max_bytes=4 << 20):
+            for part in slices(batch, "text", max_bytes=8 << 20):
                 text = one_array(part.column("text"))
                 ids, offsets = encode(text, pieces, known)
                 ids = ids.astype("<u4")

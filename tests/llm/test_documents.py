@@ -311,6 +311,23 @@ def test_sentencepiece_equals_the_library(odd, odd_rows, empty):
     assert tokenise(empty, path).count() == 0
 
 
+def test_sentencepiece_on_mixed_pieces():
+    """Random characters, pieces and space marks, where merges compete."""
+    import public_tokenizers as P
+    import sentencepiece
+
+    from flocklens.llm import sentencepiece_viterbi as s
+
+    path = str(P.path("piece_bpe_32k.model"))
+    pieces, sp = s.Pieces(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    rnd = random.Random(1)
+    texts = ["".join(rnd.choice("aabbeett ththe .-_▁é\n1") for _ in range(rnd.randint(1, 40))) for _ in range(2000)]
+    texts += ["".join(pieces.text[rnd.randrange(259, 32000)] for _ in range(rnd.randint(1, 6))) for _ in range(2000)]
+    ids, offsets = s.encode(pa.array(texts), pieces)
+    want = sp.encode(texts, num_threads=1)
+    assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == want
+
+
 def test_unigram_segmentation_is_the_best_path():
     """The Viterbi score of the piece table against all segmentations."""
     import public_tokenizers as P
