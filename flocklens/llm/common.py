@@ -28,7 +28,8 @@ def shared_dir(spark: SparkSession) -> str:
     made; on a cluster an unset setting is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to storage that driver and executors share")
         root = tempfile.mkdtemp(prefix="llm-shared-")
         spark.sparkContext.setCheckpointDir(root)
