@@ -9,9 +9,11 @@ central member, one out of the region's largest run of equal keys.
 
 Candidates are verified on the full shingle sets: first each set with its
 smallest candidate, then the candidate pairs that those links left in different
-groups, and at last, in groups of candidates too large to have been compared in
-full, every set outside the group's largest component with all others. So two
-sets that share a region are either compared or already connected. No region is
+groups, and at last, in regions too large to have been compared in full or cut
+by a partition's edge, every set outside the largest component with all others.
+Such regions are held together whatever the sizes of their sets. So two sets
+that share a region are either compared, or already connected, or of sizes that
+rule the similarity out. No region is
 gathered into one task: orders are range-partitioned on prefix and set, and
 neighbours across a partition's edge are paired too.
 
@@ -122,7 +124,11 @@ def _features(words: int, trees: int, depth: int):
 
 
 def _neighbours(depth: int, min_depth: int, region: int):
-    """Candidate pairs of one sorted run of an order, and its two end rows."""
+    """Candidate pairs of one sorted run of an order (tree -1), ties of regions
+    that are not compared in full here (tree -2), and the run's two end rows.
+
+    Ties hold a region together whatever the sizes of its sets; only pairs that
+    are to be verified pass the size filter."""
     columns = ["a", "b", "tree", "key", "n"]
 
     def run(frames):
@@ -152,21 +158,26 @@ def _neighbours(depth: int, min_depth: int, region: int):
                 own[low == d] = size[d][i][low == d]
             take = i[ok & ((step <= NEAR) | (own <= region))]
             pairs.append((take, take + step))
-        # large regions: every member with a central one, out of the region's
-        # largest run of equal keys
-        big = np.flatnonzero(size[min_depth] > region)
+        # large regions and those that may go on in the next partition: every
+        # member with a central one, out of the region's largest run of equal keys
+        top = head[min_depth]
+        big = np.flatnonzero((size[min_depth] > region) | (top == 0) | (top == top[-1]))
+        ties = (np.zeros(0, np.int64), np.zeros(0, np.int64))
         if len(big):
             order = big[np.lexsort((head[depth][big], -size[depth][big], head[min_depth][big]))]
             first = np.ones(len(order), dtype=bool)
             first[1:] = head[min_depth][order][1:] != head[min_depth][order][:-1]
             centre = np.zeros(len(f), dtype=np.int64)
             centre[head[min_depth][order[first]]] = order[first]
-            pairs.append((centre[head[min_depth][big]], big))
+            ties = (centre[head[min_depth][big]], big)
+            pairs.append(ties)
         x = np.concatenate([p for p, _ in pairs] + [np.zeros(0, np.int64)]).astype(np.int64)
         y = np.concatenate([q for _, q in pairs] + [np.zeros(0, np.int64)]).astype(np.int64)
         x, y = _alike(cid, n, x, y)
         out = pd.DataFrame({"a": cid[x], "b": cid[y]}).drop_duplicates()
         yield out.assign(tree=-1, key=None, n=0)[columns]
+        out = pd.DataFrame({"a": cid[ties[0]], "b": cid[ties[1]]}).query("a != b").drop_duplicates()
+        yield out.assign(tree=-2, key=None, n=0)[columns]
         ends = f.iloc[sorted({0, len(f) - 1})]
         yield pd.DataFrame({"a": ends["cid"], "b": ends["cid"], "tree": ends["tree"], "key": ends["key"], "n": ends["n"]})
 
@@ -184,7 +195,8 @@ def _alike(cid, n, x, y):
     return np.where(swap, y, x), np.where(swap, x, y)
 
 
-def _candidates(classes: DataFrame, run: Run, trees: int, depth: int, min_depth: int, region: int) -> DataFrame:
+def _candidates(classes: DataFrame, run: Run, trees: int, depth: int, min_depth: int, region: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs to verify, ties of the regions whose pairs are not all among them)."""
     spark = run.spark
     rows = classes.count() * trees
     orders = classes.select(
@@ -210,19 +222,20 @@ def _candidates(classes: DataFrame, run: Run, trees: int, depth: int, min_depth:
     # two rows per partition: neighbours across the partitions' edges
     ends = sorted((r.tree, bytes(r.key), r.a, r.n) for r in out.where("tree >= 0").collect())
     across = [
-        (min(p[2], q[2]), max(p[2], q[2]))
+        (min(p[2], q[2]), max(p[2], q[2]), 100 * min(p[3], q[3]) >= PERCENT * max(p[3], q[3]))
         for p, q in zip(ends, ends[1:])
         if p[0] == q[0] and p[1][: 4 * min_depth] == q[1][: 4 * min_depth] and p[2] != q[2]
-        and 100 * min(p[3], q[3]) >= PERCENT * max(p[3], q[3])
     ]
-    pairs = out.where("tree < 0").select("a", "b")
+    pairs, ties = out.where("tree = -1").select("a", "b"), out.where("tree = -2").select("a", "b")
     if across:
-        pairs = pairs.unionByName(spark.createDataFrame(across, "a long, b long"))
-    return run.keep(pairs.distinct(), "candidates")
+        across = spark.createDataFrame(across, "a long, b long, alike boolean")
+        pairs = pairs.unionByName(across.where("alike").select("a", "b"))
+        ties = ties.unionByName(across.select("a", "b"))
+    return run.keep(pairs.distinct(), "candidates"), run.keep(ties.distinct(), "ties")
 
 
 def _sets_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame, run: Run, words: int) -> DataFrame:
-    """(cid, shingles): the full set of each class that is in a candidate pair."""
+    """(cid, shingles): the full set of each class that is in one of ``pairs``."""
     wanted = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
     ids = classes.join(wanted, "cid", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
 
@@ -292,23 +305,23 @@ def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def _outsiders(pairs: DataFrame, classes: DataFrame, found: DataFrame, sets: DataFrame, run: Run, region: int) -> DataFrame:
+def _outsiders(ties: DataFrame, classes: DataFrame, found: DataFrame, sets: DataFrame, run: Run) -> DataFrame:
     """Links that neighbours in large regions have missed.
 
-    Within a group of candidates that is too large to have been compared in
-    full, every set outside the group's largest verified component meets all
+    Within a group of tied regions, which were too large to be compared in
+    full or cut by a partition's edge, every set outside the group's largest verified component meets all
     others: its members are dealt to cells of bounded size, the outsiders go to
     each cell, and a cell counts common shingles over its inverted index. One
     link for each two components leaves a cell."""
-    group = components(pairs, run).select(F.col("id").alias("cid"), F.col("component").alias("c"))
+    group = components(ties, run).select(F.col("id").alias("cid"), F.col("component").alias("c"))
     rows = group.join(found.select(F.col("id").alias("cid"), F.col("component").alias("g")), "cid", "left")
     rows = rows.withColumn("g", F.coalesce("g", "cid")).join(classes.select("cid", "n"), "cid")
     rows = run.keep(rows, "members")
     by = rows.groupBy("c", "g").agg(F.count("*").alias("k"), F.sum("n").alias("load"))
     by = by.groupBy("c").agg(
-        F.sum("k").alias("size"), F.sum("load").alias("load"), F.max(F.struct("k", "g"))["g"].alias("main"), F.count("*").alias("parts")
+        F.sum("load").alias("load"), F.max(F.struct("k", "g"))["g"].alias("main"), F.count("*").alias("parts")
     )
-    by = by.where((F.col("size") > region) & (F.col("parts") > 1))
+    by = by.where("parts > 1")
     by = by.select("c", "main", F.ceil(F.col("load") / CELL_SHINGLES).cast("int").alias("cells"))
     rows = rows.join(by, "c").select("cid", "c", "g", "main", "cells")
     home = rows.withColumn("cell", F.pmod(F.xxhash64("cid"), F.col("cells")).cast("int")).withColumn("home", F.lit(True))
@@ -366,14 +379,14 @@ def near_duplicates(
         .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")),
         "classes",
     )
-    pairs = _candidates(classes, run, trees, depth, min_depth, region)
-    sets = _sets_of(docs, classes, pairs, run, words)
+    pairs, ties = _candidates(classes, run, trees, depth, min_depth, region)
+    sets = _sets_of(docs, classes, pairs.unionByName(ties), run, words)
     first = pairs.groupBy("b").agg(F.min("a").alias("a")).select(F.col("a").alias("hub"), F.col("b").alias("member"))
     found = run.keep(components(_verify(first, sets, run), run), "groups")
     rest = run.keep(_across(pairs, found).select(F.col("a").alias("hub"), F.col("b").alias("member")), "rest")
     if not rest.isEmpty():
         found = run.keep(components(_joined(found, _verify(rest, sets, run)), run), "groups")
-    more = run.keep(_outsiders(pairs, classes, found, sets, run, region), "outsiders")
+    more = run.keep(_outsiders(ties, classes, found, sets, run), "outsiders")
     if not more.isEmpty():
         found = run.keep(components(_joined(found, more), run), "groups")
     of = classes.join(found.withColumnRenamed("id", "cid"), "cid", "left").select(

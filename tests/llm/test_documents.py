@@ -66,6 +66,20 @@ def test_near_duplicates_many_copies(spark):
     assert got == want
 
 
+def test_near_duplicates_hot_region_of_mixed_sizes(spark):
+    """One region whose sorted neighbours mostly have sizes that rule a link out."""
+    from flocklens.llm.minhash_forest import near_duplicates
+
+    word = lambda tag, k: [f"{tag}{i}" for i in range(k)]
+    template, rows = word("t", 300), []
+    for d in range(36):
+        body = template + word(f"b{d}x", int(20 * 1.12**d))
+        rows += [(2 * d, " ".join(body)), (2 * d + 1, " ".join(body + word(f"c{d}x", 2)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = near_duplicates(df, words=3, trees=1, depth=1, min_depth=1).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == brute.near_duplicates(rows, 3)
+
+
 def test_keep_one_keeps_columns_and_one_of_each(odd, odd_rows):
     from flocklens.llm.minhash_forest import keep_one
 
