@@ -10,7 +10,8 @@ central member, one out of the region's largest run of equal keys.
 Candidates are verified on the full shingle sets: first each set with its
 smallest candidate, then the candidate pairs that those links left in different
 groups, and at last, in regions too large to have been compared in full or cut
-by a partition's edge, every set outside the largest component with all others.
+by a partition's edge, every set outside the largest component with those that
+share one of its rarest shingles: an exact join, whose rows are dealt in cells.
 Such regions are held together whatever the sizes of their sets. So two sets
 that share a region are either compared, or already connected, or of sizes that
 rule the similarity out. No region is
@@ -45,7 +46,9 @@ REGION = 12  # a region of at most so many sets is compared in full
 NEAR = 2  # sorted neighbours that are candidates in regions of any size
 VERIFY_SHINGLES = 400_000  # shingles of members that one verification group holds
 ROWS_PER_TASK = 200_000
-CELL_SHINGLES = 2_000_000  # shingles of members that one cell of a large candidate group holds
+CELL_ROWS = 4096  # prefix rows of one side of a cell; more only where a task's share is more
+PAIRS_AT_ONCE = 1 << 20
+SLOTS = 1 << 22  # counters that tell rare shingles from common ones
 
 
 def shingle_sets(text: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -305,54 +308,135 @@ def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
+def _counts(blobs) -> pd.DataFrame:
+    """How often each slot of shingle hashes occurs."""
+    value = np.concatenate([np.frombuffer(b, dtype=np.uint64) for b in blobs] or [np.zeros(0, np.uint64)])
+    slot, many = np.unique((value & np.uint64(SLOTS - 1)).astype(np.int64), return_counts=True)
+    return pd.DataFrame({"slot": slot, "many": many})
+
+
+def _often(sets: DataFrame) -> np.ndarray:
+    """The counts of all slots."""
+    counts = sets.select("shingles").mapInPandas(
+        lambda frames: (_counts(f["shingles"]) for f in frames), "slot long, many long"
+    )
+    counts = counts.groupBy("slot").agg(F.sum("many").alias("many")).where("many > 1")
+
+    def pack(frames):
+        for f in frames:
+            yield pd.DataFrame({"slot": [f["slot"].to_numpy("<i8").tobytes()], "many": [f["many"].to_numpy("<i8").tobytes()]})
+
+    out = np.zeros(SLOTS, dtype=np.uint32)
+    for r in counts.mapInPandas(pack, "slot binary, many binary").collect():
+        out[np.frombuffer(r.slot, "<i8")] = np.minimum(np.frombuffer(r.many, "<i8"), (1 << 32) - 1)
+    return out
+
+
+def _prefix_rows(shared):
+    """Prefix rows of each set: its shingles from the rarest on, as far as a
+    similar set must hold one of them, with what is left of the set there."""
+
+    def rows(f, keys):
+        many = np.array([len(k) for k in keys])
+        n = np.array([len(b) // 8 for b in f["shingles"]])
+        at = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+        same = {c: np.repeat(f[c].to_numpy(), many) for c in ("cid", "g", "out")}
+        n = np.repeat(n, many)
+        return pd.DataFrame({"key": np.concatenate(keys).view(np.int64), **same, "n": n, "left": n - at})
+
+    def run(frames):
+        often = shared.value
+        for f in frames:
+            salt = mix64(f["c"].to_numpy(np.int64).view(np.uint64))
+            keys, begin = [], 0
+            for k, blob in enumerate(f["shingles"]):
+                h = np.frombuffer(blob, dtype=np.uint64)
+                cut = len(h) - -(-PERCENT * len(h) // 100) + 1
+                # the order of rarity is the same for all sets, ties by the hash itself
+                rare = h[np.lexsort((h, often[(h & np.uint64(SLOTS - 1)).astype(np.int64)]))[:cut]]
+                keys.append(mix64(rare ^ salt[k]))
+                if k + 1 - begin == 2000 or k + 1 == len(f):
+                    yield rows(f.iloc[begin : k + 1], keys)
+                    keys, begin = [], k + 1
+
+    return run
+
+
+def _meetings(frames):
+    """Pairs of an outsider and a set of another component that share a prefix
+    row and, by what is left of both from there, can still be similar."""
+    parts = [f for f in frames if len(f)]
+    if not parts:
+        return
+    f = pd.concat(parts, ignore_index=True)
+    cell = f.groupby(["key", "i", "j"], sort=False).ngroup().to_numpy(np.int64)
+    f = f.iloc[np.lexsort((f["n"], cell))]
+    cell = np.sort(cell)
+    cid, g, n, left, side = (f[c].to_numpy(np.int64) for c in ("cid", "g", "n", "left", "side"))
+    home, away = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    # a partner of size m has 9 * left >= 4 * (n + m), and 100 * m >= PERCENT * n
+    wide = int(n.max()) + 1
+    at = cell[home] * wide + n[home]
+    most = np.minimum((100 + PERCENT) * left[away] // PERCENT - n[away], wide - 1)
+    least = np.minimum(-(-PERCENT * n[away] // 100), wide - 1)
+    low = np.searchsorted(at, cell[away] * wide + least)
+    many = np.maximum(np.searchsorted(at, cell[away] * wide + np.maximum(most, -1), side="right") - low, 0)
+    ends = np.cumsum(many)
+    a = 0
+    while a < len(away):  # bounded runs of pairs
+        done = ends[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, done + PAIRS_AT_ONCE, side="right")))
+        x = np.repeat(away[a:b], many[a:b])
+        begin = ends[a:b] - many[a:b] - done
+        y = home[np.repeat(low[a:b] - begin, many[a:b]) + np.arange(len(x))]
+        ok = (g[x] != g[y]) & ((100 + PERCENT) * left[y] >= PERCENT * (n[x] + n[y]))
+        pairs = pd.DataFrame({"a": np.minimum(cid[x[ok]], cid[y[ok]]), "b": np.maximum(cid[x[ok]], cid[y[ok]])})
+        yield pairs.drop_duplicates()
+        a = b
+
+
 def _outsiders(ties: DataFrame, classes: DataFrame, found: DataFrame, sets: DataFrame, run: Run) -> DataFrame:
     """Links that neighbours in large regions have missed.
 
-    Within a group of tied regions, which were too large to be compared in
-    full or cut by a partition's edge, every set outside the group's largest verified component meets all
-    others: its members are dealt to cells of bounded size, the outsiders go to
-    each cell, and a cell counts common shingles over its inverted index. One
-    link for each two components leaves a cell."""
+    Within a group of tied regions, which were too large to be compared in full
+    or cut by a partition's edge, every set outside the group's largest verified
+    component finds its partners by an exact prefix-filter join: similar sets
+    share one of the rarest shingles of each, and from the first one that they
+    share enough must be left of both. The rows of a shingle meet in square
+    cells of bounded size, so neither side is gathered into one task."""
     group = components(ties, run).select(F.col("id").alias("cid"), F.col("component").alias("c"))
     rows = group.join(found.select(F.col("id").alias("cid"), F.col("component").alias("g")), "cid", "left")
-    rows = rows.withColumn("g", F.coalesce("g", "cid")).join(classes.select("cid", "n"), "cid")
-    rows = run.keep(rows, "members")
-    by = rows.groupBy("c", "g").agg(F.count("*").alias("k"), F.sum("n").alias("load"))
-    by = by.groupBy("c").agg(
-        F.sum("load").alias("load"), F.max(F.struct("k", "g"))["g"].alias("main"), F.count("*").alias("parts")
-    )
-    by = by.where("parts > 1")
-    by = by.select("c", "main", F.ceil(F.col("load") / CELL_SHINGLES).cast("int").alias("cells"))
-    rows = rows.join(by, "c").select("cid", "c", "g", "main", "cells")
-    home = rows.withColumn("cell", F.pmod(F.xxhash64("cid"), F.col("cells")).cast("int")).withColumn("home", F.lit(True))
-    away = rows.where("g <> main").withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).withColumn("home", F.lit(False))
-    dealt = home.unionByName(away).join(sets, "cid").select("c", "cell", "cid", "g", "home", "shingles")
-
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        here = frame["home"].to_numpy(dtype=bool)
-        cid, g = frame["cid"].to_numpy(np.int64), frame["g"].to_numpy(np.int64)
-        blobs = [np.frombuffer(b, dtype=np.uint64) for b in frame["shingles"]]
-        own = np.flatnonzero(here)
-        size = np.array([len(blobs[i]) for i in own], dtype=np.int64)
-        out = []
-        if len(own):
-            value = np.concatenate([blobs[i] for i in own])
-            owner = np.repeat(np.arange(len(own)), size)
-            order = np.argsort(value)
-            value, owner = value[order], owner[order]
-            for i in np.flatnonzero(~here):
-                low = np.searchsorted(value, blobs[i])
-                many = np.searchsorted(value, blobs[i], side="right") - low
-                at = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-                both = np.bincount(owner[at], minlength=len(own))
-                hit = np.flatnonzero((100 * both >= PERCENT * (len(blobs[i]) + size - both)) & (g[own] != g[i]))
-                if len(hit):
-                    _, one = np.unique(g[own][hit], return_index=True)
-                    out += [(cid[i], cid[own[k]]) for k in hit[one]]
-        pair = np.array(out, dtype=np.int64).reshape(-1, 2)
-        return pd.DataFrame({"a": pair[:, 0], "b": pair[:, 1]})
-
-    return dealt.groupBy("c", "cell").applyInPandas(compare, "a long, b long")
+    rows = run.keep(rows.withColumn("g", F.coalesce("g", "cid")), "members")
+    by = rows.groupBy("c", "g").agg(F.count("*").alias("k"))
+    by = by.groupBy("c").agg(F.max(F.struct("k", "g"))["g"].alias("main"), F.count("*").alias("parts"))
+    rows = rows.join(by.where("parts > 1"), "c").select("cid", "c", "g", (F.col("g") != F.col("main")).alias("out"))
+    rows = run.keep(rows.join(sets, "cid"), "apart")
+    # how often shingles occur, by slots of their hashes: it sets an order, no result hangs on it
+    shared = run.spark.sparkContext.broadcast(_often(rows))
+    prefix = "key long, cid long, g long, out boolean, n long, left long"
+    rows = run.keep(rows.mapInPandas(_prefix_rows(shared), prefix), "prefixes")
+    total = rows.count()
+    if not total:
+        return rows.select(F.col("cid").alias("a"), F.col("g").alias("b"))
+    parts = max(shuffle_partitions(run.spark), -(-total // ROWS_PER_TASK))
+    cell = max(CELL_ROWS, -(-total // parts))
+    hot = rows.groupBy("key").agg(F.count("*").alias("all"), F.count(F.when(F.col("out"), 1)).alias("outs"))
+    hot = [(r.key, -(-r["all"] // cell), -(-r.outs // cell)) for r in hot.where(F.col("all") > cell).collect()]
+    if hot:  # at most total / cell keys
+        hot = F.broadcast(run.spark.createDataFrame(hot, "key long, homes int, aways int"))
+        rows = rows.join(hot, "key", "left")
+    else:
+        rows = rows.withColumn("homes", F.lit(1)).withColumn("aways", F.lit(1))
+    rows = rows.withColumn("homes", F.coalesce("homes", F.lit(1))).withColumn("aways", F.coalesce("aways", F.lit(1)))
+    rows = rows.where("aways > 0")  # a shingle without outsiders links nothing
+    of = lambda name: F.pmod(F.xxhash64("cid"), F.col(name)).cast("int")
+    each = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+    kept = ("key", "cid", "g", "n", "left")
+    home = rows.select(*kept, of("homes").alias("i"), F.lit(0).alias("side"), each("aways").alias("j"))
+    away = rows.where("out").select(*kept, of("aways").alias("j"), F.lit(1).alias("side"), each("homes").alias("i"))
+    dealt = home.unionByName(away).repartition(parts, "key", "i", "j")
+    met = run.keep(dealt.mapInPandas(_meetings, "a long, b long").distinct(), "met")
+    return _verify(met.select(F.col("a").alias("hub"), F.col("b").alias("member")), sets, run)
 
 
 def near_duplicates(
@@ -386,7 +470,7 @@ def near_duplicates(
     rest = run.keep(_across(pairs, found).select(F.col("a").alias("hub"), F.col("b").alias("member")), "rest")
     if not rest.isEmpty():
         found = run.keep(components(_joined(found, _verify(rest, sets, run)), run), "groups")
-    more = run.keep(_outsiders(ties, classes, found, sets, run), "outsiders")
+    more = _outsiders(ties, classes, found, sets, run)
     if not more.isEmpty():
         found = run.keep(components(_joined(found, more), run), "groups")
     of = classes.join(found.withColumnRenamed("id", "cid"), "cid", "left").select(

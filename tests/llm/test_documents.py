@@ -80,6 +80,45 @@ def test_near_duplicates_hot_region_of_mixed_sizes(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == brute.near_duplicates(rows, 3)
 
 
+def test_outsiders_of_one_template_meet_by_prefix_rows():
+    """All sets are outsiders of one group and as large as each other: the join
+    finds each similar pair, without comparing all of them, in cells too."""
+    import pandas as pd
+
+    from flocklens.llm import minhash_forest as forest
+
+    rng = np.random.default_rng(3)
+    draw = lambda k: rng.integers(0, 1 << 63, k, dtype=np.uint64) * np.uint64(2)
+    sets = []
+    for share in (100, 140):  # template shingles of 165
+        template = draw(share)
+        for _ in range(150):
+            body = draw(165 - share)
+            sets.append(np.sort(np.concatenate([template, body])))
+            if len(sets) % 5 == 0:
+                sets.append(np.sort(np.concatenate([template[int(rng.integers(0, 12)) :], body, draw(int(rng.integers(0, 12)))])))
+    ids = np.arange(len(sets))
+    often = np.zeros(forest.SLOTS, np.uint32)
+    count = forest._counts([s.tobytes() for s in sets])
+    often[count["slot"]] = count["many"]
+    frame = pd.DataFrame({"c": 7, "cid": ids, "g": ids, "out": True, "shingles": [s.tobytes() for s in sets]})
+    shared = type("Shared", (), {"value": often})
+    rows = pd.concat(forest._prefix_rows(shared)([frame]))
+    both = lambda i, j: pd.concat([rows[rows.cid % 2 == i].assign(i=i, j=j, side=0), rows[rows.cid % 3 == j].assign(i=i, j=j, side=1)])
+    whole = pd.concat(forest._meetings([rows.assign(i=0, j=0, side=k) for k in (0, 1)]))
+    cells = pd.concat(forest._meetings([both(i, j) for i in range(2) for j in range(3)]))
+    met = set(zip(whole.a, whole.b))
+    assert met == set(zip(cells.a, cells.b))
+    near = set()
+    for x in range(len(sets)):
+        for y in range(x + 1, len(sets)):
+            n = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+            if 100 * n >= 80 * (len(sets[x]) + len(sets[y]) - n):
+                near.add((x, y))
+    assert len(near) > 30 and near <= met
+    assert len(met) < len(sets) * 4
+
+
 def test_keep_one_keeps_columns_and_one_of_each(odd, odd_rows):
     from flocklens.llm.minhash_forest import keep_one
 
