@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flocklens.llm import embedding_lsh, language_id, minhash_forest, packing, quality_fm, recurrent_lm, repeats, sentencepiece_viterbi, warc, weak_rules
+from flocklens.llm import (
+    embedding_lsh,
+    language_id,
+    minhash_forest,
+    packing,
+    quality_fm,
+    rank_merge_counts,
+    recurrent_lm,
+    repeats,
+    sentencepiece_viterbi,
+    warc,
+    weak_rules,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +84,10 @@ def op10_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_rank_merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_merge_counts.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), limit=512)
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_recurrent_lm": op2_recurrent_lm,
@@ -83,4 +99,5 @@ QUERIES = {
     "op8_doubling_repeats": op8_doubling_repeats,
     "op9_quality_fm": op9_quality_fm,
     "op10_weak_rules": op10_weak_rules,
+    "op11_rank_merge_counts": op11_rank_merge_counts,
 }
