@@ -79,3 +79,127 @@ ORACLE_SQL: dict[str, str] = {
                sha256(array_to_string(k, ' ')) AS kept_sha256
         FROM kept""",
 }
+
+
+def _crc32(text: str) -> str:
+    """crc32 of an ASCII text: a bit of each byte at a time."""
+    bits = f"flatten(list_transform(string_split({text}, ''), lambda x: [CAST(ascii(x) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))"
+    step = "xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bits}), lambda c, b: {step}), 4294967295)"
+
+
+_WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_FAR = 1000000000  # the cost of a state that cannot be reached
+
+
+def _best(*ways: str) -> str:
+    return f"list_min([{', '.join(ways)}])"
+
+
+def _edit(state: str, cost, letter: str, line: str | None = None) -> str:
+    """``state`` (c cost, a audit, t text) after an edit that leaves ``line``."""
+    text = f"{state}.t" if line is None else f"{state}.t || chr(10) || {line}"
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {text}}}"
+
+
+def _only(condition: str, edit: str) -> str:
+    """The edit where ``condition`` holds, else a state out of reach."""
+    return f"CASE WHEN {condition} THEN {edit} ELSE {{'c': {_FAR}, 'a': '', 't': ''}} END"
+
+
+# states of s?(ua)+: z nothing, s after a system turn, u after a user turn, p after a pair
+_PAIR = {"u": "p", "p": "u"}
+_NEW = {"u": "'user:'", "p": "'assistant:'"}
+_INSERTED = f"""z, s,
+    {_best('u', *(_edit(x, 5, 'I', _NEW['u']) for x in ('z', 's', 'p')))} AS u,
+    {_best('p', _edit('u', 5, 'I', _NEW['p']),
+           *(f"{{'c': {x}.c + 10, 'a': {x}.a || 'II', 't': {x}.t || chr(10) || 'user:' || chr(10) || 'assistant:'}}" for x in ('z', 's')))} AS p"""
+
+
+def _moved(into: str) -> str:
+    """Into state u or p on a row: by its own role or by a new one, or the row goes."""
+    initial, role = {"u": ("u", "user"), "p": ("a", "assistant")}[into]
+    ways = [_edit(into, 2, "D")]
+    for x in ("z", "s", "p") if into == "u" else ("u",):
+        ways.append(_only(f"stays AND initial = '{initial}'", _edit(x, "extra", "K", "role || ':' || text")))
+        ways.append(_only("stays", _edit(x, "1 + extra", "R", f"'{role}:' || text")))
+    return _best(*ways)
+
+
+ORACLE_SQL["op12_role_repair"] = f"""
+    WITH RECURSIVE given AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind
+        FROM conversations),
+    damaged AS (
+        SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+               CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM (SELECT *, unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) FROM given) WHERE kind <> 0),
+    numbered AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, nth) AS i,
+               rtrim(text, {_WHITE}) AS body, left(role, 1) AS initial
+        FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth FROM damaged)),
+    ordered AS (
+        SELECT *, fault NOT IN ('blank', 'duplicate') AS stays, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS extra,
+               lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS earlier
+        FROM (SELECT *, CASE WHEN body = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                             WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM numbered)),
+    parse AS (
+        SELECT conv_id, 0 AS pos, {{'c': 0, 'a': '', 't': ''}} AS z, {{'c': {_FAR}, 'a': '', 't': ''}} AS s,
+               {{'c': {_FAR}, 'a': '', 't': ''}} AS u, {{'c': {_FAR}, 'a': '', 't': ''}} AS p
+        FROM (SELECT DISTINCT conv_id FROM conversations)
+        UNION ALL
+        SELECT q.conv_id, pos + 1, {_edit('z', 2, 'D')},
+               {_best(_edit('s', 2, 'D'), _only("stays AND initial = 's'", _edit('z', 'extra', 'K', "role || ':' || text")))},
+               {_moved('u')}, {_moved('p')}
+        FROM (SELECT conv_id, pos, {_INSERTED} FROM parse) q JOIN ordered r ON r.conv_id IS NOT DISTINCT FROM q.conv_id AND r.i = pos + 1),
+    last_state AS (
+        SELECT conv_id, {_best('z', 'p')} AS e
+        FROM (SELECT conv_id, {_INSERTED} FROM
+              (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY pos DESC) AS back FROM parse) WHERE back = 1)),
+    counted AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+               count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+               count(*) FILTER (fault = 'truncated') AS truncated,
+               count(*) FILTER (earlier IS NOT NULL AND earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM ordered GROUP BY conv_id)
+    SELECT l.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(e.c AS BIGINT) AS cost, e.a AS audit,
+           sha256(substr(e.t, 2)) AS repaired_sha256
+    FROM last_state l LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM l.conv_id"""
+
+ORACLE_SQL["op13_prefix_trie"] = f"""
+    WITH clean AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
+        FROM conversations WHERE conv_id IS NOT NULL),
+    ids AS (
+        SELECT conv_id, conv_id - conv_id % 5 AS base, {_crc32("CAST(conv_id AS VARCHAR)")} % 9 AS h
+        FROM (SELECT DISTINCT conv_id FROM clean)),
+    whole AS (
+        SELECT i.conv_id, 0 AS part, k, role, text FROM ids i JOIN clean c ON c.conv_id = base AND k <= h
+        UNION ALL SELECT i.conv_id, 1, k, role, text FROM ids i JOIN clean c ON c.conv_id = i.conv_id AND k > h),
+    placed AS (
+        SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, k) AS d,
+               octet_length(encode(text)) AS size, length(role) || ':' || role || text AS step
+        FROM whole),
+    paths AS (
+        SELECT conv_id, 0 AS d, 0 AS size, 'root' AS path FROM ids
+        UNION ALL
+        SELECT conv_id, d, size, md5(string_agg(md5(step), '' ORDER BY d) OVER (PARTITION BY conv_id ORDER BY d)) FROM placed),
+    joined AS (
+        SELECT *, lag(path) OVER (PARTITION BY conv_id ORDER BY d) AS above, max(d) OVER (PARTITION BY conv_id) AS deepest FROM paths),
+    node AS (
+        SELECT path, d AS depth, min(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs, max(size) AS size,
+               sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (d = deepest), '')) AS ends_sha256
+        FROM joined GROUP BY path, d),
+    children AS (SELECT above AS path, count(*) AS n FROM node WHERE above IS NOT NULL GROUP BY above),
+    leaf AS (SELECT n.path FROM node n ANTI JOIN children c ON c.path = n.path),
+    below AS (
+        SELECT a.path, count(l.path) AS n_leaves, sum((n.n_convs - 1) * n.size) AS saved
+        FROM node n JOIN joined j ON j.conv_id = n.conv_id AND j.d <= n.depth JOIN node a ON a.path = j.path
+             LEFT JOIN leaf l ON l.path = n.path
+        GROUP BY a.path)
+    SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children,
+           b.n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+    FROM node n JOIN below b USING (path) LEFT JOIN children c USING (path) LEFT JOIN node p ON p.path = n.above"""

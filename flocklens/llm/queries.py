@@ -13,6 +13,7 @@ from flocklens.llm import (
     rank_merge_counts,
     recurrent_lm,
     repeats,
+    role_repair,
     sentencepiece_viterbi,
     warc,
     weak_rules,
@@ -88,6 +89,10 @@ def op11_rank_merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_merge_counts.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), limit=512)
 
 
+def op12_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return role_repair.repair(role_repair.damage(_table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_recurrent_lm": op2_recurrent_lm,
@@ -100,4 +105,5 @@ QUERIES = {
     "op9_quality_fm": op9_quality_fm,
     "op10_weak_rules": op10_weak_rules,
     "op11_rank_merge_counts": op11_rank_merge_counts,
+    "op12_role_repair": op12_role_repair,
 }
