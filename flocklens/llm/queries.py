@@ -9,6 +9,7 @@ from flocklens.llm import (
     language_id,
     minhash_forest,
     packing,
+    prefix_trie,
     quality_fm,
     rank_merge_counts,
     recurrent_lm,
@@ -93,6 +94,10 @@ def op12_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return role_repair.repair(role_repair.damage(_table(spark, sf_dir, "conversations")))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.rebuilt(_table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_recurrent_lm": op2_recurrent_lm,
@@ -106,4 +111,5 @@ QUERIES = {
     "op10_weak_rules": op10_weak_rules,
     "op11_rank_merge_counts": op11_rank_merge_counts,
     "op12_role_repair": op12_role_repair,
+    "op13_prefix_trie": op13_prefix_trie,
 }

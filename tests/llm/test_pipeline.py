@@ -75,4 +75,4 @@ def test_every_operator_has_its_query():
     import __spark_entry__ as e
 
     names = {n.split("_")[0] for n in e.queries() if n.startswith("op")}
-    assert names == {f"op{k}" for k in range(1, 11)} and "pipeline" in e.queries()
+    assert names == {f"op{k}" for k in range(1, 14)} and "pipeline" in e.queries()
