@@ -68,6 +68,8 @@ class Settings:
     placeholder_emails: tuple = PLACEHOLDER_EMAILS
     similarity_medium: float = SIMILARITY_MEDIUM
     similarity_low: float = SIMILARITY_LOW
+    # thresholds of the similarity search before the low one (results do not depend on them)
+    similarity_rounds: tuple = (0.6,)
     # similarity join: rows of one side of a join key that meet in one task
     rows_per_cell: int = 2000
 

@@ -107,3 +107,8 @@ def bigram_set(c) -> Column:
     starts = F.sequence(F.lit(1), F.greatest(F.length(s) - 1, F.lit(1)))
     grams = F.transform(starts, lambda i: s.substr(i, F.lit(2)))
     return F.array_distinct(F.filter(grams, lambda g: F.length(g) == 2))
+
+
+# SQL: the bigram of ``name`` at place i (from 1) as a number, one for one: both
+# code points, of at most 21 bits each
+BIGRAM_CODE = "i -> shiftleft(CAST(ascii(substr(name, i, 1)) AS BIGINT), 21) + ascii(substr(name, i + 1, 1))"

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from flocklens.config import Settings
 from flocklens.functions.rules import similarity_confidence
-from flocklens.functions.text import bigram_set, full_name_key, non_blank, norm, surrogate_id, utrim
+from flocklens.functions.text import BIGRAM_CODE, full_name_key, non_blank, norm, surrogate_id, utrim
 from flocklens.operators.profile import distinct_tuples
 
 RESOLUTION_COLUMNS = ("eb_email", "sf_contact_id", "n_sf_same_name", "name_similarity", "match_confidence")
@@ -122,96 +122,144 @@ def unresolved_candidates(candidates: DataFrame, contacts: DataFrame) -> DataFra
     return _name_keys(candidates).join(keys, ["nf", "nl"], "left_anti").drop("nf", "nl")
 
 
-def _ordered(names: DataFrame, freq: DataFrame, p: int, q: int) -> DataFrame:
-    """Each name's bigrams rarest first in one global order (bounded by the
-    name's length), and the length of its prefix for keys of one bigram."""
-    toks = names.select("name", "contact_id", "n", F.explode("bg").alias("tok")).join(freq, "tok", "inner")
-    g = toks.groupBy("name", "contact_id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("o"))
-    need = F.floor((F.col("n") * p + (q - 1)) / q)
-    return g.select("name", "contact_id", "n", F.transform("o", lambda x: x["tok"]).alias("ord"), (F.col("n") - need + 1).alias("plen"))
-
-
-def _keys(ordered: DataFrame, p: int, q: int) -> DataFrame:
-    """Join keys of each name: all pairs of bigrams out of its prefix (one
-    longer than for single bigrams), and single ones for names that can match
-    a name of which one shared bigram is enough."""
-    single = F.slice("ord", F.lit(1), F.col("plen").cast("int"))
-    double = F.slice("ord", F.lit(1), F.least(F.col("plen") + 1, F.col("n")).cast("int"))
-    pairs = F.flatten(
-        F.transform(
-            double,
-            lambda x, i: F.transform(F.slice(double, i + 2, F.size(double)), lambda y: F.concat(x, F.lit("|"), y)),
-        )
+WORDS = 4  # 64-bit words of a name's bitmap
+_BITMAP = ", ".join(f"w{k}" for k in range(WORDS))
+
+
+def name_signatures(unresolved: DataFrame, contacts: DataFrame) -> DataFrame:
+    """The distinct normalised names of both sides (``crm`` or not; a CRM name keeps
+    its smallest contact id) with their bigrams as numbers, rarest first in one
+    global order (bounded by the name's length), and as a bitmap of ``WORDS``
+    words. ``slack`` counts the bigrams that share a bit with another of the name."""
+    name = full_name_key("first_name", "last_name").alias("name")
+    both = unresolved.select(F.lit(False).alias("crm"), name, F.lit(None).cast("string").alias("c")).unionByName(
+        contacts.select(F.lit(True).alias("crm"), name, F.col("contact_id").alias("c"))
+    )
+    words = ", ".join(f"bit_or(if(shiftright(spot, 6) & {WORDS - 1} = {k}, shiftleft(1L, CAST(spot & 63 AS INT)), 0L)) AS w{k}" for k in range(WORDS))
+    bits = " + ".join(f"bit_count(w{k})" for k in range(WORDS))
+    names = both.where("length(name) > 1").groupBy("crm", "name").agg(F.min("c").alias("contact_id"))
+    codes = F.expr(f"array_distinct(transform(sequence(1, length(name) - 1), {BIGRAM_CODE}))")
+    names = names.withColumn("bg", codes)
+    tokens = names.select("crm", "name", "contact_id", F.size("bg").alias("n"), F.explode("bg").alias("tok"))
+    freq = tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
+    return both.sparkSession.sql(
+        f"""
+        SELECT crm, name, contact_id, n, ord, {_BITMAP}, n - ({bits}) AS slack FROM (
+            SELECT crm, name, contact_id, n, transform(array_sort(collect_list(struct(df, tok))), x -> x.tok) AS ord, {words}
+            FROM (SELECT *, xxhash64(tok) AS spot FROM {{tokens}}) JOIN {{freq}} USING (tok)
+            GROUP BY crm, name, contact_id, n)""",
+        tokens=tokens,
+        freq=freq,
     )
-    short = q // p  # a name of so few bigrams needs only one shared
-    ones = F.when(F.col("n") <= (short * q) // p, F.transform(single, lambda x: F.concat(x, F.lit("")))).otherwise(F.array().cast("array<string>"))
-    twos = F.when(F.col("n") > short, pairs).otherwise(F.array().cast("array<string>"))
-    return ordered.select("name", "contact_id", "n", "ord", F.explode(F.concat(ones, twos)).alias("key"))
-
-
-def _dealt(left: DataFrame, right: DataFrame, settings: Settings) -> DataFrame:
-    """Join on ``key`` with hot keys split on both sides into square cells of at
-    most about ``rows_per_cell`` rows a side, whatever the key's size."""
-    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cells = lambda df, name: df.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(settings.rows_per_cell)).cast("int").alias(name))
-    load = cells(left, "rows_l").join(cells(right, "rows_r"), "key")
-    own = lambda of: F.pmod(F.xxhash64("name"), F.col(of)).cast("int")
-    every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
-    lft = left.join(load, "key").withColumn("cl", own("rows_l")).withColumn("cr", every("rows_r"))
-    rgt = right.join(load, "key").withColumn("cr", own("rows_r")).withColumn("cl", every("rows_l"))
-    side = lambda df, s: df.select("key", "cl", "cr", *[F.col(c).alias(f"{c}_{s}") for c in ("name", "contact_id", "n", "ord")])
-    return side(lft, "e").repartition(parts, "key", "cl", "cr").join(side(rgt, "s").repartition(parts, "key", "cl", "cr"), ["key", "cl", "cr"])
-
-
-def best_name_matches(unresolved: DataFrame, contacts: DataFrame, settings: Settings) -> DataFrame:
+
+
+def _keyed(signed: DataFrame, t: Fraction) -> DataFrame:
+    """The join keys of each name at threshold t: hashes of all pairs of bigrams
+    out of its first n - max(2, ceil(t n)) + 2, and of single ones for names so short
+    that one shared bigram can be enough. ``spot`` is the place of the key's last bigram."""
+    p, q = t.numerator, t.denominator
+    key = lambda j, toks: f"named_struct('key', xxhash64({toks}), 'spot', {j})"
+    twos = f"flatten(transform(prefix, (y, j) -> transform(slice(prefix, 1, j), x -> {key('j', 'x, y')})))"
+    ones = f"transform(if(n <= {q // p}, ord, array()), (x, i) -> {key('i', 'x')})"
+    prefix = f"slice(ord, 1, if(n > 1, n - greatest(2, CAST((n * {p}L + {q - 1}) DIV {q} AS INT)) + 2, 0))"
+    rest = ["name", "contact_id", "n", "slack", *(f"w{k}" for k in range(WORDS))]
+    return signed.withColumn("prefix", F.expr(prefix)).selectExpr(f"inline(concat({ones}, {twos}))", *rest)
+
+
+def candidate_pairs(left: DataFrame, right: DataFrame, t: Fraction, settings: Settings, what: str = "*") -> DataFrame:
+    """``what`` of the names that share a key at threshold t.
+
+    The rows of the largest key are counted first. Where one side of a key has
+    more than ``rows_per_cell``, keys are split on both sides into square cells of
+    at most about that many rows a side, whatever the key's size, and keys of one
+    side only go no further; else the join is plain."""
+    spark = left.sparkSession
+    columns = ["spot", "name", "contact_id", "n", "slack", *(f"w{k}" for k in range(WORDS))]
+    keys = {"lkey": _keyed(left, t), "rkey": _keyed(right, t)}
+    load = """SELECT key, sum(l) AS nl, sum(r) AS nr
+        FROM (SELECT key, 1 AS l, 0 AS r FROM {lkey} UNION ALL SELECT key, 0, 1 FROM {rkey})
+        GROUP BY key HAVING sum(l) > 0 AND sum(r) > 0"""
+    named = lambda side: ", ".join(f"{c} AS {c}_{side}" for c in columns)
+    most = spark.sql(f"SELECT max(greatest(nl, nr)) FROM ({load})", **keys).first()[0]
+    if (most or 0) <= settings.rows_per_cell:
+        plain = f"SELECT {what} FROM (SELECT key, {named('e')} FROM {{lkey}}) JOIN (SELECT key, {named('s')} FROM {{rkey}}) USING (key)"
+        return spark.sql(plain, **keys)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys["load"] = spark.sql(load, **keys)
+
+    def dealt(side: str, of: str, cells: str) -> DataFrame:
+        split = spark.sql(f"SELECT * EXCEPT (nl, nr), {cells} FROM {{{of}}} JOIN {{load}} USING (key)", **{of: keys[of], "load": keys["load"]})
+        return split.selectExpr("key", "cl", "cr", *[f"{c} AS {c}_{side}" for c in columns]).repartition(parts, "key", "cl", "cr")
+
+    cells = lambda of: f"CAST(ceil({of} / {settings.rows_per_cell}) AS INT)"
+    own = lambda of: f"CAST(pmod(xxhash64(name), {cells(of)}) AS INT)"
+    every = lambda of: f"explode(sequence(0, {cells(of)} - 1))"
+    home = dealt("e", "lkey", f"{own('nl')} AS cl, {every('nr')} AS cr")
+    away = dealt("s", "rkey", f"{every('nl')} AS cl, {own('nr')} AS cr")
+    return spark.sql(f"SELECT {what} FROM {{home}} JOIN {{away}} USING (key, cl, cr)", home=home, away=away)
+
+
+def _best_at(left: DataFrame, right: DataFrame, t: Fraction, settings: Settings) -> DataFrame:
+    """The best match of each name of ``left`` that has one of similarity >= t.
+
+    On the joined row, cheapest first: the sizes; the overlap that is still
+    possible behind the places of the shared key (a pair's first two common
+    bigrams pass, so dropping its later keys loses nothing); the overlap that the
+    bitmaps leave possible. The exact overlap is computed once per remaining pair;
+    its condition refers to the pair's count, or Catalyst would push it below the
+    aggregate and onto every joined row."""
+    enough = lambda overlap: f"({overlap}) * {t.denominator}L >= g * {t.numerator}L"
+    bits = " + ".join(f"bit_count(w{k}_e & w{k}_s)" for k in range(WORDS))
+    codes = lambda c: f"transform(sequence(1, length({c}) - 1), {BIGRAM_CODE.replace('name', c)})"
+    j = candidate_pairs(left, right, t, settings, "*, greatest(n_e, n_s) AS g")
+    return left.sparkSession.sql(
+        f"""
+        WITH pair AS (
+            SELECT name_e, name_s, contact_id_s, n_e, n_s, g, count(*) AS _n FROM {{j}}
+            WHERE {enough('least(n_e, n_s)')} AND {enough('least(n_e - spot_e, n_s - spot_s) + 1')}
+              AND {enough(f'{bits} + least(slack_e, slack_s)')}
+            GROUP BY name_e, name_s, contact_id_s, n_e, n_s, g),
+        scored AS (SELECT *, size(array_intersect({codes('name_e')}, {codes('name_s')})) AS shared FROM pair),
+        best AS (
+            SELECT name_e, min(struct(-shared / g AS k, contact_id_s AS c, shared, n_e, n_s, shared / g AS sim, name_s AS m)) AS b
+            FROM scored WHERE {enough('shared * least(_n, 1)')} GROUP BY name_e)
+        SELECT name_e AS eb_name, b.m AS sf_name, b.c AS sf_contact_id, CAST(b.shared AS BIGINT) AS shared_bigrams,
+               CAST(b.n_e AS BIGINT) AS eb_bigram_count, CAST(b.n_s AS BIGINT) AS sf_bigram_count, b.sim AS similarity
+        FROM best""",
+        j=j,
+    )
+
+
+def falling_thresholds(settings: Settings) -> list[Fraction]:
+    """The thresholds of the rounds, down to the low one."""
+    exact = lambda x: Fraction(str(x)).limit_denominator(10**6)
+    low = exact(settings.similarity_low)
+    if not (0 < low <= 1):
+        raise ValueError("similarity threshold must be in (0, 1]")
+    return [t for t in sorted(map(exact, settings.similarity_rounds), reverse=True) if low < t <= 1] + [low]
+
+
+def best_name_matches(unresolved: DataFrame, contacts: DataFrame, settings: Settings, keep=None) -> DataFrame:
     """For each distinct ticket name the CRM name with the highest bigram
     similarity ``|A & B| / max(|A|, |B|, 1)`` of at least the low threshold; ties
     go to the smallest contact id. One row per ticket name, never the pairs.
 
-    Both sides are first reduced to distinct normalised names (a CRM name keeps
-    its smallest contact id). Names at or above threshold t share at least
-    k = ceil(t * n) bigrams, so in one global rarest-first order they share two
-    bigrams within the first n - k + 2 of each (Bayardo et al. 2007, taken for
-    two tokens); names so short that one shared bigram can be enough meet on
-    single bigrams as well. A size filter and the exact overlap follow in the
-    joined row, and the best match is a partial aggregate on the map side."""
-    t = Fraction(str(settings.similarity_low)).limit_denominator(10**6)
-    if not (0 < t <= 1):
-        raise ValueError("similarity threshold must be in (0, 1]")
-    p, q = t.numerator, t.denominator
-    name = full_name_key("first_name", "last_name")
-
-    def names(df: DataFrame, contact) -> DataFrame:
-        one = df.select(name.alias("name"), contact.alias("c")).groupBy("name").agg(F.min("c").alias("contact_id"))
-        return one.withColumn("bg", bigram_set("name")).withColumn("n", F.size("bg")).filter(F.col("n") > 0)
-
-    e = names(unresolved, F.lit(None).cast("string"))
-    s = names(contacts, F.col("contact_id"))
-    freq = (
-        e.select(F.explode("bg").alias("tok"))
-        .unionByName(s.select(F.explode("bg").alias("tok")))
-        .groupBy("tok")
-        .agg(F.count(F.lit(1)).alias("df"))
-    )
-    j = _dealt(_keys(_ordered(e, freq, p, q), p, q), _keys(_ordered(s, freq, p, q), p, q), settings)
-    ne, ns = F.col("n_e"), F.col("n_s")
-    j = j.filter((ns * q >= ne * p) & (ne * q >= ns * p))
-    shared = F.size(F.array_intersect("ord_e", "ord_s")).cast("long")
-    g = F.greatest(ne, ns, F.lit(1)).cast("long")
-    j = j.select("name_e", "name_s", "contact_id_s", shared.alias("shared"), g.alias("g"), ne.cast("long").alias("ne"), ns.cast("long").alias("ns"))
-    j = j.withColumn("sim", F.col("shared") / F.col("g")).filter(F.col("sim") >= F.lit(float(settings.similarity_low)))
-    best = j.groupBy("name_e").agg(
-        F.min(F.struct((-F.col("sim")).alias("k"), F.col("contact_id_s").alias("c"), "shared", "ne", "ns", "g", "sim", F.col("name_s").alias("m"))).alias("b")
-    )
-    return best.select(
-        F.col("name_e").alias("eb_name"),
-        F.col("b.m").alias("sf_name"),
-        F.col("b.c").alias("sf_contact_id"),
-        F.col("b.shared").alias("shared_bigrams"),
-        F.col("b.ne").alias("eb_bigram_count"),
-        F.col("b.ns").alias("sf_bigram_count"),
-        F.col("b.sim").alias("similarity"),
-    )
+    An exact top-1 search with a falling bound. The round at threshold t finds
+    every pair of similarity >= t, so a name that has one has its best match and
+    leaves; the next round, at a lower threshold and with longer prefixes, sees
+    only the names that have none so far. Names at or above t share at least
+    k = ceil(t n) bigrams, so in one global rarest-first order they share two
+    within the first n - k + 2 of each (Bayardo et al. 2007, taken for two
+    tokens): those pairs are the join keys. Key rows hold numbers and the name,
+    no arrays. ``keep(df, name)`` writes what several rounds read."""
+    keep = keep or (lambda df, name: df)
+    signed = keep(name_signatures(unresolved, contacts), "names")
+    left, right, found = signed.where("NOT crm"), signed.where("crm"), None
+    for k, t in enumerate(falling_thresholds(settings)):
+        best = keep(_best_at(left, right, t, settings), f"name_matches_{k}")
+        found = best if found is None else found.unionByName(best)
+        left = left.join(best.select(F.col("eb_name").alias("name")), "name", "left_anti")
+    return found
 
 
 def round_half_up_ratio(num, den, places: int = 2):

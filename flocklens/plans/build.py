@@ -177,7 +177,7 @@ class Build:
 
     @cached_property
     def name_matches(self) -> DataFrame:
-        return identity.best_name_matches(self.unresolved, self.crm_contacts, self.settings)
+        return identity.best_name_matches(self.unresolved, self.crm_contacts, self.settings, self.keep)
 
     @cached_property
     def tier3(self) -> DataFrame:

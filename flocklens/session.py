@@ -22,6 +22,8 @@ def local_session(*, scratch: str, cores: str = "8", shuffle_partitions: int = 8
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # as many partitions as cores: merging the small ones would leave cores idle
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("FLOCKLENS_DRIVER_MEMORY", "8g"))
         .config("spark.local.dir", os.path.join(scratch, "local"))
