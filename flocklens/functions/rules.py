@@ -69,17 +69,6 @@ def rule_flag(baseline_rate, drop_ratio) -> Column:
     )
 
 
-def statistical_flag(z) -> Column:
-    """z-score of the recent rate: <= -1 High, <= -0.5 Medium, else Low."""
-    z = _c(z)
-    return (
-        F.when(z <= F.lit(-1.0), F.lit(HIGH))
-        .when(z <= F.lit(-0.5), F.lit(MEDIUM))
-        .when(z > F.lit(-0.5), F.lit(LOW))
-        .otherwise(F.lit(NOT_APPLICABLE))
-    )
-
-
 def hybrid_flag(rule, stat) -> Column:
     """Both High -> High, both Low -> Low, any other graded pair -> Medium."""
     r, s = _c(rule), _c(stat)

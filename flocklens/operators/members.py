@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flocklens.config import NOT_APPLICABLE
-from flocklens.functions.rules import hybrid_flag, risk_eligible, rule_flag, statistical_flag
+from flocklens.functions.rules import hybrid_flag, risk_eligible, rule_flag
 from flocklens.functions.text import display_name, surrogate_id
 from flocklens.operators.journeys import first_touch
-from flocklens.operators.risk import scalar_row, z_score
+from flocklens.operators.risk import scalar_row, statistical_risk
 
 MEMBER_COLUMNS = (
     "contact_id", "first_name", "last_name", "salutation", "phone", "mobile_phone",
@@ -100,9 +100,8 @@ def crm_members(
     baseline_rate = F.when(rated, F.try_divide(ba, pdays["baseline_worship"]))
     drop_ratio = F.try_divide(ba - ra, ba)
     eligible = rated & F.coalesce(risk_eligible(baseline_rate, recent_rate), F.lit(False))
-    z = z_score(recent_rate, stats)
     rule = rule_flag(baseline_rate, drop_ratio)
-    stat = statistical_flag(z)
+    stat = statistical_risk(F.when(rated, ra), stats)
     worshipped = F.col("has_worship") == 1
     p = p.select(
         "*",

@@ -127,7 +127,7 @@ class Build:
 
     @cached_property
     def stats(self) -> DataFrame:
-        return self.keep(risk.rate_stats(self.rates), "stats")
+        return self.keep(risk.rate_stats(self.activity, self.period_days), "stats")
 
     @cached_property
     def risk_flags(self) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flocklens.config import FIXTURE_CALENDAR_SETTINGS, FIXTURE_SETTINGS
-from flocklens.functions.rules import attendance_type, risk_eligible, rule_flag, statistical_flag
+from flocklens.functions.rules import attendance_type, risk_eligible, rule_flag
 from flocklens.functions.dates import days_before, time_bucket
 from flocklens.functions.text import digits_only, display_name, norm, surrogate_id
 from flocklens.operators import dims, fact, identity, risk, ticketing
@@ -44,8 +44,8 @@ def fixture_build(spark: SparkSession, sf_dir: str, shared: bool = True, materia
 
 
 def _statistical(b: Build) -> DataFrame:
-    z = risk.z_score("recent_rate", b.stats)
-    return b.rates.select("contact_id", "recent_rate", statistical_flag(z).alias("statistical_flag"))
+    flag = risk.statistical_risk("recent_attendance", b.stats)
+    return b.rates.select("contact_id", "recent_rate", flag.alias("statistical_flag"))
 
 
 QUERIES: dict[str, Callable[[Build], DataFrame]] = {
@@ -88,10 +88,8 @@ QUERIES: dict[str, Callable[[Build], DataFrame]] = {
     # risk
     "period_event_days": lambda b: b.period_days,
     "member_period_attendance": lambda b: risk.member_period_attendance(b.activity),
-    "attendance_rates": lambda b: b.rates,
-    "rate_stats": lambda b: b.stats.select(
-        F.round("mean_recent", 6).alias("mean_recent"), F.round("sd_recent", 6).alias("sd_recent")
-    ),
+    "attendance_rates": lambda b: b.rates.drop("recent_attendance"),
+    "rate_stats": lambda b: b.stats.select("mean_recent", "sd_recent"),
     "risk_eligible": lambda b: b.rates.filter(risk_eligible("baseline_rate", "recent_rate")).select(
         "contact_id", "baseline_rate", "recent_rate"
     ),

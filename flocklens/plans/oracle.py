@@ -199,18 +199,25 @@ MODELS = {
              {days_where(f"{_W} AND list_contains({ROLES}, v.role) AND {_BASE}")} AS baseline_attendance
       FROM person WHERE len([v FOR v IN visits IF {_W} AND list_contains({ROLES}, v.role)]) > 0""",
     "rated": """
-      SELECT contact_id, recent_attendance / nullif((SELECT recent_worship FROM window_days), 0) AS recent_rate,
+      SELECT contact_id, recent_attendance, recent_attendance / nullif((SELECT recent_worship FROM window_days), 0) AS recent_rate,
              baseline_attendance / nullif((SELECT baseline_worship FROM window_days), 0) AS baseline_rate,
              1 - recent_attendance / nullif(baseline_attendance, 0) AS drop_share,
              (baseline_attendance - recent_attendance) / nullif(baseline_attendance, 0) AS drop_ratio
       FROM in_windows""",
-    "spread": "SELECT avg(recent_rate) AS mean_recent, stddev_samp(recent_rate) AS sd_recent FROM rated",
+    "spread": """
+      SELECT n, s, v, CAST(s AS DOUBLE) / nullif(CAST(n * r AS DOUBLE), 0) AS mean_recent,
+             sqrt(CAST(v AS DOUBLE) / nullif(CAST(n * (n - 1) AS DOUBLE), 0)) / r AS sd_recent
+      FROM (SELECT n, s, n * q - s * s AS v, (SELECT nullif(recent_worship, 0) FROM window_days) AS r
+            FROM (SELECT CAST(count(recent_rate) AS HUGEINT) AS n, sum(CAST(recent_attendance AS HUGEINT)) AS s,
+                         sum(CAST(recent_attendance AS HUGEINT) * recent_attendance) AS q FROM rated))""",
     "graded": """
-      SELECT *, CASE WHEN z <= -1 THEN 'High' WHEN z <= -0.5 THEN 'Medium' WHEN z IS NOT NULL THEN 'Low' ELSE 'Not Applicable' END AS statistical_flag,
+      SELECT *, CASE WHEN NOT coalesce(n > 1 AND v > 0 AND recent_rate IS NOT NULL, false) THEN 'Not Applicable'
+                     WHEN d < 0 AND d * d * (n - 1) >= n * v THEN 'High'
+                     WHEN d < 0 AND 4 * d * d * (n - 1) >= n * v THEN 'Medium' ELSE 'Low' END AS statistical_flag,
              CASE WHEN baseline_rate < 0.4 THEN if(drop_ratio < 0.2, 'Low', 'Not Applicable')
                   WHEN baseline_rate >= 0.7 AND drop_ratio >= 0.5 THEN 'High'
                   WHEN baseline_rate <= 0.7 AND drop_ratio >= 0.6 THEN 'Medium' ELSE 'Not Applicable' END AS rule_based_flag
-      FROM (SELECT r.*, (recent_rate - (SELECT mean_recent FROM spread)) / nullif((SELECT sd_recent FROM spread), 0) AS z FROM rated r)""",
+      FROM (SELECT r.*, n, v, n * recent_attendance - s AS d FROM rated r, spread)""",
     "at_risk": """
       SELECT contact_id, baseline_rate, recent_rate, rule_based_flag, statistical_flag,
              CASE WHEN 'Not Applicable' IN (rule_based_flag, statistical_flag) THEN 'Not Applicable'
@@ -407,7 +414,7 @@ ANSWERS = {
     "period_event_days": "FROM window_days",
     "member_period_attendance": "FROM in_windows",
     "attendance_rates": "SELECT contact_id, recent_rate, baseline_rate, drop_ratio FROM rated",
-    "rate_stats": "SELECT round(mean_recent, 6) AS mean_recent, round(sd_recent, 6) AS sd_recent FROM spread",
+    "rate_stats": "SELECT mean_recent, sd_recent FROM spread",
     "risk_eligible": "SELECT contact_id, baseline_rate, recent_rate FROM at_risk",
     "risk_rule_flag": "SELECT contact_id, baseline_rate, drop_ratio, rule_based_flag FROM graded",
     "risk_statistical_flag": "SELECT contact_id, recent_rate, statistical_flag FROM graded",

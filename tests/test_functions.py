@@ -98,13 +98,10 @@ def test_hybrid_truth_table(spark):
         assert got[(r, s)] == want, (r, s)
 
 
-def test_rule_and_statistical_flags(spark):
+def test_rule_flags(spark):
     rows = [(0.7, 0.5), (0.7, 0.6), (0.5, 0.6), (0.3, 0.1), (0.3, 0.3), (0.8, 0.4), (None, 0.9)]
     df = spark.createDataFrame(rows, "b double, d double").select(rules.rule_flag("b", "d").alias("f"))
     assert [r.f for r in df.collect()] == [HIGH, HIGH, MEDIUM, LOW, NOT_APPLICABLE, NOT_APPLICABLE, NOT_APPLICABLE]
-    zs = [(-1.0,), (-0.75,), (-0.5,), (-0.49,), (None,)]
-    df = spark.createDataFrame(zs, "z double").select(rules.statistical_flag("z").alias("f"))
-    assert [r.f for r in df.collect()] == [HIGH, MEDIUM, MEDIUM, LOW, NOT_APPLICABLE]
 
 
 def test_risk_eligible_three_valued(spark):

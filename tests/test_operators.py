@@ -146,27 +146,100 @@ def test_exact_name_match_counts(spark):
     assert un == ["c@x"]
 
 
-def test_publish_writes_tables_and_views(spark, tmp_path):
+def test_publish_switches_whole_sets(spark, tmp_path):
+    from flocklens.plans import sinks
     from flocklens.plans.catalog import fixture_build
-    from flocklens.plans.sinks import publish
 
-    sf = "/root/testdata/sf0.001"
-    b = fixture_build(spark, sf, shared=False)
-    out = publish(b, str(tmp_path), models={"fact_attendance", "dim_dates", "ticket_attendance"})
-    fact = spark.read.parquet(out["fact_attendance"])
+    root = str(tmp_path)
+    b = fixture_build(spark, "/root/testdata/sf0.001", shared=False)
+    assert sinks.published(spark, root) == {}
+    models = {"fact_attendance", "dim_dates", "ticket_attendance"}
+    first = sinks.publish(b, root, models=models)
+    assert sinks.published(spark, root) == first and set(first) == {
+        "fact_attendance", "dim_dates", "stg_ticket_attendees", "stg_ticket_events", "event_detail"}
+    fact = spark.read.parquet(first["fact_attendance"])
     assert fact.count() == b.fact_attendance.count()
-    assert set(fact.select("time_bucket").distinct().toPandas()["time_bucket"]) <= {
-        "a. Months 0 - 3", "b. Months 4 - 6", "c. Months 7 - 12", "d. Months 13 - 24", "e. Months 25+"}
-    assert spark.read.parquet(out["dim_dates"]).count() == b.dim_dates.count()
-    rows = b.ticket_attendance.count()
-    assert spark.table("ticket_attendance").count() == rows
-    # the published model outlives the session that made it
-    assert spark.newSession().read.parquet(out["ticket_attendance"]).count() == rows
+    assert {r[0][:2] for r in fact.select("time_bucket").distinct().collect()} <= {"a.", "b.", "c.", "d.", "e."}
     with pytest.raises(ValueError, match="no_such_model"):
-        publish(b, str(tmp_path), models={"no_such_model"})
+        sinks.publish(b, root, models={"no_such_model"})
+
+    # a run that dies half-way: the old set stays whole, the dead run's folder goes
+    class Dying:
+        spark = b.spark
+        dim_dates = b.dim_dates
+
+        @property
+        def fact_attendance(self):
+            raise OSError("lost")
+
+    with pytest.raises(OSError):
+        sinks.publish(Dying(), root, models={"dim_dates", "fact_attendance"})
+    assert sinks.published(spark, root) == first
+    assert spark.read.parquet(first["fact_attendance"]).count() == fact.count()
+    assert len(list((tmp_path / "_versions").iterdir())) == 1
+    # another run took the number meanwhile
+    with pytest.raises(RuntimeError, match="meanwhile"):
+        sinks._switch(spark, root, 1, {})
+    # a partial run keeps the rest of the set; old folders go only once nothing current holds them
+    second = sinks.publish(b, root, models={"dim_dates"})
+    assert {k for k in first if first[k] != second[k]} == {"dim_dates"}
+    sinks.expire(spark, root, keep=1)
+    assert sinks.published(spark, root) == second and spark.read.parquet(second["fact_attendance"]).count() == fact.count()
     b.close()
 
 
+def test_published_view_is_evaluated_at_read(spark, tmp_path):
+    from flocklens.plans import sinks
+    from flocklens.plans.catalog import fixture_build
+
+    b = fixture_build(spark, "/root/testdata/sf0.001", shared=False)
+    sinks.publish(b, str(tmp_path), models={"ticket_attendance"})
+    other = spark.newSession()
+    rows = lambda df: sorted(map(repr, (tuple(r) for r in df.select(*b.ticket_attendance.columns).collect())))
+    assert rows(other.table("ticket_attendance")) == rows(b.ticket_attendance)
+    # less input: the view of the other session shows it, though only a table was published
+    b.stg_attendees = b.stg_attendees.where("eventbrite_attendee_id < '5'")
+    sinks.publish(b, str(tmp_path), models={"stg_ticket_attendees"})
+    del b.ticket_attendance
+    assert 0 < len(rows(other.table("ticket_attendance"))) and rows(other.table("ticket_attendance")) == rows(b.ticket_attendance)
+    b.close()
+
+
+def test_exact_rate_statistics(spark):
+    from flocklens.operators import risk
+
+    def build(attended, worship, parts):
+        p = spark.createDataFrame([(f"c{i}", 1, a, 1) for i, a in enumerate(attended)], "contact_id string, has_member_worship int, recent_attendance long, baseline_attendance long")
+        days = spark.createDataFrame([(worship, 3)], "recent_worship long, baseline_worship long")
+        p = p.repartition(parts)
+        stats = risk.rate_stats(p, days)
+        flags = p.select("recent_attendance", risk.statistical_risk("recent_attendance", stats).alias("f")).distinct()
+        return stats.first(), {r.recent_attendance: r.f for r in flags.collect()}
+
+    # mean 2, sample deviation 1: attendance 1 is a z of exactly -1
+    stats, flags = build([1, 2, 3], 7, 1)
+    assert flags == {1: "High", 2: "Low", 3: "Low"} and stats.mean_recent == 2 / 7 and stats.sd_recent == 1 / 7
+    _, flags = build([3, 13, 1, 7, 1, 3], 7, 3)
+    want = {}
+    import statistics
+    from fractions import Fraction
+
+    rows = [3, 13, 1, 7, 1, 3]
+    mean, var = Fraction(sum(rows), 6), statistics.variance(map(Fraction, rows))
+    for a in rows:
+        z2, low = (a - mean) ** 2, a < mean
+        want[a] = "High" if low and z2 >= var else "Medium" if low and 4 * z2 >= var else "Low"
+    assert flags == want
+    rnd = random.Random(3)
+    rows = [rnd.randint(0, 13) for _ in range(500)]
+    assert len({tuple(build(rows, 13, k)[0]) for k in (1, 3, 8)}) == 1
+    # large counts stay exact; no spread, no rate or one contact: not applicable
+    stats, flags = build([10**9, 10**9 + 1, 10**9 + 2], 10**9, 2)
+    assert flags == {10**9: "High", 10**9 + 1: "Low", 10**9 + 2: "Low"}
+    for rows, worship in (([2, 2, 2], 5), ([1, 2, 3], 0), ([4], 5)):
+        assert set(build(rows, worship, 1)[1].values()) == {"Not Applicable"}
+
+
 def test_missing_contract_column_is_an_error(spark, tmp_path):
     from flocklens.sources.raw import read_table
 
