@@ -8,8 +8,8 @@ norm of the residual left after placing (normalised by capacity), ``dot`` the
 largest weighted dot product of the piece and the residual. A new bin opens
 only if none fits.
 
-Pieces are dealt by hash to groups of about ``GROUP`` pieces, each packed by
-one task, so any corpus packs in parallel and no task grows with it; a group
+Pieces are dealt by their written place to groups of about ``GROUP`` pieces, equal
+rows too, each packed by one task, so any corpus packs in parallel and no task grows with it; a group
 wastes at most about one sequence. Pieces that fill a sequence alone never
 meet others. Words are tokenised once per distinct word and batch, which gives
 the same ids as whole texts because the tokenizer never joins words across
@@ -23,7 +23,11 @@ text are read, so further columns may have any name.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import json
 import zlib
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flocklens.llm.common import Run, encode_words, segment_sum, slices, split_words
+from flocklens.llm.rank_merge_counts import LONG, NONE, byte_characters, surviving
 
 MAX_TOKENS = 2048
 CLOSING_ID = 0
 GROUP = 8192
-KNOWN_WORDS = 600_000  # words whose ids a task remembers between batches
+KNOWN_WORDS = 100_000  # words, of KNOWN_LETTERS at most, whose ids a task remembers between batches
+KNOWN_LETTERS = 40
 
 _PIECE = pa.schema(
     [
@@ -54,9 +60,64 @@ _PIECE = pa.schema(
 # (letters, then ASCII punctuation), whatever follows; letters whose lower case is
 # one letter and which compose with nothing
 _LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+"
+_SIMPLE = f"^{_LETTERS}[!-/:-@\\[-`{{-~]*$"
 _PLAIN = (f"^{_LETTERS}$", f"^{_LETTERS}[!-/:-@\\[-`{{-~]+$")
 
 
+class LetterMerges:
+    """The merges of a byte-level BPE file with a word-end mark, for plain words:
+    their parts are the letters and, if any, the punctuation after them."""
+
+    def __init__(self, model: dict, end_mark: str):
+        vocab = model["vocab"]
+        table = [c for _, c in sorted(byte_characters().items())]
+        self.inner, self.last = (np.array([vocab.get(c + mark, 0) for c in table], np.int32) for mark in ("", end_mark))
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        keys = np.array([vocab[a] << 32 | vocab[b] for a, b in pairs], np.int64)
+        self.made = np.array([vocab[a + b] for a, b in pairs], np.int32)
+        self.ranks = np.argsort(keys, kind="stable").astype(np.int32)
+        self.keys = keys[self.ranks]
+        code = np.arange(256)
+        self.mark = (code < 128) & ~np.isin(code, np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8))
+
+    @classmethod
+    def of(cls, path: str, end_mark: str) -> LetterMerges | None:
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        model = spec["model"]
+        odd = [model.get(k) for k in ("dropout", "continuing_subword_prefix", "ignore_merges")]
+        odd.append(not {*byte_characters().values()} <= {*model.get("vocab", ())})
+        if model["type"] != "BPE" or model.get("end_of_word_suffix") != end_mark or any(odd):
+            return None
+        return cls(model, end_mark)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left.astype(np.int64) << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.ranks[at], NONE)
+
+    def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, number of each word's) of plain words."""
+        words = pc.utf8_lower(words)
+        size = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        letters = np.frombuffer("".join(words.to_pylist()).encode(), np.uint8)
+        begins = np.zeros(len(letters), bool)
+        begins[np.cumsum(size) - size] = True
+        word = np.cumsum(begins) - 1
+        mark = self.mark[letters]
+        begins[1:] |= mark[1:] & ~mark[:-1]
+        starts = np.flatnonzero(begins)
+        sizes = np.diff(np.append(starts, len(letters)))
+        symbols = self.inner[letters]
+        ends = starts + sizes - 1
+        symbols[ends] = self.last[letters[ends]]
+        kept: list = []
+        many = surviving(symbols, sizes, self, kept)
+        of = np.concatenate([np.repeat(k, many[k]) for k, _ in kept])
+        ids = np.concatenate([s for _, s in kept])[np.argsort(of, kind="stable")].astype(np.uint32)
+        return ids, np.bincount(word[starts], weights=many, minlength=len(size)).astype(np.int64)
+
+
 class WordIds:
     """Token ids of words by a ``tokenizers`` file, with a bounded memory.
 
@@ -71,6 +132,7 @@ class WordIds:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(end_mark)]] = True
         self.known: dict[str, bytes] = {}
+        self.letters = LetterMerges.of(path, end_mark)
 
     def _encode(self, words: list[str], parts: int) -> list[bytes]:
         """Ids of ``words`` that the tokenizer splits into ``parts`` each."""
@@ -91,11 +153,26 @@ class WordIds:
 
     def __call__(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, offsets) of the distinct words."""
+        simple = np.zeros(len(distinct), bool)
+        if self.letters is not None and len(distinct):
+            simple = np.asarray(pc.match_substring_regex(distinct, _SIMPLE).to_numpy(zero_copy_only=False), bool)
+            simple &= pc.binary_length(distinct).to_numpy(zero_copy_only=False) <= LONG
+        many = np.zeros(len(distinct), np.int64)
+        parts = []
+        for mask, encode in ((simple, self.letters), (~simple, self._others)):
+            if mask.any():
+                ids, many[mask] = encode(distinct.filter(pa.array(mask)))
+                parts.append((mask, ids))
+        offsets = np.concatenate(([0], np.cumsum(many)))
+        flat = np.empty(int(offsets[-1]), np.uint32)
+        for mask, ids in parts:
+            flat[np.repeat(mask, many)] = ids
+        return flat, offsets
+
+    def _others(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         words = distinct.to_pylist()
         missing = [w for w in words if w not in self.known]
-        if len(self.known) + len(missing) > KNOWN_WORDS:
-            self.known.clear()
-            missing = words
+        found: dict[str, bytes] = {}
         if missing:
             array = pa.array(missing, pa.string())
             shape = np.zeros(len(missing), dtype=np.int64)
@@ -105,10 +182,13 @@ class WordIds:
             for parts in range(len(_PLAIN) + 1):
                 some = [missing[i] for i in np.flatnonzero(shape == parts)]
                 if some:
-                    self.known.update(zip(some, self._encode(some, parts) if parts else self._one_by_one(some)))
-        ids = [self.known[w] for w in words]
+                    found.update(zip(some, self._encode(some, parts) if parts else self._one_by_one(some)))
+        ids = [found[w] if w in found else self.known[w] for w in words]
+        if len(self.known) + len(found) > KNOWN_WORDS:
+            self.known.clear()
+        self.known.update((w, i) for w, i in islice(found.items(), KNOWN_WORDS) if len(w) <= KNOWN_LETTERS)
         size = np.array([len(i) for i in ids], dtype=np.int64) // 4
-        return np.frombuffer(b"".join(ids), np.uint32), np.concatenate(([0], np.cumsum(size)))
+        return np.frombuffer(b"".join(ids), np.uint32), size
 
 
 def token_ids(text: pa.Array, word_ids: WordIds, closing_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -129,11 +209,19 @@ def token_ids(text: pa.Array, word_ids: WordIds, closing_id: int) -> tuple[np.nd
     return out, np.concatenate(([0], ends))
 
 
+def _give_back() -> None:
+    """Returns free memory, also what earlier tasks of this worker left, to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _pieces(path: str, max_tokens: int, closing_id: int, with_ids: bool):
     def run(batches):
+        _give_back()
         word_ids = WordIds(path)
         for batch in batches:
-            for part in slices(batch, "text", max_bytes=4 << 20):
+            for part in slices(batch, "text", max_bytes=2 << 20):
                 ids, offsets = token_ids(part.column("text"), word_ids, closing_id)
                 ids = ids.astype("<u4")
                 n = np.diff(offsets)
@@ -156,6 +244,7 @@ def _pieces(path: str, max_tokens: int, closing_id: int, with_ids: bool):
                     ],
                     schema=_PIECE,
                 )
+            _give_back()
 
     return run
 
@@ -224,7 +313,8 @@ def pack(
     )
     pieces = run.keep(pieces if with_ids else pieces.drop("ids"), "pieces")
     groups = max(1, -(-pieces.count() // GROUP))
-    key = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups))
+    # by the written row, so that equal rows are dealt out too
+    key = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups))
     weight = np.array(weights, dtype=np.float64)
 
     def place(key, frame):

@@ -89,8 +89,9 @@ def alternate(hits: np.ndarray, follows: np.ndarray) -> np.ndarray:
     return hits[(number - first) % 2 == 0]
 
 
-def surviving(symbols: np.ndarray, sizes: np.ndarray, merges: Merges) -> np.ndarray:
-    """How many symbols survive in each sequence; ``sizes`` of at least 1."""
+def surviving(symbols: np.ndarray, sizes: np.ndarray, merges: Merges, kept: list | None = None) -> np.ndarray:
+    """How many symbols survive in each sequence; ``sizes`` of at least 1. ``kept``
+    takes the survivors themselves, as (sequences, their symbols one after the other)."""
     out = np.zeros(len(sizes), np.int64)
     live = np.arange(len(sizes))
     rank = np.full(len(symbols), NONE)
@@ -103,6 +104,8 @@ def surviving(symbols: np.ndarray, sizes: np.ndarray, merges: Merges) -> np.ndar
         if done.any():
             out[live[done]] = sizes[done]
             stays = np.repeat(~done, sizes)
+            if kept is not None:
+                kept.append((live[done], symbols[~stays]))
             symbols, rank = symbols[stays], rank[stays]
             live, sizes, low = live[~done], sizes[~done], low[~done]
             if not len(live):

@@ -483,3 +483,32 @@ def test_token_probabilities_sum_to_one_and_gradients_match():
         down = loss()
         m.flat[k] = old
         assert abs((up - down) / 0.02 - grad[k]) < 0.03 * abs(grad[k]) + 2e-4, name
+
+
+def test_packing_merges_plain_words_as_the_library():
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from flocklens.llm import packing
+
+    path = str(public_tokenizers.path("word_bpe_49k.json"))
+    every = [chr(c) for c in range(0x21, 0x250)]
+    texts = ["".join(f"x{c} {c}. {c}b{c}! Q{c}z;' " for c in every), "it's don't. we'll THE " + "q" * 500, "<|endoftext|> a<|endoftext|>b. <|", "", "é" * 150 + " ok"]
+    ids, at = packing.token_ids(pa.array(texts), packing.WordIds(path), 0)
+    want = [e.ids + [0] for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want
+
+
+def test_packing_deals_equal_rows_out(spark):
+    import public_tokenizers
+    from pyspark.sql import functions as F
+
+    from flocklens.llm import packing
+
+    docs = spark.range(60_000).select(F.lit(1).cast("long").alias("doc_id"), F.lit("same words").alias("text"))
+    found = packing.pack(docs, str(public_tokenizers.path("word_bpe_49k.json")))
+    groups = found.groupBy(F.shiftright("sequence_id", 32)).count().collect()
+    assert sum(g["count"] for g in groups) == 60_000 and max(g["count"] for g in groups) <= 2 * packing.GROUP
+    # as full as can be: 682 documents of three tokens in a sequence, and a last one in each group
+    assert found.select("sequence_id").distinct().count() <= -(-60_000 // 682) + len(groups)
