@@ -11,6 +11,7 @@ name, the CRM contact with the highest bigram similarity; >= 0.6 ``medium``,
 from __future__ import annotations
 
 from fractions import Fraction
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -254,12 +255,12 @@ def best_name_matches(unresolved: DataFrame, contacts: DataFrame, settings: Sett
     no arrays. ``keep(df, name)`` writes what several rounds read."""
     keep = keep or (lambda df, name: df)
     signed = keep(name_signatures(unresolved, contacts), "names")
-    left, right, found = signed.where("NOT crm"), signed.where("crm"), None
-    for k, t in enumerate(falling_thresholds(settings)):
-        best = keep(_best_at(left, right, t, settings), f"name_matches_{k}")
-        found = best if found is None else found.unionByName(best)
-        left = left.join(best.select(F.col("eb_name").alias("name")), "name", "left_anti")
-    return found
+    left, right, found = signed.where("NOT crm"), signed.where("crm"), []
+    *before, low = falling_thresholds(settings)
+    for k, t in enumerate(before):
+        found.append(keep(_best_at(left, right, t, settings), f"name_matches_{k}"))
+        left = left.join(found[-1].select(F.col("eb_name").alias("name")), "name", "left_anti")
+    return reduce(DataFrame.unionByName, [*found, _best_at(left, right, low, settings)])
 
 
 def round_half_up_ratio(num, den, places: int = 2):
