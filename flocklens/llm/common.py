@@ -159,6 +159,14 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20, max_row
             yield batch.slice(c, min(max_rows, b - c))
 
 
+SAMPLE_RANGE = 1 << 62  # of the hashes by which rows are sampled
+
+
+def sample_share(wanted: int, rows: int) -> int:
+    """How much of ``SAMPLE_RANGE`` gives about ``wanted`` of ``rows`` rows; never nothing."""
+    return max(1, SAMPLE_RANGE * min(wanted, rows) // rows)
+
+
 def crc_of(column: str):
     """crc32 of an id's decimal text, as a column."""
     from pyspark.sql import functions as F

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flocklens.llm.common import crc_of, mix64, one_array, slices
+from flocklens.llm.common import SAMPLE_RANGE, crc_of, mix64, one_array, sample_share, slices
 
 UNKNOWN = "und"
 BUCKETS = 4096
@@ -165,11 +165,11 @@ def train(docs: DataFrame, max_train: int = MAX_TRAIN) -> Hierarchy | None:
     counts = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
     if not counts:
         return None
-    each = max(20, max_train // len(counts))
-    share = F.lit(0)
+    each = max(1, max_train // len(counts))
+    share = F.lit(0).cast("long")
     for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, int(min(1.0, each / n) * (1 << 20))).otherwise(share)
-    rows = known.where(F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(1 << 20)) < share).select("doc_id", "text", "lang")
+        share = F.when(F.col("lang") == lang, F.lit(sample_share(each, n))).otherwise(share)
+    rows = known.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(13)), F.lit(SAMPLE_RANGE)) < share).select("doc_id", "text", "lang")
 
     def build(batches):
         letters = _letter_table()

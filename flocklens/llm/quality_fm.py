@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flocklens.llm.common import crc_of, slices
+from flocklens.llm.common import SAMPLE_RANGE, crc_of, sample_share, slices
 from flocklens.llm.text_stats import text_stats
 
 BUCKETS = 2048
@@ -114,8 +114,8 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Fac
     total = known.count()
     if total == 0:
         return None
-    part = min(1.0, max_train / total)
-    known = known.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20)) < int(part * (1 << 20)))
+    share = F.lit(sample_share(max_train, total))
+    known = known.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(SAMPLE_RANGE)) < share)
     rows = docs.select("doc_id", "text", "n_chars").join(F.broadcast(known), "doc_id")  # about max_train rows
 
     def build(batches):

@@ -512,3 +512,12 @@ def test_packing_deals_equal_rows_out(spark):
     assert sum(g["count"] for g in groups) == 60_000 and max(g["count"] for g in groups) <= 2 * packing.GROUP
     # as full as can be: 682 documents of three tokens in a sequence, and a last one in each group
     assert found.select("sequence_id").distinct().count() <= -(-60_000 // 682) + len(groups)
+
+
+def test_sample_shares_never_vanish():
+    from flocklens.llm.common import SAMPLE_RANGE, sample_share
+
+    assert sample_share(20, 10) == sample_share(10, 10) == SAMPLE_RANGE
+    assert sample_share(1, 10**12) > 0 and sample_share(1, 1 << 70) == 1
+    for wanted, rows in ((20, 10**9), (8000, 10**11)):
+        assert abs(sample_share(wanted, rows) / SAMPLE_RANGE * rows / wanted - 1) < 1e-6
