@@ -60,6 +60,7 @@ def components(links: DataFrame, run: Run) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        low = run.keep(low, "low")  # two tables: Spark can then split the join of a node with many neighbours
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # every link now points down; small star: the smaller neighbours of a go to the smallest
         low = large.groupBy("a").agg(F.min("b").alias("m"))

@@ -7,9 +7,11 @@ compared in full once it is small enough (the depth adapts per region); in
 larger regions each member pairs with its next sorted neighbours and with a
 central member, one out of the region's largest run of equal keys.
 
-Candidates are verified on the full shingle sets: first each set with its
-smallest candidate, then the candidate pairs that those links left in different
-groups, and at last, in regions too large to have been compared in full or cut
+Candidates are verified on the full shingle sets in contracting rounds: first
+each set with its smallest candidate; then, of the candidates that the links
+found so far have left in different components, one for each set and foreign
+component, then four, sixteen and so on, until none is left. A candidate inside
+a component can change nothing and is not compared. At last, in regions too large to have been compared in full or cut
 by a partition's edge, every set outside the largest component with those that
 share one of its rarest shingles: an exact join, whose rows are dealt in cells.
 Such regions are held together whatever the sizes of their sets. So two sets
@@ -238,7 +240,7 @@ def _candidates(classes: DataFrame, run: Run, trees: int, depth: int, min_depth:
 
 
 def _sets_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame, run: Run, words: int) -> DataFrame:
-    """(cid, shingles): the full set of each class that is in one of ``pairs``."""
+    """(cid, size, shingles): the full set of each class that is in one of ``pairs``."""
     wanted = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
     ids = classes.join(wanted, "cid", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
 
@@ -248,27 +250,26 @@ def _sets_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame, run: Run, wo
                 h, offsets = shingle_sets(part.column("text"), words)
                 key = _class_keys(h, offsets)
                 blobs = [h[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
-                yield pa.record_batch([pa.array(key), pa.array(blobs, pa.binary())], names=["cid", "shingles"])
+                columns = [pa.array(key), pa.array(np.diff(offsets)), pa.array(blobs, pa.binary())]
+                yield pa.record_batch(columns, names=["cid", "size", "shingles"])
 
     found = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").select("text")
-    found = found.mapInArrow(sets, "cid long, shingles binary")
+    found = found.mapInArrow(sets, "cid long, size long, shingles binary")
     return run.keep(found.dropDuplicates(["cid"]), "sets")
 
 
 def _verify(stars: DataFrame, sets: DataFrame, run: Run) -> DataFrame:
     """The pairs (hub, member) of ``stars`` whose full sets are similar enough.
 
-    A hub's members are dealt to groups of bounded size; its set goes once to each."""
-    size = F.length("shingles") / 8
-    members = stars.join(sets.withColumnRenamed("cid", "member"), "member").withColumn("size", size)
-    load = members.groupBy("hub").agg(F.sum("size").alias("load"))
-    members = members.join(load, "hub").select(
-        "hub",
-        F.pmod(F.xxhash64("member"), F.ceil(F.col("load") / VERIFY_SHINGLES)).alias("part"),
-        "member",
-        "shingles",
-    )
-    hubs = members.select("hub", "part").distinct().join(sets.withColumnRenamed("cid", "hub"), "hub")
+    A hub's members are dealt to groups of bounded size, by their sizes alone;
+    then the sets come to the groups, a hub's set once to each."""
+    sized = stars.join(sets.select(F.col("cid").alias("member"), "size"), "member")
+    load = sized.groupBy("hub").agg(F.sum("size").alias("load"))
+    part = F.pmod(F.xxhash64("member"), F.ceil(F.col("load") / VERIFY_SHINGLES)).alias("part")
+    dealt = run.keep(sized.join(load, "hub").select("hub", part, "member"), "dealt")
+    of = lambda end: sets.select(F.col("cid").alias(end), "shingles")
+    members = dealt.join(of("member"), "member").select("hub", "part", "member", "shingles")
+    hubs = dealt.select("hub", "part").distinct().join(of("hub"), "hub")
     rows = members.unionByName(hubs.select("hub", "part", F.lit(None).cast("long").alias("member"), "shingles"))
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
@@ -298,16 +299,42 @@ def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The pairs whose ends are not in one group yet."""
+    """The pairs whose ends are not in one group yet, with the group of a."""
     at = lambda end: found.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}"))
     return (
-        pairs.join(at("a"), "a", "left")
+        pairs.select("a", "b")
+        .join(at("a"), "a", "left")
         .join(at("b"), "b", "left")
         .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
-        .select("a", "b")
+        .select("a", "b", F.coalesce("of_a", "a").alias("of_a"))
     )
 
 
+def _settle(pairs: DataFrame, sets: DataFrame, run: Run) -> DataFrame:
+    """(id, component) over the similar ones of ``pairs``, verified in rounds.
+
+    The first round takes one candidate of each set b; round r takes, for each b
+    and component of its candidates a, one for each of 4**(r - 1) residues of a's
+    hash. The links found contract the components before the next round. Pairs
+    that were compared or lie inside a component leave, so that the rounds are
+    about the logarithm of the most candidates that a set has in one component,
+    and a group of near copies costs about its members, not its pairs."""
+    left = pairs.select("a", "b", F.lit(0).cast("long").alias("of_a"))
+    found, turn = None, 0
+    while True:
+        share = F.pmod(F.xxhash64("a"), F.lit(4 ** min(max(turn - 1, 0), 30)))
+        taken = left.groupBy("b", "of_a", share.alias("share")).agg(F.min("a").alias("a"))
+        taken = run.keep(taken.select(F.col("a").alias("hub"), F.col("b").alias("member")), "taken")
+        links = _verify(taken, sets, run)
+        if found is None or not links.isEmpty():
+            found = run.keep(components(links if found is None else _joined(found, links), run), "groups")
+        tried = taken.select(F.col("hub").alias("a"), F.col("member").alias("b"))
+        left = run.keep(_across(left.join(tried, ["a", "b"], "left_anti"), found), "left")
+        if left.isEmpty():
+            return found
+        turn += 1
+
+
 def _counts(blobs) -> pd.DataFrame:
     """How often each slot of shingle hashes occurs."""
     value = np.concatenate([np.frombuffer(b, dtype=np.uint64) for b in blobs] or [np.zeros(0, np.uint64)])
@@ -465,11 +492,7 @@ def near_duplicates(
     )
     pairs, ties = _candidates(classes, run, trees, depth, min_depth, region)
     sets = _sets_of(docs, classes, pairs.unionByName(ties), run, words)
-    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select(F.col("a").alias("hub"), F.col("b").alias("member"))
-    found = run.keep(components(_verify(first, sets, run), run), "groups")
-    rest = run.keep(_across(pairs, found).select(F.col("a").alias("hub"), F.col("b").alias("member")), "rest")
-    if not rest.isEmpty():
-        found = run.keep(components(_joined(found, _verify(rest, sets, run)), run), "groups")
+    found = _settle(pairs, sets, run)
     more = _outsiders(ties, classes, found, sets, run)
     if not more.isEmpty():
         found = run.keep(components(_joined(found, more), run), "groups")

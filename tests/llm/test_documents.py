@@ -521,3 +521,44 @@ def test_sample_shares_never_vanish():
     assert sample_share(1, 10**12) > 0 and sample_share(1, 1 << 70) == 1
     for wanted, rows in ((20, 10**9), (8000, 10**11)):
         assert abs(sample_share(wanted, rows) / SAMPLE_RANGE * rows / wanted - 1) < 1e-6
+
+
+def test_near_duplicates_verify_in_contracting_rounds(spark):
+    """A dense group of near copies is settled by few of its candidate pairs, and
+    pairs that fail in one round leave room for those that hold in a later one."""
+    from flocklens.llm import minhash_forest as forest
+    from flocklens.llm.common import Run
+
+    rng = np.random.default_rng(11)
+    draw = lambda k: rng.integers(0, 1 << 63, k, dtype=np.uint64) * np.uint64(2)
+    base = draw(100)
+    near = [np.sort(np.concatenate([base[rng.permutation(100)[:97]], draw(3)])) for _ in range(60)]
+    half = [np.sort(np.concatenate([base[:60], draw(40)])) for _ in range(12)]  # like nothing
+    late = np.sort(np.concatenate([half[11][:95], draw(5)]))  # like the last of them alone
+    sets = [*near, *half, late]
+    frame = [(i, len(s), bytearray(s.tobytes())) for i, s in enumerate(sets)]
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets))]
+    links = [
+        (i, j)
+        for i, j in pairs
+        if 100 * len(both := np.intersect1d(sets[i], sets[j])) >= 80 * (len(sets[i]) + len(sets[j]) - len(both))
+    ]
+    compared, verify = [], forest._verify
+
+    def counting(stars, *rest):
+        compared.append(stars.count())
+        return verify(stars, *rest)
+
+    forest._verify = counting
+    try:
+        found = forest._settle(
+            spark.createDataFrame(pairs, "a long, b long"),
+            spark.createDataFrame(frame, "cid long, size long, shingles binary"),
+            Run(spark, "t"),
+        )
+        got = {r.id: r.component for r in found.collect()}
+    finally:
+        forest._verify = verify
+    want = brute.groups({x for p in links for x in p}, links)
+    assert (71, 72) in links and {i: got[i] for i in want} == want and len(compared) > 2
+    assert sum(compared) < len(pairs) / 2
