@@ -5,7 +5,7 @@ failures of all ten tests with one aggregation pass per relation."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flocklens.config import TICKET_ID_PREFIX
@@ -40,6 +40,17 @@ def not_null_violations(df: DataFrame, relation: str, columns, key: str) -> Data
     )
 
 
+def null_counts(columns) -> list[Column]:
+    """The NULLs of each column, as aggregates that a write can observe."""
+    return [F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(c) for c in columns]
+
+
+def duplicated_keys(df: DataFrame, key: str) -> int:
+    """How many non-NULL values of ``key`` occur more than once."""
+    per_key = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return per_key.filter(F.col("n") > 1).count()
+
+
 def surrogate_clashes(contact_ids: DataFrame) -> DataFrame:
     """CRM contact ids that look like the surrogate id of a ticketing contact.
     The attendance fact relies on there being none."""

@@ -16,10 +16,11 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from flocklens.config import IN_PERSON, ONLINE, TICKET_ID_PREFIX
 from flocklens.functions.text import UNICODE_WHITESPACE
+from flocklens.operators import quality
 from flocklens.plans.build import Build
 from flocklens.plans.materialize import _file_system, delete
 
@@ -121,9 +122,30 @@ def _as_views(spark: SparkSession, tables: dict[str, str], names, database: str
             spark.sql(f"CREATE OR REPLACE VIEW {at(name)} AS {sql.format(**{t: at(t) for t in reads})}")
 
 
+def _write_tested(df: DataFrame, name: str, path: str, partition_by) -> dict:
+    """Write a table; {(relation, column, test): failures} of its declared tests.
+
+    The NULL counts are metrics of the write itself, so they cost no further scan;
+    uniqueness reads the key column of what was written."""
+    declared = [(key, cols) for relation, key, cols in quality.TESTS if relation == name]
+    if not declared:
+        write_table(df, path, partition_by)
+        return {}
+    (key, cols), seen = declared[0], Observation()
+    write_table(df.observe(seen, *quality.null_counts(cols)), path, partition_by)
+    found = {(name, c, "not_null"): seen.get[c] for c in cols}
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    return found | {(name, key, "unique"): quality.duplicated_keys(written, key)}
+
+
 def publish(build: Build, root: str, models=None, database: str | None = None) -> dict:
+    """``publish_tested`` without the test counts: ``{table: path}``."""
+    return publish_tested(build, root, models, database)[0]
+
+
+def publish_tested(build: Build, root: str, models=None, database: str | None = None) -> tuple[dict, dict]:
     """Write the models and switch to them; returns ``{table: path}`` of what is
-    current then. ``models`` rebuilds only those (a view's tables with it) and
+    current then, and the failures of the declared tests of the tables written. ``models`` rebuilds only those (a view's tables with it) and
     keeps the rest of the current set. An unknown model name is an error. The
     catalog views (in ``database``, or the current one) follow the switch."""
     wanted = set(PUBLISHED if models is None else models)
@@ -133,18 +155,18 @@ def publish(build: Build, root: str, models=None, database: str | None = None) -
     spark, root = build.spark, root.rstrip("/")
     numbers = _manifests(spark, root)
     tables = _read(spark, root, numbers[-1]) if numbers else {}
-    folder = f"{root}/_versions/{uuid.uuid4().hex}"
+    folder, failures = f"{root}/_versions/{uuid.uuid4().hex}", {}
     try:
         for name, (attr, parts) in TABLES.items():
             if name in wanted:
-                write_table(getattr(build, attr), f"{folder}/{name}", parts)
+                failures |= _write_tested(getattr(build, attr), name, f"{folder}/{name}", parts)
                 tables[name] = f"{folder}/{name}"
         _switch(spark, root, numbers[-1] + 1 if numbers else 1, tables)
     except BaseException:
         delete(spark, folder)
         raise
     _as_views(spark, tables, [n for n in PUBLISHED if n in wanted], database)
-    return tables
+    return tables, failures
 
 
 def expire(spark: SparkSession, root: str, keep: int = 2) -> None:
