@@ -10,7 +10,7 @@ central member, one out of the region's largest run of equal keys.
 Candidates are verified on the full shingle sets in contracting rounds: first
 each set with its smallest candidate; then, of the candidates that the links
 found so far have left in different components, one for each set and foreign
-component, then four, sixteen and so on, until none is left. A candidate inside
+component, then four, sixteen and so on, and at last all that are left. A candidate inside
 a component can change nothing and is not compared. At last, in regions too large to have been compared in full or cut
 by a partition's edge, every set outside the largest component with those that
 share one of its rarest shingles: an exact join, whose rows are dealt in cells.
@@ -319,20 +319,24 @@ def _settle(pairs: DataFrame, sets: DataFrame, run: Run) -> DataFrame:
     that were compared or lie inside a component leave, so that the rounds are
     about the logarithm of the most candidates that a set has in one component,
     and a group of near copies costs about its members, not its pairs."""
-    left = pairs.select("a", "b", F.lit(0).cast("long").alias("of_a"))
-    found, turn = None, 0
-    while True:
-        share = F.pmod(F.xxhash64("a"), F.lit(4 ** min(max(turn - 1, 0), 30)))
-        taken = left.groupBy("b", "of_a", share.alias("share")).agg(F.min("a").alias("a"))
+    left, many = pairs.select("a", "b", F.lit(0).cast("long").alias("of_a")), None
+    found, turn, compared = None, 0, 0
+    while many != 0:
+        last = many is not None and many <= compared  # no more left than compared so far: all of them
+        taken = left
+        if not last:
+            share = F.pmod(F.xxhash64("a"), F.lit(4 ** min(max(turn - 1, 0), 30)))
+            taken = left.groupBy("b", "of_a", share.alias("share")).agg(F.min("a").alias("a"))
         taken = run.keep(taken.select(F.col("a").alias("hub"), F.col("b").alias("member")), "taken")
         links = _verify(taken, sets, run)
         if found is None or not links.isEmpty():
             found = run.keep(components(links if found is None else _joined(found, links), run), "groups")
+        if last:
+            break
         tried = taken.select(F.col("hub").alias("a"), F.col("member").alias("b"))
         left = run.keep(_across(left.join(tried, ["a", "b"], "left_anti"), found), "left")
-        if left.isEmpty():
-            return found
-        turn += 1
+        many, compared, turn = left.count(), compared + taken.count(), turn + 1
+    return found
 
 
 def _counts(blobs) -> pd.DataFrame:
