@@ -54,8 +54,10 @@ HASHES_PER_RANGE = 2_000_000
 
 _RUN = np.dtype([("hash", "<u8"), ("first", "<u4"), ("count", "<u4")])
 _SPAN = np.dtype([("first", "<u4"), ("count", "<u4")])
-_LEVEL = "block string, hashes binary, doc_id long, sha string, n_words long, text string, runs binary, spans binary"
-_STATE = "doc_id long, sha string, text string, spans binary"
+_LEVEL = (
+    "block string, hashes binary, doc_id long, text_key long, sha string, n_words long, "
+    "text string, runs binary, spans binary"
+)
 _CUT = "of long, of_sha string, n_removed long, kept_sha256 string, kept_text string, text_key long"
 
 
@@ -150,6 +152,7 @@ def _level(length: int, window: int, first: bool):
                     [block] * n,
                     nothing,
                     part.column("doc_id").cast(pa.int64()),
+                    part.column("text_key"),
                     sha if first else part.column("sha"),
                     np.diff(offsets),
                     nothing if first else part.column("text"),
@@ -158,7 +161,7 @@ def _level(length: int, window: int, first: bool):
                 ]
                 yield pa.record_batch([pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema)
                 if len(h):
-                    one = [[block], [_block_hashes(h, place).tobytes()], *([None] for _ in range(6))]
+                    one = [[block], [_block_hashes(h, place).tobytes()], *([None] for _ in range(7))]
                     yield pa.record_batch([pa.array(x, f.type) for x, f in zip(one, schema)], schema=schema)
 
     return run
@@ -221,10 +224,10 @@ def _survivors(length: int, window: int, first: bool):
             spans["count"] = np.add.reduceat(found["count"], head) if len(head) else 0
             doc = doc[head]
             cut = np.searchsorted(doc, np.arange(len(docs) + 1))
-            for k, (doc_id, sha, text) in enumerate(zip(docs["doc_id"], docs["sha"], docs["text"])):
+            for k, row in enumerate(zip(docs["doc_id"], docs["text_key"], docs["sha"], docs["text"])):
                 if cut[k + 1] > cut[k]:
-                    rows.append((doc_id, sha, text, spans[cut[k] : cut[k + 1]].tobytes()))
-        return pd.DataFrame(rows, columns=["doc_id", "sha", "text", "spans"])
+                    rows.append((*row, spans[cut[k] : cut[k + 1]].tobytes()))
+        return pd.DataFrame(rows, columns=["doc_id", "text_key", "sha", "text", "spans"])
 
     return run
 
@@ -235,9 +238,9 @@ def _go_on(level: DataFrame, run: Run, length: int, window: int, first: bool) ->
     ranges = max(shuffle_partitions(run.spark), -(-int(total) // HASHES_PER_RANGE))
     hits = run.keep(_repeated(blocks, ranges), "repeated")
     docs = level.where("runs is not null" if first else "spans is not null")
-    docs = docs.select("block", F.col("doc_id").cast("string"), "sha", "text", "runs", "spans")
+    docs = docs.select("block", F.col("doc_id").cast("string"), "text_key", "sha", "text", "runs", "spans")
     out = docs.groupBy("block").cogroup(hits.groupBy("block")).applyInPandas(
-        _survivors(length, window, first), "doc_id string, sha string, text string, spans binary"
+        _survivors(length, window, first), "doc_id string, text_key long, sha string, text string, spans binary"
     )
     return out.withColumn("doc_id", F.col("doc_id").cast("long"))
 
@@ -281,17 +284,19 @@ def _find(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, sha, n_words of every row; what is cut from the distinct texts
     that lose words)."""
     run = Run(docs.sparkSession, "repeats")
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     steps = levels(window)
     base = run.keep(docs.mapInArrow(_level(steps[0], window, True), _LEVEL), "level")
-    state = _go_on(base, run, steps[0], window, True).select(F.col("doc_id").alias("of"), F.col("sha").alias("of_sha"), "spans")
-    state = run.keep(state.dropDuplicates(["of", "of_sha"]), "candidates")
-    whole = docs.join(state, F.col("doc_id").eqNullSafe(F.col("of")))
-    whole = whole.mapInArrow(_match, _STATE)
+    state = _go_on(base, run, steps[0], window, True)
+    state = state.select(F.col("doc_id").alias("of"), F.col("text_key").alias("of_key"), "sha", "spans")
+    state = run.keep(state.dropDuplicates(["of", "of_key"]), "candidates")
+    # on the text too: the texts of a repeated or null id meet their own candidates only
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_key") == F.col("of_key"))
+    whole = docs.join(state, same).select("doc_id", "text_key", "sha", "text", "spans")
     for length in steps[1:]:
         level = run.keep(whole.mapInArrow(_level(length, window, False), _LEVEL), "level")
         whole = _go_on(level, run, length, window, False)
-    cut = whole.withColumn("text_key", F.xxhash64("text")).mapInArrow(_strip(window), _CUT)
+    cut = whole.mapInArrow(_strip(window), _CUT)
     cut = run.keep(cut.dropDuplicates(["of", "of_sha", "text_key"]), "cut")
     return base.where("sha is not null").select("doc_id", "sha", "n_words"), cut
 
@@ -322,15 +327,3 @@ def strip_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     if "n_chars" in docs.columns:
         new["n_chars"] = F.coalesce(F.length("kept_text").cast("long"), "whole.n_chars")
     return rows.join(cut, same, "left").select(*(new.get(c, F.col(f"whole.`{c}`")).alias(c) for c in docs.columns))
-
-
-def _match(batches):
-    """Pairs of a document and candidate spans that belong to the same text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("sha", pa.string()), ("text", pa.string()), ("spans", pa.binary())])
-    for batch in batches:
-        words, offsets = split_words(batch.column("text"))
-        sha = pa.array([hashlib.sha256(x).hexdigest() for x in _joined(words, offsets)], pa.string())
-        same = pc.equal(sha, batch.column("of_sha"))
-        yield pa.record_batch(
-            [batch.column("doc_id").cast(pa.int64()), sha, batch.column("text"), batch.column("spans")], schema=schema
-        ).filter(same)
