@@ -7,7 +7,7 @@ language. The score is the product over both levels of the winner's least
 pairwise confidence (a logistic function of the margin).
 
 The machines are fitted on at most about ``max_train`` rows, a hash sample with
-the same bound for every language; every text is predicted whole. lang,
+the same bound for every language, at most ``max_langs`` of them; every text is predicted whole. lang,
 source and doc_id are never inputs of a prediction.
 
 Cases: a null text or one without any letter is ``und`` with score 0; rows
@@ -33,6 +33,7 @@ UNKNOWN = "und"
 BUCKETS = 4096
 ORDERS = (1, 2, 3, 4)
 MAX_TRAIN = 4000
+MAX_LANGS = 200
 
 # fixed values: families of ISO 639-1 codes; a code not listed is its own family
 FAMILIES = {
@@ -158,18 +159,22 @@ def held_out():
     return F.coalesce(crc_of("doc_id") % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, max_train: int = MAX_TRAIN) -> Hierarchy | None:
+def train(docs: DataFrame, max_train: int = MAX_TRAIN, max_langs: int = MAX_LANGS) -> Hierarchy | None:
     """Fit on a hash sample of ``docs(doc_id, text, lang)``, at most about
-    ``max_train`` rows with the same bound for every language."""
+    ``max_train`` rows with the same bound for every language. The ``max_langs``
+    most frequent languages are learned (ties by name); of rows with equal id,
+    text and language one is."""
     known = docs.where("lang is not null and text is not null")
-    counts = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
+    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs)
+    counts = {r.lang: r["count"] for r in counts.collect()}
     if not counts:
         return None
     each = max(1, max_train // len(counts))
     share = F.lit(0).cast("long")
     for lang, n in counts.items():
         share = F.when(F.col("lang") == lang, F.lit(sample_share(each, n))).otherwise(share)
-    rows = known.where(F.pmod(F.xxhash64("doc_id", "text", F.lit(13)), F.lit(SAMPLE_RANGE)) < share).select("doc_id", "text", "lang")
+    rows = known.select("doc_id", "text", "lang", F.xxhash64("doc_id", "text", F.lit(13)).alias("h"))
+    rows = rows.where(F.pmod("h", F.lit(SAMPLE_RANGE)) < share)
 
     def build(batches):
         letters = _letter_table()
@@ -178,11 +183,12 @@ def train(docs: DataFrame, max_train: int = MAX_TRAIN) -> Hierarchy | None:
                 x, some = features(one_array(p.column("text")).to_pylist(), letters)
                 blobs = [r.astype(np.float16).tobytes() if s else None for r, s in zip(x, some)]
                 yield pa.record_batch(
-                    [p.column("doc_id").cast(pa.int64()), p.column("lang"), pa.array(blobs, pa.binary())],
-                    names=["doc_id", "lang", "x"],
+                    [p.column("doc_id").cast(pa.int64()), p.column("lang"), p.column("h"), pa.array(blobs, pa.binary())],
+                    names=["doc_id", "lang", "h", "x"],
                 )
 
-    found = rows.mapInArrow(build, "doc_id long, lang string, x binary").where("x is not null").collect()
+    found = rows.mapInArrow(build, "doc_id long, lang string, h long, x binary").where("x is not null")
+    found = found.groupBy("doc_id", "lang", "h").agg(F.min("x").alias("x")).collect()
     if not found:
         return None
     found.sort(key=lambda r: (r.lang, -1 if r.doc_id is None else r.doc_id, bytes(r.x)))

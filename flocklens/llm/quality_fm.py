@@ -108,15 +108,19 @@ def _n_chars(batch) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> FactorisationMachine | None:
-    """Fit on a hash sample of at most about ``max_train`` labelled rows of
-    ``docs(doc_id, text, n_chars)``; rows with a null label are not used."""
-    known = labels.select("doc_id", F.col("quality").alias("y")).where("doc_id is not null and quality is not null")
+    """Fit on a hash sample of at most about ``max_train`` labelled documents of
+    ``docs(doc_id, text, n_chars)``; rows with a null label are not used. Equal
+    labels of an id count once; of several texts with one id, that with the
+    least hash is learned."""
+    known = labels.select("doc_id", (F.col("quality") > 0).cast("int").alias("y"))
+    known = known.where("doc_id is not null and y is not null").distinct()
     total = known.count()
     if total == 0:
         return None
     share = F.lit(sample_share(max_train, total))
     known = known.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(SAMPLE_RANGE)) < share)
-    rows = docs.select("doc_id", "text", "n_chars").join(F.broadcast(known), "doc_id")  # about max_train rows
+    rows = docs.select("doc_id", "text", "n_chars", F.xxhash64("text", "n_chars").alias("h"))
+    rows = rows.join(F.broadcast(known), "doc_id")  # about max_train rows, whatever the ids
 
     def build(batches):
         for batch in batches:
@@ -127,13 +131,15 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Fac
                     [
                         p.column("doc_id").cast(pa.int64()),
                         p.column("y").cast(pa.int32()),
+                        p.column("h"),
                         pa.array([a.astype(np.uint16).tobytes() for a in at], pa.binary()),
                         pa.array([r[a].tobytes() for r, a in zip(x, at)], pa.binary()),
                     ],
-                    names=["doc_id", "y", "at", "x"],
+                    names=["doc_id", "y", "h", "at", "x"],
                 )
 
-    found = rows.mapInArrow(build, "doc_id long, y int, at binary, x binary").collect()
+    found = rows.mapInArrow(build, "doc_id long, y int, h long, at binary, x binary")
+    found = found.groupBy("doc_id", "y").agg(F.min(F.struct("h", "at", "x")).alias("r")).select("doc_id", "y", "r.at", "r.x").collect()
     if not found:
         return None
     found.sort(key=lambda r: (r.doc_id, r.y, bytes(r.at)))  # the same model whatever the order of tasks
