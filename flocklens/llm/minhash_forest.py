@@ -101,7 +101,9 @@ def _signatures(h: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
 
 
 def _features(words: int, trees: int, depth: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cid", pa.int64()), ("sig", pa.binary())])
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("cid", pa.int64()), ("sig", pa.binary())]
+    )
 
     def run(batches):
         for batch in batches:
@@ -118,6 +120,7 @@ def _features(words: int, trees: int, depth: int):
                 yield pa.record_batch(
                     [
                         part.column("doc_id").cast(pa.int64()),
+                        part.column("text_key"),
                         pa.array(n),
                         pa.array(key, mask=~some),
                         pa.array(sig, pa.binary()),
@@ -481,10 +484,17 @@ def near_duplicates(
     """One row per row of ``docs(doc_id, text)``: doc_id, n_shingles,
     component_id (smallest doc_id reachable over links of Jaccard >= 0.8, itself
     included) and kept (doc_id = component_id)."""
+    found = _judged(docs, words, trees, depth, min_depth, region)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _judged(docs: DataFrame, words: int, trees: int, depth: int, min_depth: int, region: int) -> DataFrame:
+    """near_duplicates with text_key, the hash of the row's text, and component,
+    a number of its group (null: linked with nothing)."""
     run = Run(docs.sparkSession, "minhash")
     rows = run.keep(
-        docs.select("doc_id", "text").mapInArrow(
-            _features(words, trees, depth), "doc_id long, n long, cid long, sig binary"
+        docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(
+            _features(words, trees, depth), "doc_id long, text_key long, n long, cid long, sig binary"
         ),
         "features",
     )
@@ -505,10 +515,13 @@ def near_duplicates(
     )
     of = run.keep(of, "of")
     smallest = of.groupBy("component").agg(F.min("rep").alias("component_id"))
-    of = of.join(smallest, "component").select("cid", "component_id")
-    out = rows.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("cid")).alias("cid")).join(of, "cid", "left")
+    of = of.join(smallest, "component").select("cid", "component", "component_id")
+    cid = F.when(F.col("doc_id").isNotNull(), F.col("cid")).alias("cid")
+    out = rows.select("doc_id", "text_key", "n", cid).join(of, "cid", "left")
     return out.select(
         "doc_id",
+        "text_key",
+        "component",
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
         F.col("doc_id").eqNullSafe(F.coalesce("component_id", "doc_id")).alias("kept"),
@@ -517,11 +530,15 @@ def near_duplicates(
 
 def keep_one(docs: DataFrame, words: int = 5) -> DataFrame:
     """The rows of ``docs`` (all columns) that are the smallest doc_id of their
-    near-duplicate group; of equal rows with one id and text one stays."""
-    found = near_duplicates(docs, words)
-    ids = found.where("kept").groupBy("doc_id").agg(F.count("*").alias("n"))
-    ids = Run(docs.sparkSession, "keep").keep(ids.select(F.col("doc_id").alias("of"), "n"), "ids")
-    rows = docs.select(F.struct("*").alias("whole")).join(ids, F.col("whole.doc_id").eqNullSafe(F.col("of")))
+    near-duplicate group. Of equal rows with one id and text one stays, and of
+    one id's texts in one group that with the least hash; rows without an id
+    all stay."""
+    found = _judged(docs, words, TREES, DEPTH, MIN_DEPTH, REGION).where("kept")
+    group = F.coalesce("component", "text_key").alias("group")  # without words: a group of its own
+    ids = found.groupBy("doc_id", group).agg(F.min("text_key").alias("of_key"), F.count("*").alias("n"))
+    ids = Run(docs.sparkSession, "keep").keep(ids.select(F.col("doc_id").alias("of"), "of_key", "n"), "ids")
+    same = F.col("whole.doc_id").eqNullSafe(F.col("of")) & (F.xxhash64("whole.text") == F.col("of_key"))
+    rows = docs.select(F.struct("*").alias("whole")).join(ids, same)
     single = rows.where("n = 1 or of is null").select("whole.*")
     more = rows.where("n > 1 and of is not null").select("whole.*").dropDuplicates(["doc_id", "text"])
     return single.unionByName(more)
