@@ -40,6 +40,8 @@ STRANGERS = 12  # expected unrelated (orthogonal) vectors in a bucket
 CELL = 2048
 HALF_ERROR = 0.01
 PAIRS_AT_ONCE = 1 << 18
+ROWS_PER_TASK = 200_000  # dealt rows of a task, the last cell apart
+PAIRS_HELD = 1 << 20  # near pairs that a task holds before it hands them on
 
 
 def collision(distance: float, width: float) -> float:
@@ -135,6 +137,12 @@ def _near_pairs(min_cosine: float):
                     near = dots >= min_cosine - HALF_ERROR
                     found.append(np.stack([rep[p[near]], rep[q[near]]], axis=1))
 
+        def give(most=PAIRS_HELD):
+            if sum(len(p) for p in found) >= most:
+                pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
+                found.clear()
+                yield pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
         if len(np.unique(width)) == 1:
             units = np.frombuffer(b"".join(half), np.float16).reshape(len(f), -1).astype(np.float32)
         else:
@@ -151,6 +159,7 @@ def _near_pairs(min_cosine: float):
             y = x + d
             take = ~square[x] | (side[x] != side[y])
             compare(x[take], y[take])
+            yield from give()
         for a, n in zip(first[size > 64], size[size > 64]):
             rows = np.arange(a, a + n)
             if square[a]:
@@ -165,10 +174,8 @@ def _near_pairs(min_cosine: float):
                     x, y = np.nonzero(units[p] @ units[q].T >= min_cosine - HALF_ERROR)
                     ok = rep[p[x]] != rep[q[y]]
                     found.append(np.stack([rep[p[x[ok]]], rep[q[y[ok]]]], axis=1))
-        if found:
-            pairs = np.concatenate(found)
-            pairs = np.unique(np.sort(pairs, axis=1), axis=0)
-            yield pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+                yield from give()
+        yield from give(1)
 
     return run
 
@@ -195,13 +202,14 @@ def near_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE, recall: flo
     # the same id on two different vectors: a class of its own per vector
     classes = run.keep(classes.withColumn("cls", F.xxhash64("raw")), "keyed")
     k, tables = plan_tables(classes.count(), min_cosine, recall, width)
-    parts = shuffle_partitions(run.spark)
     keyed = classes.select(F.col("cls").alias("rep"), "raw").mapInArrow(
         _buckets(k, tables, width), "rep long, half binary, keys array<long>"
     )
     keyed = run.keep(keyed.select("rep", "half", F.explode("keys").alias("key")), "buckets")
-    sizes = keyed.groupBy("key").count().where("count > 1")
+    sizes = run.keep(keyed.groupBy("key").count().where("count > 1"), "sizes")
     chunks = F.ceil(F.col("count") / CELL).cast("int")
+    total = sizes.agg(F.sum(F.col("count") * chunks)).first()[0] or 0
+    parts = max(shuffle_partitions(run.spark), -(-total // ROWS_PER_TASK))
     dealt = (
         keyed.join(sizes, "key")
         .withColumn("chunks", chunks)
