@@ -45,19 +45,64 @@ def _slot(keys: np.ndarray) -> np.ndarray:
     return (mix64(keys.astype(np.uint64)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
+# fixed values: field numbers of a model file (ModelProto.trainer_spec.model_type) and its types
+TRAINER_SPEC, MODEL_TYPE = 2, 3
+UNIGRAM, BPE = 1, 2
+
+
+def _fields(data: memoryview):
+    """(number, value) of each field of a protocol buffer message."""
+    at = 0
+
+    def varint():
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = data[at]
+            at += 1
+            value |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return value
+
+    while at < len(data):
+        tag = varint()
+        if tag & 7 == 0:
+            yield tag >> 3, varint()
+            continue
+        size = {1: 8, 5: 4}.get(tag & 7) or varint()
+        yield tag >> 3, data[at : at + size]
+        at += size
+
+
+def model_type(model: bytes) -> int:
+    """The type that a model file names; without one it is a unigram model."""
+    found = UNIGRAM
+    for number, value in _fields(memoryview(model)):
+        if number == TRAINER_SPEC:
+            found = next((v for n, v in _fields(value) if n == MODEL_TYPE), found)
+    return found
+
+
 class Pieces:
-    """The piece table of a model file."""
+    """The piece table of a model file, unigram or BPE (its own type if not told)."""
 
     def __init__(self, path: str, unigram: bool | None = None):
         import sentencepiece
 
+        if unigram is None:
+            with open(path, "rb") as f:
+                kind = model_type(f.read())
+            if kind not in (UNIGRAM, BPE):
+                raise ValueError(f"{path}: neither a unigram nor a BPE model")
+            unigram = kind == UNIGRAM
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         n = sp.get_piece_size()
         self.size, self.unk = n, sp.unk_id()
         self.text = [sp.id_to_piece(i) for i in range(n)]
         plain = [i for i in range(n) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
         self.score = np.array([sp.get_score(i) for i in range(n)])
-        self.unigram = bool(unigram)
+        self.unigram = unigram
         byte = {int(self.text[i][3:5], 16): i for i in range(n) if sp.is_byte(i)}
         self.byte_ids = np.array([byte[b] for b in range(256)], dtype=np.int64) if len(byte) == 256 else None
         self.surface = [t.replace(SPACE, " ").encode() for t in self.text]
