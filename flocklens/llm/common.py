@@ -9,6 +9,7 @@ any length costs one subtraction and one multiplication.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 import numpy as np
@@ -36,16 +37,23 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_made = threading.local()  # .dirs: run folders made by this thread
+
+
 class Run:
     """Written intermediates of one operator call, in one folder of their own.
 
     A written table cuts the lineage: a lost executor's tasks reread files
-    instead of recomputing what lies upstream."""
+    instead of recomputing what lies upstream. The operators' results read
+    these folders; ``Scope`` removes them once the results are written."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.dir = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
         self._n = 0
+        if not hasattr(_made, "dirs"):
+            _made.dirs = []
+        _made.dirs.append(self.dir)
 
     def keep(self, df: DataFrame, name: str = "t") -> DataFrame:
         self._n += 1
@@ -54,6 +62,30 @@ class Run:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+class Scope:
+    """Removes the run folders that operators make within it, at its end.
+
+    Results of those operators have to be written before: ``with Scope(spark):
+    near_duplicates(docs).write.parquet(path)``."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def __enter__(self):
+        self._from = len(getattr(_made, "dirs", []))
+        return self
+
+    def __exit__(self, *_):
+        made = getattr(_made, "dirs", [])
+        while len(made) > self._from:
+            remove(self.spark, made.pop())
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -76,3 +76,28 @@ def test_every_operator_has_its_query():
 
     names = {n.split("_")[0] for n in e.queries() if n.startswith("op")}
     assert names == {f"op{k}" for k in range(1, 14)} and "pipeline" in e.queries()
+
+
+def test_stages_with_clashing_columns(spark, odd):
+    """Stages carry further columns whose names the operators use inside."""
+    import corpus_pipeline as p
+
+    for name, stage in p.STAGES:
+        out = stage(spark, odd, SF)
+        assert name == "packed" or out.columns == odd.columns
+        out.count()
+
+
+def test_scope_removes_run_folders(spark, tmp_path):
+    import os
+
+    from flocklens.llm.common import Run, Scope, shared_dir
+
+    root = shared_dir(spark).removeprefix("file:")
+    outer = Run(spark, "outer")
+    outer.keep(spark.range(3)).count()
+    before = set(os.listdir(root))
+    with Scope(spark):
+        Run(spark, "inner").keep(spark.range(3)).write.parquet(str(tmp_path / "out"))
+    assert set(os.listdir(root)) == before
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
