@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flocklens.llm import language_id, minhash_forest, packing, quality_fm, repeats
-from flocklens.llm.common import Run
+from flocklens.llm.common import Run, Scope
 from flocklens.llm.queries import tokenizer_path
 
 MIN_LANGUAGE_SCORE = 0.3  # below: no learned language is likelier than chance
@@ -64,9 +64,13 @@ ORACLE_SQL = None  # models and packing are not SQL; see tests/llm/test_pipeline
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each on what its predecessor wrote."""
+    """All stages over documents, each on what its predecessor wrote.
+
+    The stages' own intermediates go when their result is written; the caller's
+    ``Scope`` removes the stage tables."""
     folder = Run(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = folder.keep(stage(spark, docs, sf_dir), name)
+        with Scope(spark):
+            docs = folder.keep(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
