@@ -182,8 +182,8 @@ def _neighbours(depth: int, min_depth: int, region: int):
         x = np.concatenate([p for p, _ in pairs] + [np.zeros(0, np.int64)]).astype(np.int64)
         y = np.concatenate([q for _, q in pairs] + [np.zeros(0, np.int64)]).astype(np.int64)
         x, y = _alike(cid, n, x, y)
-        out = pd.DataFrame({"a": cid[x], "b": cid[y]}).drop_duplicates()
-        yield out.assign(tree=-1, key=None, n=0)[columns]
+        out = pd.DataFrame({"a": cid[x], "b": cid[y], "n": n[y]}).drop_duplicates()
+        yield out.assign(tree=-1, key=None)[columns]
         out = pd.DataFrame({"a": cid[ties[0]], "b": cid[ties[1]]}).query("a != b").drop_duplicates()
         yield out.assign(tree=-2, key=None, n=0)[columns]
         ends = f.iloc[sorted({0, len(f) - 1})]
@@ -204,7 +204,7 @@ def _alike(cid, n, x, y):
 
 
 def _candidates(classes: DataFrame, run: Run, trees: int, depth: int, min_depth: int, region: int) -> tuple[DataFrame, DataFrame]:
-    """(pairs to verify, ties of the regions whose pairs are not all among them)."""
+    """(pairs to verify with the size n of b, ties of the regions whose pairs are not all among them)."""
     spark = run.spark
     rows = classes.count() * trees
     orders = classes.select(
@@ -230,20 +230,20 @@ def _candidates(classes: DataFrame, run: Run, trees: int, depth: int, min_depth:
     # two rows per partition: neighbours across the partitions' edges
     ends = sorted((r.tree, bytes(r.key), r.a, r.n) for r in out.where("tree >= 0").collect())
     across = [
-        (min(p[2], q[2]), max(p[2], q[2]), 100 * min(p[3], q[3]) >= PERCENT * max(p[3], q[3]))
+        (min(p[2], q[2]), max(p[2], q[2]), max(p[2:], q[2:])[1], 100 * min(p[3], q[3]) >= PERCENT * max(p[3], q[3]))
         for p, q in zip(ends, ends[1:])
         if p[0] == q[0] and p[1][: 4 * min_depth] == q[1][: 4 * min_depth] and p[2] != q[2]
     ]
-    pairs, ties = out.where("tree = -1").select("a", "b"), out.where("tree = -2").select("a", "b")
+    pairs, ties = out.where("tree = -1").select("a", "b", "n"), out.where("tree = -2").select("a", "b")
     if across:
-        across = spark.createDataFrame(across, "a long, b long, alike boolean")
-        pairs = pairs.unionByName(across.where("alike").select("a", "b"))
+        across = spark.createDataFrame(across, "a long, b long, n long, alike boolean")
+        pairs = pairs.unionByName(across.where("alike").select("a", "b", "n"))
         ties = ties.unionByName(across.select("a", "b"))
     return run.keep(pairs.distinct(), "candidates"), run.keep(ties.distinct(), "ties")
 
 
 def _sets_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame, run: Run, words: int) -> DataFrame:
-    """(cid, size, shingles): the full set of each class that is in one of ``pairs``."""
+    """(cid, shingles): the full set of each class that is in one of ``pairs``."""
     wanted = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
     ids = classes.join(wanted, "cid", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
 
@@ -253,23 +253,22 @@ def _sets_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame, run: Run, wo
                 h, offsets = shingle_sets(part.column("text"), words)
                 key = _class_keys(h, offsets)
                 blobs = [h[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
-                columns = [pa.array(key), pa.array(np.diff(offsets)), pa.array(blobs, pa.binary())]
-                yield pa.record_batch(columns, names=["cid", "size", "shingles"])
+                columns = [pa.array(key), pa.array(blobs, pa.binary())]
+                yield pa.record_batch(columns, names=["cid", "shingles"])
 
     found = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").select("text")
-    found = found.mapInArrow(sets, "cid long, size long, shingles binary")
+    found = found.mapInArrow(sets, "cid long, shingles binary")
     return run.keep(found.dropDuplicates(["cid"]), "sets")
 
 
 def _verify(stars: DataFrame, sets: DataFrame, run: Run) -> DataFrame:
     """The pairs (hub, member) of ``stars`` whose full sets are similar enough.
 
-    A hub's members are dealt to groups of bounded size, by their sizes alone;
-    then the sets come to the groups, a hub's set once to each."""
-    sized = stars.join(sets.select(F.col("cid").alias("member"), "size"), "member")
-    load = sized.groupBy("hub").agg(F.sum("size").alias("load"))
+    A hub's members are dealt to groups of bounded size, by their sizes n alone,
+    which the pairs carry; then the sets come to the groups, a hub's set once to each."""
+    load = stars.groupBy("hub").agg(F.sum("n").alias("load"))
     part = F.pmod(F.xxhash64("member"), F.ceil(F.col("load") / VERIFY_SHINGLES)).alias("part")
-    dealt = run.keep(sized.join(load, "hub").select("hub", part, "member"), "dealt")
+    dealt = run.keep(stars.join(load, "hub").select("hub", part, "member"), "dealt")
     of = lambda end: sets.select(F.col("cid").alias(end), "shingles")
     members = dealt.join(of("member"), "member").select("hub", "part", "member", "shingles")
     hubs = dealt.select("hub", "part").distinct().join(of("hub"), "hub")
@@ -305,11 +304,11 @@ def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """The pairs whose ends are not in one group yet, with the group of a."""
     at = lambda end: found.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}"))
     return (
-        pairs.select("a", "b")
+        pairs.select("a", "b", "n")
         .join(at("a"), "a", "left")
         .join(at("b"), "b", "left")
         .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
-        .select("a", "b", F.coalesce("of_a", "a").alias("of_a"))
+        .select("a", "b", "n", F.coalesce("of_a", "a").alias("of_a"))
     )
 
 
@@ -322,15 +321,18 @@ def _settle(pairs: DataFrame, sets: DataFrame, run: Run) -> DataFrame:
     that were compared or lie inside a component leave, so that the rounds are
     about the logarithm of the most candidates that a set has in one component,
     and a group of near copies costs about its members, not its pairs."""
-    left, many = pairs.select("a", "b", F.lit(0).cast("long").alias("of_a")), None
+    if "n" not in pairs.columns:  # not carried along: read off the sets
+        n = (F.length("shingles") / 8).cast("long").alias("n")
+        pairs = pairs.join(sets.select(F.col("cid").alias("b"), n), "b")
+    left, many = pairs.select("a", "b", "n", F.lit(0).cast("long").alias("of_a")), None
     found, turn, compared = None, 0, 0
     while many != 0:
         last = many is not None and many <= compared  # no more left than compared so far: all of them
         taken = left
         if not last:
             share = F.pmod(F.xxhash64("a"), F.lit(4 ** min(max(turn - 1, 0), 30)))
-            taken = left.groupBy("b", "of_a", share.alias("share")).agg(F.min("a").alias("a"))
-        taken = run.keep(taken.select(F.col("a").alias("hub"), F.col("b").alias("member")), "taken")
+            taken = left.groupBy("b", "n", "of_a", share.alias("share")).agg(F.min("a").alias("a"))
+        taken = run.keep(taken.select(F.col("a").alias("hub"), F.col("b").alias("member"), "n"), "taken")
         links = _verify(taken, sets, run)
         if found is None or not links.isEmpty():
             found = run.keep(components(links if found is None else _joined(found, links), run), "groups")
@@ -424,8 +426,9 @@ def _meetings(frames):
         begin = ends[a:b] - many[a:b] - done
         y = home[np.repeat(low[a:b] - begin, many[a:b]) + np.arange(len(x))]
         ok = (g[x] != g[y]) & ((100 + PERCENT) * left[y] >= PERCENT * (n[x] + n[y]))
-        pairs = pd.DataFrame({"a": np.minimum(cid[x[ok]], cid[y[ok]]), "b": np.maximum(cid[x[ok]], cid[y[ok]])})
-        yield pairs.drop_duplicates()
+        x, y = x[ok], y[ok]
+        x, y = np.where(cid[x] < cid[y], x, y), np.where(cid[x] < cid[y], y, x)
+        yield pd.DataFrame({"a": cid[x], "b": cid[y], "n": n[y]}).drop_duplicates()
         a = b
 
 
@@ -469,8 +472,8 @@ def _outsiders(ties: DataFrame, classes: DataFrame, found: DataFrame, sets: Data
     home = rows.select(*kept, of("homes").alias("i"), F.lit(0).alias("side"), each("aways").alias("j"))
     away = rows.where("out").select(*kept, of("aways").alias("j"), F.lit(1).alias("side"), each("homes").alias("i"))
     dealt = home.unionByName(away).repartition(parts, "key", "i", "j")
-    met = run.keep(dealt.mapInPandas(_meetings, "a long, b long").distinct(), "met")
-    return _verify(met.select(F.col("a").alias("hub"), F.col("b").alias("member")), sets, run)
+    met = run.keep(dealt.mapInPandas(_meetings, "a long, b long, n long").distinct(), "met")
+    return _verify(met.select(F.col("a").alias("hub"), F.col("b").alias("member"), "n"), sets, run)
 
 
 def near_duplicates(
@@ -505,7 +508,7 @@ def _judged(docs: DataFrame, words: int, trees: int, depth: int, min_depth: int,
         "classes",
     )
     pairs, ties = _candidates(classes, run, trees, depth, min_depth, region)
-    sets = _sets_of(docs, classes, pairs.unionByName(ties), run, words)
+    sets = _sets_of(docs, classes, pairs.select("a", "b").unionByName(ties), run, words)
     found = _settle(pairs, sets, run)
     more = _outsiders(ties, classes, found, sets, run)
     if not more.isEmpty():
