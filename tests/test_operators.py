@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import tempfile
 
 import pytest
 from flocklens.config import Settings
@@ -124,6 +125,34 @@ def test_best_name_matches_equal_brute_force(spark):
         assert all(abs(got[k][0] - want[k][0]) < 1e-12 and got[k][1] == want[k][1] for k in want), (low, cell)
 
 
+def test_best_name_matches_fall_by_tenths(spark, tmp_path):
+    """With written rounds the bound falls by a tenth, and the rounds end when
+    every name has its match."""
+    from flocklens.plans.materialize import write_table
+
+    rnd = random.Random(11)
+    word = lambda n: "".join(rnd.choice("abcdefgh") for _ in range(n))
+    sf = {f"c{i}": (word(6), word(9)) for i in range(60)}
+    near = {f"e{i}": (f, last + "x") for i, (f, last) in enumerate(list(sf.values())[:20])}
+    far = {f"f{i}": (word(5), word(5)) for i in range(40)}
+    contacts = spark.createDataFrame([(k, f, l, None) for k, (f, l) in sf.items()], "contact_id string, first_name string, last_name string, email string")
+    for eb in (near, near | far):
+        written = []
+
+        def keep(df, name):
+            written.append(name)
+            return write_table(df, f"{tmp_path}/{len(eb)}/{name}")
+
+        unresolved = spark.createDataFrame([(k, f, l) for k, (f, l) in eb.items()], "email_key string, first_name string, last_name string")
+        st = Settings(as_of=AS_OF, similarity_low=0.25)
+        got = {r.eb_name: (r.similarity, r.sf_contact_id) for r in identity.best_name_matches(unresolved, contacts, st, keep).collect()}
+        want = _brute_best(eb, sf, 0.25)
+        assert got.keys() == want.keys()
+        assert all(abs(got[k][0] - want[k][0]) < 1e-12 and got[k][1] == want[k][1] for k in want)
+        rounds = [n for n in written if n.startswith("name_matches")]
+        assert len(rounds) == (1 if eb is near else 7), rounds
+
+
 def test_best_similar_name_rounding(spark):
     rows = [("ann lee", "c1", 3, 5, 5, 0.6), ("bo kim", "c9", 13, 20, 20, 0.65)]
     m = spark.createDataFrame(rows, "eb_name string, sf_contact_id string, shared_bigrams long, eb_bigram_count long, sf_bigram_count long, similarity double")
