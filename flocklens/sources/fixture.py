@@ -26,7 +26,7 @@ from pyspark.sql.types import (
 )
 
 from flocklens.plans.materialize import checkpoint_root, files_under
-from flocklens.sources.raw import Sources, read_sources
+from flocklens.sources.raw import Sources, read_table
 from flocklens.sources.schemas import CONTRACTS
 
 # Fixed values of the fixture mapping.
@@ -82,8 +82,11 @@ def _str(c: Column) -> Column:
 
 def doc_names(documents: DataFrame) -> DataFrame:
     """A name for every document, drawn by the digest of its whole text."""
+    # the digest as a column of its own: within the CASEs each branch would take it again
     h = F.md5(F.coalesce(F.col("text"), F.lit("")))
-    part = lambda k: F.conv(F.substring(h, 1 + 4 * k, 4), 16, 10).cast("int")
+    documents = documents.select("doc_id", h.alias("_h"))
+    documents = documents.select("doc_id", *[F.conv(F.substring("_h", 1 + 4 * k, 4), 16, 10).cast("int").alias(f"_{k}") for k in range(6)])
+    part = lambda k: F.col(f"_{k}")
     stem = _pick(part(1) % len(LAST_STEMS), LAST_STEMS)
     last = F.concat(stem, _pick(part(2) % len(LAST_ENDINGS), LAST_ENDINGS))
     double = F.concat(last, F.lit("-"), _pick(part(4) % len(LAST_STEMS), LAST_STEMS), (part(5) % 9).cast("string"))
@@ -105,17 +108,15 @@ def _slot(events: DataFrame) -> DataFrame:
         | ((u % 5 == 1) & ~late & (eid % 3 != 0))
         | ((u % 5 == 2) & (eid % 8 != 0))
     )
-    am = F.hour("ts") < 12
-    half = F.when(am, F.lit("am")).otherwise(F.lit("pm"))
     kind = F.when(elsewhere, F.lit("outing")).otherwise(F.col("event_type"))
-    return events.select(
-        "*",
-        d.alias("_d"),
-        am.alias("_am"),
-        half.alias("_half"),
-        kind.alias("_kind"),
-        F.concat(kind, F.lit("-"), _str(d), F.lit("-"), half).alias("_slot"),
-    )
+    return _slot_texts(events.select("*", d.alias("_d"), (F.hour("ts") < 12).alias("_am"), kind.alias("_kind")))
+
+
+def _slot_texts(slots: DataFrame) -> DataFrame:
+    """The half day as text and the slot's id."""
+    half = F.when(F.col("_am"), F.lit("am")).otherwise(F.lit("pm"))
+    slot = F.concat(F.col("_kind"), F.lit("-"), _str(F.col("_d")), F.lit("-"), half)
+    return slots.select("*", half.alias("_half"), slot.alias("_slot"))
 
 
 def campaign(events: DataFrame) -> DataFrame:
@@ -123,6 +124,8 @@ def campaign(events: DataFrame) -> DataFrame:
     e = _slot(events)
     dom = F.dayofmonth("_d")
     worshipish = F.col("_kind").isin("view", "click", "purchase")
+    # few slots, many events: the texts are made once a slot
+    e = _slot_texts(e.select("_kind", "_d", "_am").distinct())
     return e.select(
         F.col("_slot").alias("Id"),
         F.concat(F.col("_kind"), F.lit(" service "), _str(F.col("_d")), F.lit(" "), F.col("_half")).alias("Name"),
@@ -294,10 +297,28 @@ def fingerprint(spark: SparkSession, sf_dir: str) -> str:
     return h.hexdigest()[:20]
 
 
-_DERIVED: dict[tuple, str] = {}
+class WrittenSources:
+    """The registries of ``derived``, each written below ``base`` and read back
+    with its contract when it is first asked for: a query pays for the
+    registries that it reads."""
+
+    def __init__(self, spark: SparkSession, derived: Sources, base: str):
+        self._spark, self._derived, self._base = spark, derived, base
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in CONTRACTS:
+            raise AttributeError(name)
+        path = f"{self._base}/{name}"
+        getattr(self._derived, name).write.parquet(path)
+        table = read_table(self._spark, path, name)
+        setattr(self, name, table)
+        return table
+
+
+_DERIVED: dict[tuple, WrittenSources] = {}
 
 
-def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
+def fixture_sources(spark: SparkSession, sf_dir: str) -> WrittenSources:
     """The five raw registries, written once per application and input as
     Parquet tables in a folder of their own below the shared checkpoint folder,
     and read back with the registry contracts, as production reads its raw
@@ -305,8 +326,5 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), fingerprint(spark, sf_dir))
     if key not in _DERIVED:
         base = f"{checkpoint_root(spark)}/flocklens-fixture-{uuid.uuid4().hex}"
-        derived = derive_sources(spark, sf_dir)
-        for name in CONTRACTS:
-            getattr(derived, name).write.parquet(f"{base}/{name}")
-        _DERIVED[key] = base
-    return read_sources(spark, _DERIVED[key])
+        _DERIVED[key] = WrittenSources(spark, derive_sources(spark, sf_dir), base)
+    return _DERIVED[key]

@@ -153,6 +153,23 @@ def test_best_name_matches_fall_by_tenths(spark, tmp_path):
         assert len(rounds) == (1 if eb is near else 7), rounds
 
 
+def test_registries_are_written_when_read(spark):
+    from flocklens.sources.fixture import WrittenSources
+    from flocklens.sources.schemas import CONTRACTS
+
+    written = []
+
+    class Derived:
+        def __getattr__(self, name):
+            written.append(name)
+            return spark.createDataFrame([], CONTRACTS[name])
+
+    sources = WrittenSources(spark, Derived(), tempfile.mkdtemp(prefix="flocklens-test-"))
+    assert not written
+    assert sources.campaign.schema == CONTRACTS["campaign"] and sources.campaign.count() == 0
+    assert written == ["campaign"] and not hasattr(sources, "no_such_registry")
+
+
 def test_best_similar_name_rounding(spark):
     rows = [("ann lee", "c1", 3, 5, 5, 0.6), ("bo kim", "c9", 13, 20, 20, 0.65)]
     m = spark.createDataFrame(rows, "eb_name string, sf_contact_id string, shared_bigrams long, eb_bigram_count long, sf_bigram_count long, similarity double")
