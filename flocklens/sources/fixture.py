@@ -309,7 +309,7 @@ class WrittenSources:
         if name not in CONTRACTS:
             raise AttributeError(name)
         path = f"{self._base}/{name}"
-        getattr(self._derived, name).write.parquet(path)
+        getattr(self._derived, name).write.mode("overwrite").parquet(path)  # what a failed write left
         table = read_table(self._spark, path, name)
         setattr(self, name, table)
         return table

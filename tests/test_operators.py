@@ -157,15 +157,20 @@ def test_registries_are_written_when_read(spark):
     from flocklens.sources.fixture import WrittenSources
     from flocklens.sources.schemas import CONTRACTS
 
-    written = []
+    written, lost = [], ["campaign"]
 
     class Derived:
         def __getattr__(self, name):
             written.append(name)
+            if name in lost:
+                return spark.range(1).selectExpr("CAST(raise_error('lost') AS STRING) AS Id")
             return spark.createDataFrame([], CONTRACTS[name])
 
     sources = WrittenSources(spark, Derived(), tempfile.mkdtemp(prefix="flocklens-test-"))
     assert not written
+    with pytest.raises(Exception, match="lost"):
+        sources.campaign
+    lost.clear(), written.clear()
     assert sources.campaign.schema == CONTRACTS["campaign"] and sources.campaign.count() == 0
     assert written == ["campaign"] and not hasattr(sources, "no_such_registry")
 
